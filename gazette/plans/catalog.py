@@ -75,3 +75,289 @@ def q_dq_scorecard_by_day(spark, sf):
                                    "dim_author"))
 def q_top_authors(spark, sf):
     return V.top_authors(M.Warehouse(spark, sf).dim_author, limit=10)
+
+
+# --- merges, tombstones, state ----------------------------------------------
+
+from gazette.operators import merge as MG  # noqa: E402
+from gazette.operators.dedupe import latest_per_key  # noqa: E402
+from gazette.operators.incremental import extract_window  # noqa: E402
+
+_S1 = "id, title, content, author_id, author_name, category, published_at, created_at, updated_at, deleted_at"
+
+
+@register("raw_append", with_ctes("SELECT * FROM raw", "raw"))
+def q_raw_append(spark, sf):
+    return M.Warehouse(spark, sf).raw
+
+
+@register("tombstone_apply", with_ctes("SELECT * FROM raw_tomb", "raw_tomb"))
+def q_tombstone_apply(spark, sf):
+    return M.Warehouse(spark, sf).raw_tombstoned
+
+
+@register("delete_log_diff", with_ctes("""
+    SELECT article_id, deleted_at FROM old_log
+    UNION ALL
+    SELECT article_id, deleted_at FROM delete_log WHERE article_id NOT IN (SELECT article_id FROM old_log)""",
+    "delete_log", "old_log", extra={"old_log": (["articles"], """
+        SELECT DISTINCT id AS article_id, (SELECT max(updated_at) FROM articles) - INTERVAL 1 DAY AS deleted_at
+        FROM articles WHERE id % 50 = 0""")}))
+def q_delete_log_diff(spark, sf):
+    """Snapshot diff merged into an older log (ids id%50=0 deleted a day
+    earlier): the first delete of an id wins."""
+    art = fx.articles(spark, sf)
+    at = fx.snapshot_time(art)
+    old = (art.filter(F.col("id") % 50 == 0).select(F.col("id").alias("article_id")).distinct()
+           .withColumn("deleted_at", at - F.expr("INTERVAL 1 DAY")))
+    return MG.delete_log_diff(art.select("id"), fx.current_ids(art), at=at, existing=old)
+
+
+_CUT_UPSERT = "(SELECT max(updated_at) - INTERVAL 7 DAY FROM articles)"
+
+
+@register("source_upsert", with_ctes(f"""
+    SELECT coalesce(u.id, t.id) AS id,
+           CASE WHEN u.id IS NOT NULL THEN u.title ELSE t.title END AS title,
+           CASE WHEN u.id IS NOT NULL THEN u.content ELSE t.content END AS content,
+           CASE WHEN u.id IS NOT NULL THEN u.author_id ELSE t.author_id END AS author_id,
+           CASE WHEN u.id IS NOT NULL THEN u.author_name ELSE t.author_name END AS author_name,
+           CASE WHEN u.id IS NOT NULL THEN u.category ELSE t.category END AS category,
+           CASE WHEN t.id IS NOT NULL THEN t.published_at ELSE u.published_at END AS published_at,
+           CASE WHEN t.id IS NOT NULL THEN t.created_at ELSE u.created_at END AS created_at,
+           CASE WHEN u.id IS NOT NULL THEN u.updated_at ELSE t.updated_at END AS updated_at,
+           CASE WHEN u.id IS NOT NULL THEN u.deleted_at ELSE t.deleted_at END AS deleted_at
+    FROM (SELECT {_S1} FROM (SELECT *, row_number() OVER (PARTITION BY id ORDER BY updated_at DESC NULLS FIRST, seq DESC) rn
+                             FROM articles WHERE updated_at < {_CUT_UPSERT}) WHERE rn = 1) t
+    FULL OUTER JOIN
+         (SELECT {_S1} FROM (SELECT *, row_number() OVER (PARTITION BY id ORDER BY updated_at DESC NULLS FIRST, seq DESC) rn
+                             FROM articles WHERE updated_at >= {_CUT_UPSERT}) WHERE rn = 1) u
+    ON t.id = u.id""", "articles"))
+def q_source_upsert(spark, sf):
+    """Source table (latest version per id before the cut) upserted with
+    every scraped version after it; the last scraped version of an id wins
+    and published_at / created_at stay as first stored."""
+    art = fx.articles(spark, sf)
+    cut = art.select(F.max("updated_at") - F.expr("INTERVAL 7 DAYS")).scalar()
+    order = [F.col("updated_at").desc_nulls_first(), F.col("seq").desc()]
+    target = latest_per_key(art.filter(F.col("updated_at") < cut), ["id"], order).select(*S1_COLS)
+    updates = art.filter(F.col("updated_at") >= cut).select(*S1_COLS, "seq")
+    merged = MG.merge_upsert(target, updates, "id",
+                             ["title", "content", "author_id", "author_name", "category",
+                              "updated_at", "deleted_at"], order=order)
+    return merged.select(*S1_COLS)
+
+
+S1_COLS = [c.strip() for c in _S1.split(",")]
+
+_WM_PIPES = ["articles_etl_hourly", "kumparan_scraper", "news_hard_delete_sync"]
+
+
+@register("watermark_get_set", with_ctes(f"""
+    SELECT r.p AS pipeline_name, coalesce(cur.v, TIMESTAMP '2016-01-01 00:00:00') AS last_updated_at
+    FROM (VALUES {", ".join(f"('{p}')" for p in _WM_PIPES)}) r(p)
+    LEFT JOIN (SELECT pipeline_name, max_by(last_updated_at, written_at) AS v FROM state1 GROUP BY 1) cur
+    ON cur.pipeline_name = r.p""", "state1", extra={
+    "state0": (["batched"], """
+        SELECT 'articles_etl_hourly' AS pipeline_name, CAST(batch AS TIMESTAMP) + INTERVAL 1 DAY AS last_updated_at,
+               CAST(batch AS TIMESTAMP) + INTERVAL 1 DAY AS written_at
+        FROM (SELECT DISTINCT batch FROM batched)"""),
+    "wm_upd": (["articles"], """
+        SELECT 'articles_etl_hourly' AS p, max(updated_at) AS v FROM articles
+        UNION ALL SELECT 'kumparan_scraper', max(published_at) FROM articles"""),
+    "state1": (["state0", "wm_upd"], """
+        SELECT * FROM state0 WHERE pipeline_name NOT IN (SELECT p FROM wm_upd)
+        UNION ALL SELECT p, v, v FROM wm_upd"""),
+}))
+def q_watermark_get_set(spark, sf):
+    """State log with one write per daily run, then a MERGE that sets the
+    ETL watermark to the last extraction and the scraper watermark to the
+    newest publish time, then a get for three pipelines (one unseen ->
+    seed)."""
+    wh = M.Warehouse(spark, sf)
+    state0 = MG.state_log(wh.batched.select("batch").distinct().select(
+        F.lit("articles_etl_hourly").alias("pipeline_name"),
+        (F.col("batch").cast("timestamp_ntz") + F.expr("INTERVAL 1 DAY")).alias("last_updated_at")))
+    upd = wh.articles.agg(F.max("updated_at").alias("etl"), F.max("published_at").alias("scr")).select(
+        F.explode(F.array(
+            F.struct(F.lit("articles_etl_hourly").alias("pipeline_name"), F.col("etl").alias("last_updated_at")),
+            F.struct(F.lit("kumparan_scraper").alias("pipeline_name"), F.col("scr").alias("last_updated_at")),
+        )).alias("u")).select("u.*")
+    state1 = MG.advance_watermark(state0, upd)
+    req = spark.createDataFrame([(p,) for p in _WM_PIPES], "pipeline_name string")
+    return MG.watermark(state1, req)
+
+
+_WIN_SINCE = "(SELECT CAST(CAST(min(updated_at) AS DATE) AS TIMESTAMP) + INTERVAL 7 DAY FROM articles)"
+_WIN_UNTIL = "(SELECT CAST(CAST(min(updated_at) AS DATE) AS TIMESTAMP) + INTERVAL 10 DAY FROM articles)"
+
+
+@register("incremental_window", with_ctes(f"""
+    SELECT {_S1} FROM articles WHERE updated_at >= {_WIN_SINCE} AND updated_at < {_WIN_UNTIL}""", "articles"))
+def q_incremental_window(spark, sf):
+    """Window [watermark, extraction time) of one run.  The bounds reach the
+    driver as one row and are applied as literals, as a run does with its
+    watermark."""
+    art = fx.articles(spark, sf)
+    row = art.agg(F.to_date(F.min("updated_at")).cast("timestamp_ntz").alias("d")).first()
+    import datetime as _dt
+    since = row["d"] + _dt.timedelta(days=7)
+    until = row["d"] + _dt.timedelta(days=10)
+    return extract_window(art, since, until).select(*S1_COLS)
+
+
+# --- scorecards, drift, scorecard serving -----------------------------------
+
+from gazette.operators.drift import drift  # noqa: E402
+from gazette.operators.scorecard import scorecard  # noqa: E402
+from gazette.plans.oracle import CTES as _CTES  # noqa: E402
+
+_MART = "run_at, data_source, table_name, completeness, accuracy, consistency, timeliness, validity, uniqueness, overall_score"
+
+_WHOLE = {
+    "batched_all": (["articles"], "SELECT *, DATE '2000-01-01' AS batch FROM articles"),
+    "cleaned_all": (["batched_all"], _CTES["cleaned"][1].replace("FROM batched)", "FROM batched_all)")),
+    "sc_counts_all": (["batched_all", "cleaned_all"],
+                      _CTES["sc_counts"][1].replace("FROM batched ", "FROM batched_all ")
+                      .replace("FROM cleaned ", "FROM cleaned_all ")),
+    "sc_int_all": (["sc_counts_all"], _CTES["sc_int"][1].replace("FROM sc_counts", "FROM sc_counts_all")),
+}
+
+
+@register("dq_scorecard", with_ctes(
+    _CTES["scorecards"][1].replace("CAST(batch AS TIMESTAMP) + INTERVAL 1 DAY AS run_at",
+                                   "(SELECT max(updated_at) FROM articles) AS run_at")
+    .replace("FROM sc_int", "FROM sc_int_all"), "sc_int_all", extra=_WHOLE))
+def q_dq_scorecard(spark, sf):
+    """One scorecard over the whole table as a single run (run_at = newest
+    update), including the NULL-aware distinct id count."""
+    art = fx.articles(spark, sf)
+    order = F.struct(F.col("updated_at").isNull(), F.col("updated_at"), F.col("seq"))
+    return scorecard(art, allow=fx.FIXTURE_CATEGORIES, order=order,
+                     run_at=art.select(F.max("updated_at")).scalar())
+
+
+@register("dq_anomaly_zscore", with_ctes("""
+    SELECT run_at, data_source, table_name, row_count, completeness, accuracy, consistency, timeliness,
+           validity, uniqueness, overall_score, history_points,
+           round(CASE WHEN history_points < 5 OR lo = hi THEN 0.0 ELSE (overall_score - mu) / sd END, 6) AS z_score,
+           CASE WHEN history_points < 5 THEN false WHEN lo = hi THEN overall_score <> hi
+                ELSE abs((overall_score - mu) / sd) >= 2.0 END AS is_anomaly
+    FROM (SELECT *, count(overall_score) OVER w AS history_points, avg(overall_score) OVER w AS mu,
+                 stddev_samp(overall_score) OVER w AS sd, min(overall_score) OVER w AS lo,
+                 max(overall_score) OVER w AS hi
+          FROM scorecards WHERE overall_score IS NOT NULL
+          WINDOW w AS (PARTITION BY table_name ORDER BY run_at ROWS BETWEEN 20 PRECEDING AND 1 PRECEDING))""",
+                                         "scorecards"))
+def q_dq_anomaly_zscore(spark, sf):
+    return drift(M.Warehouse(spark, sf).scorecards)
+
+
+@register("dq_latest", with_ctes(f"SELECT {_MART} FROM scorecards ORDER BY run_at DESC LIMIT 1", "scorecards"))
+def q_dq_latest(spark, sf):
+    return V.dq_history(M.Warehouse(spark, sf).mart_dq_scorecard, 1)
+
+
+@register("dq_history", with_ctes(f"SELECT {_MART} FROM scorecards ORDER BY run_at DESC LIMIT 10", "scorecards"))
+def q_dq_history(spark, sf):
+    return V.dq_history(M.Warehouse(spark, sf).mart_dq_scorecard, 10)
+
+
+@register("dq_trend", with_ctes("SELECT run_at, overall_score, 0.85 AS goal FROM scorecards ORDER BY run_at",
+                                "scorecards"))
+def q_dq_trend(spark, sf):
+    return V.dq_trend(M.Warehouse(spark, sf).mart_dq_scorecard)
+
+
+@register("dq_breakdown", with_ctes(" UNION ALL ".join(
+    f"SELECT '{d}' AS dimension, {d} AS score FROM latest" for d in
+    ["completeness", "accuracy", "consistency", "timeliness", "validity", "uniqueness"]),
+    "latest", extra={"latest": (["scorecards"], "SELECT * FROM scorecards ORDER BY run_at DESC LIMIT 1")}))
+def q_dq_breakdown(spark, sf):
+    return V.dq_breakdown(M.Warehouse(spark, sf).mart_dq_scorecard)
+
+
+# --- serving and reports --------------------------------------------------------
+
+_PAGE = "article_id, title, category, author_id, date_day, content_length"
+
+
+@register("articles_page", with_ctes(f"""
+    SELECT {_PAGE}, (SELECT count(*) FROM fct) AS total FROM fct
+    ORDER BY date_day DESC NULLS FIRST, article_id LIMIT 20 OFFSET 40""", "fct"))
+def q_articles_page(spark, sf):
+    page, total = V.articles_page(M.Warehouse(spark, sf).fct, limit=20, offset=40)
+    return page.crossJoin(F.broadcast(total))   # one-row total
+
+
+@register("articles_page_category", with_ctes(f"""
+    SELECT {_PAGE}, (SELECT count(*) FROM fct WHERE category = 'view') AS total FROM fct
+    WHERE category = 'view' ORDER BY date_day DESC NULLS FIRST, article_id LIMIT 20 OFFSET 20""", "fct"))
+def q_articles_page_category(spark, sf):
+    page, total = V.articles_page(M.Warehouse(spark, sf).fct, limit=20, offset=20, category="view")
+    return page.crossJoin(F.broadcast(total))
+
+
+@register("article_by_id", with_ctes(f"SELECT {_PAGE} FROM fct WHERE article_id = (SELECT max(article_id) FROM fct)",
+                                     "fct"))
+def q_article_by_id(spark, sf):
+    fct = M.Warehouse(spark, sf).fct
+    return V.by_key(fct, "article_id", fct.select(F.max("article_id")).scalar()).select(*V.PAGE_COLUMNS)
+
+
+@register("author_by_id", with_ctes(
+    "SELECT * FROM dim_author WHERE author_id = (SELECT max(author_id) FROM dim_author)", "dim_author"))
+def q_author_by_id(spark, sf):
+    dim = M.Warehouse(spark, sf).dim_author
+    return V.by_key(dim, "author_id", dim.select(F.max("author_id")).scalar())
+
+
+@register("category_totals", with_ctes("SELECT category, count(*) AS n_articles FROM fct GROUP BY category", "fct"))
+def q_category_totals(spark, sf):
+    return V.category_totals(M.Warehouse(spark, sf).fct)
+
+
+_LABEL = "CASE WHEN coalesce(category, '') = '' THEN '(tanpa kategori)' ELSE category END"
+
+
+@register("batch_counts", with_ctes(f"""
+    SELECT batch, {_LABEL} AS category, count(*) AS n_articles FROM raw GROUP BY batch, {_LABEL}""", "raw"))
+def q_batch_counts(spark, sf):
+    return V.batch_counts(M.Warehouse(spark, sf).raw, ["batch"])
+
+
+@register("scrape_report", with_ctes(f"""
+    SELECT r.*, s.batch_total, s.grand_total FROM rep r,
+           (SELECT sum(batch_count) AS batch_total, sum(total_count) AS grand_total FROM rep) s""", "rep", extra={
+    "rep": (["raw", "fct"], f"""
+        SELECT coalesce(b.category, t.category) AS category, coalesce(b.batch_count, 0) AS batch_count,
+               coalesce(t.total_count, 0) AS total_count
+        FROM (SELECT {_LABEL} AS category, count(*) AS batch_count FROM raw
+              WHERE batch = (SELECT max(batch) FROM raw) GROUP BY 1) b
+        FULL OUTER JOIN (SELECT {_LABEL} AS category, count(*) AS total_count FROM fct GROUP BY 1) t
+        ON b.category = t.category""")}))
+def q_scrape_report(spark, sf):
+    """Latest run's loaded rows per category next to the all-time totals."""
+    wh = M.Warehouse(spark, sf)
+    last = wh.raw.select(F.max("batch")).scalar()
+    return V.scrape_report(wh.raw.filter(F.col("batch") == last), wh.fct)
+
+
+@register("articles_over_time", with_ctes("""
+    SELECT 'day' AS grain, date_day AS bucket, count(*) AS n_articles FROM fct GROUP BY date_day
+    UNION ALL SELECT 'week', CAST(date_trunc('week', date_day) AS DATE), count(*) FROM fct GROUP BY 2
+    UNION ALL SELECT 'month', CAST(date_trunc('month', date_day) AS DATE), count(*) FROM fct GROUP BY 2""", "fct"))
+def q_articles_over_time(spark, sf):
+    return V.articles_over_time(M.Warehouse(spark, sf).fct)
+
+
+@register("star_join_rollup", with_ctes("""
+    SELECT d.year, d.month, count(*) AS n_articles, sum(f.content_length) AS total_length,
+           count(DISTINCT f.author_id) AS n_authors, count(a.author_name) AS named_articles,
+           CAST(grouping(d.year, d.month) AS INTEGER) AS level
+    FROM fct f JOIN dim_date d ON f.date_day = d.date_day
+    LEFT JOIN dim_author a ON f.author_id = a.author_id
+    GROUP BY ROLLUP (d.year, d.month)""", "fct", "dim_date", "dim_author"))
+def q_star_join_rollup(spark, sf):
+    wh = M.Warehouse(spark, sf)
+    return V.star_join_rollup(wh.fct, wh.dim_author, wh.dim_date)
