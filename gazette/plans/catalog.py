@@ -361,3 +361,179 @@ def q_articles_over_time(spark, sf):
 def q_star_join_rollup(spark, sf):
     wh = M.Warehouse(spark, sf)
     return V.star_join_rollup(wh.fct, wh.dim_author, wh.dim_date)
+
+
+# --- data tests ---------------------------------------------------------------
+
+from gazette import schemas as S  # noqa: E402
+from gazette.operators import checks as CK  # noqa: E402
+
+_UNIQUE_TARGETS = [("stg_articles", "stg", "article_id"), ("fct_articles", "fct", "article_id"),
+                   ("dim_author", "dim_author", "author_id"), ("dim_date", "dim_date", "date_day")]
+_NOT_NULL_TARGETS = [("stg_articles", "stg", "article_id", "article_id"),
+                     ("stg_articles", "stg", "title", "article_id"),
+                     ("stg_articles", "stg", "published_at", "article_id"),
+                     ("fct_articles", "fct", "article_id", "article_id"),
+                     ("fct_articles", "fct", "author_id", "article_id"),
+                     ("fct_articles", "fct", "date_day", "article_id"),
+                     ("dim_author", "dim_author", "author_id", "author_id"),
+                     ("dim_date", "dim_date", "date_day", "date_day")]
+_REL_TARGETS = [("fct_articles", "fct", "author_id", "dim_author", "author_id"),
+                ("fct_articles", "fct", "date_day", "dim_date", "date_day"),
+                ("stg_articles", "stg", "author_id", "dim_author", "author_id")]
+_VALID_SQL = ", ".join(f"'{v}'" for v in S.VALID_CATEGORIES)
+
+
+def _models(wh: M.Warehouse) -> dict[str, DataFrame]:
+    return {"stg": wh.stg, "fct": wh.fct, "dim_author": wh.dim_author, "dim_date": wh.dim_date}
+
+
+def _union(dfs):
+    out = dfs[0]
+    for d in dfs[1:]:
+        out = out.unionByName(d)
+    return out
+
+
+def _unique_sql(model, cte, col):
+    return (f"SELECT '{model}' AS model, '{col}' AS column_name, CAST({col} AS VARCHAR) AS unique_field, "
+            f"count(*) AS n_records FROM {cte} WHERE {col} IS NOT NULL GROUP BY {col} HAVING count(*) > 1")
+
+
+def _not_null_sql(model, cte, col, key):
+    return (f"SELECT '{model}' AS model, '{col}' AS column_name, CAST({key} AS VARCHAR) AS failing_key "
+            f"FROM {cte} WHERE {col} IS NULL")
+
+
+def _rel_sql(model, cte, col, pcte, field):
+    return (f"SELECT '{model}' AS model, '{col}' AS column_name, CAST(c.{col} AS VARCHAR) AS from_field "
+            f"FROM {cte} c WHERE c.{col} IS NOT NULL AND c.{col} NOT IN "
+            f"(SELECT {field} FROM {pcte} WHERE {field} IS NOT NULL)")
+
+
+_ALL_MODELS = ("stg", "fct", "dim_author", "dim_date")
+
+
+@register("check_unique", with_ctes(" UNION ALL ".join(_unique_sql(*t) for t in _UNIQUE_TARGETS), *_ALL_MODELS))
+def q_check_unique(spark, sf):
+    m = _models(M.Warehouse(spark, sf))
+    return _union([CK.check_unique(m[cte], col).select(
+        F.lit(model).alias("model"), F.lit(col).alias("column_name"),
+        F.col("unique_field").cast("string").alias("unique_field"), "n_records")
+        for model, cte, col in _UNIQUE_TARGETS])
+
+
+@register("check_not_null", with_ctes(" UNION ALL ".join(_not_null_sql(*t) for t in _NOT_NULL_TARGETS),
+                                      *_ALL_MODELS))
+def q_check_not_null(spark, sf):
+    m = _models(M.Warehouse(spark, sf))
+    return _union([CK.check_not_null(m[cte], col).select(
+        F.lit(model).alias("model"), F.lit(col).alias("column_name"),
+        F.col(key).cast("string").alias("failing_key"))
+        for model, cte, col, key in _NOT_NULL_TARGETS])
+
+
+@register("check_accepted_values", with_ctes(f"""
+    SELECT category AS value_field, count(*) AS n_records FROM stg GROUP BY category
+    HAVING category NOT IN ({_VALID_SQL})""", "stg"))
+def q_check_accepted_values(spark, sf):
+    return CK.check_accepted_values(M.Warehouse(spark, sf).stg, "category", S.VALID_CATEGORIES)
+
+
+@register("check_relationships", with_ctes(" UNION ALL ".join(_rel_sql(*t) for t in _REL_TARGETS), *_ALL_MODELS))
+def q_check_relationships(spark, sf):
+    m = _models(M.Warehouse(spark, sf))
+    return _union([CK.check_relationships(m[cte], col, m[pcte], field).select(
+        F.lit(model).alias("model"), F.lit(col).alias("column_name"),
+        F.col("from_field").cast("string").alias("from_field"))
+        for model, cte, col, pcte, field in _REL_TARGETS])
+
+
+_AS_OF_FUTURE = "(SELECT max(published_at) - INTERVAL 1 DAY FROM deduped)"
+
+
+@register("check_no_future", with_ctes(
+    f"SELECT article_id, published_at FROM deduped WHERE published_at > {_AS_OF_FUTURE}", "deduped"))
+def q_check_no_future(spark, sf):
+    d = M.Warehouse(spark, sf).deduped
+    return CK.check_no_future(d, d.select(F.max("published_at") - F.expr("INTERVAL 1 DAY")).scalar())
+
+
+@register("check_dq_threshold", with_ctes(f"""
+    SELECT {_MART} FROM scorecards WHERE run_at = (SELECT max(run_at) FROM scorecards) AND overall_score < 0.85""",
+                                          "scorecards"))
+def q_check_dq_threshold(spark, sf):
+    return CK.check_dq_threshold(M.Warehouse(spark, sf).mart_dq_scorecard)
+
+
+_FRESH = """
+    SELECT max_loaded_at, as_of, age_hours,
+           CASE WHEN max_loaded_at IS NULL THEN 'error' WHEN age_hours > 6 THEN 'error'
+                WHEN age_hours > 2 THEN 'warn' ELSE 'pass' END AS status
+    FROM (SELECT max(_loaded_at) AS max_loaded_at, max(_loaded_at) + INTERVAL 3 HOUR AS as_of,
+                 CAST(date_diff('microsecond', max(_loaded_at), max(_loaded_at) + INTERVAL 3 HOUR) AS DOUBLE)
+                 / 3600000000.0 AS age_hours
+          FROM raw)"""
+
+
+@register("check_freshness", with_ctes(_FRESH, "raw"))
+def q_check_freshness(spark, sf):
+    raw = M.Warehouse(spark, sf).raw
+    return CK.check_freshness(raw, raw.select(F.max("_loaded_at") + F.expr("INTERVAL 3 HOURS")).scalar())
+
+
+def _summary_checks(wh: M.Warehouse) -> list:
+    m = _models(wh)
+    sev_unique = {"stg_articles": "warn"}
+    out = []
+    for model, cte, col in _UNIQUE_TARGETS:
+        out.append(CK.Check("unique", model, col, sev_unique.get(model, "error"), CK.check_unique(m[cte], col)))
+    for model, cte, col, _key in _NOT_NULL_TARGETS:
+        out.append(CK.Check("not_null", model, col, "error", CK.check_not_null(m[cte], col)))
+    out.append(CK.Check("accepted_values", "stg_articles", "category", "warn",
+                        CK.check_accepted_values(m["stg"], "category", S.VALID_CATEGORIES)))
+    for model, cte, col, pcte, field in _REL_TARGETS[:2]:
+        out.append(CK.Check("relationships", model, col, "error",
+                            CK.check_relationships(m[cte], col, m[pcte], field)))
+    d = wh.deduped
+    out.append(CK.Check("no_future_published", "int_articles_deduped", "published_at", "error",
+                        CK.check_no_future(d, d.select(F.max("published_at") - F.expr("INTERVAL 1 DAY")).scalar())))
+    out.append(CK.Check("dq_score_above_threshold", "mart_dq_scorecard", "overall_score", "error",
+                        CK.check_dq_threshold(wh.mart_dq_scorecard)))
+    raw = wh.raw
+    out.append(CK.Check("freshness", "articles_raw", "_loaded_at", "error",
+                        CK.check_freshness(raw, raw.select(F.max("_loaded_at") + F.expr("INTERVAL 3 HOURS")).scalar())))
+    return out
+
+
+def _summary_sql() -> str:
+    def row(name, model, col, sev, count_sql):
+        fail = "fail" if sev == "error" else "warn"
+        return (f"SELECT '{name}' AS check_name, '{model}' AS model, '{col}' AS column_name, '{sev}' AS severity, "
+                f"n AS failures, CASE WHEN n = 0 THEN 'pass' ELSE '{fail}' END AS status "
+                f"FROM (SELECT count(*) AS n FROM ({count_sql}))")
+    parts = []
+    for model, cte, col in _UNIQUE_TARGETS:
+        parts.append(row("unique", model, col, "warn" if model == "stg_articles" else "error",
+                         _unique_sql(model, cte, col)))
+    for model, cte, col, key in _NOT_NULL_TARGETS:
+        parts.append(row("not_null", model, col, "error", _not_null_sql(model, cte, col, key)))
+    parts.append(row("accepted_values", "stg_articles", "category", "warn",
+                     f"SELECT category FROM stg GROUP BY category HAVING category NOT IN ({_VALID_SQL})"))
+    for t in _REL_TARGETS[:2]:
+        parts.append(row("relationships", t[0], t[2], "error", _rel_sql(*t)))
+    parts.append(row("no_future_published", "int_articles_deduped", "published_at", "error",
+                     f"SELECT article_id FROM deduped WHERE published_at > {_AS_OF_FUTURE}"))
+    parts.append(row("dq_score_above_threshold", "mart_dq_scorecard", "overall_score", "error",
+                     "SELECT * FROM scorecards WHERE run_at = (SELECT max(run_at) FROM scorecards) "
+                     "AND overall_score < 0.85"))
+    parts.append("SELECT 'freshness' AS check_name, 'articles_raw' AS model, '_loaded_at' AS column_name, "
+                 "'error' AS severity, CAST(CASE WHEN status = 'pass' THEN 0 ELSE 1 END AS BIGINT) AS failures, "
+                 "CASE WHEN status = 'error' THEN 'fail' ELSE status END AS status "
+                 f"FROM ({_FRESH})")
+    return " UNION ALL ".join(parts)
+
+
+@register("check_summary", with_ctes(_summary_sql(), *_ALL_MODELS, "deduped", "scorecards", "raw"))
+def q_check_summary(spark, sf):
+    return CK.summarize(_summary_checks(M.Warehouse(spark, sf)))

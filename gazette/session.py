@@ -78,5 +78,6 @@ def local_test_session(cores: int | None = None, shuffle_partitions: int = 8) ->
             "spark.sql.shuffle.partitions": str(shuffle_partitions),
             "spark.driver.memory": "16g",
             "spark.sql.execution.arrow.pyspark.enabled": "true",
+            "spark.ui.showConsoleProgress": "false",
         },
     )
