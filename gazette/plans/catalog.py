@@ -537,3 +537,242 @@ def _summary_sql() -> str:
 @register("check_summary", with_ctes(_summary_sql(), *_ALL_MODELS, "deduped", "scorecards", "raw"))
 def q_check_summary(spark, sf):
     return CK.summarize(_summary_checks(M.Warehouse(spark, sf)))
+
+
+# --- history (SCD2) ---------------------------------------------------------------
+
+from pyspark.sql import Window  # noqa: E402
+
+from gazette.operators import scd2 as H  # noqa: E402
+
+_SNAP = "article_id, title, category, author_id, updated_at"
+_HIST = _SNAP + ", valid_from, valid_to, is_current"
+_SCD2_CTES = {
+    "versions": (["articles"], "SELECT id AS article_id, title, category, author_id, updated_at, seq FROM articles"),
+    "scd2_open": (["versions"], """
+        SELECT article_id, title, category, author_id, updated_at, seq FROM (
+            SELECT *, lag(title) OVER w AS pt, lag(category) OVER w AS pc, row_number() OVER w AS rn
+            FROM versions WINDOW w AS (PARTITION BY article_id ORDER BY updated_at ASC NULLS LAST, seq))
+        WHERE rn = 1 OR pt IS DISTINCT FROM title OR pc IS DISTINCT FROM category"""),
+    "scd2": (["scd2_open"], """
+        SELECT article_id, title, category, author_id, updated_at, updated_at AS valid_from,
+               lead(updated_at) OVER w AS valid_to, lead(updated_at) OVER w IS NULL AS is_current
+        FROM scd2_open WINDOW w AS (PARTITION BY article_id ORDER BY updated_at ASC NULLS LAST, seq)"""),
+}
+
+
+def _scd2_history(spark, sf) -> DataFrame:
+    art = fx.articles(spark, sf)
+    versions = art.select(F.col("id").alias("article_id"), "title", "category", "author_id", "updated_at", "seq")
+    hist = H.scd2_rebuild(versions, "article_id", ["title", "category"],
+                          [F.col("updated_at").asc_nulls_last(), F.col("seq").asc()])
+    return hist.drop("seq")
+
+
+@register("scd2_rebuild", with_ctes(f"SELECT {_HIST} FROM scd2", "scd2", extra=_SCD2_CTES))
+def q_scd2_rebuild(spark, sf):
+    """History on (title, category) rebuilt from every stored version."""
+    return _scd2_history(spark, sf)
+
+
+@register("scd2_current", with_ctes(f"SELECT {_HIST} FROM scd2 WHERE valid_to IS NULL", "scd2", extra=_SCD2_CTES))
+def q_scd2_current(spark, sf):
+    return H.scd2_current(_scd2_history(spark, sf))
+
+
+_AS_OF_SCD2 = "(SELECT max(updated_at) - INTERVAL 10 DAY FROM articles)"
+
+
+@register("scd2_as_of", with_ctes(f"""
+    SELECT {_HIST} FROM scd2 WHERE valid_from <= {_AS_OF_SCD2}
+       AND (valid_to IS NULL OR valid_to > {_AS_OF_SCD2})""", "scd2", extra=_SCD2_CTES))
+def q_scd2_as_of(spark, sf):
+    art = fx.articles(spark, sf)
+    at = art.select(F.max("updated_at") - F.expr("INTERVAL 10 DAYS")).scalar()
+    return H.scd2_as_of(_scd2_history(spark, sf), at)
+
+
+def _snap_sql(cut: str) -> str:
+    return f"""
+        SELECT {_SNAP} FROM (
+            SELECT id AS article_id, title || ' v' || CAST(seq % 2 AS VARCHAR) AS title, category, author_id,
+                   updated_at, row_number() OVER (PARTITION BY id ORDER BY updated_at DESC NULLS FIRST, seq DESC) AS rn
+            FROM articles WHERE updated_at < {cut}) WHERE rn = 1"""
+
+
+_CUT1 = "(SELECT max(updated_at) - INTERVAL 14 DAY FROM articles)"
+_CUT2 = "(SELECT max(updated_at) - INTERVAL 7 DAY FROM articles)"
+
+
+@register("scd2_incremental", with_ctes(f"""
+    SELECT * FROM h1 WHERE valid_to IS NOT NULL
+    UNION ALL
+    SELECT h_id, h_title, h_category, h_author_id, h_updated_at, h_valid_from,
+           CASE WHEN changed THEN {_CUT2} ELSE h_valid_to END, CASE WHEN changed THEN false ELSE h_is_current END
+    FROM j WHERE h_id IS NOT NULL
+    UNION ALL
+    SELECT s_id, s_title, s_category, s_author_id, s_updated_at, {_CUT2}, CAST(NULL AS TIMESTAMP), true
+    FROM j WHERE s_id IS NOT NULL AND (changed OR h_id IS NULL)""", "h1", "j", extra={
+    "s1": (["articles"], _snap_sql(_CUT1)),
+    "s2": (["articles"], _snap_sql(_CUT2)),
+    "h1": (["s1"], f"SELECT {_SNAP}, {_CUT1} AS valid_from, CAST(NULL AS TIMESTAMP) AS valid_to, "
+                   "true AS is_current FROM s1"),
+    "j": (["h1", "s2"], """
+        SELECT h.article_id AS h_id, h.title AS h_title, h.category AS h_category, h.author_id AS h_author_id,
+               h.updated_at AS h_updated_at, h.valid_from AS h_valid_from, h.valid_to AS h_valid_to,
+               h.is_current AS h_is_current, s.article_id AS s_id, s.title AS s_title, s.category AS s_category,
+               s.author_id AS s_author_id, s.updated_at AS s_updated_at,
+               (h.article_id IS NOT NULL AND s.article_id IS NOT NULL AND
+                (h.title IS DISTINCT FROM s.title OR h.category IS DISTINCT FROM s.category)) AS changed
+        FROM (SELECT * FROM h1 WHERE valid_to IS NULL) h FULL OUTER JOIN s2 s ON h.article_id = s.article_id"""),
+}))
+def q_scd2_incremental(spark, sf):
+    """Two snapshot runs (strategy check on title, category): the first
+    opens every row, the second closes changed rows and opens new ones."""
+    art = fx.articles(spark, sf)
+    vmax = art.select(F.max("updated_at")).scalar()
+    cut1, cut2 = vmax - F.expr("INTERVAL 14 DAYS"), vmax - F.expr("INTERVAL 7 DAYS")
+    order = [F.col("updated_at").desc_nulls_first(), F.col("seq").desc()]
+    versions = art.select(F.col("id").alias("article_id"),
+                          F.concat(F.col("title"), F.lit(" v"), (F.col("seq") % 2).cast("string")).alias("title"),
+                          "category", "author_id", "updated_at", "seq")
+
+    def snapshot(cut):
+        return latest_per_key(versions.filter(F.col("updated_at") < cut), ["article_id"], order).drop("seq")
+
+    h1 = H.scd2_init(snapshot(cut1), cut1)
+    return H.scd2_merge(h1, snapshot(cut2), "article_id", ["title", "category"], cut2)
+
+
+# --- feed payloads ---------------------------------------------------------------
+
+from gazette.sources import payload as P  # noqa: E402
+
+_FEED_COLS = ("feed_id, page, pos, id, title, content, author_id, author_name, category, published_at, "
+              "created_at, updated_at, deleted_at")
+_CHANNEL_CASE = ("CASE CAST(seq % 12 AS VARCHAR) " +
+                 " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in S.INGEST_CHANNEL_MAP.items()) +
+                 f" ELSE '{S.INGEST_CHANNEL_DEFAULT}' END")
+
+
+def _strip(x: str) -> str:
+    return f"regexp_replace({x}, '^\\s+|\\s+$', '', 'g')"
+
+
+def _safe(x: str, n: int) -> str:
+    return f"nullif(left({_strip(x)}, {n}), '')"
+
+
+_FEED_CTES = {
+    "payload": (["articles"], f"""
+        SELECT rnk // {fx.PAGE_SIZE} // {fx.PAGES_PER_FEED} AS feed_id, (rnk // {fx.PAGE_SIZE}) % {fx.PAGES_PER_FEED} AS page,
+               CAST(rnk % {fx.PAGE_SIZE} AS INTEGER) AS pos, id,
+               {_safe('title', S.TITLE_MAX)} AS title,
+               nullif(concat_ws(chr(10) || chr(10), {_safe('content', S.LEAD_MAX)}, {_safe('title', S.META_MAX)}), '') AS content,
+               author_id, {_safe('author_name', S.AUTHOR_MAX)} AS author_name,
+               CASE WHEN category <> 'error' THEN category ELSE {_CHANNEL_CASE} END AS category,
+               published_at, coalesce(CASE WHEN seq % 11 <> 0 THEN created_at END, published_at) AS created_at,
+               updated_at, deleted_at
+        FROM (SELECT *, (SELECT max(seq) FROM articles) - seq AS rnk FROM articles) WHERE seq % 37 <> 0"""),
+    "first_seen": (["payload"], f"""
+        SELECT {_FEED_COLS} FROM (SELECT *, row_number() OVER (PARTITION BY feed_id, id ORDER BY page, pos) AS rn
+                                  FROM payload) WHERE rn = 1"""),
+}
+
+
+@register("payload_flatten", with_ctes(f"SELECT {_FEED_COLS} FROM payload", "payload", extra=_FEED_CTES))
+def q_payload_flatten(spark, sf):
+    """Feed pages built with to_json from the article versions, parsed back
+    with from_json + posexplode and mapped to the flat article schema."""
+    return P.flatten_pages(P.fixture_pages(fx.articles(spark, sf)))
+
+
+@register("feed_first_seen", with_ctes(f"SELECT {_FEED_COLS} FROM first_seen", "first_seen", extra=_FEED_CTES))
+def q_feed_first_seen(spark, sf):
+    return P.first_seen(P.flatten_pages(P.fixture_pages(fx.articles(spark, sf))))
+
+
+@register("feed_take_while", with_ctes(f"""
+    SELECT {_FEED_COLS} FROM (
+        SELECT *, max(CASE WHEN published_at < since THEN 1 ELSE 0 END) OVER (
+                      PARTITION BY feed_id ORDER BY page, pos ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS stopped
+        FROM (SELECT *, min(published_at) OVER (PARTITION BY feed_id) + INTERVAL 1 DAY AS since FROM first_seen))
+    WHERE stopped = 0""", "first_seen", extra=_FEED_CTES))
+def q_feed_take_while(spark, sf):
+    """Each scrape run stops at its first story published before the run's
+    watermark (here: a day after the run's oldest story)."""
+    rows = P.first_seen(P.flatten_pages(P.fixture_pages(fx.articles(spark, sf))))
+    since = F.min("published_at").over(Window.partitionBy("feed_id")) + F.expr("INTERVAL 1 DAY")
+    return P.take_while_recent(rows.withColumn("__since", since), F.col("__since")).drop("__since")
+
+
+# --- scalar helpers ---------------------------------------------------------------
+
+from gazette import functions as FN  # noqa: E402
+
+_HELPER_CTES = {"helper_inputs": ([], fx.helper_inputs_sql())}
+
+
+def _case_map(key: str, mapping: dict, default: str) -> str:
+    whens = " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in mapping.items())
+    return f"CASE coalesce({key}, '') {whens} ELSE '{default}' END"
+
+
+@register("channel_category_ingest", with_ctes(f"""
+    SELECT event_id, channel_id, channel_slug,
+           CASE WHEN coalesce(channel_slug, '') <> '' THEN channel_slug
+                ELSE {_case_map('channel_id', S.INGEST_CHANNEL_MAP, S.INGEST_CHANNEL_DEFAULT)} END AS category
+    FROM helper_inputs""", "helper_inputs", extra=_HELPER_CTES))
+def q_channel_category_ingest(spark, sf):
+    h = fx.helper_inputs(spark, sf)
+    return h.select("event_id", "channel_id", "channel_slug",
+                    FN.channel_to_category("channel_id", "channel_slug").alias("category"))
+
+
+@register("channel_category_alt", with_ctes(f"""
+    SELECT event_id, channel_id, channel_slug,
+           CASE WHEN coalesce(channel_slug, '') <> '' THEN channel_slug
+                ELSE {_case_map('channel_id', S.ALT_CHANNEL_MAP, S.ALT_CHANNEL_DEFAULT)} END AS category
+    FROM helper_inputs""", "helper_inputs", extra=_HELPER_CTES))
+def q_channel_category_alt(spark, sf):
+    h = fx.helper_inputs(spark, sf)
+    return h.select("event_id", "channel_id", "channel_slug",
+                    FN.channel_to_category("channel_id", "channel_slug", S.ALT_CHANNEL_MAP,
+                                           S.ALT_CHANNEL_DEFAULT).alias("category"))
+
+
+def _ladder(col: str, steps, top: str, null_label: str) -> str:
+    whens = " ".join(f"WHEN {col} < {b} THEN '{lab}'" for b, lab in steps)
+    return f"CASE WHEN {col} IS NULL THEN '{null_label}' {whens} ELSE '{top}' END"
+
+
+@register("age_group", with_ctes(
+    f"SELECT event_id, age, {_ladder('age', S.AGE_BUCKETS, S.AGE_TOP, S.AGE_UNKNOWN)} AS age_group "
+    "FROM helper_inputs", "helper_inputs", extra=_HELPER_CTES))
+def q_age_group(spark, sf):
+    return fx.helper_inputs(spark, sf).select("event_id", "age", FN.age_group("age").alias("age_group"))
+
+
+@register("follower_tier", with_ctes(
+    f"SELECT event_id, followers, {_ladder('followers', S.FOLLOWER_TIERS, S.FOLLOWER_TOP, S.FOLLOWER_NULL)} "
+    "AS follower_tier FROM helper_inputs", "helper_inputs", extra=_HELPER_CTES))
+def q_follower_tier(spark, sf):
+    return fx.helper_inputs(spark, sf).select("event_id", "followers",
+                                              FN.follower_tier("followers").alias("follower_tier"))
+
+
+@register("edu_level", with_ctes(
+    "SELECT event_id, edu, CAST(CASE coalesce(edu, '') " +
+    " ".join(f"WHEN '{k}' THEN {v}" for k, v in S.EDU_LEVELS.items()) +
+    " ELSE 0 END AS INTEGER) AS edu_level FROM helper_inputs", "helper_inputs", extra=_HELPER_CTES))
+def q_edu_level(spark, sf):
+    return fx.helper_inputs(spark, sf).select("event_id", "edu", FN.edu_level("edu").alias("edu_level"))
+
+
+@register("device_class", with_ctes("""
+    SELECT event_id, device,
+           CASE WHEN coalesce(device, '') = '' THEN 'unknown' WHEN contains(lower(device), 'mobile') THEN 'mobile'
+                WHEN contains(lower(device), 'tablet') THEN 'tablet' ELSE 'desktop' END AS device_class
+    FROM helper_inputs""", "helper_inputs", extra=_HELPER_CTES))
+def q_device_class(spark, sf):
+    return fx.helper_inputs(spark, sf).select("event_id", "device", FN.device_class("device").alias("device_class"))

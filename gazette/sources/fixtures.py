@@ -87,3 +87,52 @@ def current_ids(art: DataFrame) -> DataFrame:
 def snapshot_time(art: DataFrame) -> Column:
     """Data-derived clock of the current source snapshot (scalar subquery)."""
     return art.select(F.max("updated_at")).scalar()
+
+
+# --- helper inputs over the events table ----------------------------------------
+# Each event supplies one input per helper; the remainders put NULL, empty
+# and boundary values among ordinary ones.
+
+EDU_INPUTS = ["SMA", "D3", "S1", "S2", "S3", "", "SD", None]
+DEVICE_INPUTS = ["Mobile Safari", "iPad Tablet", "Desktop Chrome", "", None, "TABLET-mobile", "smart tv"]
+
+
+def _pick(eid: Column, values: list) -> Column:
+    """values[eid % len(values)] as a CASE expression."""
+    k = eid % len(values)
+    out = None
+    for i, v in enumerate(values):
+        lit = F.lit(v).cast("string")
+        out = F.when(k == i, lit) if out is None else out.when(k == i, lit)
+    return out
+
+
+def helper_inputs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ev = load(spark, sf_dir, "events").select("event_id", "event_type")
+    eid = F.col("event_id")
+    return ev.select(
+        "event_id",
+        F.when(eid % 12 == 11, F.lit(None)).otherwise((eid % 12).cast("string")).alias("channel_id"),
+        F.when(eid % 7 == 0, F.concat(F.lit("slug-"), F.col("event_type")))
+         .when(eid % 7 == 1, F.lit("")).alias("channel_slug"),
+        F.when(eid % 110 == 109, F.lit(None)).otherwise(eid % 110).alias("age"),
+        F.when(eid % 97 == 0, F.lit(None)).otherwise(eid * 997 % 2_000_000).alias("followers"),
+        _pick(eid, EDU_INPUTS).alias("edu"),
+        _pick(eid, DEVICE_INPUTS).alias("device"),
+    )
+
+
+def helper_inputs_sql() -> str:
+    """The same inputs in DuckDB SQL (a CTE body over ``events``)."""
+    def pick(values):
+        whens = " ".join(f"WHEN {i} THEN {'NULL' if v is None else repr(v)}" for i, v in enumerate(values))
+        return f"CASE event_id % {len(values)} {whens} END"
+    return f"""
+        SELECT event_id,
+               CASE WHEN event_id % 12 = 11 THEN NULL ELSE CAST(event_id % 12 AS VARCHAR) END AS channel_id,
+               CASE WHEN event_id % 7 = 0 THEN 'slug-' || event_type WHEN event_id % 7 = 1 THEN '' END AS channel_slug,
+               CASE WHEN event_id % 110 = 109 THEN NULL ELSE event_id % 110 END AS age,
+               CASE WHEN event_id % 97 = 0 THEN NULL ELSE event_id * 997 % 2000000 END AS followers,
+               {pick(EDU_INPUTS)} AS edu,
+               {pick(DEVICE_INPUTS)} AS device
+        FROM events"""
