@@ -776,3 +776,82 @@ def q_edu_level(spark, sf):
     FROM helper_inputs""", "helper_inputs", extra=_HELPER_CTES))
 def q_device_class(spark, sf):
     return fx.helper_inputs(spark, sf).select("event_id", "device", FN.device_class("device").alias("device_class"))
+
+
+# --- storage round trips and the streaming hop ----------------------------------
+
+import uuid  # noqa: E402
+
+from gazette.session import scratch_path  # noqa: E402
+from gazette.sources import tables as TB  # noqa: E402
+from gazette.streaming.available_now import run_available_now  # noqa: E402
+
+
+def _scratch(spark, name: str) -> str:
+    return scratch_path(spark, "gazette", f"{name}-{uuid.uuid4().hex}", fallback="/tmp/gazette-checkpoints")
+
+
+@register("parquet_roundtrip", with_ctes("SELECT * FROM cleaned", "cleaned"))
+def q_parquet_roundtrip(spark, sf):
+    """Cleaned rows written with overwrite and scanned back with the
+    explicit schema."""
+    cleaned = M.Warehouse(spark, sf).cleaned
+    path = _scratch(spark, "cleaned")
+    TB.write_parquet(cleaned, path)
+    return TB.read_parquet(spark, path, cleaned.schema)
+
+
+@register("landing_partition_scan", with_ctes("""
+    SELECT strftime(CAST(batch AS TIMESTAMP) + INTERVAL 1 DAY, '%Y-%m-%d') AS dt,
+           CAST(batch AS TIMESTAMP) + INTERVAL 1 DAY AS run_ts, count(*) AS rows
+    FROM batched GROUP BY batch""", "batched"))
+def q_landing_partition_scan(spark, sf):
+    """Every daily run landed under dt=YYYY-MM-DD with its run timestamp,
+    then listed from partition values and file metadata."""
+    wh = M.Warehouse(spark, sf)
+    root = _scratch(spark, "landing")
+    run_ts = F.col("batch").cast("timestamp_ntz") + F.expr("INTERVAL 1 DAY")
+    TB.with_run_partition(wh.batched.select(*S1_COLS, "batch"), run_ts).drop("batch") \
+        .write.mode("append").partitionBy("dt").parquet(root)
+    runs = TB.list_runs(spark, root, S.ARTICLE)
+    return runs.groupBy("dt", "run_ts").agg(F.sum("rows").alias("rows"))
+
+
+@register("raw_table_append", with_ctes("SELECT * FROM raw", "raw"))
+def q_raw_table_append(spark, sf):
+    """Raw rows appended to a table in two loads (earlier and later runs)
+    and read back: the table holds the sum of the loads."""
+    raw = M.Warehouse(spark, sf).raw
+    path = _scratch(spark, "articles_raw")
+    mid = raw.select(F.min("batch") + F.expr("INTERVAL 15 DAYS")).scalar()
+    raw.filter(F.col("batch") < mid).write.mode("append").parquet(path)
+    raw.filter(F.col("batch") >= mid).write.mode("append").parquet(path)
+    return TB.read_parquet(spark, path, raw.schema)
+
+
+@register("scorecard_append", with_ctes("SELECT * FROM scorecards", "scorecards"))
+def q_scorecard_append(spark, sf):
+    """Daily scorecards appended as JSON in two loads and read back with
+    the scorecard schema (the hand-off format between jobs)."""
+    sc = M.Warehouse(spark, sf).scorecards
+    path = _scratch(spark, "dq_scorecard")
+    mid = sc.select(F.min("run_at") + F.expr("INTERVAL 15 DAYS")).scalar()
+    sc.filter(F.col("run_at") < mid).write.mode("append").json(path)
+    sc.filter(F.col("run_at") >= mid).write.mode("append").json(path)
+    return TB.read_json(spark, path, S.SCORECARD)
+
+
+@register("stream_clean_available_now", with_ctes("SELECT * FROM cleaned", "cleaned"))
+def q_stream_clean_available_now(spark, sf):
+    """Landing files -> readStream -> availableNow trigger -> foreachBatch
+    clean per (run, id) -> sink; the result equals the batch clean."""
+    wh = M.Warehouse(spark, sf)
+    root = _scratch(spark, "stream")
+    landing = f"{root}/landing"
+    src = wh.batched.select("seq", *S1_COLS, "batch")
+    src.write.mode("append").partitionBy("batch").parquet(landing)
+    schema = src.schema
+    run_available_now(spark, landing, schema, f"{root}/sink", f"{root}/_checkpoint",
+                      allow=fx.FIXTURE_CATEGORIES, keys=["batch", "id"], order=wh.survivor_order)
+    cols = wh.cleaned.columns
+    return spark.read.parquet(f"{root}/sink").select(*cols)
