@@ -16,14 +16,28 @@ def _changed(cols: Sequence[str], prev_prefix: str) -> Column:
 
 
 def scd2_rebuild(versions: DataFrame, key: str, check: Sequence[str],
-                 order: Sequence[str], valid_from: str = "updated_at") -> DataFrame:
+                 order: Sequence[str], valid_from: str = "updated_at",
+                 bucket: Column | None = None) -> DataFrame:
     """Set-based history from all versions of every key.
 
     A version opens a new history row when it is the key's first or any
     ``check`` column differs (NULL-safe) from the previous version; the row
     is valid until the next history row opens.  Payload-only edits keep
     the open row; a return to an old value opens a new row.
+
+    ``order`` names the ascending order columns (NULL first).  With ``bucket`` (a value that never
+    decreases along ``order``, e.g. the day of ``valid_from``), the lag and
+    lead windows run per (key, bucket) and the bucket edges are stitched
+    from a one-row-per-(key, bucket) summary, so a key holding a third of
+    all versions is spread over its buckets instead of landing in one task.
+    Without ``bucket`` the windows are per key.
     """
+    if bucket is None:
+        return _rebuild_per_key(versions, key, check, order, valid_from)
+    return _rebuild_bucketed(versions, key, check, order, valid_from, bucket)
+
+
+def _rebuild_per_key(versions, key, check, order, valid_from):
     w = Window.partitionBy(key).orderBy(*order)
     lagged = versions
     for c in check:
@@ -32,12 +46,50 @@ def scd2_rebuild(versions: DataFrame, key: str, check: Sequence[str],
     opened = (lagged.withColumn("__first", first)
               .filter(F.col("__first") | _changed(check, "__prev_"))
               .drop(*[f"__prev_{c}" for c in check], "__first"))
-    w2 = Window.partitionBy(key).orderBy(*order)
     return (opened.withColumn("valid_from", F.col(valid_from))
-            .withColumn("valid_to", F.lead("valid_from").over(w2))
+            .withColumn("valid_to", F.lead("valid_from").over(w))
             .withColumn("is_current", F.col("valid_to").isNull()))
 
 
+def _order_struct(order: Sequence[str]) -> Column:
+    """The ascending order as one comparable struct (for max_by / min_by);
+    NULL sorts first, as in the ascending windows."""
+    return F.struct(*[F.col(c) for c in order])
+
+
+def _rebuild_bucketed(versions, key, check, order, valid_from, bucket):
+    ordkey = _order_struct(order)
+    v = versions.withColumn("__b", bucket).withColumn("__ord", ordkey)
+    wb = Window.partitionBy(key, "__b").orderBy(*order)
+    for c in check:
+        v = v.withColumn(f"__prev_{c}", F.lag(c).over(wb))
+    v = v.withColumn("__rn", F.row_number().over(wb))
+
+    # last version of every (key, bucket) and, per key, the previous bucket's last version
+    last = v.groupBy(key, "__b").agg(*[F.max_by(c, "__ord").alias(f"__last_{c}") for c in check])
+    wk = Window.partitionBy(key).orderBy("__b")    # one row per (key, bucket)
+    edge = last.select(key, "__b", F.lag("__b").over(wk).isNotNull().alias("__has_prev"),
+                       *[F.lag(f"__last_{c}").over(wk).alias(f"__bprev_{c}") for c in check])
+    j = v.join(edge, [key, "__b"], "left")
+    at_edge = F.col("__rn") == 1
+    for c in check:
+        j = j.withColumn(f"__prev_{c}", F.when(at_edge, F.col(f"__bprev_{c}")).otherwise(F.col(f"__prev_{c}")))
+    first_ever = at_edge & ~F.col("__has_prev")
+    opened = (j.filter(first_ever | _changed(check, "__prev_"))
+              .withColumn("valid_from", F.col(valid_from)))
+
+    # valid_to: next opened row in the bucket, else the first opened row of the key's next bucket
+    nxt_in = F.lead("valid_from").over(Window.partitionBy(key, "__b").orderBy(*order))
+    firsts = opened.groupBy(key, "__b").agg(F.min_by("valid_from", "__ord").alias("__first_vf"))
+    nxt_b = firsts.select(key, "__b", F.lead("__first_vf").over(wk).alias("__next_b"))
+    out = (opened.withColumn("__next_in", nxt_in)
+           .join(nxt_b, [key, "__b"], "left")
+           .withColumn("valid_to", F.coalesce(F.col("__next_in"), F.col("__next_b")))
+           .withColumn("is_current", F.col("valid_to").isNull()))
+    helper = [c for c in out.columns if c.startswith("__")]
+    return out.drop(*helper)
+
+
 def scd2_current(history: DataFrame) -> DataFrame:
     return history.filter(F.col("valid_to").isNull())
 

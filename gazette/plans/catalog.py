@@ -552,20 +552,21 @@ _SCD2_CTES = {
     "scd2_open": (["versions"], """
         SELECT article_id, title, category, author_id, updated_at, seq FROM (
             SELECT *, lag(title) OVER w AS pt, lag(category) OVER w AS pc, row_number() OVER w AS rn
-            FROM versions WINDOW w AS (PARTITION BY article_id ORDER BY updated_at ASC NULLS LAST, seq))
+            FROM versions WINDOW w AS (PARTITION BY article_id ORDER BY updated_at ASC NULLS FIRST, seq))
         WHERE rn = 1 OR pt IS DISTINCT FROM title OR pc IS DISTINCT FROM category"""),
     "scd2": (["scd2_open"], """
         SELECT article_id, title, category, author_id, updated_at, updated_at AS valid_from,
                lead(updated_at) OVER w AS valid_to, lead(updated_at) OVER w IS NULL AS is_current
-        FROM scd2_open WINDOW w AS (PARTITION BY article_id ORDER BY updated_at ASC NULLS LAST, seq)"""),
+        FROM scd2_open WINDOW w AS (PARTITION BY article_id ORDER BY updated_at ASC NULLS FIRST, seq)"""),
 }
 
 
 def _scd2_history(spark, sf) -> DataFrame:
     art = fx.articles(spark, sf)
     versions = art.select(F.col("id").alias("article_id"), "title", "category", "author_id", "updated_at", "seq")
-    hist = H.scd2_rebuild(versions, "article_id", ["title", "category"],
-                          [F.col("updated_at").asc_nulls_last(), F.col("seq").asc()])
+    # day buckets: lag/lead per (article, day), edges stitched per article
+    hist = H.scd2_rebuild(versions, "article_id", ["title", "category"], ["updated_at", "seq"],
+                          bucket=F.to_date("updated_at"))
     return hist.drop("seq")
 
 

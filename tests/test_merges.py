@@ -73,3 +73,21 @@ def test_scd2_merge(spark):
     h = H.scd2_merge(H.scd2_init(s1, at1), s2, "article_id", ["title", "category"], at2)
     rows = sorted((r.article_id, r.category, r.valid_to is None) for r in h.collect())
     assert rows == [(1, "x", False), (1, "z", True), (2, "y", True), (3, "y", True)]
+
+
+def test_scd2_bucketed_equals_per_key(spark):
+    import random
+    rnd = random.Random(7)
+    rows = []
+    for k in range(6):
+        n = 200 if k == 0 else rnd.randint(1, 12)       # key 0 is a hot key spanning many days
+        for i in range(n):
+            ts = T0 + dt.timedelta(hours=rnd.randint(0, 24 * 20))
+            rows.append((k, rnd.choice(["a", "b", None]), rnd.choice(["x", "y"]), ts))
+    v = spark.createDataFrame(rows, VERS).dropDuplicates(["article_id", "updated_at"])
+    plain = H.scd2_rebuild(v, "article_id", ["title", "category"], ["updated_at"])
+    bucketed = H.scd2_rebuild(v, "article_id", ["title", "category"], ["updated_at"],
+                              bucket=F.to_date("updated_at"))
+    cols = ["article_id", "title", "category", "updated_at", "valid_from", "valid_to", "is_current"]
+    assert sorted(map(tuple, plain.select(cols).collect())) == sorted(map(tuple, bucketed.select(cols).collect()))
+    assert bucketed.filter("article_id = 0").count() > 10
