@@ -215,7 +215,7 @@ from gazette.plans.oracle import CTES as _CTES  # noqa: E402
 _MART = "run_at, data_source, table_name, completeness, accuracy, consistency, timeliness, validity, uniqueness, overall_score"
 
 _WHOLE = {
-    "batched_all": (["articles"], "SELECT *, DATE '2000-01-01' AS batch FROM articles"),
+    "batched_all": (["articles"], "SELECT *, DATE '2000-01-01' AS batch, CAST(length(content) AS BIGINT) AS content_length FROM articles"),
     "cleaned_all": (["batched_all"], _CTES["cleaned"][1].replace("FROM batched)", "FROM batched_all)")),
     "sc_counts_all": (["batched_all", "cleaned_all"],
                       _CTES["sc_counts"][1].replace("FROM batched ", "FROM batched_all ")
@@ -849,7 +849,7 @@ def q_stream_clean_available_now(spark, sf):
     wh = M.Warehouse(spark, sf)
     root = _scratch(spark, "stream")
     landing = f"{root}/landing"
-    src = wh.batched.select("seq", *S1_COLS, "batch")
+    src = wh.batched.select("seq", *S1_COLS, "batch", "content_length")
     src.write.mode("append").partitionBy("batch").parquet(landing)
     schema = src.schema
     run_available_now(spark, landing, schema, f"{root}/sink", f"{root}/_checkpoint",

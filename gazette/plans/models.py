@@ -32,20 +32,23 @@ def stg_articles(raw: DataFrame) -> DataFrame:
     """Rename id, trim title, UNKNOWN category -> NULL, drop tombstoned rows
     (``is_hard_deleted IS NOT TRUE`` keeps false and NULL).  Soft-deleted
     rows (``deleted_at`` set) stay."""
+    extra = ["content_length"] if "content_length" in raw.columns else []
     return (raw.filter(~F.col("is_hard_deleted").eqNullSafe(True))
             .select(F.col("id").alias("article_id"), F.trim("title").alias("title"),
                     "content", "author_id", "author_name",
                     F.nullif(F.col("category"), F.lit(S.UNKNOWN_CATEGORY)).alias("category"),
                     "published_at", "created_at", "updated_at", "deleted_at",
-                    "is_hard_deleted", "_loaded_at"))
+                    "is_hard_deleted", "_loaded_at", *extra))
 
 
 def articles_deduped(stg: DataFrame) -> DataFrame:
     """Latest version per article (updated_at DESC, NULL first; then the
-    latest load).  ``content_length`` is computed before the window: it is a
-    per-row value, and computing it first lets a consumer that only needs
-    the length (the fact table) prune the text out of the shuffle."""
-    with_len = stg.withColumn("content_length", F.length("content").cast("long"))
+    latest load).  ``content_length`` is a per-row value taken from the raw
+    rows when they carry it, else computed before the window, so a consumer
+    that only needs the length (the fact table) prunes the text out of the
+    shuffle."""
+    with_len = (stg if "content_length" in stg.columns
+                else stg.withColumn("content_length", F.length("content").cast("long")))
     latest = latest_per_key(with_len, ["article_id"],
                             [F.col("updated_at").desc_nulls_first(), F.col("_loaded_at").desc_nulls_last()])
     return latest.select("article_id", "title", "content", "author_id", "author_name", "category",
@@ -103,7 +106,11 @@ class Warehouse:
 
     @cached_property
     def batched(self) -> DataFrame:
-        return self.articles.withColumn("batch", fx.batch_of())
+        """Versions tagged with their run.  ``content_length`` is derived here,
+        once per landed row, so models that need only the length never move
+        the article text through a shuffle (Catalyst prunes ``content``)."""
+        return (self.articles.withColumn("batch", fx.batch_of())
+                .withColumn("content_length", F.length("content").cast("long")))
 
     @cached_property
     def survivor_order(self) -> list[Column]:

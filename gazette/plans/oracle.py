@@ -40,11 +40,13 @@ CTES: dict[str, tuple[list[str], str]] = {
         FROM events e
         JOIN documents d ON d.doc_id = (e.event_id // 2) % (SELECT count(*) FROM documents)
         LEFT JOIN customer c ON c.c_custkey = e.user_id"""),
-    "batched": (["articles"], "SELECT *, CAST(updated_at AS DATE) AS batch FROM articles"),
+    "batched": (["articles"], "SELECT *, CAST(updated_at AS DATE) AS batch, "
+                              "CAST(length(content) AS BIGINT) AS content_length FROM articles"),
     "cleaned": (["batched"], f"""
         SELECT seq, id, trim(regexp_replace(title, '\\s+', ' ', 'g')) AS title, content, author_id,
                author_name, CASE WHEN category IN ({FIXTURE_ALLOW}) THEN category END AS category,
-               published_at, created_at, updated_at, deleted_at, false AS is_hard_deleted, batch
+               published_at, created_at, updated_at, deleted_at, false AS is_hard_deleted, batch,
+               content_length
         FROM (SELECT *, row_number() OVER (PARTITION BY batch, id
                                            ORDER BY updated_at DESC NULLS FIRST, seq DESC) AS rn
               FROM batched) WHERE rn = 1"""),
@@ -58,17 +60,16 @@ CTES: dict[str, tuple[list[str], str]] = {
                r.created_at, r.updated_at,
                CASE WHEN l.article_id IS NOT NULL THEN l.deleted_at ELSE r.deleted_at END AS deleted_at,
                CASE WHEN l.article_id IS NOT NULL THEN true ELSE r.is_hard_deleted END AS is_hard_deleted,
-               r._loaded_at, r.batch
+               r._loaded_at, r.batch, r.content_length
         FROM raw r LEFT JOIN delete_log l ON r.id = l.article_id"""),
     "stg": (["raw_tomb"], f"""
         SELECT id AS article_id, trim(title) AS title, content, author_id, author_name,
                nullif(category, '{S.UNKNOWN_CATEGORY}') AS category, published_at, created_at,
-               updated_at, deleted_at, is_hard_deleted, _loaded_at
+               updated_at, deleted_at, is_hard_deleted, _loaded_at, content_length
         FROM raw_tomb WHERE is_hard_deleted IS NOT TRUE"""),
     "deduped": (["stg"], """
         SELECT article_id, title, content, author_id, author_name, category, published_at, created_at,
-               updated_at, CAST(published_at AS DATE) AS published_date,
-               CAST(length(content) AS BIGINT) AS content_length
+               updated_at, CAST(published_at AS DATE) AS published_date, content_length
         FROM (SELECT *, row_number() OVER (PARTITION BY article_id
                                            ORDER BY updated_at DESC NULLS FIRST, _loaded_at DESC NULLS LAST) AS rn
               FROM stg) WHERE rn = 1"""),
