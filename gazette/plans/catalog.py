@@ -237,7 +237,7 @@ def q_dq_scorecard(spark, sf):
                      run_at=art.select(F.max("updated_at")).scalar())
 
 
-@register("dq_anomaly_zscore", with_ctes("""
+_ANOMALY_SQL = """
     SELECT run_at, data_source, table_name, row_count, completeness, accuracy, consistency, timeliness,
            validity, uniqueness, overall_score, history_points,
            round(CASE WHEN history_points < 5 OR lo = hi THEN 0.0 ELSE (overall_score - mu) / sd END, 6) AS z_score,
@@ -247,8 +247,10 @@ def q_dq_scorecard(spark, sf):
                  stddev_samp(overall_score) OVER w AS sd, min(overall_score) OVER w AS lo,
                  max(overall_score) OVER w AS hi
           FROM scorecards WHERE overall_score IS NOT NULL
-          WINDOW w AS (PARTITION BY table_name ORDER BY run_at ROWS BETWEEN 20 PRECEDING AND 1 PRECEDING))""",
-                                         "scorecards"))
+          WINDOW w AS (PARTITION BY table_name ORDER BY run_at ROWS BETWEEN 20 PRECEDING AND 1 PRECEDING))"""
+
+
+@register("dq_anomaly_zscore", with_ctes(_ANOMALY_SQL, "scorecards"))
 def q_dq_anomaly_zscore(spark, sf):
     return drift(M.Warehouse(spark, sf).scorecards)
 
@@ -856,3 +858,42 @@ def q_stream_clean_available_now(spark, sf):
                       allow=fx.FIXTURE_CATEGORIES, keys=["batch", "id"], order=wh.survivor_order)
     cols = wh.cleaned.columns
     return spark.read.parquet(f"{root}/sink").select(*cols)
+
+
+# --- one incremental run end to end, drift alerts ---------------------------------
+
+import datetime as dt  # noqa: E402
+
+from gazette.operators.drift import drift_alerts  # noqa: E402
+from gazette.operators.incremental import incremental_extract  # noqa: E402
+from gazette.sources.versioned import publish, read_current  # noqa: E402
+
+
+@register("incremental_run", with_ctes(f"""
+    SELECT {_S1} FROM articles WHERE updated_at >= {_WIN_SINCE} AND updated_at < {_WIN_UNTIL}""", "articles"))
+def q_incremental_run(spark, sf):
+    """I3 against a stored source table: read the watermark from state,
+    extract [watermark, extraction time) with the bounds pushed to the
+    Parquet scan, land the rows under dt=, then publish the advanced
+    state.  Returns the landed rows read back from the lake."""
+    art = fx.articles(spark, sf)
+    root = _scratch(spark, "incremental")
+    art.select(*S1_COLS).write.parquet(f"{root}/source")
+    source = TB.read_parquet(spark, f"{root}/source", S.ARTICLE)
+    day0 = art.agg(F.to_date(F.min("updated_at")).cast("timestamp_ntz").alias("d")).first()["d"]
+    state = MG.state_log(spark.createDataFrame(
+        [("articles_etl_hourly", day0 + dt.timedelta(days=7))],
+        "pipeline_name string, last_updated_at timestamp_ntz"))
+    until = day0 + dt.timedelta(days=10)
+    rows, new_state, _since = incremental_extract(source, state, "articles_etl_hourly", until)
+    TB.write_landing(rows, f"{root}/landing", run_ts=until)
+    publish(new_state, f"{root}/state")          # only after the landing write
+    assert read_current(spark, f"{root}/state") is not None
+    return TB.read_lake(spark, f"{root}/landing", S.ARTICLE).select(*S1_COLS)
+
+
+@register("dq_drift_alerts", with_ctes(
+    f"SELECT run_at, table_name, overall_score, z_score, history_points FROM ({_ANOMALY_SQL}) WHERE is_anomaly",
+    "scorecards"))
+def q_dq_drift_alerts(spark, sf):
+    return drift_alerts(M.Warehouse(spark, sf).scorecards)
