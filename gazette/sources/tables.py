@@ -41,31 +41,33 @@ def write_parquet(df: DataFrame, path: str, mode: str = "overwrite",
 
 
 def with_run_partition(df: DataFrame, run_ts: dt.datetime | Column) -> DataFrame:
-    """Add the lake layout columns: ``dt`` (day of the run) and ``run_ts``.
-
-    The run timestamp replaces the per-run object name, so one run's files
-    can be found, replayed or replaced by value.
-    """
+    """Add the lake layout columns: ``run_ts``, its day ``dt`` and ``run``
+    (time of day, HHmmss).  The run replaces the per-run object name, so
+    one run's files can be found, replayed or replaced by value."""
     ts = run_ts if isinstance(run_ts, Column) else F.lit(run_ts).cast("timestamp_ntz")
-    return df.withColumn("run_ts", ts).withColumn("dt", F.date_format(F.col("run_ts"), "yyyy-MM-dd"))
+    return (df.withColumn("run_ts", ts)
+            .withColumn("dt", F.date_format(F.col("run_ts"), "yyyy-MM-dd"))
+            .withColumn("run", F.date_format(F.col("run_ts"), "HHmmss")))
 
 
 def write_landing(df: DataFrame, root: str, run_ts: dt.datetime | Column) -> None:
-    """Append one run under ``root/dt=YYYY-MM-DD`` (landing or cleaned zone).
+    """Land one or more runs under ``root/dt=YYYY-MM-DD/run=HHmmss``.
 
-    With dynamic partition overwrite a retried run replaces only its own
-    day partition instead of duplicating rows; a plain append is used when
-    the run is new.
+    Overwrite with dynamic partition overwrite replaces exactly the runs
+    being written: a retried run replaces its own files instead of
+    duplicating them, and other runs are untouched.
     """
-    (with_run_partition(df, run_ts).write.mode("append")
-     .partitionBy("dt").parquet(root))
+    (with_run_partition(df, run_ts).write.mode("overwrite")
+     .option("partitionOverwriteMode", "dynamic")
+     .partitionBy("dt", "run").parquet(root))
 
 
 def read_lake(spark: SparkSession, root: str, schema: T.StructType,
               days: list[str] | None = None) -> DataFrame:
     """Scan a lake zone; ``days`` prunes ``dt`` partitions at planning time."""
     full = T.StructType(schema.fields + [T.StructField("run_ts", T.TimestampNTZType()),
-                                         T.StructField("dt", T.StringType())])
+                                         T.StructField("dt", T.StringType()),
+                                         T.StructField("run", T.StringType())])
     df = spark.read.schema(full).option("basePath", root).parquet(root)
     if days:
         df = df.filter(F.col("dt").isin(days))

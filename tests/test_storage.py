@@ -34,8 +34,8 @@ def test_lake_partition_pruning(spark, sf, tmp_path):
     art = Warehouse(spark, sf).batched
     root = str(tmp_path / "landing")
     run_ts = F.col("batch").cast("timestamp_ntz")
-    TB.with_run_partition(art.select(*S.ARTICLE_COLUMNS, "batch"), run_ts).drop("batch") \
-        .write.partitionBy("dt").parquet(root)
+    TB.write_landing(art.select(*S.ARTICLE_COLUMNS, "batch"), root, run_ts)
+    TB.write_landing(art.select(*S.ARTICLE_COLUMNS, "batch"), root, run_ts)   # a retried run replaces itself
     df = TB.read_lake(spark, root, S.ARTICLE, days=["2024-01-05"])
     p = df._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(dt" in p and "2024-01-05" in p
