@@ -42,6 +42,33 @@ def get_session(master: str | None = None, app: str = "gazette",
     return spark
 
 
+def cluster_conf(total_cores: int, advisory_mb: int = 256) -> dict[str, str]:
+    """Settings for a large cluster (e.g. 1000 executors over ~100 TB).
+
+    Start with many shuffle partitions (about three per core, at least
+    2000) and let AQE coalesce them to ``advisory_mb`` each, so the
+    partition count follows the data instead of a fixed guess; split
+    skewed partitions; keep scan splits large enough that the per-file
+    overhead stays small; broadcast only what AQE measures below the
+    threshold at runtime.
+    """
+    return {
+        "spark.sql.shuffle.partitions": str(max(2000, 3 * total_cores)),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": f"{advisory_mb}m",
+        "spark.sql.adaptive.coalescePartitions.minPartitionSize": "16m",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": f"{advisory_mb * 2}m",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "64m",
+        "spark.sql.autoBroadcastJoinThreshold": "64m",
+        "spark.sql.files.maxPartitionBytes": "512m",
+        "spark.sql.files.openCostInBytes": "8m",
+        "spark.sql.parquet.columnarReaderBatchSize": "4096",
+        "spark.shuffle.service.enabled": "true",
+        "spark.decommission.enabled": "true",
+        "spark.storage.decommission.shuffleBlocks.enabled": "true",
+    }
+
+
 def checkpoint_root(spark: SparkSession, fallback: str | None = None) -> str:
     """Shared folder for lineage cuts and written intermediate tables.
 
