@@ -4,15 +4,32 @@ fixture mapping) over their whole extent."""
 
 from __future__ import annotations
 
+import datetime as dt
+import uuid
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from gazette import functions as FN
+from gazette import schemas as S
+from gazette.operators import checks as CK
+from gazette.operators import merge as MG
+from gazette.operators import scd2 as H
+from gazette.operators.dedupe import latest_per_key
+from gazette.operators.drift import drift, drift_alerts
+from gazette.operators.incremental import extract_window, incremental_extract
+from gazette.operators.scorecard import scorecard
 from gazette.plans import models as M
 from gazette.plans import serving as V
+from gazette.plans.oracle import CTES as _CTES
 from gazette.plans.oracle import with_ctes
+from gazette.session import scratch_path
 from gazette.sources import fixtures as fx
+from gazette.sources import payload as P
+from gazette.sources import tables as TB
+from gazette.sources.versioned import publish, read_current
+from gazette.streaming.available_now import run_available_now
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -79,11 +96,9 @@ def q_top_authors(spark, sf):
 
 # --- merges, tombstones, state ----------------------------------------------
 
-from gazette.operators import merge as MG  # noqa: E402
-from gazette.operators.dedupe import latest_per_key  # noqa: E402
-from gazette.operators.incremental import extract_window  # noqa: E402
 
 _S1 = "id, title, content, author_id, author_name, category, published_at, created_at, updated_at, deleted_at"
+S1_COLS = [c.strip() for c in _S1.split(",")]
 
 
 @register("raw_append", with_ctes("SELECT * FROM raw", "raw"))
@@ -148,8 +163,6 @@ def q_source_upsert(spark, sf):
     return merged.select(*S1_COLS)
 
 
-S1_COLS = [c.strip() for c in _S1.split(",")]
-
 _WM_PIPES = ["articles_etl_hourly", "kumparan_scraper", "news_hard_delete_sync"]
 
 
@@ -200,17 +213,13 @@ def q_incremental_window(spark, sf):
     watermark."""
     art = fx.articles(spark, sf)
     row = art.agg(F.to_date(F.min("updated_at")).cast("timestamp_ntz").alias("d")).first()
-    import datetime as _dt
-    since = row["d"] + _dt.timedelta(days=7)
-    until = row["d"] + _dt.timedelta(days=10)
+    since = row["d"] + dt.timedelta(days=7)
+    until = row["d"] + dt.timedelta(days=10)
     return extract_window(art, since, until).select(*S1_COLS)
 
 
 # --- scorecards, drift, scorecard serving -----------------------------------
 
-from gazette.operators.drift import drift  # noqa: E402
-from gazette.operators.scorecard import scorecard  # noqa: E402
-from gazette.plans.oracle import CTES as _CTES  # noqa: E402
 
 _MART = "run_at, data_source, table_name, completeness, accuracy, consistency, timeliness, validity, uniqueness, overall_score"
 
@@ -367,8 +376,6 @@ def q_star_join_rollup(spark, sf):
 
 # --- data tests ---------------------------------------------------------------
 
-from gazette import schemas as S  # noqa: E402
-from gazette.operators import checks as CK  # noqa: E402
 
 _UNIQUE_TARGETS = [("stg_articles", "stg", "article_id"), ("fct_articles", "fct", "article_id"),
                    ("dim_author", "dim_author", "author_id"), ("dim_date", "dim_date", "date_day")]
@@ -543,9 +550,6 @@ def q_check_summary(spark, sf):
 
 # --- history (SCD2) ---------------------------------------------------------------
 
-from pyspark.sql import Window  # noqa: E402
-
-from gazette.operators import scd2 as H  # noqa: E402
 
 _SNAP = "article_id, title, category, author_id, updated_at"
 _HIST = _SNAP + ", valid_from, valid_to, is_current"
@@ -649,7 +653,6 @@ def q_scd2_incremental(spark, sf):
 
 # --- feed payloads ---------------------------------------------------------------
 
-from gazette.sources import payload as P  # noqa: E402
 
 _FEED_COLS = ("feed_id, page, pos, id, title, content, author_id, author_name, category, published_at, "
               "created_at, updated_at, deleted_at")
@@ -711,7 +714,6 @@ def q_feed_take_while(spark, sf):
 
 # --- scalar helpers ---------------------------------------------------------------
 
-from gazette import functions as FN  # noqa: E402
 
 _HELPER_CTES = {"helper_inputs": ([], fx.helper_inputs_sql())}
 
@@ -783,12 +785,6 @@ def q_device_class(spark, sf):
 
 # --- storage round trips and the streaming hop ----------------------------------
 
-import uuid  # noqa: E402
-
-from gazette.session import scratch_path  # noqa: E402
-from gazette.sources import tables as TB  # noqa: E402
-from gazette.streaming.available_now import run_available_now  # noqa: E402
-
 
 def _scratch(spark, name: str) -> str:
     return scratch_path(spark, "gazette", f"{name}-{uuid.uuid4().hex}", fallback="/tmp/gazette-checkpoints")
@@ -861,12 +857,6 @@ def q_stream_clean_available_now(spark, sf):
 
 # --- one incremental run end to end, drift alerts ---------------------------------
 
-import datetime as dt  # noqa: E402
-
-from gazette.operators.drift import drift_alerts  # noqa: E402
-from gazette.operators.incremental import incremental_extract  # noqa: E402
-from gazette.sources.versioned import publish, read_current  # noqa: E402
-
 
 @register("incremental_run", with_ctes(f"""
     SELECT {_S1} FROM articles WHERE updated_at >= {_WIN_SINCE} AND updated_at < {_WIN_UNTIL}""", "articles"))
