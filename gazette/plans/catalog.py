@@ -274,7 +274,7 @@ def q_dq_history(spark, sf):
     return V.dq_history(M.Warehouse(spark, sf).mart_dq_scorecard, 10)
 
 
-@register("dq_trend", with_ctes("SELECT run_at, overall_score, 0.85 AS goal FROM scorecards ORDER BY run_at",
+@register("dq_trend", with_ctes("SELECT run_at, overall_score, CAST(0.85 AS DOUBLE) AS goal FROM scorecards ORDER BY run_at",
                                 "scorecards"))
 def q_dq_trend(spark, sf):
     return V.dq_trend(M.Warehouse(spark, sf).mart_dq_scorecard)
@@ -339,7 +339,7 @@ def q_batch_counts(spark, sf):
 
 @register("scrape_report", with_ctes(f"""
     SELECT r.*, s.batch_total, s.grand_total FROM rep r,
-           (SELECT sum(batch_count) AS batch_total, sum(total_count) AS grand_total FROM rep) s""", "rep", extra={
+           (SELECT CAST(sum(batch_count) AS BIGINT) AS batch_total, CAST(sum(total_count) AS BIGINT) AS grand_total FROM rep) s""", "rep", extra={
     "rep": (["raw", "fct"], f"""
         SELECT coalesce(b.category, t.category) AS category, coalesce(b.batch_count, 0) AS batch_count,
                coalesce(t.total_count, 0) AS total_count
@@ -363,7 +363,7 @@ def q_articles_over_time(spark, sf):
 
 
 @register("star_join_rollup", with_ctes("""
-    SELECT d.year, d.month, count(*) AS n_articles, sum(f.content_length) AS total_length,
+    SELECT d.year, d.month, count(*) AS n_articles, CAST(sum(f.content_length) AS BIGINT) AS total_length,
            count(DISTINCT f.author_id) AS n_authors, count(a.author_name) AS named_articles,
            CAST(grouping(d.year, d.month) AS INTEGER) AS level
     FROM fct f JOIN dim_date d ON f.date_day = d.date_day
