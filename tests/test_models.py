@@ -63,3 +63,11 @@ def test_tombstones_flag_all_versions(spark, sf):
     flagged = t.filter("is_hard_deleted").select("id").distinct()
     assert flagged.count() == wh.delete_log.count() == 8
     assert t.filter((F.col("id") % 25 == 0) & ~F.col("is_hard_deleted")).count() == 0
+
+
+def test_clean_any_survivor_variant(spark, sf):
+    from gazette.operators.clean import clean
+    wh = Warehouse(spark, sf)
+    c = clean(wh.batched, allow=fx.FIXTURE_CATEGORIES, keys=["batch", "id"])   # dropDuplicates form
+    assert c.count() == wh.cleaned.count()
+    assert c.groupBy("batch", "id").count().filter("count > 1").count() == 0
