@@ -106,5 +106,9 @@ def scorecard_from(raw: DataFrame, cleaned: DataFrame, run_keys: Sequence[str] =
         F.sum(_flag(F.col("category").isNotNull())).alias("valid_clean"),
         distinct_with_null(key).alias("clean_ids"),
     )
-    counts = r.join(c, list(run_keys), "left") if run_keys else r.crossJoin(F.broadcast(c))
+    if run_keys:
+        counts = r.join(c, list(run_keys), "left")
+    else:   # both sides are single rows: take the clean side as scalar subqueries
+        counts = (r.withColumn("valid_clean", c.select("valid_clean").scalar())
+                  .withColumn("clean_ids", c.select("clean_ids").scalar()))
     return _finish(counts, run_keys, run_at, table_name, data_source)

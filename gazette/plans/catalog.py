@@ -298,7 +298,7 @@ _PAGE = "article_id, title, category, author_id, date_day, content_length"
     ORDER BY date_day DESC NULLS FIRST, article_id LIMIT 20 OFFSET 40""", "fct"))
 def q_articles_page(spark, sf):
     page, total = V.articles_page(M.Warehouse(spark, sf).fct, limit=20, offset=40)
-    return page.crossJoin(F.broadcast(total))   # one-row total
+    return page.withColumn("total", total.select("total").scalar())
 
 
 @register("articles_page_category", with_ctes(f"""
@@ -306,7 +306,7 @@ def q_articles_page(spark, sf):
     WHERE category = 'view' ORDER BY date_day DESC NULLS FIRST, article_id LIMIT 20 OFFSET 20""", "fct"))
 def q_articles_page_category(spark, sf):
     page, total = V.articles_page(M.Warehouse(spark, sf).fct, limit=20, offset=20, category="view")
-    return page.crossJoin(F.broadcast(total))
+    return page.withColumn("total", total.select("total").scalar())
 
 
 @register("article_by_id", with_ctes(f"SELECT {_PAGE} FROM fct WHERE article_id = (SELECT max(article_id) FROM fct)",

@@ -110,9 +110,9 @@ def scrape_report(batch: DataFrame, fct: DataFrame) -> DataFrame:
     rows = b.join(t, "category", "full_outer").select(
         "category", F.coalesce("batch_count", F.lit(0)).alias("batch_count"),
         F.coalesce("total_count", F.lit(0)).alias("total_count"))
-    sums = rows.agg(F.sum("batch_count").alias("batch_total"), F.sum("total_count").alias("grand_total"))
-    # one-row aggregate: broadcast is bounded by construction
-    return (rows.crossJoin(F.broadcast(sums))
+    # grand totals as scalar subqueries (one value each), no join needed
+    return (rows.withColumn("batch_total", rows.select(F.sum("batch_count")).scalar())
+            .withColumn("grand_total", rows.select(F.sum("total_count")).scalar())
             .orderBy(F.col("total_count").desc(), F.col("batch_count").desc(), "category"))
 
 
