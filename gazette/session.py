@@ -81,8 +81,9 @@ def checkpoint_root(spark: SparkSession, fallback: str | None = None) -> str:
     if not root:
         root = spark.sparkContext.getCheckpointDir()
     if not root:
-        if fallback is None:
-            raise RuntimeError("spark.checkpoint.dir is not set; pass a fallback folder")
+        if fallback is None or not spark.sparkContext.master.startswith("local"):
+            # on a cluster a machine-local folder would lose data with its executor
+            raise RuntimeError("spark.checkpoint.dir must name a shared folder")
         root = fallback
         spark.sparkContext.setCheckpointDir(root)
     elif spark.sparkContext.getCheckpointDir() is None:
