@@ -886,3 +886,30 @@ def q_incremental_run(spark, sf):
     "scorecards"))
 def q_dq_drift_alerts(spark, sf):
     return drift_alerts(M.Warehouse(spark, sf).scorecards)
+
+
+@register("mart_dq_scorecard", with_ctes(f"SELECT {_MART} FROM scorecards", "scorecards"))
+def q_mart_dq_scorecard(spark, sf):
+    return M.Warehouse(spark, sf).mart_dq_scorecard
+
+
+_KEYSET_AFTER = """(SELECT date_day, article_id FROM fct
+                    ORDER BY date_day DESC NULLS FIRST, article_id LIMIT 1 OFFSET 19)"""
+
+
+@register("articles_page_keyset", with_ctes(f"""
+    SELECT {_PAGE} FROM fct
+    WHERE date_day < (SELECT date_day FROM k)
+       OR (date_day = (SELECT date_day FROM k) AND article_id > (SELECT article_id FROM k))
+    ORDER BY date_day DESC NULLS FIRST, article_id LIMIT 20""", "fct", "k",
+    extra={"k": (["fct"], _KEYSET_AFTER)}))
+def q_articles_page_keyset(spark, sf):
+    """Second page by keyset: the rows after the first page's last row."""
+    fct = M.Warehouse(spark, sf).fct
+    first, _total = V.articles_page(fct, limit=20, offset=0)
+    last = first.orderBy(*[c for c in reversed_page_order()]).limit(1).first()
+    return V.articles_after(fct, last["date_day"], last["article_id"], limit=20)
+
+
+def reversed_page_order():
+    return [F.col("date_day").asc_nulls_last(), F.col("article_id").desc_nulls_first()]
