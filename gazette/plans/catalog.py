@@ -116,16 +116,16 @@ def q_tombstone_apply(spark, sf):
     UNION ALL
     SELECT article_id, deleted_at FROM delete_log WHERE article_id NOT IN (SELECT article_id FROM old_log)""",
     "delete_log", "old_log", extra={"old_log": (["articles"], """
-        SELECT DISTINCT id AS article_id, (SELECT max(updated_at) FROM articles) - INTERVAL 1 DAY AS deleted_at
+        SELECT DISTINCT id AS article_id, (SELECT max(ts) FROM events) AS deleted_at
         FROM articles WHERE id % 50 = 0""")}))
 def q_delete_log_diff(spark, sf):
     """Snapshot diff merged into an older log (ids id%50=0 deleted a day
     earlier): the first delete of an id wins."""
-    art = fx.articles(spark, sf)
-    at = fx.snapshot_time(art)
-    old = (art.filter(F.col("id") % 50 == 0).select(F.col("id").alias("article_id")).distinct()
+    ids = fx.article_ids(fx.articles(spark, sf))
+    at = fx.snapshot_time(spark, sf)
+    old = (ids.filter(F.col("id") % 50 == 0).select(F.col("id").alias("article_id"))
            .withColumn("deleted_at", at - F.expr("INTERVAL 1 DAY")))
-    return MG.delete_log_diff(art.select("id"), fx.current_ids(art), at=at, existing=old)
+    return MG.delete_log_diff(ids, fx.current_ids(ids), at=at, existing=old)
 
 
 _CUT_UPSERT = "(SELECT max(updated_at) - INTERVAL 7 DAY FROM articles)"
@@ -309,18 +309,20 @@ def q_articles_page_category(spark, sf):
     return page.withColumn("total", total.select("total").scalar())
 
 
-@register("article_by_id", with_ctes(f"SELECT {_PAGE} FROM fct WHERE article_id = (SELECT max(article_id) FROM fct)",
-                                     "fct"))
+@register("article_by_id", with_ctes(
+    f"SELECT {_PAGE} FROM fct WHERE article_id = (SELECT max(doc_id) FROM documents)", "fct"))
 def q_article_by_id(spark, sf):
-    fct = M.Warehouse(spark, sf).fct
-    return V.by_key(fct, "article_id", fct.select(F.max("article_id")).scalar()).select(*V.PAGE_COLUMNS)
+    """Point lookup by a literal key (here the highest document id, read
+    from one column of one table), as the API passes it."""
+    key = TB.load(spark, sf, "documents").agg(F.max("doc_id")).first()[0]
+    return V.by_key(M.Warehouse(spark, sf).fct, "article_id", key).select(*V.PAGE_COLUMNS)
 
 
 @register("author_by_id", with_ctes(
-    "SELECT * FROM dim_author WHERE author_id = (SELECT max(author_id) FROM dim_author)", "dim_author"))
+    "SELECT * FROM dim_author WHERE author_id = (SELECT max(user_id) FROM events)", "dim_author"))
 def q_author_by_id(spark, sf):
-    dim = M.Warehouse(spark, sf).dim_author
-    return V.by_key(dim, "author_id", dim.select(F.max("author_id")).scalar())
+    key = TB.load(spark, sf, "events").agg(F.max("user_id")).first()[0]
+    return V.by_key(M.Warehouse(spark, sf).dim_author, "author_id", key)
 
 
 @register("category_totals", with_ctes("SELECT category, count(*) AS n_articles FROM fct GROUP BY category", "fct"))

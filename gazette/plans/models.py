@@ -128,8 +128,8 @@ class Warehouse:
 
     @cached_property
     def delete_log(self) -> DataFrame:
-        return delete_log_diff(self.articles.select("id"), fx.current_ids(self.articles),
-                               at=fx.snapshot_time(self.articles))
+        ids = fx.article_ids(self.articles)
+        return delete_log_diff(ids, fx.current_ids(ids), at=fx.snapshot_time(self.spark, self.sf_dir))
 
     @cached_property
     def raw_tombstoned(self) -> DataFrame:

@@ -52,7 +52,7 @@ CTES: dict[str, tuple[list[str], str]] = {
               FROM batched) WHERE rn = 1"""),
     "raw": (["cleaned"], "SELECT *, updated_at + INTERVAL 5 MINUTE AS _loaded_at FROM cleaned"),
     "delete_log": (["articles"], """
-        SELECT p.id AS article_id, (SELECT max(updated_at) FROM articles) AS deleted_at
+        SELECT p.id AS article_id, (SELECT max(ts) FROM events) + INTERVAL 1 DAY AS deleted_at
         FROM (SELECT DISTINCT id FROM articles) p
         WHERE p.id NOT IN (SELECT id FROM articles WHERE id % 25 <> 0)"""),
     "raw_tomb": (["raw", "delete_log"], """
