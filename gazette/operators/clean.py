@@ -28,7 +28,6 @@ def clean(df: DataFrame, allow: Sequence[str] = S.VALID_CATEGORIES,
     column in ``keys`` so each run is deduplicated on its own.
     """
     kept = latest_per_key(df, keys, order) if order is not None else any_per_key(df, keys)
-    return (kept
-            .withColumn("category", allowed("category", allow))
-            .withColumn("title", collapse_ws("title"))
-            .withColumn("is_hard_deleted", F.lit(False)))
+    return kept.withColumns({"category": allowed("category", allow),
+                             "title": collapse_ws("title"),
+                             "is_hard_deleted": F.lit(False)})

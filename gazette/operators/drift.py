@@ -24,12 +24,9 @@ def drift(scorecards: DataFrame, window: int = S.DRIFT_WINDOW,
     """
     w = Window.partitionBy(by).orderBy(order).rowsBetween(-window, -1)
     s = F.col(score)
-    hist = (scorecards.filter(s.isNotNull())
-            .withColumn("history_points", F.count(s).over(w))
-            .withColumn("__mean", F.avg(s).over(w))
-            .withColumn("__sd", F.stddev_samp(s).over(w))
-            .withColumn("__lo", F.min(s).over(w))
-            .withColumn("__hi", F.max(s).over(w)))
+    hist = scorecards.filter(s.isNotNull()).withColumns({
+        "history_points": F.count(s).over(w), "__mean": F.avg(s).over(w),
+        "__sd": F.stddev_samp(s).over(w), "__lo": F.min(s).over(w), "__hi": F.max(s).over(w)})
     cold = F.col("history_points") < min_points
     flat = F.col("__lo") == F.col("__hi")
     z = (F.when(cold | flat, F.lit(0.0))
@@ -37,8 +34,7 @@ def drift(scorecards: DataFrame, window: int = S.DRIFT_WINDOW,
     flagged = (F.when(cold, F.lit(False))
                .when(flat, s != F.col("__hi"))
                .otherwise(F.abs(z) >= F.lit(z_threshold)))
-    return (hist.withColumn("z_score", F.round(z, z_digits))
-            .withColumn("is_anomaly", flagged)
+    return (hist.withColumns({"z_score": F.round(z, z_digits), "is_anomaly": flagged})
             .drop("__mean", "__sd", "__lo", "__hi"))
 
 

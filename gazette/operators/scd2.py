@@ -39,16 +39,13 @@ def scd2_rebuild(versions: DataFrame, key: str, check: Sequence[str],
 
 def _rebuild_per_key(versions, key, check, order, valid_from):
     w = Window.partitionBy(key).orderBy(*order)
-    lagged = versions
-    for c in check:
-        lagged = lagged.withColumn(f"__prev_{c}", F.lag(c).over(w))
-    first = F.row_number().over(w) == 1
-    opened = (lagged.withColumn("__first", first)
-              .filter(F.col("__first") | _changed(check, "__prev_"))
+    lagged = versions.withColumns({**{f"__prev_{c}": F.lag(c).over(w) for c in check},
+                                   "__first": F.row_number().over(w) == 1})
+    opened = (lagged.filter(F.col("__first") | _changed(check, "__prev_"))
               .drop(*[f"__prev_{c}" for c in check], "__first"))
-    return (opened.withColumn("valid_from", F.col(valid_from))
-            .withColumn("valid_to", F.lead("valid_from").over(w))
-            .withColumn("is_current", F.col("valid_to").isNull()))
+    nxt = F.lead(valid_from).over(w)
+    return opened.withColumns({"valid_from": F.col(valid_from), "valid_to": nxt,
+                               "is_current": nxt.isNull()})
 
 
 def _order_struct(order: Sequence[str]) -> Column:
@@ -58,36 +55,39 @@ def _order_struct(order: Sequence[str]) -> Column:
 
 
 def _rebuild_bucketed(versions, key, check, order, valid_from, bucket):
-    ordkey = _order_struct(order)
-    v = versions.withColumn("__b", bucket).withColumn("__ord", ordkey)
+    """One large shuffle (rows by key and bucket) plus a small one for the
+    per-(key, bucket) summary, which carries what crosses bucket edges:
+    the previous bucket's last values and the next bucket's first opening."""
+    v = versions.withColumns({"__b": bucket, "__ord": _order_struct(order), "__vf": F.col(valid_from)})
     wb = Window.partitionBy(key, "__b").orderBy(*order)
+    v = v.withColumns({"__rn": F.row_number().over(wb), **{f"__prev_{c}": F.lag(c).over(wb) for c in check}})
+    v = v.withColumn("__chg", (F.col("__rn") > 1) & _changed(check, "__prev_"))
+
+    # per (key, bucket): first / last values, first time, first in-bucket change
+    summ = v.groupBy(key, "__b").agg(
+        *[F.max_by(c, "__ord").alias(f"__last_{c}") for c in check],
+        *[F.min_by(c, "__ord").alias(f"__first_{c}") for c in check],
+        F.min_by("__vf", "__ord").alias("__first_vf"),
+        F.min_by("__vf", F.when(F.col("__chg"), F.col("__ord"))).alias("__first_chg_vf"),
+    )
+    wk = Window.partitionBy(key).orderBy("__b")          # one row per (key, bucket)
+    summ = summ.withColumns({"__has_prev": F.lag("__b").over(wk).isNotNull(),
+                             **{f"__bprev_{c}": F.lag(f"__last_{c}").over(wk) for c in check}})
+    opens_first = ~F.col("__has_prev")
     for c in check:
-        v = v.withColumn(f"__prev_{c}", F.lag(c).over(wb))
-    v = v.withColumn("__rn", F.row_number().over(wb))
-
-    # last version of every (key, bucket) and, per key, the previous bucket's last version
-    last = v.groupBy(key, "__b").agg(*[F.max_by(c, "__ord").alias(f"__last_{c}") for c in check])
-    wk = Window.partitionBy(key).orderBy("__b")    # one row per (key, bucket)
-    edge = last.select(key, "__b", F.lag("__b").over(wk).isNotNull().alias("__has_prev"),
-                       *[F.lag(f"__last_{c}").over(wk).alias(f"__bprev_{c}") for c in check])
-    j = v.join(edge, [key, "__b"], "left")
-    at_edge = F.col("__rn") == 1
-    for c in check:
-        j = j.withColumn(f"__prev_{c}", F.when(at_edge, F.col(f"__bprev_{c}")).otherwise(F.col(f"__prev_{c}")))
-    first_ever = at_edge & ~F.col("__has_prev")
-    opened = (j.filter(first_ever | _changed(check, "__prev_"))
-              .withColumn("valid_from", F.col(valid_from)))
-
-    # valid_to: next opened row in the bucket, else the first opened row of the key's next bucket
-    nxt_in = F.lead("valid_from").over(Window.partitionBy(key, "__b").orderBy(*order))
-    firsts = opened.groupBy(key, "__b").agg(F.min_by("valid_from", "__ord").alias("__first_vf"))
-    nxt_b = firsts.select(key, "__b", F.lead("__first_vf").over(wk).alias("__next_b"))
-    out = (opened.withColumn("__next_in", nxt_in)
-           .join(nxt_b, [key, "__b"], "left")
-           .withColumn("valid_to", F.coalesce(F.col("__next_in"), F.col("__next_b")))
-           .withColumn("is_current", F.col("valid_to").isNull()))
-    helper = [c for c in out.columns if c.startswith("__")]
-    return out.drop(*helper)
+        opens_first = opens_first | ~F.col(f"__first_{c}").eqNullSafe(F.col(f"__bprev_{c}"))
+    first_open = F.when(opens_first, F.col("__first_vf")).otherwise(F.col("__first_chg_vf"))
+    summ = summ.withColumns({"__open_first": opens_first, "__first_open_vf": first_open})
+    summ = summ.withColumn("__next_open_vf", F.first("__first_open_vf", ignorenulls=True).over(
+        wk.rowsBetween(1, Window.unboundedFollowing)))
+
+    j = v.join(summ.select(key, "__b", "__open_first", "__next_open_vf"), [key, "__b"], "inner")
+    opened = j.filter(F.when(F.col("__rn") == 1, F.col("__open_first")).otherwise(F.col("__chg")))
+    nxt = F.lead(valid_from).over(Window.partitionBy(key, "__b").orderBy(*order))
+    valid_to = F.coalesce(nxt, F.col("__next_open_vf"))
+    out = opened.withColumns({"valid_from": F.col(valid_from), "valid_to": valid_to,
+                              "is_current": valid_to.isNull()})
+    return out.drop(*[c for c in out.columns if c.startswith("__")])
 
 
 def scd2_current(history: DataFrame) -> DataFrame:
@@ -136,6 +136,6 @@ def scd2_merge(history: DataFrame, snapshot: DataFrame, key: str,
 
 def scd2_init(snapshot: DataFrame, at: Column) -> DataFrame:
     """First snapshot run: every row opens at ``at``."""
-    return (snapshot.withColumn("valid_from", at.cast("timestamp_ntz"))
-            .withColumn("valid_to", F.lit(None).cast("timestamp_ntz"))
-            .withColumn("is_current", F.lit(True)))
+    return snapshot.withColumns({"valid_from": at.cast("timestamp_ntz"),
+                                 "valid_to": F.lit(None).cast("timestamp_ntz"),
+                                 "is_current": F.lit(True)})

@@ -109,6 +109,6 @@ def scorecard_from(raw: DataFrame, cleaned: DataFrame, run_keys: Sequence[str] =
     if run_keys:
         counts = r.join(c, list(run_keys), "left")
     else:   # both sides are single rows: take the clean side as scalar subqueries
-        counts = (r.withColumn("valid_clean", c.select("valid_clean").scalar())
-                  .withColumn("clean_ids", c.select("clean_ids").scalar()))
+        counts = r.withColumns({"valid_clean": c.select("valid_clean").scalar(),
+                                "clean_ids": c.select("clean_ids").scalar()})
     return _finish(counts, run_keys, run_at, table_name, data_source)

@@ -24,8 +24,8 @@ def stamp_load(df: DataFrame, loaded_at: Column | None = None) -> DataFrame:
     """Raw-table append rows: default the tombstone flag to false, stamp the
     load clock (``localtimestamp()`` unless given)."""
     ts = loaded_at if loaded_at is not None else F.localtimestamp()
-    return (df.withColumn("is_hard_deleted", F.coalesce(F.col("is_hard_deleted"), F.lit(False)))
-            .withColumn("_loaded_at", ts.cast("timestamp_ntz")))
+    return df.withColumns({"is_hard_deleted": F.coalesce(F.col("is_hard_deleted"), F.lit(False)),
+                           "_loaded_at": ts.cast("timestamp_ntz")})
 
 
 def stg_articles(raw: DataFrame) -> DataFrame:
@@ -109,8 +109,8 @@ class Warehouse:
         """Versions tagged with their run.  ``content_length`` is derived here,
         once per landed row, so models that need only the length never move
         the article text through a shuffle (Catalyst prunes ``content``)."""
-        return (self.articles.withColumn("batch", fx.batch_of())
-                .withColumn("content_length", F.length("content").cast("long")))
+        return self.articles.withColumns({"batch": fx.batch_of(),
+                                          "content_length": F.length("content").cast("long")})
 
     @cached_property
     def survivor_order(self) -> list[Column]:

@@ -111,8 +111,8 @@ def scrape_report(batch: DataFrame, fct: DataFrame) -> DataFrame:
         "category", F.coalesce("batch_count", F.lit(0)).alias("batch_count"),
         F.coalesce("total_count", F.lit(0)).alias("total_count"))
     # grand totals as scalar subqueries (one value each), no join needed
-    return (rows.withColumn("batch_total", rows.select(F.sum("batch_count")).scalar())
-            .withColumn("grand_total", rows.select(F.sum("total_count")).scalar())
+    return (rows.withColumns({"batch_total": rows.select(F.sum("batch_count")).scalar(),
+                              "grand_total": rows.select(F.sum("total_count")).scalar()})
             .orderBy(F.col("total_count").desc(), F.col("batch_count").desc(), "category"))
 
 

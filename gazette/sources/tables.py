@@ -3,15 +3,34 @@
 from __future__ import annotations
 
 import datetime as dt
+import functools
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
+@functools.lru_cache(maxsize=256)
+def _scan(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.parquet(path)
+
+
 def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """Driver test table ``name`` under ``sf_dir`` (one parquet each)."""
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """Driver test table ``name`` under ``sf_dir`` (one parquet each).
+
+    The input tables are read-only, so one scan DataFrame per path and
+    session is reused (file listing and footer reads happen once)."""
+    return _scan(spark, f"{sf_dir.rstrip('/')}/{name}.parquet")
+
+
+@functools.lru_cache(maxsize=256)
+def _count(spark: SparkSession, path: str) -> int:
+    return spark.read.parquet(path).count()
+
+
+def row_count(spark: SparkSession, sf_dir: str, name: str) -> int:
+    """Row count of a read-only input table (one number, computed once)."""
+    return _count(spark, f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def read_parquet(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
@@ -61,9 +80,8 @@ def with_run_partition(df: DataFrame, run_ts: dt.datetime | Column) -> DataFrame
     (time of day, HHmmss).  The run replaces the per-run object name, so
     one run's files can be found, replayed or replaced by value."""
     ts = run_ts if isinstance(run_ts, Column) else F.lit(run_ts).cast("timestamp_ntz")
-    return (df.withColumn("run_ts", ts)
-            .withColumn("dt", F.date_format(F.col("run_ts"), "yyyy-MM-dd"))
-            .withColumn("run", F.date_format(F.col("run_ts"), "HHmmss")))
+    return df.withColumns({"run_ts": ts, "dt": F.date_format(ts, "yyyy-MM-dd"),
+                           "run": F.date_format(ts, "HHmmss")})
 
 
 def write_landing(df: DataFrame, root: str, run_ts: dt.datetime | Column) -> None:
