@@ -89,7 +89,63 @@ def mart_dq_scorecard(scorecards: DataFrame) -> DataFrame:
     return scorecards.select("run_at", "data_source", "table_name", *S.SCORE_DIMENSIONS, "overall_score")
 
 
-class Warehouse:
+class Models:
+    """Staging, intermediate and marts over a raw table, a delete log and a
+    scorecard table, as lazy DataFrames.  Tombstones are applied when the
+    models are built (raw files are never rewritten in place)."""
+
+    def __init__(self, raw: DataFrame, delete_log: DataFrame | None = None,
+                 scorecards: DataFrame | None = None, respect_time: bool = False):
+        self._raw, self._log, self._sc, self.respect_time = raw, delete_log, scorecards, respect_time
+
+    @property
+    def spark(self) -> SparkSession:
+        return self.raw.sparkSession
+
+    @cached_property
+    def raw(self) -> DataFrame:
+        return self._raw
+
+    @cached_property
+    def delete_log(self) -> DataFrame | None:
+        return self._log
+
+    @cached_property
+    def scorecards(self) -> DataFrame:
+        return self._sc
+
+    @cached_property
+    def raw_tombstoned(self) -> DataFrame:
+        if self.delete_log is None:
+            return self.raw
+        return apply_tombstones(self.raw, self.delete_log, respect_time=self.respect_time)
+
+    @cached_property
+    def stg(self) -> DataFrame:
+        return stg_articles(self.raw_tombstoned)
+
+    @cached_property
+    def deduped(self) -> DataFrame:
+        return articles_deduped(self.stg)
+
+    @cached_property
+    def fct(self) -> DataFrame:
+        return fct_articles(self.deduped)
+
+    @cached_property
+    def dim_author(self) -> DataFrame:
+        return dim_author(self.deduped)
+
+    @cached_property
+    def dim_date(self) -> DataFrame:
+        return dim_date(self.deduped)
+
+    @cached_property
+    def mart_dq_scorecard(self) -> DataFrame:
+        return mart_dq_scorecard(self.scorecards)
+
+
+class Warehouse(Models):
     """The end-to-end chain over the fixture articles, as lazy DataFrames.
 
     articles -> clean per daily run -> raw (load stamp) -> tombstones from
@@ -98,7 +154,12 @@ class Warehouse:
     """
 
     def __init__(self, spark: SparkSession, sf_dir: str):
-        self.spark, self.sf_dir = spark, sf_dir
+        super().__init__(raw=None)
+        self._spark, self.sf_dir = spark, sf_dir
+
+    @property
+    def spark(self) -> SparkSession:
+        return self._spark
 
     @cached_property
     def articles(self) -> DataFrame:
@@ -131,30 +192,6 @@ class Warehouse:
         ids = fx.article_ids(self.articles)
         return delete_log_diff(ids, fx.current_ids(ids), at=fx.snapshot_time(self.spark, self.sf_dir))
 
-    @cached_property
-    def raw_tombstoned(self) -> DataFrame:
-        return apply_tombstones(self.raw, self.delete_log)
-
-    @cached_property
-    def stg(self) -> DataFrame:
-        return stg_articles(self.raw_tombstoned)
-
-    @cached_property
-    def deduped(self) -> DataFrame:
-        return articles_deduped(self.stg)
-
-    @cached_property
-    def fct(self) -> DataFrame:
-        return fct_articles(self.deduped)
-
-    @cached_property
-    def dim_author(self) -> DataFrame:
-        return dim_author(self.deduped)
-
-    @cached_property
-    def dim_date(self) -> DataFrame:
-        return dim_date(self.deduped)
-
     @cached_property
     def scorecards(self) -> DataFrame:
         """One scorecard per daily run; the run fires when its day closes."""
@@ -162,7 +199,3 @@ class Warehouse:
         sc = scorecard(self.batched, allow=fx.FIXTURE_CATEGORIES, run_keys=["batch"], order=order,
                        run_at=F.col("batch").cast("timestamp_ntz") + F.expr("INTERVAL 1 DAY"))
         return sc.drop("batch")
-
-    @cached_property
-    def mart_dq_scorecard(self) -> DataFrame:
-        return mart_dq_scorecard(self.scorecards)

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from gazette import schemas as S
 from gazette.operators import checks as CK
-from gazette.plans.models import Warehouse
+from gazette.plans.models import Models
 from gazette.sources import versioned
 
 MART_MODELS = ("int_articles_deduped", "fct_articles", "dim_author", "dim_date", "mart_dq_scorecard")
@@ -28,7 +28,7 @@ class AuditResult:
     version: dict[str, str]     # model -> written path
 
 
-def stage_models(wh: Warehouse, root: str) -> dict[str, DataFrame]:
+def stage_models(wh: Models, root: str) -> dict[str, DataFrame]:
     """Write every mart model once (tables cut the lineage) and return
     DataFrames over the written files."""
     spark = wh.spark
@@ -66,7 +66,7 @@ def audit(staged: dict[str, DataFrame], raw: DataFrame, as_of) -> list[CK.Check]
     ]
 
 
-def write_audit_publish(wh: Warehouse, root: str, as_of, blocking: set[str] | None = None) -> AuditResult:
+def write_audit_publish(wh: Models, root: str, as_of, blocking: set[str] | None = None) -> AuditResult:
     """Stage, audit, and publish when no blocking check fails.
 
     ``blocking`` names the checks whose failure stops the publish (default:
