@@ -66,7 +66,8 @@ def top_authors(dim_author: DataFrame, limit: int = 10, offset: int = 0) -> Data
 # --- scorecard serving -----------------------------------------------------
 
 def dq_history(scorecards: DataFrame, n: int = S.HISTORY_DEFAULT) -> DataFrame:
-    """Newest ``n`` scorecards (n=1 is the latest)."""
+    """Newest ``n`` scorecards (n=1 is the latest); the API allows 1..100."""
+    _bounded(n, 1, S.HISTORY_MAX, "n")
     return scorecards.orderBy(F.col("run_at").desc()).limit(n)
 
 
