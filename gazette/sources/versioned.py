@@ -1,38 +1,53 @@
 """Versioned keyed tables on plain Parquet.
 
-A merge result is written to a fresh version directory and then published
-by rewriting a one-line pointer, so readers never see a half-written table
-and a plan never overwrites the files it is reading.  Old versions stay
-until cleaned up, which also allows reading a previous state.
+A merge result is written to a fresh version directory; then a new
+pointer record (publish time, version path) is added under ``_pointers``.
+Nothing is ever overwritten: a job that dies before its pointer commits
+leaves the previous version current, and readers see either the old or the
+new version, never a half-written one.  The pointer history also allows
+reading an earlier state.
 """
 
 from __future__ import annotations
 
+import datetime as dt
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+POINTER_SCHEMA = "published_at timestamp_ntz, path string"
+
+
+def _pointers(root: str) -> str:
+    return f"{root.rstrip('/')}/_pointers"
 
 
 def publish(df: DataFrame, root: str) -> str:
-    """Write ``df`` as a new version under ``root`` and point to it."""
-    path = f"{root.rstrip('/')}/v-{uuid.uuid4().hex}"
+    """Write ``df`` as a new version under ``root`` and make it current."""
+    stamp = dt.datetime.now(dt.UTC).replace(tzinfo=None)
+    path = f"{root.rstrip('/')}/v-{stamp:%Y%m%dT%H%M%S%f}-{uuid.uuid4().hex[:8]}"
     df.write.mode("errorifexists").parquet(path)
     spark = df.sparkSession
-    spark.createDataFrame([(path,)], "path string").coalesce(1).write.mode("overwrite").text(
-        f"{root.rstrip('/')}/_current")
+    (spark.createDataFrame([(stamp, path)], POINTER_SCHEMA).coalesce(1)
+     .write.mode("append").json(_pointers(root)))
     return path
 
 
-def current_path(spark: SparkSession, root: str) -> str | None:
+def current_path(spark: SparkSession, root: str, as_of: dt.datetime | None = None) -> str | None:
+    """Path of the newest committed version (or the newest at ``as_of``)."""
     try:
-        row = spark.read.text(f"{root.rstrip('/')}/_current").first()
-    except Exception:  # noqa: BLE001 - no pointer yet
+        ptr = spark.read.schema(POINTER_SCHEMA).json(_pointers(root))
+    except Exception:  # noqa: BLE001 - nothing published yet
         return None
-    return row[0] if row else None
+    if as_of is not None:
+        ptr = ptr.filter(F.col("published_at") <= F.lit(as_of).cast("timestamp_ntz"))
+    row = ptr.agg(F.max_by("path", F.struct("published_at", "path")).alias("p")).first()
+    return row["p"] if row else None
 
 
-def read_current(spark: SparkSession, root: str, schema=None) -> DataFrame | None:
-    path = current_path(spark, root)
+def read_current(spark: SparkSession, root: str, schema=None, as_of: dt.datetime | None = None) -> DataFrame | None:
+    path = current_path(spark, root, as_of)
     if path is None:
         return None
     reader = spark.read.schema(schema) if schema is not None else spark.read

@@ -48,8 +48,13 @@ def test_versioned_publish(spark, tmp_path):
     root = str(tmp_path / "state")
     assert versioned.read_current(spark, root) is None
     versioned.publish(spark.range(3), root)
+    between = dt.datetime.now(dt.UTC).replace(tzinfo=None)
     versioned.publish(spark.range(5), root)
     assert versioned.read_current(spark, root).count() == 5
+    assert versioned.read_current(spark, root, as_of=between).count() == 3      # time travel
+    # a version whose job died before its pointer committed is never read
+    spark.range(7).write.parquet(root + "/v-orphan")
+    assert versioned.read_current(spark, root).count() == 5
 
 
 def test_keyset_page_continues_offset_page(spark, sf):
