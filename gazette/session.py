@@ -69,25 +69,34 @@ def cluster_conf(total_cores: int, advisory_mb: int = 256) -> dict[str, str]:
     }
 
 
+def _context(spark: SparkSession):
+    """The SparkContext of a classic session; None under Spark Connect."""
+    try:
+        return spark.sparkContext
+    except Exception:  # noqa: BLE001 - Spark Connect has no context
+        return None
+
+
 def checkpoint_root(spark: SparkSession, fallback: str | None = None) -> str:
     """Shared folder for lineage cuts and written intermediate tables.
 
     On a cluster this is whatever ``spark.checkpoint.dir`` names (a shared
-    file system).  Only when it is unset (tests, laptops) is ``fallback`` used
-    and registered, so no job ever writes to a machine-local temp folder
-    behind the cluster's back.
+    file system).  Only when it is unset in a local-mode session (tests,
+    laptops) is ``fallback`` used and registered, so no job ever writes to
+    a machine-local temp folder behind the cluster's back.
     """
+    sc = _context(spark)
     root = spark.conf.get("spark.checkpoint.dir", None)
+    if not root and sc is not None:
+        root = sc.getCheckpointDir()
     if not root:
-        root = spark.sparkContext.getCheckpointDir()
-    if not root:
-        if fallback is None or not spark.sparkContext.master.startswith("local"):
+        if fallback is None or sc is None or not sc.master.startswith("local"):
             # on a cluster a machine-local folder would lose data with its executor
             raise RuntimeError("spark.checkpoint.dir must name a shared folder")
         root = fallback
-        spark.sparkContext.setCheckpointDir(root)
-    elif spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(root)
+        sc.setCheckpointDir(root)
+    elif sc is not None and sc.getCheckpointDir() is None:
+        sc.setCheckpointDir(root)
     return root.rstrip("/")
 
 
