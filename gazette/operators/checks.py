@@ -74,6 +74,29 @@ class Check:
     column: str | None
     severity: str            # "error" or "warn"
     failing: DataFrame       # failing rows (or, for freshness, a status row)
+    source: DataFrame | None = None   # not_null: the model, so checks on one model share a scan
+
+
+def not_null(model: str, df: DataFrame, col: str, severity: str = "error") -> Check:
+    return Check("not_null", model, col, severity, check_not_null(df, col), source=df)
+
+
+def _status(failures: Column, severity: str) -> Column:
+    return (F.when(failures == 0, F.lit("pass"))
+            .otherwise(F.lit("fail" if severity == "error" else "warn")))
+
+
+def _not_null_group(checks: Sequence[Check]) -> DataFrame:
+    """All not_null checks of one model as one aggregate (one scan)."""
+    src = checks[0].source
+    counts = src.agg(*[F.count_if(F.col(c.column).isNull()).cast("long").alias(f"__n{i}")
+                       for i, c in enumerate(checks)])
+    rows = F.explode(F.array(*[F.struct(
+        F.lit(c.name).alias("check_name"), F.lit(c.model).alias("model"),
+        F.lit(c.column).cast("string").alias("column_name"), F.lit(c.severity).alias("severity"),
+        F.col(f"__n{i}").alias("failures"), _status(F.col(f"__n{i}"), c.severity).alias("status"))
+        for i, c in enumerate(checks)]))
+    return counts.select(rows.alias("r")).select("r.*")
 
 
 def summarize(checks: Sequence[Check]) -> DataFrame:
@@ -83,7 +106,15 @@ def summarize(checks: Sequence[Check]) -> DataFrame:
     result is tiny whatever the model sizes.
     """
     parts = []
+    grouped: dict[int, list[Check]] = {}
+    for c in checks:
+        if c.name == "not_null" and c.source is not None:
+            grouped.setdefault(id(c.source), []).append(c)
+    for group in grouped.values():
+        parts.append(_not_null_group(group))
     for c in checks:
+        if c.name == "not_null" and c.source is not None:
+            continue
         if c.name == "freshness":
             status_row = c.failing.select(
                 F.when(F.col("status") == "pass", F.lit(0)).otherwise(F.lit(1)).cast("long").alias("failures"),
@@ -91,9 +122,7 @@ def summarize(checks: Sequence[Check]) -> DataFrame:
         else:
             n = F.count(F.lit(1)).cast("long")   # failing rows, as the test query returns them
             status_row = c.failing.agg(n.alias("failures")).select(
-                "failures",
-                F.when(F.col("failures") == 0, F.lit("pass"))
-                .otherwise(F.lit("fail" if c.severity == "error" else "warn")).alias("status"))
+                "failures", _status(F.col("failures"), c.severity).alias("status"))
         parts.append(status_row.select(
             F.lit(c.name).alias("check_name"), F.lit(c.model).alias("model"),
             F.lit(c.column).cast("string").alias("column_name"),

@@ -500,7 +500,7 @@ def _summary_checks(wh: M.Warehouse) -> list:
     for model, cte, col in _UNIQUE_TARGETS:
         out.append(CK.Check("unique", model, col, sev_unique.get(model, "error"), CK.check_unique(m[cte], col)))
     for model, cte, col, _key in _NOT_NULL_TARGETS:
-        out.append(CK.Check("not_null", model, col, "error", CK.check_not_null(m[cte], col)))
+        out.append(CK.not_null(model, m[cte], col))
     out.append(CK.Check("accepted_values", "stg_articles", "category", "warn",
                         CK.check_accepted_values(m["stg"], "category", S.VALID_CATEGORIES)))
     for model, cte, col, pcte, field in _REL_TARGETS[:2]:

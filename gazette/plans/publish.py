@@ -47,17 +47,17 @@ def audit(staged: dict[str, DataFrame], raw: DataFrame, as_of) -> list[CK.Check]
     da, dd = staged["dim_author"], staged["dim_date"]
     return [
         CK.Check("unique", "fct_articles", "article_id", "error", CK.check_unique(fct, "article_id")),
-        CK.Check("not_null", "fct_articles", "article_id", "error", CK.check_not_null(fct, "article_id")),
-        CK.Check("not_null", "fct_articles", "author_id", "error", CK.check_not_null(fct, "author_id")),
+        CK.not_null("fct_articles", fct, "article_id"),
+        CK.not_null("fct_articles", fct, "author_id"),
         CK.Check("relationships", "fct_articles", "author_id", "error",
                  CK.check_relationships(fct, "author_id", da, "author_id")),
-        CK.Check("not_null", "fct_articles", "date_day", "error", CK.check_not_null(fct, "date_day")),
+        CK.not_null("fct_articles", fct, "date_day"),
         CK.Check("relationships", "fct_articles", "date_day", "error",
                  CK.check_relationships(fct, "date_day", dd, "date_day")),
         CK.Check("unique", "dim_author", "author_id", "error", CK.check_unique(da, "author_id")),
-        CK.Check("not_null", "dim_author", "author_id", "error", CK.check_not_null(da, "author_id")),
+        CK.not_null("dim_author", da, "author_id"),
         CK.Check("unique", "dim_date", "date_day", "error", CK.check_unique(dd, "date_day")),
-        CK.Check("not_null", "dim_date", "date_day", "error", CK.check_not_null(dd, "date_day")),
+        CK.not_null("dim_date", dd, "date_day"),
         CK.Check("no_future_published", "int_articles_deduped", "published_at", "error",
                  CK.check_no_future(d, as_of)),
         CK.Check("dq_score_above_threshold", "mart_dq_scorecard", "overall_score", "error",
