@@ -96,3 +96,16 @@ def test_write_audit_publish(spark, sf, tmp_path):
     res2 = write_audit_publish(wh, str(tmp_path / "marts"), as_of, blocking=gate)
     assert res2.published
     assert versioned.read_current(spark, str(tmp_path / "marts" / "fct_articles")).count() == wh.fct.count()
+
+
+def test_lookback_picks_up_late_arrivals(spark, tmp_path):
+    t = dt.datetime(2024, 1, 10)
+    src = spark.createDataFrame(
+        [(1, t - dt.timedelta(minutes=30)), (2, t + dt.timedelta(minutes=10))],
+        "id long, updated_at timestamp_ntz")      # id 1 arrived late, behind the watermark
+    state = state_log(spark.createDataFrame([("p", t)], "pipeline_name string, last_updated_at timestamp_ntz"))
+    until = t + dt.timedelta(hours=1)
+    plain, _, _ = incremental_extract(src, state, "p", until)
+    late, _, since = incremental_extract(src, state, "p", until, lookback=dt.timedelta(hours=1))
+    assert [r.id for r in plain.collect()] == [2]
+    assert sorted(r.id for r in late.collect()) == [1, 2] and since == t - dt.timedelta(hours=1)
