@@ -24,8 +24,12 @@ PAGE_SIZE = 20          # edges per feed page
 PAGES_PER_FEED = 50     # pages per scrape run, so a feed holds <= 1000 rows
 
 
-def articles(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Article versions: seq, the article columns and ``is_hard_deleted``."""
+def articles(spark: SparkSession, sf_dir: str, with_length: bool = False) -> DataFrame:
+    """Article versions: seq, the article columns and ``is_hard_deleted``.
+
+    ``with_length`` adds ``content_length``, computed on the document side
+    before the join, so a plan that needs only the length (the marts) joins
+    and shuffles the number instead of the text."""
     events = load(spark, sf_dir, "events").select("event_id", "ts", "user_id", "event_type")
     documents = load(spark, sf_dir, "documents")
     customer = load(spark, sf_dir, "customer").select("c_custkey", "c_name")
@@ -40,6 +44,7 @@ def articles(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("doc_id"),
         F.substring("text", 1, TITLE_CHARS).alias("title"),
         F.col("text").alias("content"),
+        F.length("text").cast("long").alias("content_length"),
     )
     e = events.withColumn("doc_key", F.pmod(F.call_function("div", F.col("event_id"), F.lit(2)), n_docs))
     eid = F.col("event_id")
@@ -58,6 +63,7 @@ def articles(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.timestamp_add("MINUTE", eid % 13 - 1, F.col("ts")).alias("updated_at"),
         F.when(eid % 50 == 0, F.col("ts") + F.expr("INTERVAL 1 DAY")).alias("deleted_at"),
         (F.col("doc_id") % 25 == 0).alias("is_hard_deleted"),
+        *([F.col("content_length")] if with_length else []),
     )
 
 
