@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import json
 import os
+import re
 import tempfile
 import uuid
 import zipfile
-from itertools import chain
+from itertools import chain, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -105,19 +107,25 @@ def tokenizer_path(name: str = TOKENIZER_FILE) -> str:
 class WordTokenizer:
     """Token ids of whole texts, one library call per distinct word.
 
-    The vocabulary drops white space and never joins characters across it,
-    so a text's ids are those of its ASCII-white-space words, one after the
-    other.  Words are cached up to ``max_words`` (then the cache starts anew),
-    longer ones than ``max_bytes`` are encoded each time.  Strings that look
-    like special tokens are ordinary text.
+    The vocabulary drops white space, folds case and never joins characters
+    across white space, so a text's ids are those of its words, one after the
+    other; a letter or digit and a stop or comma after it never join either.
+    Words are cached up to ``max_words`` (then the cache starts anew), longer
+    ones than ``max_bytes`` are encoded each time.  Words that the normalizer
+    would not change go to a copy of the tokenizer without it.  Strings that
+    look like special tokens are ordinary text.
     """
 
-    def __init__(self, path: str, max_words: int = 250_000, max_bytes: int = 48):
+    APART = re.compile(rb"(?<=[a-z0-9])[.,]")
+
+    def __init__(self, path: str, max_words: int = 500_000, max_bytes: int = 48):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
         self.tok = Tokenizer.from_file(path)
-        self.tok.encode_special_tokens = True
+        with open(path, encoding="utf-8") as f:
+            self.bare = Tokenizer.from_str(json.dumps(json.load(f) | {"normalizer": None}))
+        self.tok.encode_special_tokens = self.bare.encode_special_tokens = True
         self.max_words, self.max_bytes = max_words, max_bytes
         self._reset()
 
@@ -128,35 +136,46 @@ class WordTokenizer:
         self.size = np.zeros(1 << 14, np.int64)
         self.used = self.count = 0
 
-    def _add(self, words: list[bytes]) -> range:
-        got = self.tok.encode_batch([w.decode("utf-8", "replace") for w in words], add_special_tokens=False)
-        ids = [e.ids for e in got]
-        n = np.fromiter(map(len, ids), np.int64, len(ids))
-        total = int(n.sum())
-        while self.used + total > len(self.flat):
-            self.flat = np.resize(self.flat, 2 * len(self.flat))
-        while self.count + len(ids) > len(self.begin):
-            self.begin, self.size = np.resize(self.begin, 2 * len(self.begin)), np.resize(self.size, 2 * len(self.size))
-        self.flat[self.used:self.used + total] = np.fromiter(chain.from_iterable(ids), np.uint32, total)
-        new = range(self.count, self.count + len(ids))
-        self.begin[new.start:new.stop] = self.used + np.cumsum(n) - n
-        self.size[new.start:new.stop] = n
-        self.used, self.count = self.used + total, new.stop
-        return new
+    def _add(self, words: list[bytes]) -> None:
+        plain, other = [], []
+        for w in words:
+            s = w.decode("utf-8", "replace")
+            # lower case up to U+024F has a fixed normal form
+            same = w.isascii() or s.isalpha() and max(s) < "\u0250" and s == s.lower()
+            (plain if same else other).append((w, s))
+        for tok, part in ((self.bare, plain), (self.tok, other)):
+            if not part:
+                continue
+            got = tok.encode([s for _, s in part], is_pretokenized=True, add_special_tokens=False)
+            n = np.bincount(np.array(got.word_ids, np.int64), minlength=len(part))
+            total = len(got.ids)
+            while self.used + total > len(self.flat):
+                self.flat = np.resize(self.flat, 2 * len(self.flat))
+            while self.count + len(part) > len(self.begin):
+                self.begin, self.size = np.resize(self.begin, 2 * len(self.begin)), np.resize(self.size, 2 * len(self.size))
+            self.flat[self.used:self.used + total] = got.ids
+            self.begin[self.count:self.count + len(part)] = self.used + np.cumsum(n) - n
+            self.size[self.count:self.count + len(part)] = n
+            self.codes.update(zip([w for w, _ in part], range(self.count, self.count + len(part))))
+            self.used, self.count = self.used + total, self.count + len(part)
 
     def encode(self, texts: list[bytes | None], end_id: int | None = END_ID) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts in one array, and each text's number of ids
         (null counts as empty; ``end_id`` follows every text)."""
         if self.count > self.max_words:
             self._reset()
-        words = [(t or b"").split() for t in texts]
+        words = [self.APART.sub(rb" \g<0>", (t or b"").lower()).split() for t in texts]
         codes = self.codes
-        missing = list({w for ws in words for w in ws if w not in codes})
-        if missing:
-            new = self._add(missing)
-            codes.update(zip(missing, new))
+        every = list(chain.from_iterable(words))
         per_doc = np.fromiter(map(len, words), np.int64, len(words))
-        flat = np.fromiter(map(codes.__getitem__, chain.from_iterable(words)), np.int64, int(per_doc.sum()))
+        flat = np.fromiter(map(codes.get, every, repeat(-1)), np.int64, len(every))
+        absent = np.flatnonzero(flat < 0)
+        missing: list[bytes] = []
+        if len(absent):
+            found = [every[i] for i in absent.tolist()]
+            missing = list(dict.fromkeys(found))
+            self._add(missing)
+            flat[absent] = np.fromiter(map(codes.__getitem__, found), np.int64, len(found))
         sizes = self.size[flat]
         ends = np.cumsum(sizes)
         index = np.arange(int(ends[-1]) if len(ends) else 0) + np.repeat(self.begin[flat] - (ends - sizes), sizes)
