@@ -51,7 +51,8 @@ LABELLED = (
     (45, 0.0, 60, 0.0, 55, 0.0, 0, 0, 0, 0, 1), (30, 0.1, 5, 0.0, 40, 0.0, 0, 0, 0, 0, 1), (110, 0.02, 2, 1.0, 3, 1.0, 0, 0, 0, 0, 1),
     (25, 0.0, 0, 0.0, 0, 0.0, 0, 0, 0, 0, 1), (8, 0.0, 50, 0.0, 60, 0.0, 0, 0, 0, 0, 1), (7, 0.0, 2, 1.0, 80, 0.0, 0, 0, 0, 1, 1),
     (5, 0.0, 45, 0.0, 25, 0.0, 0, 0, 0, 0, 1), (18, 0.2, 30, 0.0, 50, 0.0, 0, 0, 0, 0, 1), (9, 0.0, 0, 0.0, 40, 0.0, 0, 0, 0, 1, 1),
-    (2, 1.0, 2, 1.0, 2, 1.0, 0, 0, 0, 0, 0), (6, 0.9, 40, 0.0, 3, 1.0, 0, 0, 0, 0, 0), (30, 0.8, 50, 0.0, 50, 0.0, 0, 0, 0, 0, 0),
+    (50, 0.0, 3, 1.0, 45, 0.0, 0, 0, 0, 0, 1), (45, 0.0, 50, 0.0, 1, 1.0, 0, 0, 0, 0, 1), (60, 0.05, 0, 0.0, 2, 1.0, 0, 0, 0, 0, 1),
+    (24, 0.0, 2, 1.0, 2, 0.0, 0, 0, 0, 0, 1), (2, 1.0, 2, 1.0, 2, 1.0, 0, 0, 0, 0, 0), (6, 0.9, 40, 0.0, 3, 1.0, 0, 0, 0, 0, 0), (30, 0.8, 50, 0.0, 50, 0.0, 0, 0, 0, 0, 0),
     (20, 1.0, 60, 0.0, 80, 0.0, 0, 0, 0, 0, 0), (4, 0.0, 2, 1.0, 2, 1.0, 0, 0, 0, 0, 0), (6, 0.0, 3, 1.0, 4, 0.0, 0, 0, 0, 0, 0),
     (5, 0.0, 4, 0.0, 3, 0.6, 0, 0, 0, 0, 0), (8, 0.4, 6, 0.5, 5, 0.5, 0, 0, 0, 0, 0), (3, 0.0, 5, 0.0, 4, 0.0, 0, 0, 0, 1, 0),
 )

@@ -1,0 +1,221 @@
+"""Language ID, quality classifier, URL filter and HTML extraction."""
+
+import numpy as np
+import pytest
+
+from gazette.llm import html_blocks as H
+from gazette.llm import langid as L
+from gazette.llm import quality_mil as M
+from gazette.llm import url_filter as U
+
+MID = "/root/testdata/sf0.01"
+
+
+def test_language_held_out_accuracy(spark):
+    docs = spark.read.parquet(f"{MID}/documents.parquet").select("doc_id", "lang")
+    got = L.op3_language_id(spark, MID).join(docs, "doc_id").collect()
+    held = [r for r in got if r.held_out]
+    assert len(got) == 1000 and 150 < len(held) < 350
+    assert np.mean([r.lang_pred == r.lang for r in held]) > 0.98
+    assert all(0 <= r.score <= 1 for r in got)
+
+
+def test_language_odd_rows(spark, odd_docs, no_docs):
+    train = spark.createDataFrame([(i, ("the house and the garden " if i % 2 else "das Haus und der Garten ") * (1 + i % 5), "en" if i % 2 else "de") for i in range(60)],
+                                  "doc_id long, text string, lang string")
+    net = L.fit(train)
+    got = {r.doc_id: r for r in L.predict(odd_docs, net).collect()}
+    assert [got[i].lang_pred for i in (0, 1, 2, 7)] == ["und", "und", "und", "en"] or got[7].lang_pred in ("en", "de")
+    assert L.predict(no_docs, net).count() == 0
+    only = odd_docs.select("doc_id", "text")
+    assert {r.lang_pred for r in L.predict(only, None).collect()} == {"und"}
+    assert L.fit(train.filter("lang is null")) is None
+    long = spark.createDataFrame([(1, "das Haus und der Garten " * 20000), (2, "12 345 !! \u00b2 \U0001F600"), (3, "x")], "doc_id long, text string")
+    got = {r.doc_id: r.lang_pred for r in L.predict(long, net).collect()}
+    assert got[1] == "de" and got[2] == "und" and got[3] in ("en", "de")
+
+
+@pytest.mark.parametrize("n", [0, 1, 255, 256, 257, 2000])
+def test_windows_cover_the_text(n):
+    text = bytes(97 + i % 26 for i in range(n))
+    cells, real = L.windows(text)
+    seen = bytearray(n)
+    for k, (c, r) in enumerate(zip(cells, real)):
+        at = k * (L.WINDOW - 3)
+        seen[at:at + r] = c[:r].tobytes()
+    assert bytes(seen) == text and (real > 0).all() == (n > 0)
+
+
+def gradient_error(model, params, gradient, loss):
+    """Largest difference between the gradient and finite differences."""
+    worst = 0.0
+    rng = np.random.default_rng(0)
+    for k, g in gradient.items():
+        flat, own = params[k].reshape(-1), g.reshape(-1)
+        for i in rng.choice(len(flat), min(6, len(flat)), replace=False):
+            old, step = flat[i], 1e-3
+            flat[i] = old + step
+            up = loss()
+            flat[i] = old - step
+            down = loss()
+            flat[i] = old
+            worst = max(worst, abs((up - down) / (2 * step) - own[i]))
+    return worst
+
+
+def test_byte_network_gradient():
+    rng = np.random.default_rng(1)
+    net = L.ByteNet(["a", "b", "c"])
+    net.p = {k: v.astype(np.float64) for k, v in net.p.items()}
+    cells, y = rng.integers(97, 122, (8, 40)).astype(np.uint8), rng.integers(0, 3, 8)
+
+    def loss():
+        net._tables = None
+        return -np.log(L.softmax(net.features(cells) @ net.p["out"] + net.p["bias"])[np.arange(8), y]).mean()
+
+    net._tables = None
+    assert gradient_error(net, net.p, net.gradient(cells, y), loss) < 1e-4
+
+
+def test_attention_gradient():
+    rng = np.random.default_rng(1)
+    model = M.AttentionMil()
+    model.p = {k: v.astype(np.float64) for k, v in model.p.items()}
+    x, first, y, w = rng.normal(0, 1, (9, M.FEATURES)), np.array([0, 3, 4]), np.array([1.0, 0.0, 1.0]), np.array([1.0, 2.0, 1.0])
+
+    def loss():
+        s = model.scores(x, first)
+        extra = sum(0.5e-4 * (v ** 2).sum() for v in model.p.values() if v.ndim > 1)
+        return -(w * (y * np.log(s) + (1 - y) * np.log(1 - s))).sum() / w.sum() + extra
+
+    assert gradient_error(model, model.p, model.gradient(x, first, y, w), loss) < 1e-4
+    alpha = model.forward(x, first)["alpha"]
+    assert np.allclose(np.add.reduceat(alpha, first), 1)
+
+
+def test_quality_held_out(spark):
+    labels = spark.read.parquet(f"{MID}/labels.parquet")
+    got = M.op6_quality_mil(spark, MID)
+    rows = got.join(labels, "doc_id").filter("held_out and quality is not null").collect()
+    assert got.count() == 1000
+    assert np.mean([r.predicted == r.quality for r in rows]) > 0.95
+    assert all(0 <= r.score <= 1 and r.predicted == int(r.score >= 0.3) for r in rows)
+
+
+def test_quality_odd_rows(spark, odd_docs, no_docs):
+    labels = spark.createDataFrame([(4, 1), (5, 0), (8, 1), (11, 0), (11, 0), (None, 1), (9, None), (10, 7)], "doc_id long, quality int")
+    model = M.fit(odd_docs, labels)
+    got = M.score(odd_docs, model).collect()
+    assert len(got) == odd_docs.count() and all(0 <= r.score <= 1 for r in got)
+    empty = {r.doc_id: r.score for r in got}
+    assert empty[0] == empty[1]
+    assert M.score(no_docs, model).count() == 0 and M.fit(odd_docs, labels.filter("quality = 1")) is None
+    assert {r.score for r in M.score(odd_docs.select("doc_id", "text"), None).collect()} == {0.5}
+
+
+def test_passages_cut_whole_texts():
+    x, first = M.passages([b"", b"a" * 512, b"b" * 513, b"c" * 3000])
+    assert first.tolist() == [0, 1, 2, 4] and len(x) == 10
+    x, first = M.passages([b""])
+    assert len(x) == 1 and not np.isnan(x).any()
+
+
+@pytest.mark.parametrize("url,want", [
+    (None, ("", "")), ("", ("", "")), ("example.org/x", ("", "")), ("http://Ex.ORG", ("ex.org", "")), ("http://a.org/B/c?d#e", ("a.org", "/B/c")),
+    ("x://a.org?q=/en", ("a.org", "")), ("x://a.org#f", ("a.org", "")), ("a://b://c/d", ("b:", "//c/d")), ("://", ("", "")), ("h://É.org/", ("É.org", "/")),
+    ("h://u@a.org:80/p", ("u@a.org:80", "/p")),
+])
+def test_split_url(url, want):
+    assert U.split_url(url) == want
+
+
+@pytest.mark.parametrize("url,rule", [
+    ("http://a.org/x", "org/"), ("http://org/x", "org/"), ("http://aorg/x", None), ("http://a.org", None), ("http://example.org/es/1", "example.org/es/"),
+    ("http://m.example.org/es/", "example.org/es/"), ("http://example.org/es", "org/"), ("http://x.example.org/en/12", "example.org/en/1"),
+    ("http://example.org/en/2", "org/"), ("http://notexample.org/es/1", "org/"), ("http://a.com/fr/1", "com/fr/"), ("http://com/de/1", "com/de/"),
+    ("http://a.com/en/1", None), ("http://a.net/fr/1", None), ("http://EXAMPLE.org/ES/1", "org/"), (None, None),
+])
+def test_rules(url, rule):
+    verdicts = {r: v for v, r in U.RULES}
+    assert U.Rules().match(*U.split_url(url)) == (rule, verdicts.get(rule))
+
+
+def test_segmenter_finds_the_cheapest_split():
+    counts = {"news": 50, "paper": 40, "new": 60, "spa": 1, "per": 5, "s": 1, "the": 90}
+    s = U.Segmenter(counts)
+    assert s.split("newspaper") == ["news", "paper"] and s.split("thenews") == ["the", "news"] and s.split("") == []
+    assert s.split("qnews") == ["q", "news"] and "".join(s.split("zzzthepaperyy")) == "zzzthepaperyy"
+
+    def brute(name):
+        if not name:
+            return 0.0, []
+        best = (float("inf"), [])
+        for i in range(1, len(name) + 1):
+            cost = s.cost.get(name[:i], s.unknown if i == 1 else None)
+            if cost is not None:
+                rest, words = brute(name[i:])
+                best = min(best, (cost + rest, [name[:i], *words]))
+        return best
+
+    for name in ("newspapers", "spaper", "perspa", "xnewxs"):
+        total = sum(s.cost.get(w, s.unknown) for w in s.split(name))
+        assert total == pytest.approx(brute(name)[0])
+
+
+def test_url_filter(spark, sf):
+    got = U.op4_url_filter(spark, sf).collect()
+    verdicts = {r: v for v, r in U.RULES}
+    assert all(r.verdict == verdicts[r.rule] for r in got if r.rule)
+    assert {r.verdict for r in got} == {"allow", "block"}
+    pages = [(i, f"http://{h}.example.{t}/{p}/{i}") for i, (h, t, p) in enumerate([("casinowin", "com", "de"), ("gardennews", "org", "en")] * 40)]
+    pages += [(900, "http://casinowinbig.net/x"), (901, "http://gardennewsdaily.net/x"), (902, None), (903, "no url"), (None, "http://a.org/x"), (900, "http://casinowinbig.net/x")]
+    df = spark.createDataFrame([(i, u, "casino win big garden news daily " * 3, "h", None) for i, u in pages], "page_id long, url string, html string, host string, path string")
+    got = U.filter_urls(df).collect()
+    assert len(got) == len(pages)
+    by = {r.page_id: r for r in got}
+    assert by[900].verdict == "block" and by[901].verdict == "allow" and by[902].host == "" and by[903].path == "" and by[None].rule == "org/"
+    assert U.filter_urls(df.limit(0)).count() == 0
+    assert {r.verdict for r in U.filter_urls(df.filter("page_id in (900, 901, 902)")).collect()} == {"allow"}
+
+
+PAGE = """<!DOCTYPE html><html><head><title>No &amp; title</title><style>p{}</style><script>var x = "<p>no</p>";</script></head><body class="home">
+<header><h2>Site name</h2></header><nav class=menu><ul><li><a href="/">Home</a></li><li><a>News</a></li></ul></nav><div class="ad">Buy now, many good words in this advert</div>
+<div id='cookie-notice'>We use cookies on this site and ask you to agree with that.</div><!-- <p>hidden</p> -->
+<main><article><header><h1>A title &lt;here&gt;</h1></header><p>First <b>bold</b> and<br>a <a href="#">link</a>&nbsp;end.<p>Second&#33; &eacute;t&eacute;
+  over
+  lines</p><div class="text">Third in a div</div><aside>Side words that go on for a while and do not belong here at all</aside>
+<form><label>Your mail</label><input name=q><button>Send</button></form><ul><li>Point one</li><li>Point two</li></ul><noscript>no script</noscript>
+<section class="comments"><h3>Comments</h3><p>A reader says a lot of words here about the article above.</p></section><p>Last &copy words</p></article></main>
+<div class="sidebar">Other stories of the day that nobody reads</div><footer><p>Footer words &copy; 2020</p></footer></body></html>"""
+
+
+def test_html_page():
+    text, _, _ = H.main_text(PAGE, H.trained())
+    assert text.split("\n\n") == ["A title <here>", "First bold and a link end.", "Second! été over lines", "Third in a div", "Point one", "Point two", "Last © words"]
+
+
+@pytest.mark.parametrize("page,want", [
+    (None, ""), ("", ""), ("<article><p>Cut off <b", "Cut off"), ("<article>a < b &am <p>x</article>", "a < b &am\n\nx"), ("<article><p>A<script>if(a<b)", "A"),
+    ("<nav>menu <p>of words", ""), ("<!-- only", ""), ("<article><p>one</p><!-- x --><p>two &#x41;&amp;lt;</p>", "one\n\ntwo A&lt;"),
+    ("<article><p title='a > b'>quoted</p></article><footer>f</footer>", "quoted"), ("<ARTICLE><P>Upper</P></ARTICLE>", "Upper"),
+    ("<article><p>" + "long " * 5000 + "</p></article>", ("long " * 5000).strip()),
+])
+def test_html_odd_pages(page, want):
+    assert H.main_text(page, H.trained())[0] == want
+
+
+def test_html_without_article_uses_words_and_links():
+    body = "<div><p>{}</p><p>{}</p></div>".format("Words of a long paragraph " * 10, "More words that follow it " * 9)
+    page = "<body><div><a>Home</a></div><div><a>About us</a> <a>Contact</a></div>" + body + "<div><a>Next</a></div></body>"
+    text, blocks, kept = H.main_text(page, H.trained())
+    assert kept == 2 and blocks == 5 and text.startswith("Words of")
+
+
+def test_html_table(spark, sf):
+    got = H.op7_html_text(spark, sf).collect()
+    assert len(got) == spark.read.parquet(f"{sf}/pages.parquet").count()
+    assert all(r.n_chars == len(r.text) > 0 for r in got)
+    odd = spark.createDataFrame([(1, None, None, 5), (1, None, None, 5), (None, "u", "<article><p>x</p>", 6)], "page_id long, url string, html string, text int")
+    rows = H.extract(odd).collect()
+    assert sorted((r.text, r.n_chars) for r in rows) == [("", 0), ("", 0), ("x", 1)]
+    assert H.extract(odd.limit(0)).count() == 0
