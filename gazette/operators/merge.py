@@ -23,7 +23,8 @@ def merge_upsert(target: DataFrame, updates: DataFrame, key: str,
     """INSERT ... ON CONFLICT (key) DO UPDATE SET update_cols.
 
     Matched keys take ``update_cols`` from the update and keep every other
-    column (e.g. published_at, created_at) from the target; new keys are
+    column (e.g. published_at, created_at, columns that updates lack) from
+    the target; new keys are
     inserted whole; untouched keys pass through.  Several updates for one
     key apply in ``order`` and the last one wins, which equals keeping the
     first row under the reversed order.  One full-outer equi-join on the
@@ -37,9 +38,10 @@ def merge_upsert(target: DataFrame, updates: DataFrame, key: str,
     for c in target.columns:
         if c == key:
             cols.append(F.coalesce(F.col(f"u.{key}"), F.col(f"t.{key}")).alias(key))
-        elif c in update_cols or c not in updates.columns:
-            src = F.col(f"u.{c}") if c in updates.columns else F.lit(None)
-            cols.append(F.when(matched, src).otherwise(F.col(f"t.{c}")).alias(c))
+        elif c not in updates.columns:
+            cols.append(F.col(f"t.{c}").alias(c))    # target-only: kept, NULL on insert
+        elif c in update_cols:
+            cols.append(F.when(matched, F.col(f"u.{c}")).otherwise(F.col(f"t.{c}")).alias(c))
         else:
             # kept on update, taken from the update on insert
             cols.append(F.when(F.col(f"t.{key}").isNotNull(), F.col(f"t.{c}"))
@@ -76,10 +78,14 @@ def delete_log_diff(previous_ids: DataFrame, current_ids: DataFrame, at: Column,
 
     Merged into ``existing`` so that the first delete of an id wins.
     """
-    gone = (previous_ids.select(key).distinct()
-            .join(current_ids.select(key), key, "left_anti")
-            .select(F.col(key).cast("long").alias("article_id"),
-                    at.cast("timestamp_ntz").alias("deleted_at")))
+    gone = previous_ids.select(key).distinct().join(current_ids.select(key), key, "left_anti")
+    return delete_log_of(gone, at, existing, key)
+
+
+def delete_log_of(gone: DataFrame, at: Column, existing: DataFrame | None = None, key: str = "id") -> DataFrame:
+    """Delete-log rows of distinct removed ids (for sources that flag them),
+    merged into ``existing``."""
+    gone = gone.select(F.col(key).cast("long").alias("article_id"), at.cast("timestamp_ntz").alias("deleted_at"))
     if existing is None:
         return gone
     new = gone.join(existing.select("article_id"), "article_id", "left_anti")

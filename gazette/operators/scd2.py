@@ -25,7 +25,9 @@ def scd2_rebuild(versions: DataFrame, key: str, check: Sequence[str],
     is valid until the next history row opens.  Payload-only edits keep
     the open row; a return to an old value opens a new row.
 
-    ``order`` names the ascending order columns (NULL first).  With ``bucket`` (a value that never
+    ``order`` names the ascending order columns (NULL first).  A row ends at
+    the next known opening time, and is current if no row follows (a
+    superseded row may lack an end when no later time is known).  With ``bucket`` (a value that never
     decreases along ``order``, e.g. the day of ``valid_from``), the lag and
     lead windows run per (key, bucket) and the bucket edges are stitched
     from a one-row-per-(key, bucket) summary, so a key holding a third of
@@ -43,9 +45,9 @@ def _rebuild_per_key(versions, key, check, order, valid_from):
                                    "__first": F.row_number().over(w) == 1})
     opened = (lagged.filter(F.col("__first") | _changed(check, "__prev_"))
               .drop(*[f"__prev_{c}" for c in check], "__first"))
-    nxt = F.lead(valid_from).over(w)
-    return opened.withColumns({"valid_from": F.col(valid_from), "valid_to": nxt,
-                               "is_current": nxt.isNull()})
+    later = w.rowsBetween(1, Window.unboundedFollowing)
+    return opened.withColumns({"valid_from": F.col(valid_from), "valid_to": F.first(valid_from, ignorenulls=True).over(later),
+                               "is_current": F.lead(F.lit(1)).over(w).isNull()})
 
 
 def _order_struct(order: Sequence[str]) -> Column:
@@ -69,29 +71,34 @@ def _rebuild_bucketed(versions, key, check, order, valid_from, bucket):
         *[F.min_by(c, "__ord").alias(f"__first_{c}") for c in check],
         F.min_by("__vf", "__ord").alias("__first_vf"),
         F.min_by("__vf", F.when(F.col("__chg"), F.col("__ord"))).alias("__first_chg_vf"),
+        F.max("__chg").alias("__any_chg"),
     )
     wk = Window.partitionBy(key).orderBy("__b")          # one row per (key, bucket)
-    summ = summ.withColumns({"__has_prev": F.lag("__b").over(wk).isNotNull(),
+    summ = summ.withColumns({"__has_prev": F.row_number().over(wk) > 1,
                              **{f"__bprev_{c}": F.lag(f"__last_{c}").over(wk) for c in check}})
     opens_first = ~F.col("__has_prev")
     for c in check:
         opens_first = opens_first | ~F.col(f"__first_{c}").eqNullSafe(F.col(f"__bprev_{c}"))
     first_open = F.when(opens_first, F.col("__first_vf")).otherwise(F.col("__first_chg_vf"))
     summ = summ.withColumns({"__open_first": opens_first, "__first_open_vf": first_open})
-    summ = summ.withColumn("__next_open_vf", F.first("__first_open_vf", ignorenulls=True).over(
-        wk.rowsBetween(1, Window.unboundedFollowing)))
-
-    j = v.join(summ.select(key, "__b", "__open_first", "__next_open_vf"), [key, "__b"], "inner")
+    later = wk.rowsBetween(1, Window.unboundedFollowing)
+    summ = summ.withColumns({
+        "__next_open_vf": F.first("__first_open_vf", ignorenulls=True).over(later),
+        "__opens_later": F.coalesce(F.max(F.col("__open_first") | F.col("__any_chg")).over(later), F.lit(False))})
+
+    # NULL keys and NULL buckets (unknown times) are groups like any other
+    edges = summ.select(F.col(key).alias("__k"), F.col("__b").alias("__bb"), "__open_first", "__next_open_vf", "__opens_later")
+    j = v.join(edges, F.col(key).eqNullSafe(F.col("__k")) & F.col("__b").eqNullSafe(F.col("__bb")), "inner")
     opened = j.filter(F.when(F.col("__rn") == 1, F.col("__open_first")).otherwise(F.col("__chg")))
-    nxt = F.lead(valid_from).over(Window.partitionBy(key, "__b").orderBy(*order))
-    valid_to = F.coalesce(nxt, F.col("__next_open_vf"))
-    out = opened.withColumns({"valid_from": F.col(valid_from), "valid_to": valid_to,
-                              "is_current": valid_to.isNull()})
+    wo = Window.partitionBy(key, "__b").orderBy(*order)
+    nxt = F.first(valid_from, ignorenulls=True).over(wo.rowsBetween(1, Window.unboundedFollowing))
+    out = opened.withColumns({"valid_from": F.col(valid_from), "valid_to": F.coalesce(nxt, F.col("__next_open_vf")),
+                              "is_current": F.lead(F.lit(1)).over(wo).isNull() & ~F.col("__opens_later")})
     return out.drop(*[c for c in out.columns if c.startswith("__")])
 
 
 def scd2_current(history: DataFrame) -> DataFrame:
-    return history.filter(F.col("valid_to").isNull())
+    return history.filter("is_current")
 
 
 def scd2_as_of(history: DataFrame, at: Column) -> DataFrame:

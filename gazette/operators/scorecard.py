@@ -50,29 +50,37 @@ def _finish(counts: DataFrame, run_keys: Sequence[str], run_at: Column | None,
     )
 
 
+def survivor_code(time: Column, tie: Column | None, valid: Column) -> Column:
+    """(time, tie, valid bit) as one number in the clean step's order: years 1
+    to 9999 in microseconds, shifted to be positive, NULL above all; the tie
+    (a long) fills 64 bits below, the valid bit is the last."""
+    micros = F.coalesce(F.unix_micros(time.cast("timestamp")) + F.lit(63 * 10**15), F.lit(9 * 10**17))
+    low = (tie if tie is not None else F.lit(0)).cast("long").cast("decimal(20,0)") + F.expr(f"{2**63}BD")
+    return (micros.cast("decimal(18,0)") * F.expr(f"{2**65}BD") + low * 2 + valid).cast("decimal(38,0)")
+
+
 def scorecard(raw: DataFrame, allow: Sequence[str] = S.VALID_CATEGORIES,
-              run_keys: Sequence[str] = (), order: Column | None = None,
+              run_keys: Sequence[str] = (), tie: Column | None = None,
               run_at: Column | None = None, table_name: str = S.TABLE_NAME,
               data_source: str = S.DATA_SOURCE, key: str = "id") -> DataFrame:
     """One scorecard row per run (``run_keys``), in a single pass over raw.
 
     Two partial-aggregated levels replace the seven separate counts: first
-    per (run, id), which also decides the clean survivor (``max_by`` over
-    ``order``, the same order the clean step uses), then per run.  Both
-    levels combine map-side, so a hot id or a huge run shuffles one row per
-    map task, never its rows.  ``order`` must be a sortable expression
-    whose maximum is the clean survivor.
+    per (run, id), which also decides the clean survivor (latest
+    ``updated_at``, NULL as latest, then the largest ``tie``: the order the
+    clean step uses), then per run.  Both levels combine map-side, so a hot
+    id or a huge run shuffles one row per map task, never its rows.  Time,
+    tie and valid bit are one DECIMAL(38,0), whose maximum stays a hash
+    aggregate (a struct maximum would sort all rows).
     """
-    if order is None:
-        order = F.struct(F.col("updated_at").isNull(), F.col("updated_at"))
     valid = _flag(F.col("category").isin(*allow))
     per_id = raw.groupBy(*run_keys, key).agg(
         F.count(F.lit(1)).alias("n"),
         F.sum(_flag(F.col("author_name").isNull())).alias("null_author"),
         F.sum(_flag(F.col("published_at") <= F.col("updated_at"))).alias("accurate"),
         F.sum(_flag(F.col("updated_at") >= F.col("created_at"))).alias("timely"),
-        F.max_by(valid, order).alias("valid_clean"),
-    )
+        F.max(survivor_code(F.col("updated_at"), tie, valid)).alias("survivor"),
+    ).withColumn("valid_clean", (F.col("survivor") % 2).cast("int"))
     counts = per_id.groupBy(*run_keys).agg(
         F.coalesce(F.sum("n"), F.lit(0)).alias("total"),
         F.sum("null_author").alias("null_author"),

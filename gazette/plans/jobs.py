@@ -1,7 +1,10 @@
 """Scheduled jobs as Spark functions over storage paths.
 
 * ``hourly_run``: watermark -> window extract -> landing -> advance the
-  watermark -> clean + scorecard -> raw table -> drift alerts.
+  watermark -> every landed run not yet in raw: clean + scorecard -> raw
+  table -> drift alerts.
+* ``snapshot_run``: the deduplicated model into the stored Type 2 history.
+* ``report_run``: a run's rows per category next to the totals.
 * ``scrape_run``: feed payload pages -> flatten (first seen, take-while on
   the scraper watermark) -> upsert into the source table -> watermark.
 * ``delete_articles`` / ``delete_sync``: hard deletes in the source become
@@ -29,8 +32,10 @@ from gazette.operators.clean import clean
 from gazette.operators.drift import drift_alerts
 from gazette.operators.incremental import incremental_extract, read_watermark
 from gazette.operators.merge import advance_watermark, delete_log_diff, merge_upsert
+from gazette.operators.scd2 import scd2_init, scd2_merge
 from gazette.operators.scorecard import scorecard
 from gazette.plans.models import Models, stamp_load
+from gazette.plans.serving import scrape_report
 from gazette.sources import tables as TB
 from gazette.sources import versioned
 from gazette.sources.payload import flatten_feed
@@ -75,6 +80,10 @@ class Lake:
     def delete_log(self) -> str:
         return self._p("source", "article_deleted")
 
+    @property
+    def snapshots(self) -> str:
+        return self._p("dwh", "snap_articles")
+
     @property
     def marts(self) -> str:
         return self._p("marts")
@@ -90,14 +99,15 @@ def survivor_order() -> list[Column]:
     return [F.col("updated_at").desc_nulls_first(), _row_hash(S.ARTICLE_COLUMNS).desc()]
 
 
-def survivor_key() -> Column:
-    """The same order as one comparable value (max = survivor)."""
-    return F.struct(F.col("updated_at").isNull(), F.col("updated_at"), _row_hash(S.ARTICLE_COLUMNS))
+def _state(spark: SparkSession, lake: Lake, pipeline: str) -> DataFrame:
+    """State of one pipeline.  Every pipeline has a pointer of its own, so
+    two jobs that run at once can't undo each other's watermark."""
+    cur = versioned.read_current(spark, f"{lake.watermark}/{pipeline}", S.WATERMARK)
+    return cur if cur is not None else spark.createDataFrame([], S.WATERMARK)
 
 
-def _state(spark: SparkSession, lake: Lake) -> DataFrame:
-    cur = versioned.read_current(spark, lake.watermark, S.WATERMARK)
-    return cur if cur is not None else spark.createDataFrame([], S.WATERMARK)
+def _save_state(state: DataFrame, lake: Lake, pipeline: str) -> None:
+    versioned.publish(state.filter(F.col("pipeline_name") == pipeline), f"{lake.watermark}/{pipeline}")
 
 
 def _run_filter(df: DataFrame, run_ts: dt.datetime) -> DataFrame:
@@ -115,7 +125,7 @@ def run_clean(spark: SparkSession, landed: DataFrame, cleaned_root: str, run_ts:
     cleaned = clean(rows, allow=allow, keys=["id"], order=survivor_order())
     cleaned = cleaned.withColumn("content_length", F.length("content").cast("long"))
     TB.write_landing(cleaned, cleaned_root, run_ts)
-    sc = scorecard(rows, allow=allow, order=survivor_key(), table_name=table_name,
+    sc = scorecard(rows, allow=allow, tie=_row_hash(S.ARTICLE_COLUMNS), table_name=table_name,
                    run_at=F.lit(run_ts).cast("timestamp_ntz"))
     back = _run_filter(TB.read_lake(spark, cleaned_root, T.StructType(
         S.ARTICLE.fields + [T.StructField("is_hard_deleted", T.BooleanType()),
@@ -128,29 +138,51 @@ class RunResult:
     landed: bool
     since: dt.datetime | None = None
     alerts: DataFrame | None = None
+    loaded: tuple[dt.datetime, ...] = ()
+
+
+def pending_runs(spark: SparkSession, lake: Lake) -> list[dt.datetime]:
+    """Landed runs that the raw table lacks, oldest first: an anti join on
+    partition values, a handful of rows (normally the run just landed)."""
+    missing = TB.runs_of(spark, lake.landing).join(TB.runs_of(spark, lake.raw), ["dt", "run"], "left_anti")
+    return [dt.datetime.strptime(f"{r['dt']} {r['run']}", "%Y-%m-%d %H%M%S") for r in missing.orderBy("dt", "run").collect()]
+
+
+def load_run(spark: SparkSession, lake: Lake, run_ts: dt.datetime, allow: Sequence[str] = S.VALID_CATEGORIES) -> None:
+    """Clean a landed run, score it and append it to the raw table.  The raw
+    partition is written last: until it stands, the run counts as pending and
+    every write here replaces its own earlier output."""
+    landed = _run_filter(TB.read_lake(spark, lake.landing, S.ARTICLE), run_ts)
+    cleaned, sc = run_clean(spark, landed, lake.cleaned, run_ts, allow)
+    (TB.with_run_partition(sc, run_ts).write.mode("overwrite")
+     .option("partitionOverwriteMode", "dynamic").partitionBy("dt", "run").json(lake.scorecards))
+    TB.write_landing(TB.conform(stamp_load(cleaned, F.lit(run_ts)), RAW_SCHEMA), lake.raw, run_ts)
 
 
 def hourly_run(spark: SparkSession, lake: Lake, source: DataFrame, extraction_ts: dt.datetime,
                allow: Sequence[str] = S.VALID_CATEGORIES, pipeline: str = "articles_etl_hourly",
                lookback: dt.timedelta | None = None) -> RunResult:
-    """One ingestion run.  An empty window writes nothing and leaves the
-    watermark in place; the watermark moves only after the landing write,
-    and everything after it can be replayed from the landed run."""
-    state = _state(spark, lake)
+    """One ingestion run.
+
+    An empty window lands nothing and leaves the watermark in place; the
+    watermark moves only after the landing write.  Then every landed run that
+    the raw table lacks is loaded, whatever the watermark says, so a run that
+    died after any write is completed by the next one.  Run times are whole
+    seconds (the lake's partition values hold no more).
+    """
+    extraction_ts = extraction_ts.replace(microsecond=0)
+    state = _state(spark, lake, pipeline)
     rows, new_state, since = incremental_extract(source, state, pipeline, extraction_ts, lookback)
     rows = TB.conform(rows, S.ARTICLE)
-    if rows.isEmpty():
-        return RunResult(landed=False, since=since)
-    TB.write_landing(rows, lake.landing, extraction_ts)
-    versioned.publish(new_state, lake.watermark)
-    landed = _run_filter(TB.read_lake(spark, lake.landing, S.ARTICLE), extraction_ts)
-    cleaned, sc = run_clean(spark, landed, lake.cleaned, extraction_ts, allow)
-    raw = TB.conform(stamp_load(cleaned, F.lit(extraction_ts)), RAW_SCHEMA)
-    TB.write_landing(raw, lake.raw, extraction_ts)
-    (TB.with_run_partition(sc, extraction_ts).write.mode("overwrite")
-     .option("partitionOverwriteMode", "dynamic").partitionBy("dt", "run").json(lake.scorecards))
-    alerts = drift_alerts(read_scorecards(spark, lake))
-    return RunResult(landed=True, since=since, alerts=alerts)
+    landed = not rows.isEmpty()
+    if landed:
+        TB.write_landing(rows, lake.landing, extraction_ts)
+        _save_state(new_state, lake, pipeline)
+    loaded = pending_runs(spark, lake)
+    for run_ts in loaded:
+        load_run(spark, lake, run_ts, allow)
+    alerts = drift_alerts(read_scorecards(spark, lake)) if loaded else None
+    return RunResult(landed=landed, since=since, alerts=alerts, loaded=tuple(loaded))
 
 
 def read_scorecards(spark: SparkSession, lake: Lake) -> DataFrame:
@@ -166,43 +198,102 @@ def build_models(spark: SparkSession, lake: Lake, respect_time: bool = False) ->
     return Models(raw, log, read_scorecards(spark, lake), respect_time=respect_time)
 
 
+SNAPSHOT_CHECK = ("title", "category")
+SNAPSHOT_COLUMNS = ("article_id", "title", "category", "author_id", "updated_at")
+
+
+def snapshot_run(spark: SparkSession, lake: Lake, deduped: DataFrame, at: dt.datetime) -> DataFrame:
+    """One Type 2 snapshot of the deduplicated model into the stored history
+    (strategy check on title and category).  A run that repeats finds its own
+    rows unchanged and adds nothing.  Returns the stored history."""
+    snapshot = deduped.select(*SNAPSHOT_COLUMNS)
+    moment = F.lit(at).cast("timestamp_ntz")
+    history = versioned.read_current(spark, lake.snapshots)
+    new = scd2_init(snapshot, moment) if history is None else scd2_merge(history, snapshot, "article_id", SNAPSHOT_CHECK, moment)
+    versioned.publish(new, lake.snapshots)
+    return versioned.read_current(spark, lake.snapshots)
+
+
+def report_run(spark: SparkSession, lake: Lake, run_ts: dt.datetime) -> DataFrame:
+    """The run's rows per category next to the all-time totals."""
+    batch = _run_filter(TB.read_lake(spark, lake.raw, RAW_SCHEMA), run_ts)
+    return scrape_report(batch, build_models(spark, lake).fct)
+
+
 # --- source side: scrape + upsert, hard deletes ----------------------------------
 
+SOURCE_BUCKETS = 64
+
+
+def _bucket(col: str = "id") -> Column:
+    return F.pmod(F.xxhash64(col), F.lit(SOURCE_BUCKETS)).cast("int")
+
+
 def _source(spark: SparkSession, lake: Lake) -> DataFrame:
-    cur = versioned.read_current(spark, lake.source, S.ARTICLE)
-    return cur if cur is not None else spark.createDataFrame([], S.ARTICLE)
+    """The source table: each hash bucket's current version, in one scan."""
+    paths = _bucket_paths(spark, lake)
+    return spark.read.schema(S.ARTICLE).parquet(*paths.values()) if paths else spark.createDataFrame([], S.ARTICLE)
+
+
+def _bucket_paths(spark: SparkSession, lake: Lake) -> dict[int, str]:
+    """Current path of each bucket (at most SOURCE_BUCKETS small rows)."""
+    manifest = versioned.read_current(spark, lake.source, "bucket int, path string")
+    return {r["bucket"]: r["path"] for r in manifest.collect()} if manifest is not None else {}
+
+
+def save_source(rows: DataFrame, lake: Lake, buckets: Sequence[int] | None = None) -> None:
+    """Write the given buckets (all by default) as a new version and publish a
+    manifest that names each bucket's files; the other buckets' files stay."""
+    spark = rows.sparkSession
+    path = versioned.new_version(f"{lake.source}/files")
+    named = {b: p for b, p in _bucket_paths(spark, lake).items() if buckets is not None and b not in buckets}
+    (TB.conform(rows, S.ARTICLE).withColumn("bucket", _bucket()).repartition("bucket")
+     .write.partitionBy("bucket").parquet(path))
+    named |= {r["bucket"]: f"{path}/bucket={r['bucket']}" for r in rows.select(_bucket().alias("bucket")).distinct().collect()}
+    versioned.publish(spark.createDataFrame(sorted(named.items()), "bucket int, path string").coalesce(1), lake.source)
 
 
 def scrape_run(spark: SparkSession, lake: Lake, pages: DataFrame,
-               pipeline: str = "kumparan_scraper") -> int:
+               pipeline: str = "feed_scraper") -> int:
     """Upsert one scrape's feed pages into the source table.
 
-    Returns 1 when something was upserted, 0 for an empty feed.  The
-    watermark becomes the newest publish time among the scraped rows.
+    Returns 1 when something was upserted, 0 for an empty feed.  Only the
+    hash buckets that hold scraped ids are read and rewritten.  The parsed
+    rows are written once.  The watermark becomes the newest publish time
+    among them, and stays if none is known.
     """
-    state = _state(spark, lake)
+    state = _state(spark, lake, pipeline)
     since = read_watermark(state, pipeline)
-    rows = flatten_feed(pages, since=F.lit(since).cast("timestamp_ntz"))
-    if rows.isEmpty():
+    parsed = flatten_feed(pages, since=F.lit(since).cast("timestamp_ntz"))
+    path = versioned.new_version(f"{lake.source}/scraped")
+    parsed.write.parquet(path)
+    rows = spark.read.schema(parsed.schema).parquet(path)
+    touched = [r["b"] for r in rows.select(_bucket().alias("b")).distinct().collect()]   # at most SOURCE_BUCKETS
+    if not touched:
         return 0
     order = [F.col("feed_id").desc(), F.col("page").desc(), F.col("pos").desc()]   # last in feed wins
     updates = rows.select(*S.ARTICLE_COLUMNS, "feed_id", "page", "pos")
-    merged = merge_upsert(_source(spark, lake), updates, "id", UPDATE_COLUMNS, order=order)
-    newest = rows.agg(F.max("published_at").alias("last_updated_at"))
-    versioned.publish(TB.conform(merged, S.ARTICLE), lake.source)
-    upd = newest.select(F.lit(pipeline).alias("pipeline_name"), "last_updated_at",
-                        F.col("last_updated_at").alias("written_at"))
-    versioned.publish(advance_watermark(state, upd), lake.watermark)
+    paths = [p for b, p in _bucket_paths(spark, lake).items() if b in touched]
+    target = spark.read.schema(S.ARTICLE).parquet(*paths) if paths else spark.createDataFrame([], S.ARTICLE)
+    merged = merge_upsert(target, updates, "id", UPDATE_COLUMNS, order=order)
+    save_source(merged, lake, touched)
+    newest = rows.agg(F.max("published_at")).first()[0]
+    if newest is not None:
+        upd = spark.createDataFrame([(pipeline, newest, newest)], S.WATERMARK)
+        _save_state(advance_watermark(state, upd), lake, pipeline)
     return 1
 
 
 def delete_articles(spark: SparkSession, lake: Lake, ids: DataFrame, at: dt.datetime) -> None:
     """Hard-delete ids from the source and record them in the delete log
-    (the snapshot diff between the source versions; first delete wins)."""
-    before = _source(spark, lake)
-    after = before.join(ids.select("id").distinct(), "id", "left_anti")
-    versioned.publish(after, lake.source)
-    delete_sync(spark, lake, before, _source(spark, lake), at)
+    (first delete wins).  The log is published first: if the job dies between
+    the two, the deletes are known and a repeat removes the rows."""
+    source = _source(spark, lake)
+    gone = ids.select("id").distinct().join(source.select("id"), "id", "left_semi")
+    delete_sync(spark, lake, source, source.join(gone, "id", "left_anti"), at)
+    touched = [r["b"] for r in gone.select(_bucket().alias("b")).distinct().collect()]
+    if touched:
+        save_source(source.filter(_bucket().isin(touched)).join(gone, "id", "left_anti"), lake, touched)
 
 
 def delete_sync(spark: SparkSession, lake: Lake, previous: DataFrame, current: DataFrame,

@@ -12,7 +12,7 @@ from gazette import schemas as S
 from gazette.functions.dates import date_parts, date_spine, published_date
 from gazette.operators.clean import clean
 from gazette.operators.dedupe import latest_per_key
-from gazette.operators.merge import apply_tombstones, delete_log_diff
+from gazette.operators.merge import apply_tombstones, delete_log_of
 from gazette.operators.scorecard import scorecard
 from gazette.sources import fixtures as fx
 
@@ -62,13 +62,19 @@ def fct_articles(deduped: DataFrame) -> DataFrame:
 
 
 def int_author_activity(deduped: DataFrame) -> DataFrame:
-    """Per-author roll-up; NULL author is its own group (hash aggregate with
-    map-side partial aggregation, so a hot author costs one row per task)."""
-    return deduped.groupBy("author_id").agg(
-        F.max("author_name").alias("author_name"),
-        F.count(F.lit(1)).alias("total_articles"),
-        F.min("published_date").alias("first_published_date"),
-        F.max("published_date").alias("last_published_date"),
+    """Per-author roll-up; NULL author is its own group.
+
+    All rows meet hash aggregates only: first per (author, name), combined in
+    the map tasks, so a hot author costs one row per task and name; then per
+    author over those few rows, where the largest name is taken (a string
+    maximum over all rows would sort them)."""
+    per_name = deduped.groupBy("author_id", "author_name").agg(
+        F.count(F.lit(1)).alias("n"), F.min("published_date").alias("lo"), F.max("published_date").alias("hi"))
+    return per_name.groupBy("author_id").agg(
+        F.array_max(F.collect_set("author_name")).alias("author_name"),
+        F.sum("n").alias("total_articles"),
+        F.min("lo").alias("first_published_date"),
+        F.max("hi").alias("last_published_date"),
     )
 
 
@@ -190,13 +196,14 @@ class Warehouse(Models):
 
     @cached_property
     def delete_log(self) -> DataFrame:
-        ids = fx.article_ids(self.articles)
-        return delete_log_diff(ids, fx.current_ids(ids), at=fx.snapshot_time(self.spark, self.sf_dir))
+        """The fixture's source flags the ids its current snapshot lacks, so
+        one pass over the two id columns gives the log."""
+        ids = fx.article_ids(self.spark, self.sf_dir)
+        return delete_log_of(ids.filter("removed"), at=fx.snapshot_time(self.spark, self.sf_dir))
 
     @cached_property
     def scorecards(self) -> DataFrame:
         """One scorecard per daily run; the run fires when its day closes."""
-        order = F.struct(F.col("updated_at").isNull(), F.col("updated_at"), F.col("seq"))
-        sc = scorecard(self.batched, allow=fx.FIXTURE_CATEGORIES, run_keys=["batch"], order=order,
+        sc = scorecard(self.batched, allow=fx.FIXTURE_CATEGORIES, run_keys=["batch"], tie=F.col("seq"),
                        run_at=F.col("batch").cast("timestamp_ntz") + F.expr("INTERVAL 1 DAY"))
         return sc.drop("batch")

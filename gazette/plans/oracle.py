@@ -29,7 +29,7 @@ def _dim(num: str, den: str) -> str:
 # name -> (dependencies, body)
 CTES: dict[str, tuple[list[str], str]] = {
     "articles": ([], f"""
-        SELECT e.event_id AS seq, d.doc_id AS id, left(d.text, {fx.TITLE_CHARS}) AS title, d.text AS content,
+        SELECT e.event_id AS seq, d.doc_id AS id, split_part(d.text, chr(10), 1) AS title, d.text AS content,
                CASE WHEN e.event_id % 17 = 0 THEN NULL ELSE e.user_id END AS author_id,
                CASE WHEN e.event_id % 20 = 0 THEN NULL ELSE c.c_name END AS author_name,
                e.event_type AS category, e.ts AS published_at,

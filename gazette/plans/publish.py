@@ -1,8 +1,8 @@
 """Write-audit-publish for the marts.
 
 Models are written to a new version directory in the shared folder, the
-data tests run against those files, and the version pointer moves only
-when no error-severity check fails.  A failed audit leaves the previously
+data tests run against those files, and one pointer record publishes them
+all when no blocking check fails.  A failed audit leaves the previously
 published marts in place (the source system tested after publishing).
 """
 
@@ -10,11 +10,12 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gazette import schemas as S
 from gazette.operators import checks as CK
+from gazette.plans import models as M
 from gazette.plans.models import Models
 from gazette.sources import versioned
 
@@ -29,23 +30,49 @@ class AuditResult:
 
 
 def stage_models(wh: Models, root: str) -> dict[str, DataFrame]:
-    """Write every mart model once (tables cut the lineage) and return
-    DataFrames over the written files."""
+    """Write every mart model once below ``root`` and return DataFrames over
+    the written files.  The fact table and the dimensions are built from the
+    written dedupe table, so raw is read and deduplicated once.
+
+    Facts are stored by month and sorted by category and id, so a category or
+    date filter and an id range prune files and row groups."""
     spark = wh.spark
-    build = {"int_articles_deduped": wh.deduped, "fct_articles": wh.fct, "dim_author": wh.dim_author,
-             "dim_date": wh.dim_date, "mart_dq_scorecard": wh.mart_dq_scorecard}
-    out = {}
-    for name in MART_MODELS:
-        path = f"{root}/{name}"
-        build[name].write.mode("overwrite").parquet(path)
-        out[name] = spark.read.parquet(path)
-    return out
+
+    def put(name: str, df: DataFrame, by: list[str] | None = None) -> DataFrame:
+        writer = df.write.mode("errorifexists")
+        (writer.partitionBy(*by) if by else writer).parquet(f"{root}/{name}")
+        return spark.read.schema(df.schema).parquet(f"{root}/{name}").drop(*(by or []))
+
+    deduped = put("int_articles_deduped", wh.deduped)
+    fct = M.fct_articles(deduped).withColumn("month", F.date_format("date_day", "yyyy-MM"))
+    laid_out = fct.repartitionByRange("month", "category", "article_id").sortWithinPartitions("month", "category", "article_id")
+    return {
+        "int_articles_deduped": deduped,
+        "fct_articles": put("fct_articles", laid_out, ["month"]),
+        "dim_author": put("dim_author", M.dim_author(deduped)),
+        "dim_date": put("dim_date", M.dim_date(deduped)),
+        "mart_dq_scorecard": put("mart_dq_scorecard", wh.mart_dq_scorecard),
+    }
+
+
+def read_mart(spark: SparkSession, root: str, name: str) -> DataFrame | None:
+    """A model of the published version; all models come from one run."""
+    path = versioned.current_path(spark, root)
+    return None if path is None else spark.read.parquet(f"{path}/{name}").drop("month") if name == "fct_articles" else spark.read.parquet(f"{path}/{name}")
 
 
-def audit(staged: dict[str, DataFrame], raw: DataFrame, as_of) -> list[CK.Check]:
+def audit(staged: dict[str, DataFrame], raw: DataFrame, as_of, stg: DataFrame) -> list[CK.Check]:
+    """All data tests: staging, facts, dimensions, singular tests, freshness.
+    Staging keeps every version of an article, so its unique test warns."""
     d, fct = staged["int_articles_deduped"], staged["fct_articles"]
     da, dd = staged["dim_author"], staged["dim_date"]
     return [
+        CK.Check("unique", "stg_articles", "article_id", "warn", CK.check_unique(stg, "article_id")),
+        CK.not_null("stg_articles", stg, "article_id"),
+        CK.not_null("stg_articles", stg, "title"),
+        CK.not_null("stg_articles", stg, "published_at"),
+        CK.Check("accepted_values", "stg_articles", "category", "warn",
+                 CK.check_accepted_values(stg, "category", S.VALID_CATEGORIES)),
         CK.Check("unique", "fct_articles", "article_id", "error", CK.check_unique(fct, "article_id")),
         CK.not_null("fct_articles", fct, "article_id"),
         CK.not_null("fct_articles", fct, "author_id"),
@@ -69,16 +96,20 @@ def audit(staged: dict[str, DataFrame], raw: DataFrame, as_of) -> list[CK.Check]
 def write_audit_publish(wh: Models, root: str, as_of, blocking: set[str] | None = None) -> AuditResult:
     """Stage, audit, and publish when no blocking check fails.
 
-    ``blocking`` names the checks whose failure stops the publish (default:
-    every error-severity check).  Only the one-row-per-check summary
-    reaches the driver.
+    ``blocking`` names what stops the publish, as ``check`` or
+    ``check:model.column`` (default: every error-severity check).  Each run
+    stages below a path of its own, and one pointer record publishes all
+    models together.  Only the one-row-per-check summary reaches the driver.
     """
-    stage_root = f"{root.rstrip('/')}/_staging"
-    staged = stage_models(wh, stage_root)
-    summary = CK.summarize(audit(staged, wh.raw, as_of))
-    bad = summary.filter((F.col("status") == "fail") &
-                         (F.col("check_name").isin(*blocking) if blocking else F.lit(True)))
-    if not bad.isEmpty():
+    path = versioned.new_version(root)
+    staged = stage_models(wh, path)
+    summary = CK.summarize(audit(staged, wh.raw, as_of, wh.stg))
+    name = F.col("check_name")
+    full = F.concat(name, F.lit(":"), F.col("model"), F.lit("."), F.coalesce("column_name", F.lit("")))
+    stops = F.lit(True) if blocking is None else name.isin(*blocking) | full.isin(*blocking)
+    rows = summary.collect()     # one row per check
+    summary = wh.spark.createDataFrame(rows, summary.schema)
+    if not summary.filter((F.col("status") == "fail") & stops).isEmpty():
         return AuditResult(summary, False, {})
-    version = {name: versioned.publish(df, f"{root.rstrip('/')}/{name}") for name, df in staged.items()}
-    return AuditResult(summary, True, version)
+    versioned.point(wh.spark, root, path)
+    return AuditResult(summary, True, {name: f"{path}/{name}" for name in MART_MODELS})

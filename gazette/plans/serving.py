@@ -44,9 +44,13 @@ def articles_page(fct: DataFrame, limit: int = S.PAGE_DEFAULT, offset: int = 0,
 
 def articles_after(fct: DataFrame, after_day: Any, after_id: int, limit: int = S.PAGE_DEFAULT) -> DataFrame:
     """Keyset page: the ``limit`` rows following (after_day, after_id) in
-    page order; the filter prunes row groups instead of skipping rows."""
+    page order; the filter prunes row groups instead of skipping rows.  A
+    NULL day stands first, so after it come its larger ids and all days."""
     d, i = F.col("date_day"), F.col("article_id")
-    after = (d < F.lit(after_day)) | ((d == F.lit(after_day)) & (i > F.lit(after_id)))
+    if after_day is None:
+        after = d.isNotNull() | (i > F.lit(after_id))
+    else:
+        after = (d < F.lit(after_day)) | ((d == F.lit(after_day)) & (i > F.lit(after_id)))
     return fct.filter(after).select(*PAGE_COLUMNS).orderBy(*page_order()).limit(limit)
 
 
@@ -66,9 +70,10 @@ def top_authors(dim_author: DataFrame, limit: int = 10, offset: int = 0) -> Data
 # --- scorecard serving -----------------------------------------------------
 
 def dq_history(scorecards: DataFrame, n: int = S.HISTORY_DEFAULT) -> DataFrame:
-    """Newest ``n`` scorecards (n=1 is the latest); the API allows 1..100."""
+    """Newest ``n`` scorecards (n=1 is the latest); the API allows 1..100.
+    Runs of one time are ordered by table and source."""
     _bounded(n, 1, S.HISTORY_MAX, "n")
-    return scorecards.orderBy(F.col("run_at").desc()).limit(n)
+    return scorecards.orderBy(F.col("run_at").desc(), "table_name", "data_source").limit(n)
 
 
 def dq_trend(scorecards: DataFrame, goal: float = S.DQ_THRESHOLD) -> DataFrame:
@@ -118,16 +123,17 @@ def scrape_report(batch: DataFrame, fct: DataFrame) -> DataFrame:
 
 
 def articles_over_time(fct: DataFrame) -> DataFrame:
-    """Counts per day, ISO week and month in one scan: each fact row fans
-    out to its three buckets, then one partial-aggregated group-by."""
+    """Counts per day, ISO week and month: facts are counted per day, then
+    each day's count fans out to its three buckets."""
+    per_day = fct.groupBy("date_day").agg(F.count(F.lit(1)).alias("n"))
     d = F.col("date_day")
     buckets = F.array(
         F.struct(F.lit("day").alias("grain"), d.alias("bucket")),
         F.struct(F.lit("week").alias("grain"), F.trunc(d, "week").alias("bucket")),
         F.struct(F.lit("month").alias("grain"), F.trunc(d, "month").alias("bucket")),
     )
-    return (fct.select(F.explode(buckets).alias("b")).select("b.grain", "b.bucket")
-            .groupBy("grain", "bucket").agg(F.count(F.lit(1)).alias("n_articles")))
+    return (per_day.select(F.explode(buckets).alias("b"), "n").select("b.grain", "b.bucket", "n")
+            .groupBy("grain", "bucket").agg(F.sum("n").alias("n_articles")))
 
 
 def star_join_rollup(fct: DataFrame, dim_author: DataFrame, dim_date: DataFrame) -> DataFrame:
@@ -138,8 +144,11 @@ def star_join_rollup(fct: DataFrame, dim_author: DataFrame, dim_date: DataFrame)
     dim_author while small) from runtime sizes and keeps a shuffle join
     beyond the threshold.
     """
-    j = (fct.join(dim_date, "date_day", "inner")
-         .join(dim_author.select("author_id", "author_name"), "author_id", "left"))
+    dated = fct.join(dim_date, "date_day", "inner")
+    names = dim_author.select(F.col("author_id").alias("__author"), "author_name")
+    # facts without an author match nothing: they pass beside the join, not through one task of it
+    known = dated.filter(F.col("author_id").isNotNull()).join(names, F.col("author_id") == F.col("__author"), "left").drop("__author")
+    j = known.unionByName(dated.filter(F.col("author_id").isNull()).withColumn("author_name", F.lit(None).cast("string")))
     return (j.rollup("year", "month").agg(
         F.count(F.lit(1)).alias("n_articles"),
         F.sum("content_length").alias("total_length"),

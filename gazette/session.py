@@ -59,7 +59,6 @@ def cluster_conf(total_cores: int, advisory_mb: int = 256) -> dict[str, str]:
         "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
         "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": f"{advisory_mb * 2}m",
         "spark.sql.adaptive.autoBroadcastJoinThreshold": "64m",
-        "spark.sql.autoBroadcastJoinThreshold": "64m",
         "spark.sql.files.maxPartitionBytes": "512m",
         "spark.sql.files.openCostInBytes": "8m",
         "spark.sql.parquet.columnarReaderBatchSize": "4096",

@@ -19,7 +19,6 @@ from gazette.sources.tables import load, row_count
 # Categories the fixture accepts in its clean step (event types; "error" is
 # outside the list and becomes NULL).
 FIXTURE_CATEGORIES = ["click", "purchase", "signup", "view"]
-TITLE_CHARS = 120
 PAGE_SIZE = 20          # edges per feed page
 PAGES_PER_FEED = 50     # pages per scrape run, so a feed holds <= 1000 rows
 
@@ -42,7 +41,7 @@ def articles(spark: SparkSession, sf_dir: str, with_length: bool = False) -> Dat
     # the text does not carry it through the join.
     docs = documents.select(
         F.col("doc_id"),
-        F.substring("text", 1, TITLE_CHARS).alias("title"),
+        F.substring_index("text", "\n", 1).alias("title"),
         F.col("text").alias("content"),
         F.length("text").cast("long").alias("content_length"),
     )
@@ -87,15 +86,13 @@ def staging_raw(art: DataFrame) -> DataFrame:
     ).withColumn("_loaded_at", loaded_at())
 
 
-def article_ids(art: DataFrame) -> DataFrame:
-    """Ids of the previous source snapshot (every article)."""
-    return art.select("id").distinct()
-
-
-def current_ids(ids: DataFrame) -> DataFrame:
-    """Ids still present in the source after the fixture's hard deletes
-    (derived from ``article_ids`` so both share one scan and exchange)."""
-    return ids.filter(F.col("id") % 25 != 0)
+def article_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids of the previous source snapshot (every article), from the two id
+    columns alone; ``removed`` tells the ids that the current one lacks."""
+    n_docs = F.lit(row_count(spark, sf_dir, "documents")).cast("long")
+    keys = load(spark, sf_dir, "events").select(F.pmod(F.call_function("div", F.col("event_id"), F.lit(2)), n_docs).alias("id")).distinct()
+    ids = load(spark, sf_dir, "documents").select(F.col("doc_id").alias("id")).join(keys, "id", "left_semi")
+    return ids.withColumn("removed", F.col("id") % 25 == 0)
 
 
 def snapshot_time(spark: SparkSession, sf_dir: str) -> Column:

@@ -23,7 +23,8 @@ def flatten_pages(pages: DataFrame, payload: str = "payload",
                   keep: tuple[str, ...] = ("feed_id", "page")) -> DataFrame:
     """Parse each page and emit one row per edge with its position.
 
-    Edges without a story are dropped; ids that do not parse are dropped.
+    Edges without a story are dropped; ids that do not parse are dropped;
+    pages that do not parse have no edges (``page_status`` tells them).
     """
     parsed = pages.select(*keep, F.from_json(F.col(payload), S.FEED_PAGE).alias("p"))
     edges = parsed.select(*keep, F.posexplode_outer(F.col(f"p.{EDGES}")).alias("pos", "edge"))
@@ -47,6 +48,30 @@ def flatten_pages(pages: DataFrame, payload: str = "payload",
     return rows.filter(F.col("id").isNotNull())
 
 
+def page_status(pages: DataFrame, payload: str = "payload", keep: tuple[str, ...] = ("feed_id", "page")) -> DataFrame:
+    """One row per page: n_edges (NULL when the page does not hold the
+    expected JSON) and whether it ends its feed (no edges)."""
+    n = F.size(F.from_json(F.col(payload), S.FEED_PAGE)["data"]["FindAllActiveHeadlines"]["edges"])
+    n_edges = F.when(n >= 0, n)
+    return pages.select(*keep, n_edges.alias("n_edges"), (F.coalesce(n_edges, F.lit(0)) == 0).alias("ends_feed"))
+
+
+def payload_rejects(pages: DataFrame, payload: str = "payload", feed: str = "feed_id", order: str = "page") -> DataFrame:
+    """Per feed: its pages, those that do not parse, and the pages read before
+    the first that does not parse or is empty."""
+    st = page_status(pages, payload, (feed, order))
+    return st.groupBy(feed).agg(F.count(F.lit(1)).alias("n_pages"), F.count_if(F.col("n_edges").isNull()).alias("n_rejected"),
+                                F.min(F.when(F.col("ends_feed"), F.col(order))).alias("end_page"))
+
+
+def readable_pages(pages: DataFrame, payload: str = "payload", feed: str = "feed_id", order: str = "page") -> DataFrame:
+    """Pages before their feed's first page without edges (a truncated page,
+    an error page, an empty one): a scrape ends there."""
+    ends = payload_rejects(pages, payload, feed, order).filter("end_page is not null").select(F.col(feed).alias("__f"), "end_page")
+    return (pages.join(ends, pages[feed] == F.col("__f"), "left")
+            .filter(F.col("end_page").isNull() | (F.col(order) < F.col("end_page"))).drop("__f", "end_page"))
+
+
 def first_seen(rows: DataFrame, feed: str = "feed_id", order: tuple[str, ...] = ("page", "pos")) -> DataFrame:
     """First occurrence of every id within its feed, in feed order."""
     w = Window.partitionBy(feed, "id").orderBy(*order)
@@ -68,8 +93,9 @@ def take_while_recent(rows: DataFrame, since: Column, feed: str = "feed_id",
 
 
 def flatten_feed(pages: DataFrame, since: Column | None = None) -> DataFrame:
-    """Payload pages -> first-seen articles of each feed, cut at ``since``."""
-    rows = first_seen(flatten_pages(pages))
+    """Payload pages -> first-seen articles of each feed, up to its first
+    unreadable or empty page, cut at ``since``."""
+    rows = first_seen(flatten_pages(readable_pages(pages)))
     return take_while_recent(rows, since) if since is not None else rows
 
 

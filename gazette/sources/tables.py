@@ -5,6 +5,7 @@ from __future__ import annotations
 import datetime as dt
 import functools
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -34,14 +35,39 @@ def row_count(spark: SparkSession, sf_dir: str, name: str) -> int:
 
 
 def read_parquet(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
-    """Scan with an explicit schema so an all-NULL column in one batch file
-    cannot change the table's types."""
+    """Scan with an explicit schema, so no footer decides the table's types.
+    Files must declare these types; ``read_loose`` takes others."""
     reader = spark.read
     if schema is not None:
         reader = reader.schema(schema)
     return reader.parquet(path)
 
 
+def read_loose(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """Scan files from other writers, conformed to ``schema``.
+
+    A writer that saw only NULLs in a column may declare another type for it
+    (Arrow's null type reads as INT32), which the explicit schema rejects.
+    Files are grouped by what their footers declare; each group is read with
+    its own types, then cast.  Where a declared integer can't become the
+    wanted type, the column must hold only NULLs.  Meant for one landed run:
+    the driver reads one footer for each of its files."""
+    layouts: dict[str, list[str]] = {}
+    for file in spark.read.schema(schema).parquet(path).inputFiles():
+        layouts.setdefault(spark.read.parquet(file).schema.json(), []).append(file)
+    out = None
+    for files in layouts.values():
+        part = spark.read.parquet(*files)
+        types = dict(part.dtypes)
+        for f in schema.fields:
+            if types.get(f.name) in ("int", "void") and not isinstance(f.dataType, T.NumericType):
+                only_null = F.when(F.col(f.name).isNotNull(), F.raise_error(F.lit(f"{f.name} holds integers")).cast(f.dataType))
+                part = part.withColumn(f.name, only_null)
+        part = conform(part, schema)
+        out = part if out is None else out.unionByName(part)
+    return spark.createDataFrame([], schema) if out is None else out
+
+
 def read_jdbc_window(spark: SparkSession, url: str, table: str, columns: list[str],
                      since: dt.datetime, until: dt.datetime, properties: dict[str, str],
                      col: str = "updated_at", partitions: int = 1) -> DataFrame:
@@ -108,6 +134,18 @@ def read_lake(spark: SparkSession, root: str, schema: T.StructType,
     return df
 
 
+def runs_of(spark: SparkSession, root: str) -> DataFrame:
+    """(dt, run) of every run in a lake zone, from partition values; no rows
+    where nothing was written yet."""
+    try:
+        df = spark.read.option("basePath", root).schema("dt string, run string").parquet(root)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], "dt string, run string")
+    return df.select("dt", "run").distinct()
+
+
 def list_runs(spark: SparkSession, root: str, schema: T.StructType) -> DataFrame:
     """One row per landed object: day, run timestamp, file and row count.
 

@@ -13,6 +13,7 @@ from __future__ import annotations
 import datetime as dt
 import uuid
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -26,19 +27,37 @@ def _pointers(root: str) -> str:
 def publish(df: DataFrame, root: str) -> str:
     """Write ``df`` as a new version under ``root`` and make it current."""
     stamp = dt.datetime.now(dt.UTC).replace(tzinfo=None)
-    path = f"{root.rstrip('/')}/v-{stamp:%Y%m%dT%H%M%S%f}-{uuid.uuid4().hex[:8]}"
+    path = new_version(root, stamp)
     df.write.mode("errorifexists").parquet(path)
-    spark = df.sparkSession
+    point(df.sparkSession, root, path, stamp)
+    return path
+
+
+def new_version(root: str, stamp: dt.datetime | None = None) -> str:
+    """A version path of its own for each run."""
+    stamp = stamp or dt.datetime.now(dt.UTC).replace(tzinfo=None)
+    return f"{root.rstrip('/')}/v-{stamp:%Y%m%dT%H%M%S%f}-{uuid.uuid4().hex[:8]}"
+
+
+def point(spark: SparkSession, root: str, path: str, stamp: dt.datetime | None = None) -> None:
+    """Make ``path`` current: one appended record, so readers see the old or
+    the new version of everything below it."""
+    stamp = stamp or dt.datetime.now(dt.UTC).replace(tzinfo=None)
     (spark.createDataFrame([(stamp, path)], POINTER_SCHEMA).coalesce(1)
      .write.mode("append").json(_pointers(root)))
-    return path
+
+
+def is_missing(error: AnalysisException) -> bool:
+    return error.getCondition() == "PATH_NOT_FOUND"
 
 
 def current_path(spark: SparkSession, root: str, as_of: dt.datetime | None = None) -> str | None:
     """Path of the newest committed version (or the newest at ``as_of``)."""
     try:
         ptr = spark.read.schema(POINTER_SCHEMA).json(_pointers(root))
-    except Exception:  # noqa: BLE001 - nothing published yet
+    except AnalysisException as error:
+        if not is_missing(error):    # unreadable is not the same as never published
+            raise
         return None
     if as_of is not None:
         ptr = ptr.filter(F.col("published_at") <= F.lit(as_of).cast("timestamp_ntz"))

@@ -77,8 +77,7 @@ def test_whole_table_scorecard_forms_agree(spark, sf):
     from gazette.operators.clean import clean
     from gazette.operators.scorecard import scorecard
     art = fx.articles(spark, sf)
-    order = F.struct(F.col("updated_at").isNull(), F.col("updated_at"), F.col("seq"))
-    fast = scorecard(art, allow=fx.FIXTURE_CATEGORIES, order=order).drop("run_at").first()
+    fast = scorecard(art, allow=fx.FIXTURE_CATEGORIES, tie=F.col("seq")).drop("run_at").first()
     cleaned = clean(art, allow=fx.FIXTURE_CATEGORIES, keys=["id"],
                     order=[F.col("updated_at").desc_nulls_first(), F.col("seq").desc()])
     slow = scorecard_from(art, cleaned).drop("run_at").first()

@@ -10,7 +10,7 @@ from gazette.operators.incremental import incremental_extract
 from gazette.operators.merge import state_log
 from gazette.plans import serving as V
 from gazette.plans.models import Warehouse
-from gazette.plans.publish import write_audit_publish
+from gazette.plans.publish import read_mart, write_audit_publish
 from gazette.sources import tables as TB
 from gazette.sources import versioned
 
@@ -95,7 +95,14 @@ def test_write_audit_publish(spark, sf, tmp_path):
     gate = {"unique", "relationships", "dq_score_above_threshold", "freshness"}
     res2 = write_audit_publish(wh, str(tmp_path / "marts"), as_of, blocking=gate)
     assert res2.published
-    assert versioned.read_current(spark, str(tmp_path / "marts" / "fct_articles")).count() == wh.fct.count()
+    stored = read_mart(spark, str(tmp_path / "marts"), "fct_articles")
+    assert stored.count() == wh.fct.count()
+    assert len({p.rsplit("/", 1)[0] for p in res2.version.values()}) == 1       # one run's files, one pointer
+    only = {"not_null:fct_articles.article_id"}
+    assert write_audit_publish(wh, str(tmp_path / "marts"), as_of, blocking=only).published
+    p = stored.filter("category = 'view' and article_id = 3")._jdf.queryExecution().executedPlan().toString()
+    assert "EqualTo(category,view)" in p
+    assert res2.summary.count() == 18
 
 
 def test_lookback_picks_up_late_arrivals(spark, tmp_path):
