@@ -13,14 +13,14 @@ def one(spark, expr, value, ddl="v string"):
 
 
 @pytest.mark.parametrize("value,max_len,expected", [
-    (None, None, None), ("  hello  ", None, "hello"), ("", None, None), ("this is long", 4, "this"),
+    (None, None, None), ("  hello  ", None, "hello"), ("", None, None), ("a wide field", 6, "a wide"), ("one\ntwo", None, "one\ntwo"), ("\u00a0x\u00a0", None, "x"),
     ("   ", None, None), ("ab  cd", 3, "ab "),
 ])
 def test_safe_str(spark, value, max_len, expected):
     assert one(spark, lambda c: FN.safe_str(c, max_len), value) == expected
 
 
-@pytest.mark.parametrize("value,expected", [(None, None), ("42", 42), ("not a number", None), ("7", 7)])
+@pytest.mark.parametrize("value,expected", [(None, None), ("42", 42), ("seven", None), ("7", 7), ("4.7", None), (" 42 ", 42), ("-3", -3)])
 def test_safe_int(spark, value, expected):
     assert one(spark, FN.safe_int, value) == expected
 
@@ -29,13 +29,14 @@ def test_safe_int(spark, value, expected):
     ("2026-01-15T10:30:00Z", dt.datetime(2026, 1, 15, 10, 30)),
     ("2026-01-15T10:30:00+07:00", dt.datetime(2026, 1, 15, 10, 30)),
     ("2026-01-15T10:30:00.123456", dt.datetime(2026, 1, 15, 10, 30, 0, 123456)),
-    (None, None), ("", None), ("not-a-date", None), ("2026", None),
+    (None, None), ("", None), ("soon", None), ("2026", None), ("2024-02-29T01:02:03", dt.datetime(2024, 2, 29, 1, 2, 3)),
+    ("2023-02-29T01:02:03", None), ("2026-01-15T10:30:00+0700", dt.datetime(2026, 1, 15, 10, 30)),
 ])
 def test_parse_dt(spark, value, expected):
     assert one(spark, FN.parse_dt, value) == expected
 
 
-@pytest.mark.parametrize("cid,slug,expected", [("1", "custom-slug", "custom-slug"), ("5", None, "olahraga"),
+@pytest.mark.parametrize("cid,slug,expected", [("1", "own-section", "own-section"), ("5", None, "olahraga"),
                                                ("999", None, "UNKNOWN"), (None, "", "UNKNOWN")])
 def test_channel_ingest(spark, cid, slug, expected):
     df = spark.createDataFrame([(cid, slug)], "i string, s string")

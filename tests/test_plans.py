@@ -72,7 +72,7 @@ def test_window_detector_sees_global_window(spark):
 # Windows over the scorecard table run per table; the scorecards here all
 # belong to one table (a literal), so Catalyst drops the partition spec.  The
 # group is one row per pipeline run, independent of the article volume.
-PER_TABLE_SCORECARD_WINDOWS = {"dq_anomaly_zscore", "dq_drift_alerts"}
+PER_TABLE_SCORECARD_WINDOWS = {"dq_anomaly_zscore", "dq_drift_alerts", "dq_drift_alerts_after_drop"}
 
 
 def test_no_unpartitioned_window_in_any_query(spark, sf):
@@ -83,3 +83,12 @@ def test_no_unpartitioned_window_in_any_query(spark, sf):
             continue
         bad = _unpartitioned_windows(plan(fn(spark, sf)))
         assert not bad, (name, bad[0][:200])
+
+
+def test_rollups_are_hash_aggregates(spark, sf):
+    for name in ("dim_author", "dq_scorecard_by_day"):
+        assert "SortAggregate" not in plan(E.queries()[name](spark, sf)), name
+
+
+def test_fact_table_scans(spark, sf):
+    assert plan(E.queries()["fct_articles"](spark, sf)).split("== Initial Plan ==")[0].count("FileScan") <= 5
