@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import json
 import os
-import re
 import tempfile
 import uuid
 import zipfile
@@ -104,6 +103,42 @@ def tokenizer_path(name: str = TOKENIZER_FILE) -> str:
     return public_tokenizers.path(name)
 
 
+SPACE, ALNUM, STOP, OTHER = range(4)
+BYTE_KIND = np.full(256, OTHER, np.uint8)
+BYTE_KIND[list(b" \t\n\r\x0b\x0c")] = SPACE
+BYTE_KIND[list(b"abcdefghijklmnopqrstuvwxyz0123456789")] = ALNUM
+BYTE_KIND[list(b".,")] = STOP
+
+
+def distinct_words(texts: list[bytes | None]) -> tuple[pa.DictionaryArray, np.ndarray]:
+    """The words of some texts in a row, A-Z in lower case, coded by their
+    distinct values, and each text's number of words.  Words are parted by
+    ASCII white space; a stop or comma after a letter or digit is a new word."""
+    sizes = np.fromiter((len(t or b"") for t in texts), np.int64, len(texts))
+    data = np.frombuffer(b"".join(t or b"" for t in texts).lower(), np.uint8)
+    kind = BYTE_KIND[data]
+    end = np.cumsum(sizes)
+    word = kind != SPACE
+    begins = word.copy()
+    begins[1:] &= (kind[:-1] == SPACE) | (kind[1:] == STOP) & (kind[:-1] == ALNUM)
+    edge = (end - sizes)[sizes > 0]
+    begins[edge] = word[edge]
+    first = np.flatnonzero(begins)
+    offsets = np.append(np.cumsum(word)[first] - 1, word.sum()).astype(np.int64)
+    every = pa.Array.from_buffers(pa.large_binary(), len(first), [None, pa.py_buffer(offsets), pa.py_buffer(data[word])])
+    return every.dictionary_encode(), np.diff(np.searchsorted(first, end), prepend=0)
+
+
+def hashed_words(texts: list[bytes | None], fold: bool = False) -> tuple[np.ndarray, np.ndarray]:
+    """64-bit hashes of the words of some texts in a row, and each text's number
+    of words; ``fold`` puts A-Z in lower case."""
+    import xxhash
+
+    words = [((t or b"").lower() if fold else t or b"").split() for t in texts]
+    counts = np.fromiter(map(len, words), np.int64, len(words))
+    return np.fromiter(map(xxhash.xxh3_64_intdigest, chain.from_iterable(words)), np.uint64, int(counts.sum())), counts
+
+
 class WordTokenizer:
     """Token ids of whole texts, one library call per distinct word.
 
@@ -112,20 +147,23 @@ class WordTokenizer:
     other; a letter or digit and a stop or comma after it never join either.
     Words are cached up to ``max_words`` (then the cache starts anew), longer
     ones than ``max_bytes`` are encoded each time.  Words that the normalizer
-    would not change go to a copy of the tokenizer without it.  Strings that
-    look like special tokens are ordinary text.
+    would not change, or the splitter not split, go to copies of the tokenizer
+    without these steps.  Strings that look like special tokens are ordinary
+    text.
     """
 
-    APART = re.compile(rb"(?<=[a-z0-9])[.,]")
-
-    def __init__(self, path: str, max_words: int = 500_000, max_bytes: int = 48):
+    def __init__(self, path: str, max_words: int = 700_000, max_bytes: int = 48):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
         self.tok = Tokenizer.from_file(path)
         with open(path, encoding="utf-8") as f:
-            self.bare = Tokenizer.from_str(json.dumps(json.load(f) | {"normalizer": None}))
-        self.tok.encode_special_tokens = self.bare.encode_special_tokens = True
+            bare = json.load(f) | {"normalizer": None}
+        steps = [x for x in bare["pre_tokenizer"]["pretokenizers"] if x["type"] != "Split"]
+        self.bare = Tokenizer.from_str(json.dumps(bare))
+        self.letters = Tokenizer.from_str(json.dumps(bare | {"pre_tokenizer": {"type": "Sequence", "pretokenizers": steps}}))
+        for t in (self.tok, self.bare, self.letters):
+            t.encode_special_tokens = True
         self.max_words, self.max_bytes = max_words, max_bytes
         self._reset()
 
@@ -137,13 +175,16 @@ class WordTokenizer:
         self.used = self.count = 0
 
     def _add(self, words: list[bytes]) -> None:
-        plain, other = [], []
-        for w in words:
-            s = w.decode("utf-8", "replace")
-            # lower case up to U+024F has a fixed normal form
-            same = w.isascii() or s.isalpha() and max(s) < "\u0250" and s == s.lower()
-            (plain if same else other).append((w, s))
-        for tok, part in ((self.bare, plain), (self.tok, other)):
+        texts = b"\n".join(words).decode("utf-8", "replace").split("\n")
+        letters, plain, other = [], [], []
+        for w, s in zip(words, texts):
+            if s.isalpha() and (s.isascii() or max(s) < "\u0250" and s == s.lower()):
+                letters.append((w, s))  # lower case up to U+024F has a fixed normal form
+            elif s.isascii():
+                plain.append((w, s))
+            else:
+                other.append((w, s))
+        for tok, part in ((self.letters, letters), (self.bare, plain), (self.tok, other)):
             if not part:
                 continue
             got = tok.encode([s for _, s in part], is_pretokenized=True, add_special_tokens=False)
@@ -164,18 +205,16 @@ class WordTokenizer:
         (null counts as empty; ``end_id`` follows every text)."""
         if self.count > self.max_words:
             self._reset()
-        words = [self.APART.sub(rb" \g<0>", (t or b"").lower()).split() for t in texts]
+        every, per_doc = distinct_words(texts)
+        distinct = every.dictionary.to_pylist()
         codes = self.codes
-        every = list(chain.from_iterable(words))
-        per_doc = np.fromiter(map(len, words), np.int64, len(words))
-        flat = np.fromiter(map(codes.get, every, repeat(-1)), np.int64, len(every))
-        absent = np.flatnonzero(flat < 0)
-        missing: list[bytes] = []
-        if len(absent):
-            found = [every[i] for i in absent.tolist()]
-            missing = list(dict.fromkeys(found))
+        own = np.fromiter(map(codes.get, distinct, repeat(-1)), np.int64, len(distinct))
+        absent = np.flatnonzero(own < 0)
+        missing = [distinct[i] for i in absent.tolist()]
+        if missing:
             self._add(missing)
-            flat[absent] = np.fromiter(map(codes.__getitem__, found), np.int64, len(found))
+            own[absent] = np.fromiter(map(codes.__getitem__, missing), np.int64, len(missing))
+        flat = own[every.indices.to_numpy()]
         sizes = self.size[flat]
         ends = np.cumsum(sizes)
         index = np.arange(int(ends[-1]) if len(ends) else 0) + np.repeat(self.begin[flat] - (ends - sizes), sizes)
