@@ -23,63 +23,80 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gazette.llm.common import batch, bounded_batches, partitions, staged, table
+from gazette.llm.common import batch, bounded_batches, hashed_words, partitions, raw, staged, table
 
 WINDOW, GRAM = 35, 16
 #: Occurrences from which a key is dealt by single windows; words in one index.
-HOT_KEY, INDEX_WORDS = 3000, 250_000
-#: Texts of more words are cut, with an overlap, when their keys are computed.
-CHUNK_WORDS = 1 << 22
+HOT_KEY, INDEX_WORDS = 3000, 1_000_000
 MULTIPLIER, MIX = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93)
 
 
 # --- keys -------------------------------------------------------------------
 
-def runs(words: list[bytes], window: int, gram: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """(key, first window, last window, copies) of each run of windows with
-    one key; copies counts the key's pieces in the text, 1 or 2 (or more)."""
-    out = []
-    for at in range(0, max(1, len(words) - window + 1), CHUNK_WORDS):
-        part = words[at:at + CHUNK_WORDS + window - 1]
-        n = len(part) - window + 1
-        if n < 1:
-            break
-        of = xxhash.xxh3_64_intdigest
-        h = np.fromiter((of(w) for w in part), np.uint64, len(part))
-        pieces = len(part) - gram + 1
-        total, size, power = h, 1, MULTIPLIER
-        done, done_size = None, 0
-        rest = gram
-        while rest:  # polynomial hashes of gram words by doubling
-            if rest & 1:
-                done = total[:pieces].copy() if done is None else done[:pieces] * power_of(size) + total[done_size:done_size + pieces]
-                done_size += size
-            rest >>= 1
-            if rest:
-                total = total[:-size] * power_of(size) + total[size:]
-                size *= 2
-        piece = done ^ (done >> np.uint64(31))
-        piece = piece * MIX
-        piece ^= piece >> np.uint64(29)
-        low, width = piece, 1
-        while width * 2 <= window - gram + 1:
-            low = np.minimum(low[:-width], low[width:])
-            width *= 2
-        tail = window - gram + 1 - width
-        low = np.minimum(low[:len(low) - tail], low[tail:]) if tail else low
-        edge = np.flatnonzero(np.append(True, low[1:] != low[:-1]))
-        last = np.append(edge[1:], n) - 1
-        key = low[edge]
-        ordered = np.sort(piece)
-        copies = np.searchsorted(ordered, key, "right") - np.searchsorted(ordered, key, "left")
-        out.append((key.view(np.int64), edge + at, last + at, copies))
-    if not out:
-        return (np.zeros(0, np.int64),) * 4
-    return tuple(np.concatenate(x) for x in zip(*out))
+def powers(base: int, n: int) -> np.ndarray:
+    out = np.full(n, base, np.uint64)
+    out[:1] = 1
+    return np.cumprod(out, dtype=np.uint64)
+
+
+def slide(x: np.ndarray, width: int, of) -> np.ndarray:
+    """``of`` (minimum or maximum) over every ``width`` consecutive values, by doubling."""
+    size = 1
+    while size * 2 <= width:
+        x = of(x[:-size], x[size:])
+        size *= 2
+    rest = width - size
+    return of(x[:len(x) - rest], x[rest:]) if rest else x
+
+
+def runs(h: np.ndarray, counts: np.ndarray, window: int, gram: int) -> tuple[np.ndarray, ...]:
+    """The segments of some texts, whose word hashes stand in a row: text, key,
+    content hash, first and last window (from the text's start), and whether
+    the key's piece occurs more than once in the segment."""
+    none = (np.zeros(0, np.int64),) * 5 + (np.zeros(0, bool),)
+    if len(h) < window:
+        return none
+    total, size, piece, done, rest = h, 1, None, 0, gram
+    while rest:  # polynomial hashes of gram words by doubling
+        if rest & 1:
+            n = len(h) - done - size + 1
+            piece = total if piece is None else piece[:n] * power_of(size) + total[done:done + n]
+            done += size
+        rest >>= 1
+        if rest:
+            total = total[:-size] * power_of(size) + total[size:]
+            size *= 2
+    piece = piece ^ (piece >> np.uint64(31))
+    piece = piece * MIX
+    piece ^= piece >> np.uint64(29)
+    wide = window - gram + 1
+    low = slide(piece, wide, np.minimum)
+    end = np.cumsum(counts)
+    text = np.repeat(np.arange(len(counts)), counts)
+    at = np.arange(len(low))
+    valid = end[text[:len(low)]] - at >= window
+    edge = valid & np.append(True, (low[1:] != low[:-1]) | ~valid[:-1] | (text[1:len(low)] != text[:len(low) - 1]))
+    a = np.flatnonzero(edge)
+    if not len(a):
+        return none
+    stop = np.flatnonzero(valid & np.append((low[1:] != low[:-1]) | ~valid[1:] | (text[1:len(low)] != text[:len(low) - 1]), True))
+    # content hash of words a .. stop + window - 1, from running sums
+    weighted = np.append(np.uint64(0), np.cumsum(h * powers(int(MULTIPLIER), len(h)), dtype=np.uint64))
+    inverse = powers(pow(int(MULTIPLIER), -1, 1 << 64), len(h))
+    content = (weighted[stop + window] - weighted[a]) * inverse[a]
+    content = (content ^ (content >> np.uint64(32))) * MIX + (stop - a).astype(np.uint64)
+    # a piece is its segment's key wherever it equals the key
+    owner = np.cumsum(edge) - 1
+    first = np.flatnonzero(valid)
+    same = piece[first] == low[first]
+    twice = np.bincount(owner[first][same], minlength=len(a))
+    for j in range(1, wide):  # pieces behind the last window's start
+        twice += piece[stop + j] == low[a]
+    begin = (end - counts)[text[a]]
+    return text[a], low[a].view(np.int64), content.view(np.int64), a - begin, stop - begin, twice > 1
 
 
 def power_of(n: int) -> np.uint64:
@@ -221,107 +238,109 @@ def shard_spans(segments: list[tuple[bytes, bool]], window: int) -> list[list[tu
 
 # --- Spark ------------------------------------------------------------------
 
-SPAN = "array<struct<f:long,t:long>>"
-SPAN_ARROW = pa.list_(pa.struct([("f", pa.int64()), ("t", pa.int64())]))
+def keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """docs with ``__row``, a 64-bit hash that names a row's id and text.  Equal
+    rows share it: they have equal results, and each counts as a place."""
+    return docs.withColumn("__row", F.xxhash64(F.col(id_col).cast("string"), F.col(id_col).isNull(), F.col(text_col).cast("string")))
 
 
-def keyed(docs: DataFrame, id_col: str, text_col: str) -> list:
-    """Columns that name a row: its id (nulls as the least long) and its text's hash."""
-    return [F.coalesce(F.col(id_col).cast("long"), F.lit(-2**63)).alias("__rid"), F.xxhash64(F.col(text_col).cast("string")).alias("__row")]
+def together(key: np.ndarray, content: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Order by key and content, and where in it a new key and a new content begin."""
+    order = np.lexsort((content, key))
+    k, c = key[order], content[order]
+    new_key = np.append(True, k[1:] != k[:-1]) if len(k) else np.zeros(0, bool)
+    return order, new_key, new_key | np.append(True, c[1:] != c[:-1]) if len(k) else new_key
 
 
-def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW, gram: int = GRAM,
-                   hot_key: int = HOT_KEY, index_words: int = INDEX_WORDS) -> DataFrame:
-    """(__rid, __row, __spans): the word intervals of each text that repeated
-    windows cover; one row for each id and text that has any."""
-    spark = docs.sparkSession
-    bounded_batches(spark)
-    n_parts = partitions(spark)
-    rows = docs.select(*keyed(docs, id_col, text_col), F.col(text_col).cast("string").alias("__text"))
-
-    count_schema = pa.schema([("key", pa.int64()), ("n", pa.int64())])
+BLOBS = (("key", np.int64), ("content", np.int64), ("row", np.int64), ("a", np.int32), ("b", np.int32), ("flag", np.uint8),
+         ("srow", np.int64), ("sa", np.int32), ("sb", np.int32))
+AGAIN, TWICE = 1, 2
 
-    def count(batches):
-        for b in batches:
-            got = [runs((t or b"").split(), window, gram) for t in b.column(0).cast(pa.binary()).to_pylist()]
-            key = np.concatenate([g[0] for g in got]) if got else np.zeros(0, np.int64)
-            n = np.concatenate([g[3] for g in got]) if got else key
-            named, of = np.unique(key, return_inverse=True)
-            yield batch(count_schema, named, np.bincount(of, n, len(named)).astype(np.int64))
-
-    keys = rows.select("__text").mapInArrow(count, "key long, n long").groupBy("key").agg(F.sum("n").alias("n")).filter("n > 1")
-
-    run_schema = pa.schema([("key", pa.int64()), ("__rid", pa.int64()), ("__row", pa.int64()), ("a", pa.int64()), ("b", pa.int64())])
-
-    def occur(batches):
-        for b in batches:
-            got = [runs((t or b"").split(), window, gram) for t in b.column(2).cast(pa.binary()).to_pylist()]
-            own = np.repeat(np.arange(len(got)), [len(g[0]) for g in got])
-            cols = [np.concatenate([g[i] for g in got]) if got else np.zeros(0, np.int64) for i in range(3)]
-            yield batch(run_schema, cols[0], b.column(0).take(pa.array(own)), b.column(1).take(pa.array(own)), cols[1], cols[2])
 
-    occurring = rows.mapInArrow(occur, "key long, __rid long, __row long, a long, b long")
-    flags = occurring.join(keys, "key").groupBy("__rid", "__row").agg(F.collect_set(F.struct("a", "b", "key", (F.col("n") >= hot_key).alias("hot"))).alias("__runs"))
+def sort_out(rows: DataFrame, window: int, gram: int, n_parts: int, hot_key: int) -> DataFrame:
+    """Segments (row, a, b, key, hot, again, need) that repeat or may hold
+    repeated windows: ``again`` occur elsewhere as a whole, ``need`` must be
+    searched or searched in.  A segment leaves its task in blocks by bucket,
+    equal ones once, so a passage that stands everywhere is a row for each task."""
+    buckets = 8 * n_parts
+    block = pa.schema([("bucket", pa.int32()), *((n, pa.binary()) for n, _ in BLOBS)])
+    result = pa.schema([("__row", pa.int64()), ("a", pa.int32()), ("b", pa.int32()), ("key", pa.int64()), ("hot", pa.bool_()), ("again", pa.bool_()), ("need", pa.bool_())])
 
-    segment_schema = pa.schema([("__rid", pa.int64()), ("__row", pa.int64()), ("a", pa.int64()), ("hi", pa.int64()), ("lo", pa.int64()), ("key", pa.int64()),
-                                ("hot", pa.bool_()), ("again", pa.bool_()), ("text", pa.binary())])
+    def emit(batches):
+        held: list[tuple] = []
+        size = 0
 
-    def fetch(batches):
-        seen: dict[bytes, int] = {}
-        for x in batches:
+        def close():
+            row, key, content, a, b, twice = (np.concatenate(x) for x in zip(*held))
+            held.clear()
+            order, _, new = together(key, content)
+            of = np.cumsum(new) - 1
+            many = np.bincount(of) > 1
+            first = order[new]
+            flag = (many * AGAIN + twice[first] * TWICE).astype(np.uint8)
+            sent = [x[first] for x in (key, content, row, a.astype(np.int32), b.astype(np.int32))] + [flag]
+            again = order[many[of]]
+            done = [x[again] for x in (row, a.astype(np.int32), b.astype(np.int32))]
             out = []
-            for rid, row, text, parts in zip(*(c.to_pylist() for c in (x.column(0), x.column(1), x.column(2).cast(pa.binary()), x.column(3)))):
-                words = text.split()
-                for p in parts:
-                    segment = b" ".join(words[p["a"]:p["b"] + window])
-                    name = xxhash.xxh3_128_digest(segment)
-                    times = seen[name] = seen.get(name, 0) + 1
-                    hi, lo = np.frombuffer(name, np.int64)
-                    # a text leaves the task once, a second time is told once
-                    out.append((rid, row, p["a"], hi, lo, p["key"], p["hot"], times == 2, segment if times == 1 else None))
-                if len(out) >= 20_000:
-                    yield batch(segment_schema, *zip(*out))
-                    out = []
-            if len(seen) > 400_000:
-                seen.clear()
-            if out:
-                yield batch(segment_schema, *zip(*out))
-
-    segments = rows.join(flags, ["__rid", "__row"]).select("__rid", "__row", "__text", "__runs").mapInArrow(
-        fetch, "__rid long, __row long, a long, hi long, lo long, key long, hot boolean, again boolean, text binary")
-    segments = staged(segments, "segments")
+            for columns, place in ((sent, (key[first].view(np.uint64) >> np.uint64(20)).astype(np.int64) % buckets), (done, row[again] % buckets)):
+                turn = np.argsort(place, kind="stable")
+                cut = np.searchsorted(place[turn], np.arange(buckets + 1))
+                out.append(([x[turn] for x in columns], cut))
+            (sent, x), (done, y) = out
+            rows = [(i, *(c[x[i]:x[i + 1]].tobytes() for c in sent), *(c[y[i]:y[i + 1]].tobytes() for c in done))
+                    for i in range(buckets) if x[i] < x[i + 1] or y[i] < y[i + 1]]
+            return batch(block, *zip(*rows))
 
-    distinct_schema = pa.schema([("shard", pa.int64()), ("hi", pa.int64()), ("lo", pa.int64()), ("at", pa.int64()), ("again", pa.bool_()), ("text", pa.binary())])
-
-    def unite(batches):
-        found: dict[tuple[int, int], list] = {}
         for x in batches:
-            for hi, lo, key, hot, again, text in zip(*(c.to_pylist() for c in x.columns)):
-                held = found.setdefault((hi, lo), [key, hot, None, False])
-                if text is None:
-                    held[3] = True
-                else:
-                    held[2], held[3] = text, held[3] or held[2] is not None
-        out = []
-        while found:
-            (hi, lo), (key, hot, text, again) = found.popitem()
-            if hot:
-                words = text.split(b" ")
-                for i in range(len(words) - window + 1):
-                    part = b" ".join(words[i:i + window])
-                    out.append((xxhash.xxh3_64_intdigest(part) - 2**63, hi, lo, i, again, part))
-            else:
-                out.append((key, hi, lo, 0, again, text))
-            if len(out) >= 5000:
-                yield batch(distinct_schema, *zip(*out))
-                out = []
-        if out:
-            yield batch(distinct_schema, *zip(*out))
-
-    distinct = segments.filter("text is not null or again").select("hi", "lo", "key", "hot", "again", "text").repartition(n_parts, "hi", "lo").mapInArrow(
-        unite, "shard long, hi long, lo long, at long, again boolean, text binary")
-
-    span_schema = pa.schema([("hi", pa.int64()), ("lo", pa.int64()), ("f", pa.int64()), ("t", pa.int64())])
+            got = runs(*hashed_words(raw(x.column(1))), window, gram)
+            if len(got[0]):
+                held.append((x.column(0).to_numpy()[got[0]], *got[1:]))
+                size += len(got[0])
+            if size >= 1_500_000:
+                yield close()
+                size = 0
+        if size:
+            yield close()
+
+    def gather(batches):
+        parts: dict[int, list[tuple]] = {}
+        for x in batches:
+            for i, *blobs in zip(*(c.to_pylist() for c in x.columns)):
+                parts.setdefault(i, []).append(blobs)
+        while parts:
+            _, blobs = parts.popitem()
+            key, content, row, a, b, flag, *done = (np.frombuffer(b"".join(y), t) for y, (_, t) in zip(zip(*blobs), BLOBS))
+            order, new_key, new = together(key, content)
+            key, row, a, b, flag = key[order], row[order], a[order], b[order], flag[order]
+            segment, name = np.cumsum(new) - 1, np.cumsum(new_key) - 1
+            local = flag & AGAIN > 0
+            start = np.flatnonzero(new)
+            many = (np.bincount(segment, minlength=len(start)) > 1) | local[start] if len(start) else np.zeros(0, bool)
+            if len(start):
+                many |= np.logical_or.reduceat(local, start)
+            own_key = name[start]
+            single = ~many
+            kinds = np.bincount(own_key, minlength=1)
+            # a single segment is searched if its key has another, or occurs in it twice
+            asks = single & ((kinds[own_key] > 1) | (flag[start] & TWICE > 0))
+            asked = np.bincount(own_key, asks, len(kinds)) > 0
+            need = asks | many & asked[own_key]
+            hot = np.bincount(own_key, need, len(kinds)) >= hot_key
+            pick = start[need]
+            whole = np.flatnonzero(many[segment] & ~local)
+            n, w, d = len(pick), len(whole), len(done[0])
+            yield batch(result, np.concatenate([row[pick], row[whole], done[0]]), np.concatenate([a[pick], a[whole], done[1]]), np.concatenate([b[pick], b[whole], done[2]]),
+                        np.concatenate([key[pick], key[whole], np.zeros(d, np.int64)]), np.concatenate([hot[own_key[need]], np.zeros(w + d, bool)]),
+                        np.concatenate([many[need], np.ones(w + d, bool)]), np.concatenate([np.ones(n, bool), np.zeros(w + d, bool)]))
+
+    sent = rows.select("__row", "__text").mapInArrow(emit, "bucket int, " + ", ".join(f"{n} binary" for n, _ in BLOBS))
+    return sent.repartition(n_parts, "bucket").mapInArrow(gather, "__row long, a int, b int, key long, hot boolean, again boolean, need boolean")
+
+
+def search_shards(texts: DataFrame, window: int, n_parts: int, index_words: int) -> DataFrame:
+    """(__row, f, t): repeated intervals of segments (shard, __row, a, again,
+    text), by an index over a shard's distinct segments."""
+    schema = pa.schema([("__row", pa.int64()), ("f", pa.int64()), ("t", pa.int64())])
 
     def search(batches):
         held: list[tuple] = []
@@ -331,16 +350,16 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
             # equal windows of a hot key may come from several segments
             place: dict[bytes, int] = {}
             texts: list[list] = []
-            for shard, hi, lo, at, again, text in held:
+            for _, _, _, again, text in held:
                 i = place.setdefault(text, len(texts))
                 if i == len(texts):
                     texts.append([text, again])
                 else:
                     texts[i][1] = True
             spans = shard_spans([tuple(x) for x in texts], window)
-            out = [(hi, lo, at + f, at + t) for _, hi, lo, at, _, text in held for f, t in spans[place[text]]]
+            out = [(row, a + f, a + t) for _, row, a, _, text in held for f, t in spans[place[text]]]
             held.clear()
-            return batch(span_schema, *zip(*out)) if out else None
+            return batch(schema, *zip(*out)) if out else None
 
         for x in batches:
             for r in zip(*(c.to_pylist() for c in x.columns)):
@@ -349,15 +368,52 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
                         yield out
                     words = 0
                 held.append(r)
-                words += r[5].count(b" ") + 1
+                words += r[4].count(b" ") + 1
         if held and (out := close()) is not None:
             yield out
 
-    spans = distinct.repartition(n_parts, "shard").sortWithinPartitions("shard").mapInArrow(search, "hi long, lo long, f long, t long")
-    spans = spans.groupBy("hi", "lo").agg(F.collect_list(F.struct("f", "t")).alias("spans"))
-    moved = segments.select("__rid", "__row", "a", "hi", "lo").join(spans, ["hi", "lo"])
-    moved = moved.select("__rid", "__row", F.transform("spans", lambda s: F.struct((s.f + F.col("a")).alias("f"), (s.t + F.col("a")).alias("t"))).alias("s"))
-    return moved.groupBy("__rid", "__row").agg(F.flatten(F.collect_list("s")).alias("__spans"))
+    dealt = texts.repartition(n_parts, "shard").sortWithinPartitions("shard")
+    return dealt.select("shard", "__row", "a", "again", "text").mapInArrow(search, "__row long, f long, t long")
+
+
+def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW, gram: int = GRAM,
+                   hot_key: int = HOT_KEY, index_words: int = INDEX_WORDS) -> DataFrame:
+    """(__row, __spans): the word intervals of each text that repeated windows
+    cover; one row for each text that has any."""
+    spark = docs.sparkSession
+    bounded_batches(spark)
+    n_parts = partitions(spark)
+    rows = keyed(docs, id_col, text_col).select("__row", F.col(text_col).cast("string").alias("__text"))
+    found = staged(sort_out(rows, window, gram, n_parts, hot_key), "segments")
+    # a text is asked for each segment once; equal rows all give it, which does no harm
+    asked = found.filter("need").groupBy("__row").agg(F.collect_set(F.struct("a", "b", "key", "hot", "again")).alias("__runs"))
+    schema = pa.schema([("shard", pa.int64()), ("__row", pa.int64()), ("a", pa.int64()), ("again", pa.bool_()), ("text", pa.binary())])
+
+    def fetch(batches):
+        import xxhash
+
+        for x in batches:
+            out = []
+            for row, text, parts in zip(x.column(0).to_pylist(), raw(x.column(1)), x.column(2).to_pylist()):
+                words = text.split()
+                for p in parts:
+                    if p["hot"]:
+                        for i in range(p["a"], p["b"] + 1):
+                            part = b" ".join(words[i:i + window])
+                            out.append((xxhash.xxh3_64_intdigest(part) - 2**63, row, i, p["again"], part))
+                    else:
+                        out.append((p["key"], row, p["a"], p["again"], b" ".join(words[p["a"]:p["b"] + window])))
+                if len(out) >= 20_000:
+                    yield batch(schema, *zip(*out))
+                    out = []
+            if out:
+                yield batch(schema, *zip(*out))
+
+    one = rows.join(asked, "__row").select("__row", "__text", "__runs")
+    texts = one.mapInArrow(fetch, "shard long, __row long, a long, again boolean, text binary")
+    searched = search_shards(texts, window, n_parts, index_words)
+    whole = found.filter("again").select("__row", F.col("a").cast("long").alias("f"), (F.col("b") + window).cast("long").alias("t"))
+    return searched.unionByName(whole).groupBy("__row").agg(F.collect_list(F.struct("f", "t")).alias("__spans"))
 
 
 def cut_words(text: bytes | None, spans) -> tuple[list[bytes], int, int]:
@@ -382,8 +438,8 @@ def dedup_report(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     stays null; extra columns are ignored; an empty table gives an empty result.
     """
     spans = repeated_spans(docs, id_col, text_col, window, **limits)
-    rows = docs.select(F.col(id_col).alias("_id"), F.col(text_col).cast("string").alias("_text"), *keyed(docs, id_col, text_col))
-    joined = rows.join(spans, ["__rid", "__row"], "left").select("_id", "_text", "__spans")
+    rows = keyed(docs, id_col, text_col).select(F.col(id_col).alias("_id"), F.col(text_col).cast("string").alias("_text"), "__row")
+    joined = rows.join(spans, "__row", "left").select("_id", "_text", "__spans")
 
     def run(batches):
         for b in batches:
@@ -404,7 +460,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     at = docs.columns.index(text_col)
     chars = docs.columns.index(chars_col) if chars_col in docs.columns else None
     names = docs.columns
-    joined = docs.select("*", *keyed(docs, id_col, text_col)).join(spans, ["__rid", "__row"], "left").select(*names, "__spans")
+    joined = keyed(docs, id_col, text_col).join(spans, "__row", "left").select(*names, "__spans")
 
     def run(batches):
         for b in batches:

@@ -197,14 +197,29 @@ def test_substring_odd_rows(spark, odd_docs, no_docs):
     assert 11 not in rows and rows[0].text is None and rows[5].text == docs[5][1]
 
 
-def test_long_texts_are_cut_with_overlap(monkeypatch):
+def test_segments_cover_windows_and_agree():
+    """Segments part all windows of all texts, equal windows have equal keys,
+    equal content hashes mean equal words, repeats within one are marked."""
+    from gazette.llm.common import hashed_words
+
     rng = random.Random(8)
-    words = [f"{rng.randint(0, 40)}".encode() for _ in range(900)]
-    whole = S.runs(words, 35, 16)
-    monkeypatch.setattr(S, "CHUNK_WORDS", 100)
-    parts = S.runs(words, 35, 16)
-    spread = lambda r: {w: k for k, a, b, _ in zip(*r) for w in range(a, b + 1)}
-    assert spread(whole) == spread(parts) and set(spread(whole)) == set(range(900 - 34))
+    texts = [" ".join(str(rng.randint(0, 3)) for _ in range(rng.randint(0, 90))) for _ in range(40)]
+    texts += [texts[3], "", None, "a b " * 30, "x " * 10, " ".join(str(i) for i in range(60))]
+    words = [(t or "").split() for t in texts]
+    window, gram = 9, 4
+    h, counts = hashed_words([None if t is None else t.encode() for t in texts])
+    assert counts.tolist() == [len(w) for w in words] and len(set(h.tolist())) == len({x for w in words for x in w})
+    seen, keys, contents = set(), {}, {}
+    for d, key, content, a, b, twice in zip(*(x.tolist() for x in S.runs(h, counts, window, gram))):
+        for i in range(a, b + 1):
+            assert (d, i) not in seen
+            seen.add((d, i))
+            assert keys.setdefault(tuple(words[d][i:i + window]), key) == key
+        part = tuple(words[d][a:b + window])
+        assert contents.setdefault((key, content), part) == part
+        inside = [part[i:i + window] for i in range(b - a + 1)]
+        assert twice or len(set(inside)) == len(inside)
+    assert seen == {(d, i) for d, w in enumerate(words) for i in range(len(w) - window + 1)}
 
 
 def test_fm_index_counts():
