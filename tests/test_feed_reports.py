@@ -46,3 +46,17 @@ def test_scrape_report(spark):
     assert (rows[0].batch_total, rows[0].grand_total) == (5, 150)
     empty = spark.createDataFrame([], "category string")
     assert V.scrape_report(empty, empty).count() == 0
+
+
+def test_feed_ends_at_unreadable_or_empty_page(spark):
+    """A cut-off page, an error page and an empty page end their feed and are
+    told apart; pages behind them are not read."""
+    good = lambda i: page([story(i, "2026-01-15T10:00:00Z")])
+    rows = [(0, 0, good(1)), (0, 1, good(2)[:50]), (0, 2, good(3)),
+            (1, 0, good(4)), (1, 1, '{"error": "unavailable"}'), (1, 2, good(5)),
+            (2, 0, good(6)), (2, 1, page([])), (2, 2, good(7)),
+            (3, 0, good(8)), (3, 1, good(9)), (4, 0, None), (4, 1, good(10))]
+    pages = spark.createDataFrame(rows, "feed_id long, page long, payload string")
+    assert sorted(r.id for r in P.flatten_feed(pages).collect()) == [1, 4, 6, 8, 9]
+    got = {r.feed_id: (r.n_pages, r.n_rejected, r.end_page) for r in P.payload_rejects(pages).collect()}
+    assert got == {0: (3, 1, 1), 1: (3, 1, 1), 2: (3, 0, 1), 3: (2, 0, None), 4: (2, 1, 0)}
