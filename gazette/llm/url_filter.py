@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gazette.llm.common import batch, bounded_batches, table
+from gazette.llm.common import batch, bounded_batches, staged, table
 
 RULES = (("allow", "org/"), ("block", "example.org/es/"), ("block", "example.org/en/1"), ("allow", "com/fr/"), ("block", "com/de/"))
 #: Entries of the word list and of the token table that tasks hold (the most frequent ones).
@@ -148,7 +148,9 @@ def word_counts(pages: DataFrame, url_col: str, html_col: str, max_words: int =
         yield flush()
 
     counts = rows.mapInArrow(run, "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
-    return {r.word: r.n for r in counts.orderBy(F.desc("n"), "word").limit(max_words).collect()}
+    # written first: a collected top-k would send each partition's to the driver
+    top = staged(counts.orderBy(F.desc("n"), "word").limit(max_words), "words")
+    return {r.word: r.n for r in top.collect()}
 
 
 WORDS = re.compile(r"[^\W\d_]+").findall
@@ -178,7 +180,7 @@ def fit(pages: DataFrame, rules: Rules, segmenter: Segmenter, url_col: str, max_
     named = counts.filter("token is not null")
     distinct = named.agg(F.count_distinct("token")).first()[0]
     out: dict[str, dict[str, int]] = {}
-    for r in named.orderBy(F.desc("n"), "token", "verdict").limit(max_tokens).collect():
+    for r in staged(named.orderBy(F.desc("n"), "token", "verdict").limit(max_tokens), "tokens").collect():
         out.setdefault(r.verdict, {})[r.token] = r.n
     counts.unpersist()
     return NaiveBayes(out, documents, distinct)
