@@ -46,7 +46,7 @@ def ship(spark: SparkSession) -> None:
     _SHIPPED.add(sc.applicationId)
 
 
-def bounded_batches(spark: SparkSession, rows: int = 1000, size: str = "16m") -> None:
+def bounded_batches(spark: SparkSession, rows: int = 1000, size: str = "8m") -> None:
     """Bound the Arrow batches that Python workers hold: by rows and, where
     this Spark version knows the setting, by bytes.  A value that the user
     set to less stays.  Also ships the package: every operator with Python
@@ -152,7 +152,7 @@ class WordTokenizer:
     text.
     """
 
-    def __init__(self, path: str, max_words: int = 700_000, max_bytes: int = 48):
+    def __init__(self, path: str, max_words: int = 250_000, max_bytes: int = 48):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 

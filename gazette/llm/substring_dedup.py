@@ -30,7 +30,7 @@ from gazette.llm.common import batch, bounded_batches, hashed_words, partitions,
 
 WINDOW, GRAM = 35, 16
 #: Occurrences from which a key is dealt by single windows; words in one index.
-HOT_KEY, INDEX_WORDS = 3000, 1_000_000
+HOT_KEY, INDEX_WORDS = 3000, 500_000
 MULTIPLIER, MIX = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93)
 
 
@@ -296,7 +296,7 @@ def sort_out(rows: DataFrame, window: int, gram: int, n_parts: int, hot_key: int
             if len(got[0]):
                 held.append((x.column(0).to_numpy()[got[0]], *got[1:]))
                 size += len(got[0])
-            if size >= 1_500_000:
+            if size >= 400_000:
                 yield close()
                 size = 0
         if size:

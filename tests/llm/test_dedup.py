@@ -87,6 +87,15 @@ def test_jaccard_odd_rows(spark, odd_docs, no_docs):
     assert ids.count(4) == 1 and 50 not in ids and 11 in ids and None in ids
 
 
+def test_equal_ids_with_different_texts_are_one_node(spark):
+    rng = random.Random(6)
+    words = [f"w{i}" for i in range(900)]
+    short, long_ = " ".join(rng.choices(words, k=40)), " ".join(rng.choices(words, k=500))
+    docs = [(7, short), (7, long_), (9, short + " end"), (11, long_ + " end"), (12, "start " + short)]
+    got = J.jaccard_components(frame(spark, docs)).collect()
+    assert sorted((r.doc_id, r.component_id) for r in got) == [(7, 7), (7, 7), (9, 7), (11, 7), (12, 7)]
+
+
 def test_signatures_meet_for_all_linked_sets():
     """Every linked pair of random sets of all small sizes shares a signature."""
     rng = np.random.default_rng(2)
