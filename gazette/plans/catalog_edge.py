@@ -17,7 +17,7 @@ from gazette.operators.drift import drift_alerts
 from gazette.plans import jobs as J
 from gazette.plans import models as M
 from gazette.plans import serving as V
-from gazette.plans.catalog import (_ANOMALY_SQL, _CUT1, _CUT2, _MART, _PAGE, _S1, _SNAP, _WIN_SINCE, _WIN_UNTIL, ORACLE, S1_COLS,
+from gazette.plans.catalog import (_ANOMALY_SQL, _MART, _PAGE, _S1, _SNAP, _WIN_SINCE, _WIN_UNTIL, ORACLE, S1_COLS,
                                    _scratch, register, reversed_page_order)
 from gazette.plans.oracle import with_ctes
 from gazette.sources import fixtures as fx
@@ -226,7 +226,7 @@ def q_scd2_snapshot_job(spark, sf):
     return history
 
 
-@register("tables_set_up", with_ctes(f"SELECT article_id, date_day, category FROM fct", "fct"))
+@register("tables_set_up", with_ctes("SELECT article_id, date_day, category FROM fct", "fct"))
 def q_tables_set_up(spark, sf):
     """Facts appended to a table that the idempotent set-up created twice,
     then read through a view model and a table model."""
