@@ -219,3 +219,30 @@ def test_html_table(spark, sf):
     rows = H.extract(odd).collect()
     assert sorted((r.text, r.n_chars) for r in rows) == [("", 0), ("", 0), ("x", 1)]
     assert H.extract(odd.limit(0)).count() == 0
+
+
+@pytest.mark.parametrize("rows,size", [(U.BLOCK_ROWS, U.BLOCK_BYTES), (7, 1 << 20), (1000, 100)])
+def test_url_filter_counts_every_word_and_token(spark, monkeypatch, rows, size):
+    """More words and tokens than the lists once kept, and one of over 20 letters: equal to one model of whole counts."""
+    from collections import Counter
+
+    monkeypatch.setattr(U, "BLOCK_ROWS", rows)
+    monkeypatch.setattr(U, "BLOCK_BYTES", size)
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    rare = ["q" + letters[i // 17576] + letters[i // 676 % 26] + letters[i // 26 % 26] + letters[i % 26] + "z" for i in range(60_000)]
+    long = "donaudampfschifffahrtsgesellschaft"
+    text = " ".join(rare) + f" {long} {long} zzshop zzshop " + "garden news casino win " * 9
+    pages = [(i, f"http://{h}.example.{t}/{p}/{i}", None) for i, (h, t, p) in enumerate([("casinowin", "com", "de"), ("gardennews", "org", "en")] * 20)]
+    pages += [(900, f"http://zzshopgarden{long}.net/x", text), (901, f"http://{rare[-1]}zzshop.net/{rare[59_000]}news", None), (902, "http://É.org/Äpfel中文", "äpfel 中文"), (903, None, None)]
+    got = {r.page_id: r for r in U.filter_urls(spark.createDataFrame(pages, "page_id long, url string, html string").repartition(3)).collect()}
+    counts = Counter(w for _, u, h in pages for t in (h or "", U.split_url(u)[1]) for w in U.WORDS(t.lower()))
+    whole, rules = U.Segmenter(counts), U.Rules()
+    assert whole.split(f"zzshopgarden{long}") == ["zzshop", "garden", long] and len(counts) > 60_000
+    tokens = {i: whole.tokens(*U.split_url(u)) for i, u, _ in pages}
+    decided = {i: rules.match(*U.split_url(u))[1] for i, u, _ in pages}
+    by = {v: Counter(t for i, x in tokens.items() if decided[i] == v for t in x) for v in ("allow", "block")}
+    model = U.NaiveBayes(by, Counter(v for v in decided.values() if v), {v: sum(c.values()) for v, c in by.items()}, len(set().union(*by.values())))
+    assert len(got) == len(pages)
+    for i, found in tokens.items():
+        verdict, odds = model.verdict(found)
+        assert got[i].n_tokens == len(found) and got[i].log_odds == pytest.approx(odds, abs=1e-9) and got[i].verdict == (decided[i] or verdict)
