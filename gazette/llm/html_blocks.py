@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import html
 import re
+from collections import Counter
 
 import numpy as np
 import pyarrow as pa
@@ -22,8 +23,11 @@ from gazette.llm.common import batch, bounded_batches, table
 BLOCK_TAGS = frozenset("""address article aside blockquote body caption center dd details dialog dir div dl dt fieldset figcaption figure
 footer form h1 h2 h3 h4 h5 h6 head header hgroup hr html legend li main menu nav ol optgroup option p pre section summary table tbody td
 tfoot th thead title tr ul""".split())
-#: Elements whose content is never text of the page.
-SKIPPED = frozenset("script style noscript template title textarea select button svg math iframe object canvas audio video head".split())
+#: Elements whose content is never text of the page: those that hold characters up to their own end tag, and those that hold elements.
+RAW = frozenset("script style title textarea iframe".split())
+SKIPPED = frozenset("noscript template select button svg math object canvas audio video".split())
+#: Start tags that may stand in a head; any other, or text, ends it.
+HEAD_TAGS = frozenset("html head base basefont bgsound link meta noscript template".split()) | RAW - {"textarea", "iframe"}
 #: Elements that enclose something else than the article, and names (of class, id, role) that say so.
 BOILER_TAGS = frozenset("nav footer aside form menu dialog".split())
 MAIN_TAGS = frozenset(("article", "main"))
@@ -100,12 +104,19 @@ def _names(attributes: str) -> str:
 def blocks(page: str) -> list[tuple[str, int, float, int, int, int]]:
     """(text, words, link density, boiler, main, heading) of each block with
     text, in page order.  Unclosed elements end with an enclosing element's
-    end, or with the page; a tag that the page's end cuts off is markup."""
+    end, or with the page, skipped ones too; a head ends with the first tag or
+    text that may not stand in it.  An unclosed element of RAW ends with the
+    head or the skipped element around it, else with the page, as in browsers.
+    A tag that the page's end cuts off is markup."""
     out: list = []
     text: list[str] = []
     linked: list[str] = []
     stack: list[tuple[str, int, int]] = []  # open containers: tag, boiler so far, main so far
+    opened: Counter = Counter()  # start tags without an end tag, outside of skipped elements
+    absent: set[str] = set()  # names without an end tag in the rest of the page
+    hidden: int | None = None  # where the outermost open skipped element stands in the stack
     links = heading = 0
+    in_head = False
     at, size = 0, len(page)
 
     def flush() -> None:
@@ -119,11 +130,39 @@ def blocks(page: str) -> list[tuple[str, int, float, int, int, int]]:
             linked.clear()
 
     def add(piece: str) -> None:
-        if piece:
+        nonlocal in_head
+        if piece and hidden is None and not (in_head and piece.isspace()):
+            in_head = False
             text.append(piece)
             if links:
                 linked.append(piece)
 
+    def pop_to(tag: str) -> None:
+        nonlocal hidden
+        while stack.pop()[0] != tag:
+            pass
+        if hidden is not None and len(stack) <= hidden:
+            hidden = None
+
+    def end_of(tag: str) -> re.Match | None:
+        got = None if tag in absent else re.compile(rf"</{tag}\b[^>]*(?:>|\Z)", re.I).search(page, at)
+        if not got:
+            absent.add(tag)
+        return got
+
+    def after_raw(tag: str) -> int:
+        """Where the page goes on after an element of RAW that begins at ``at``."""
+        around = next((t for t, _, _ in reversed(stack[hidden:]) if t in SKIPPED), None) if hidden is not None else None
+        own = end_of(tag)
+        if own and tag == "script":  # scripts write tags
+            return own.end()
+        bound = None
+        if (around or in_head) and around not in absent:
+            bound = re.compile(rf"</{around}\b" if around else r"</head\b|<body\b", re.I).search(page, at, own.start() if own else size)
+        if around and not own and not bound:
+            absent.add(around)
+        return bound.start() if bound else own.end() if own else at if around in ("svg", "math") else size
+
     while at < size:
         found = PART.search(page, at)
         if not found:
@@ -135,14 +174,54 @@ def blocks(page: str) -> list[tuple[str, int, float, int, int, int]]:
         if tag is None:
             continue
         tag = tag.lower()
-        if not close and tag in SKIPPED and not attributes.rstrip().endswith("/"):
-            end = re.compile(rf"</{tag}\b[^>]*(?:>|\Z)|<body\b" if tag == "head" else rf"</{tag}\b[^>]*(?:>|\Z)", re.I).search(page, at)
+        alone = tag in VOID or attributes.rstrip().endswith("/")
+        if in_head:
+            if close and tag not in ("head", "body", "html"):
+                if hidden is not None and any(t == tag for t, _, _ in stack[hidden:]):
+                    pop_to(tag)
+                continue
+            if close or tag == "body" or hidden is None and tag not in HEAD_TAGS:
+                in_head = False
+                if hidden is not None:
+                    del stack[hidden:]
+                    hidden = None
+            elif hidden is None and tag not in RAW and (tag not in SKIPPED or not end_of(tag)):
+                continue
+        if hidden is not None:
+            inside = (close or tag in ("button", "select")) and any(t == tag for t, _, _ in stack[hidden:])  # these don't nest
+            if inside:
+                pop_to(tag)
+            elif close and opened[tag] or tag == "body" and not close and opened["head"] and not opened["body"]:
+                del stack[hidden:]
+                hidden = None
+            if hidden is not None and not close and not alone:
+                if tag in RAW:
+                    at = after_raw(tag)
+                else:
+                    stack.append((tag, *stack[-1][1:]))
+            if hidden is not None or close and inside:
+                continue
+        if not close and tag in RAW and not alone:
             if tag not in BLOCK_TAGS:
                 add(" ")
-            else:
+            elif not in_head:
                 flush()
-            at = size if not end else end.start() if end.group().lower().startswith("<body") else end.end()
+            at = after_raw(tag)
+            continue
+        if not close and tag in SKIPPED and not alone:
+            add(" ")
+            hidden = len(stack)
+            stack.append((tag, *(stack[-1][1:] if stack else (0, 0))))
+            continue
+        if tag == "head" and not close:
+            flush()
+            in_head = True
+            opened[tag] += 1
             continue
+        if not alone and not close:
+            opened[tag] += 1
+        elif close and opened[tag]:
+            opened[tag] -= 1
         if tag == "a":
             links = 0 if close else 1
         elif tag == "br":
@@ -153,8 +232,7 @@ def blocks(page: str) -> list[tuple[str, int, float, int, int, int]]:
                 stack.append((tag, 1, stack[-1][2] if stack else 0))
             elif close and any(t == tag for t, _, _ in stack):
                 flush()
-                while stack.pop()[0] != tag:
-                    pass
+                pop_to(tag)
             continue
         flush()
         links = 0
@@ -171,8 +249,7 @@ def blocks(page: str) -> list[tuple[str, int, float, int, int, int]]:
             continue
         if close:
             if any(t == tag for t, _, _ in stack):
-                while stack.pop()[0] != tag:
-                    pass
+                pop_to(tag)
             continue
         boiler, main = (stack[-1][1], stack[-1][2]) if stack else (0, 0)
         if tag in MAIN_TAGS and not boiler:

@@ -246,3 +246,28 @@ def test_url_filter_counts_every_word_and_token(spark, monkeypatch, rows, size):
     for i, found in tokens.items():
         verdict, odds = model.verdict(found)
         assert got[i].n_tokens == len(found) and got[i].log_odds == pytest.approx(odds, abs=1e-9) and got[i].verdict == (decided[i] or verdict)
+
+
+@pytest.mark.parametrize("tag", sorted(H.SKIPPED))
+@pytest.mark.parametrize("page", [
+    "<div><{t}>own words</div><article><p>Kept text</p></article>", "<article><p><{t}>own <b>words</p><p>Kept text</p></article>",
+    "<ul><li><{t}><p>own<div>words</ul><article><p>Kept text", "<table><tr><td class=ad><{t}>own</td></tr></table><article><p>Kept text</p><{t}>words</{t}></article>",
+    "<div><{t}><iframe>own</{t}></div><article>Kept text", "<div><{t}><{t}>own</{t}></div><article>Kept text", "<article>Kept <{t}><p>own</p><script>'</div>'</script></{t}>text",
+    "<html><head><{t}>own</head><body><article>Kept text</article>", "<article>Kept text<div><{t}>own <style>words", "<article>Kept text</article><{t}>own words",
+])
+def test_html_unclosed_skipped_elements(tag, page):
+    assert H.main_text(page.replace("{t}", tag), H.trained())[0].split() == ["Kept", "text"]
+
+
+@pytest.mark.parametrize("page,want", [
+    ("<html><head><title>T</title><article><p>One</p></article>", "One"), ("<head><meta charset=x><link rel=y><style>p{}</style><script>'<body>'</script><div><article>One", "One"),
+    ("<head><title>T</title></head><article>One", "One"), ("<head><title>T</title><body><article>One", "One"), ("<head><title>T</head><body><article>One", "One"),
+    ("<head><noscript><img src=x></noscript><title>T</title></head><article>One", "One"), ("<head><noscript><link><article>One</article>", "One"),
+    ("<head><noscript><img></head><article>One</article><noscript>x</noscript>", "One"), ("<head><noscript><p>x<body><article>One</article><noscript>x</noscript>", "One"),
+    ("<head><svg>a<p>b<body><article>One", "One"), ("<head><template><p>x</p></template><title>T</title><article>One", "One"), ("<head>\n<script>a</script>\n</html><article>One", "One"),
+    ("<article>One<svg><title>Icon<path></svg> two</article>", "One two"), ("<article>One<svg><g><title>Icon<path></article><article>Two", "One\n\nTwo"),
+    ("<article>One<script>'<p>no", "One"), ("<article>One<style>no", "One"), ("<article>One<textarea>no</article><p>no", "One"), ("<article>One<iframe>no</article>", "One"),
+    ("<div><button>a<button>b</button></div><article>One", "One"), ("<article><div>One<button/> two</div>", "One two"), ("<article>One<object><object>a</object>b</object> two", "One two"),
+])
+def test_html_head_and_raw_elements(page, want):
+    assert H.main_text(page, H.trained())[0] == want
