@@ -305,3 +305,24 @@ def test_pipeline_matches_brute_force(spark, tmp_path):
         docs_df = stage(spark, docs_df, sf)
         assert docs_df.schema.names == ["doc_id", "text", "lang", "source", "n_chars"]
     assert D.keep_clean(docs_df.limit(0), spark.read.parquet(f"{sf}/benchmark.parquet")).count() == 0
+
+
+@pytest.mark.parametrize("limits", [{}, {"region_docs": 3, "region_shingles": 300}])
+def test_keep_one_groups_rows_not_ids(spark, limits):
+    """Unlike texts under one id stay, copies without an id go, and which row stays doesn't depend on the order of rows."""
+    rng = random.Random(8)
+    words = [f"w{i}" for i in range(900)]
+    a, b, c, d = (" ".join(rng.choices(words, k=60)) for _ in range(4))
+    docs = [(7, a), (7, b), (7, a), (9, a + " end"), (None, b), (None, c), (None, c), (None, c + " end"), (3, d), (None, d), (20, ""), (21, ""), (22, None)]
+    rows = [(i, t, k, {"k": "v"}) for k, (i, t) in enumerate(docs)] + [(7, b, 1, {"k": "v"})]
+    stays = set()
+    for seed in range(3):
+        random.Random(seed).shuffle(rows)
+        got = J.keep_one(spark.createDataFrame(rows, "doc_id long, text string, lang int, extra map<string,string>").repartition(3), **limits)
+        assert got.columns == ["doc_id", "text", "lang", "extra"]
+        kept = got.collect()
+        assert [(i, t) for i, t in ((r.doc_id, r.text) for r in kept) if i] and len(kept) == 7
+        found = {(r.doc_id, r.text) for r in kept}
+        assert {(7, a), (7, b), (3, d), (20, ""), (21, ""), (22, None)} < found and len(found & {(None, c), (None, c + " end")}) == 1
+        stays.add(tuple(sorted(map(str, kept))))
+    assert len(stays) == 1
