@@ -73,11 +73,12 @@ def scratch(spark: SparkSession, name: str) -> str:
     return scratch_path(spark, f"llm-{name}-{uuid.uuid4().hex}", fallback="/tmp/gazette-llm-checkpoints")
 
 
-def staged(df: DataFrame, name: str) -> DataFrame:
+def staged(df: DataFrame, name: str, by: str | None = None) -> DataFrame:
     """Write df as Parquet in the shared folder and read it back: a lineage
-    cut that survives lost executors and is computed once."""
+    cut that survives lost executors and is computed once.  ``by``: a column
+    with few values, each of which gets a folder of its own."""
     path = scratch(df.sparkSession, name)
-    df.write.parquet(path)
+    (df.write.partitionBy(by) if by else df.write).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

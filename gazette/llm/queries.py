@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from gazette.llm import (decontaminate, html_blocks, jaccard_join, langid, packing, quality_mil, quality_rules, substring_dedup,
-                         token_binary, url_filter)
+from gazette.llm import (decontaminate, filter_audit, html_blocks, jaccard_join, langid, license_scan, merkle, packing, quality_mil,
+                         quality_rules, substring_dedup, token_binary, url_filter)
 
 QUERIES = {
     "op1_packing": packing.op1_packing,
@@ -16,10 +16,15 @@ QUERIES = {
     "op8_token_binary": token_binary.op8_token_binary,
     "op9_quality_rules": quality_rules.op9_quality_rules,
     "op10_decontamination": decontaminate.op10_decontamination,
+    "op11_license_scan": license_scan.op11_license_scan,
+    "op12_merkle_manifest": merkle.op12_merkle_manifest,
+    "op13_filter_audit": filter_audit.op13_filter_audit,
 }
-#: The others need a tokenizer, zstandard, a trained model or an HTML reader.
+#: The others need a tokenizer, zstandard, a trained model, an HTML reader or crc32.
 ORACLE = {
     "op2_substring_dedup": substring_dedup.OP2_SQL,
     "op5_jaccard_join": jaccard_join.OP5_SQL,
     "op10_decontamination": decontaminate.OP10_SQL,
+    "op11_license_scan": license_scan.OP11_SQL,
+    "op13_filter_audit": filter_audit.OP13_SQL,
 }
