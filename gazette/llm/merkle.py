@@ -121,17 +121,19 @@ def paths(levels: list[DataFrame], down_to: int, ends: DataFrame) -> DataFrame:
     row for each group: ``_g, _n, path`` above its last node, and more.  Children
     meet their parents, at most FAN to one."""
     extra = [c for c in ends.columns if c not in ("_g", "_n", "path")]
-    levels_of = depth(F.col("_n"))
-    at = ends.filter(levels_of >= len(levels)).select("_g", "_n", F.lit(0).cast("long").alias("_i"), "path", *extra)
+    level_of = depth(F.col("_n"))
+
+    def top(which: Column) -> DataFrame:
+        return ends.filter(which).select("_g", "_n", F.lit(0).cast("long").alias("_i"), "path", *extra)
+
+    at = top(level_of >= max(len(levels), down_to))
     for level in range(len(levels), down_to, -1):
         parents = at.join(levels[level - 1].select("_g", "_i", "kids"), ["_g", "_i"])
-        step = lambda k: F.array(F.struct(k.cast("int").alias("slot"), F.col("kids").alias("kids")))
+        step = F.array(F.struct(F.col("_k").cast("int").alias("slot"), F.col("kids").alias("kids")))
         at = (parents.select("_g", "_n", "path", *extra, "kids", F.col("_i").alias("_up"), F.explode(F.sequence(F.lit(0), F.size("kids") - 1)).alias("_k"))
-              .select("_g", "_n", (F.col("_up") * FAN + F.col("_k")).alias("_i"), F.concat(step(F.col("_k")), F.col("path")).alias("path"), *extra))
-        at = at.unionByName(ends.filter(levels_of == level - 1).select("_g", "_n", F.lit(0).cast("long").alias("_i"), "path", *extra))
-    if len(levels) < down_to:
-        return at
-    return at.unionByName(ends.filter(levels_of < down_to).select("_g", "_n", F.lit(0).cast("long").alias("_i"), "path", *extra))
+              .select("_g", "_n", (F.col("_up") * FAN + F.col("_k")).alias("_i"), F.concat(step, F.col("path")).alias("path"), *extra))
+        at = at.unionByName(top(level_of == level - 1))
+    return at.unionByName(top(level_of < down_to))
 
 
 def fold_group(rows: list[dict], n: int, path: list[dict], subroot: str, root: str) -> list[tuple]:
