@@ -117,10 +117,11 @@ def scd2_merge(history: DataFrame, snapshot: DataFrame, key: str,
     """
     at = at.cast("timestamp_ntz")
     closed_rows = history.filter(F.col("valid_to").isNotNull())
-    open_rows = history.filter(F.col("valid_to").isNull())
-    snap = snapshot.select(*[F.col(c).alias(f"__s_{c}") for c in snapshot.columns])
-    j = open_rows.join(snap, F.col(key) == F.col(f"__s_{key}"), "full_outer")
-    in_hist, in_snap = F.col(key).isNotNull(), F.col(f"__s_{key}").isNotNull()
+    open_rows = history.filter(F.col("valid_to").isNull()).withColumn("__h", F.lit(True))
+    snap = snapshot.select(*[F.col(c).alias(f"__s_{c}") for c in snapshot.columns], F.lit(True).alias("__s"))
+    # a NULL key is a key like any other: sides are told apart by flags of their own
+    j = open_rows.join(snap, F.col(key).eqNullSafe(F.col(f"__s_{key}")), "full_outer")
+    in_hist, in_snap = F.col("__h").isNotNull(), F.col("__s").isNotNull()
     changed = in_hist & in_snap & _changed(check, "__s_")
     hist_cols = [c for c in history.columns]
     # existing open rows: close the changed ones
@@ -141,6 +142,27 @@ def scd2_merge(history: DataFrame, snapshot: DataFrame, key: str,
     return closed_rows.unionByName(kept).unionByName(opened)
 
 
+def scd2_moves(open_rows: DataFrame, snapshot: DataFrame, key: str, check: Sequence[str], at: Column) -> DataFrame:
+    """What one snapshot run changes, given the open rows that its keys may have.
+
+    One row per changed or new key: ``closed`` (the old row as it ends, NULL for
+    a new key), ``opened`` (the new row) and the columns of ``open_rows`` that are
+    no history columns under ``was``.  Unchanged keys give no row.  Snapshot keys are distinct."""
+    at = at.cast("timestamp_ntz")
+    columns = [*snapshot.columns, "valid_from", "valid_to", "is_current"]
+    more = [c for c in open_rows.columns if c not in columns]
+    old = open_rows.select(*[F.col(c).alias(f"__h_{c}") for c in [*columns, *more]], F.lit(True).alias("__h"))
+    j = snapshot.join(old, F.col(key).eqNullSafe(F.col(f"__h_{key}")), "left")
+    stood = F.col("__h").isNotNull()
+    end = {"valid_to": at, "is_current": F.lit(False)}
+    closed = F.struct(*[end.get(c, F.col(f"__h_{c}")).alias(c) for c in columns])
+    begin = {"valid_from": at, "valid_to": F.lit(None).cast("timestamp_ntz"), "is_current": F.lit(True)}
+    opened = F.struct(*[begin.get(c, F.col(c) if c in snapshot.columns else F.lit(None)).alias(c) for c in columns])
+    was = F.struct(*[F.col(f"__h_{c}").alias(c) for c in more]) if more else F.lit(None)
+    return (j.filter(~stood | _changed(check, "__h_"))
+            .select(F.when(stood, closed).alias("closed"), opened.alias("opened"), F.when(stood, was).alias("was")))
+
+
 def scd2_init(snapshot: DataFrame, at: Column) -> DataFrame:
     """First snapshot run: every row opens at ``at``."""
     return snapshot.withColumns({"valid_from": at.cast("timestamp_ntz"),

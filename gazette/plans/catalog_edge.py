@@ -14,10 +14,11 @@ from gazette.operators import merge as MG
 from gazette.operators import scd2 as H
 from gazette.operators.dedupe import latest_per_key
 from gazette.operators.drift import drift_alerts
+from gazette.plans import incremental_models as IM
 from gazette.plans import jobs as J
 from gazette.plans import models as M
 from gazette.plans import serving as V
-from gazette.plans.catalog import (_ANOMALY_SQL, _MART, _PAGE, _S1, _SNAP, _WIN_SINCE, _WIN_UNTIL, ORACLE, S1_COLS,
+from gazette.plans.catalog import (_ANOMALY_SQL, _CUT1, _CUT2, _CUT_UPSERT, _FEED_CTES, _HIST, _MART, _PAGE, _S1, _SNAP, _WIN_SINCE, _WIN_UNTIL, ORACLE, S1_COLS,
                                    _scratch, register, reversed_page_order)
 from gazette.plans.oracle import with_ctes
 from gazette.sources import fixtures as fx
@@ -242,12 +243,184 @@ def q_tables_set_up(spark, sf):
     return out
 
 
-@register("scrape_upsert_job", with_ctes(f"""
-    SELECT id, count(*) AS n FROM (SELECT id FROM articles WHERE seq % 37 <> 0 GROUP BY id) GROUP BY id""", "articles"))
+def _upserted_sql(target: str, updates: str) -> str:
+    """Rows ``updates`` upserted into ``target``: published_at and created_at stay as first stored."""
+    kept = ("published_at", "created_at")
+    cols = ", ".join(f"CASE WHEN t.id IS NOT NULL THEN t.{c} ELSE u.{c} END AS {c}" if c in kept else
+                     f"CASE WHEN u.id IS NOT NULL THEN u.{c} ELSE t.{c} END AS {c}" for c in S1_COLS if c != "id")
+    return f"SELECT coalesce(u.id, t.id) AS id, {cols} FROM ({target}) t FULL OUTER JOIN ({updates}) u ON t.id = u.id"
+
+
+def _last_in_feed(parity: int) -> str:
+    return f"""SELECT {_S1} FROM (SELECT *, row_number() OVER (PARTITION BY id ORDER BY feed_id DESC, page DESC, pos DESC) AS last
+                                  FROM first_seen WHERE feed_id % 2 = {parity}) WHERE last = 1"""
+
+
+@register("scrape_upsert_job", with_ctes(_upserted_sql(_last_in_feed(0), _last_in_feed(1)), "first_seen", extra=_FEED_CTES))
 def q_scrape_upsert_job(spark, sf):
-    """Feed pages upserted twice into the bucketed source: one row per id of any story."""
-    lake = J.Lake(_scratch(spark, "scrape"))
-    pages = P.fixture_pages(fx.articles(spark, sf))
-    for pipeline in ("first", "second"):
-        J.scrape_run(spark, lake, pages, pipeline=pipeline)
-    return J._source(spark, lake).groupBy("id").agg(F.count(F.lit(1)).alias("n"))
+    """The even feeds' pages, then the odd ones', upserted into the source
+    table: the last story of an id wins, published_at and created_at stay as
+    the first scrape stored them."""
+    root = _scratch(spark, "scrape")
+    lake = J.Lake(f"{root}/lake")
+    P.fixture_pages(fx.articles(spark, sf)).write.parquet(f"{root}/pages")
+    pages = spark.read.parquet(f"{root}/pages")
+    for parity, pipeline in enumerate(("even", "odd")):
+        J.scrape_run(spark, lake, pages.filter(F.col("feed_id") % 2 == parity), pipeline=pipeline)
+    return J._source(spark, lake).select(*S1_COLS)
+
+
+_LATEST_WHERE = """SELECT {cols} FROM (SELECT *, row_number() OVER (PARTITION BY id ORDER BY updated_at DESC NULLS FIRST, seq DESC) AS rn
+                                       FROM articles WHERE {cond}) WHERE rn = 1"""
+
+
+@register("source_upsert_concurrent", with_ctes(_upserted_sql(
+    _LATEST_WHERE.format(cols=_S1, cond=f"updated_at < {_CUT_UPSERT} AND id % 10 <> 3"),
+    _LATEST_WHERE.format(cols=_S1, cond=f"updated_at >= {_CUT_UPSERT}")), "articles"))
+def q_source_upsert_concurrent(spark, sf):
+    """An upsert that has read the source table when a delete commits: it
+    starts again on what the delete left, so neither is lost."""
+    art = fx.articles(spark, sf)
+    lake = J.Lake(_scratch(spark, "concurrent"))
+    cut = art.agg(F.max("updated_at")).first()[0] - dt.timedelta(days=7)
+    order = [F.col("updated_at").desc_nulls_first(), F.col("seq").desc()]
+    table = J.source_table(lake)
+    J.save_source(latest_per_key(art.filter(F.col("updated_at") < F.lit(cut)), ["id"], order).select(*S1_COLS), lake)
+    updates = J.staged_rows(art.filter(F.col("updated_at") >= F.lit(cut)).select(*S1_COLS, "seq"), table)
+    tries = []
+
+    def change(base):
+        made = J.upsert_change(table, base, updates, order)
+        if not tries:       # the other job, after this one read
+            J.delete_articles(spark, lake, J._source(spark, lake).filter("id % 10 = 3").select("id"), cut)
+        tries.append(base.number)
+        return made
+
+    table.update(spark, change)
+    assert len(tries) == 2
+    return J._source(spark, lake).select(*S1_COLS)
+
+
+def _history_sql(key: str, cuts: list[str]) -> tuple[str, dict]:
+    """History after a full snapshot at each cut: (name of the last step, CTEs)."""
+    snap = f"""SELECT {_SNAP} FROM (SELECT *, row_number() OVER (PARTITION BY article_id ORDER BY updated_at DESC NULLS FIRST, seq DESC) AS rn
+        FROM (SELECT {key} AS article_id, title || ' v' || CAST(seq % 2 AS VARCHAR) AS title, category, author_id, updated_at, seq
+              FROM articles WHERE updated_at < {{cut}})) WHERE rn = 1"""
+    ctes = {"hist0": (["articles"], f"SELECT {_SNAP}, {cuts[0]} AS valid_from, CAST(NULL AS TIMESTAMP) AS valid_to, true AS is_current FROM ({snap.format(cut=cuts[0])})")}
+    for k, cut in enumerate(cuts[1:], 1):
+        ctes[f"step{k}"] = ([f"hist{k - 1}", "articles"], f"""
+            SELECT h.*, s.article_id AS s_id, s.title AS s_title, s.category AS s_category, s.author_id AS s_author, s.updated_at AS s_updated,
+                   h.valid_from IS NOT NULL AS stood, s.updated_at IS NOT NULL AS came, h.title IS DISTINCT FROM s.title OR h.category IS DISTINCT FROM s.category AS differs
+            FROM (SELECT * FROM hist{k - 1} WHERE valid_to IS NULL) h FULL OUTER JOIN ({snap.format(cut=cut)}) s ON h.article_id IS NOT DISTINCT FROM s.article_id""")
+        ctes[f"hist{k}"] = ([f"step{k}"], f"""
+            SELECT {_HIST} FROM hist{k - 1} WHERE valid_to IS NOT NULL
+            UNION ALL SELECT {_SNAP}, valid_from, CASE WHEN came AND differs THEN {cut} END, NOT (came AND differs) FROM step{k} WHERE stood
+            UNION ALL SELECT s_id, s_title, s_category, s_author, s_updated, {cut}, CAST(NULL AS TIMESTAMP), true FROM step{k} WHERE came AND (differs OR NOT stood)""")
+    return f"hist{len(cuts) - 1}", ctes
+
+
+def _snapshot_runs(spark, sf, key):
+    """Three snapshot runs; the second and third bring only what changed since the one before."""
+    art = fx.articles(spark, sf)
+    lake = J.Lake(_scratch(spark, "snapshots"))
+    top = art.agg(F.max("updated_at")).first()[0]
+    order = [F.col("updated_at").desc_nulls_first(), F.col("seq").desc()]
+    versions = art.select(key.alias("article_id"), F.concat(F.col("title"), F.lit(" v"), (F.col("seq") % 2).cast("string")).alias("title"),
+                          "category", "author_id", "updated_at", "seq")
+    since = None
+    for days in (14, 7, 2):
+        at = top - dt.timedelta(days=days)
+        now = versions.filter(F.col("updated_at") < F.lit(at))
+        now = now if since is None else now.filter(F.col("updated_at") >= F.lit(since))
+        history = J.snapshot_run(spark, lake, latest_per_key(now, ["article_id"], order), at)
+        since = at
+    return history
+
+
+_CUT3 = "(SELECT max(updated_at) - INTERVAL 2 DAY FROM articles)"
+_LAST, _STEPS = _history_sql("id", [_CUT1, _CUT2, _CUT3])
+_NULL_KEY = "CASE WHEN id % 40 = 7 THEN NULL ELSE id END"
+_LAST_NULL, _STEPS_NULL = _history_sql(_NULL_KEY, [_CUT1, _CUT2, _CUT3])
+
+
+@register("scd2_snapshot_job_partial", with_ctes(f"SELECT * FROM {_LAST}", _LAST, extra=_STEPS))
+def q_scd2_snapshot_job_partial(spark, sf):
+    """Three snapshots through the stored history, two of them with changed
+    articles alone; the SQL takes full snapshots."""
+    return _snapshot_runs(spark, sf, F.col("id"))
+
+
+@register("scd2_snapshot_null_keys", with_ctes(f"SELECT * FROM {_LAST_NULL}", _LAST_NULL, extra=_STEPS_NULL))
+def q_scd2_snapshot_null_keys(spark, sf):
+    """The same with articles whose id is unknown: NULL is one key, and its history stays."""
+    return _snapshot_runs(spark, sf, F.when(F.col("id") % 40 != 7, F.col("id")))
+
+
+_TWO_WINDOWS = f"""
+    SELECT {_S1.replace("title,", "trim(regexp_replace(title, '\\s+', ' ', 'g')) AS title,").replace("category,", "CASE WHEN category <> 'error' THEN category END AS category,")}
+    FROM (SELECT *, row_number() OVER (PARTITION BY id, updated_at < {_WIN_UNTIL} - INTERVAL 1 DAY ORDER BY updated_at DESC NULLS FIRST, seq DESC) AS rn
+          FROM articles WHERE updated_at >= {_WIN_SINCE} AND updated_at < {_WIN_UNTIL}) WHERE rn = 1"""
+
+
+@register("hourly_crash_before_watermark", with_ctes(_TWO_WINDOWS, "articles"))
+def q_hourly_crash_before_watermark(spark, sf):
+    """Raw rows after a run that died between landing and watermark, and the
+    next run: the dead run's window is landed again under its own name, so no
+    row is loaded twice."""
+    root = _scratch(spark, "crash")
+    lake = J.Lake(f"{root}/lake")
+    art = fx.articles(spark, sf)
+    day0 = art.agg(F.to_date(F.min("updated_at")).cast("timestamp_ntz").alias("d")).first()["d"]
+    since, dead, until = (day0 + dt.timedelta(days=d) for d in (7, 9, 10))
+    window = art.filter((F.col("updated_at") >= F.lit(since)) & (F.col("updated_at") < F.lit(until))).withColumn("early", F.col("updated_at") < F.lit(dead))
+    latest_per_key(window, ["id", "early"], [F.col("updated_at").desc_nulls_first(), F.col("seq").desc()]).select(*S1_COLS).write.parquet(f"{root}/given")
+    source = TB.read_parquet(spark, f"{root}/given", S.ARTICLE)
+    pipeline = "articles_etl_hourly"
+    for name, ts in ((pipeline, since), (f"{pipeline}-planned", dead)):
+        J._save_state(spark.createDataFrame([(name, ts, ts)], S.WATERMARK), lake, name)
+    TB.write_landing(source.filter(F.col("updated_at") < F.lit(dead)), lake.landing, dead)
+    res = J.hourly_run(spark, lake, source, until, allow=fx.FIXTURE_CATEGORIES)
+    assert res.loaded == (dead, until)
+    return TB.read_lake(spark, lake.raw, J.RAW_SCHEMA).select(*S1_COLS)
+
+
+# --- models kept up to date from new runs ---------------------------------------------
+
+def _incremental_lake(spark, sf) -> J.Lake:
+    """The daily runs in three slices, each followed by a refresh; one early
+    day lands late, half of the deletes are logged between refreshes."""
+    root = _scratch(spark, "models")
+    lake = J.Lake(f"{root}/lake")
+    wh = M.Warehouse(spark, sf)
+    TB.conform(wh.raw, J.RAW_SCHEMA).withColumn("batch", F.to_date("updated_at")).write.parquet(f"{root}/given")
+    given = spark.read.parquet(f"{root}/given")
+    day0 = given.agg(F.min("batch")).first()[0]
+    day = lambda k: F.lit(day0 + dt.timedelta(days=k))
+    late = F.col("batch") == day(3)
+    slices = [(F.col("batch") < day(12)) & ~late, (F.col("batch") >= day(12)) & (F.col("batch") < day(20)), (F.col("batch") >= day(20)) | late]
+    at = wh.delete_log.first()["deleted_at"]
+    for k, part in enumerate(slices):
+        closes = F.to_date("updated_at").cast("timestamp_ntz") + F.expr("INTERVAL 1 DAY")      # a run fires when its day closes
+        TB.write_landing(given.filter(part).drop("batch"), lake.raw, closes)
+        if k:
+            J.log_deletes(spark, lake, given.filter((F.col("id") % 25 == 0) & (F.col("id") % 2 == k - 1)).select("id"), at)
+        IM.refresh(spark, lake)
+    assert IM.refresh(spark, lake) == []
+    return lake
+
+
+@register("articles_deduped_incremental", with_ctes("SELECT * FROM deduped", "deduped"))
+def q_articles_deduped_incremental(spark, sf):
+    """The deduplicated model after three incremental refreshes equals the full rebuild."""
+    return IM.latest_model(spark, _incremental_lake(spark, sf))
+
+
+@register("dim_author_incremental", with_ctes("SELECT * FROM dim_author", "dim_author"))
+def q_dim_author_incremental(spark, sf):
+    """The author dimension from counts with retraction."""
+    return IM.dim_author(spark, _incremental_lake(spark, sf))
+
+
+@register("category_totals_incremental", with_ctes("SELECT category, count(*) AS n_articles FROM fct GROUP BY category", "fct"))
+def q_category_totals_incremental(spark, sf):
+    return IM.category_totals(spark, _incremental_lake(spark, sf))

@@ -1,12 +1,13 @@
 """Scheduled jobs as Spark functions over storage paths.
 
 * ``hourly_run``: watermark -> window extract -> landing -> advance the
-  watermark -> every landed run not yet in raw: clean + scorecard -> raw
+  watermark -> every landed run of the last days not yet in raw: clean + scorecard -> raw
   table -> drift alerts.
 * ``snapshot_run``: the deduplicated model into the stored Type 2 history.
 * ``report_run``: a run's rows per category next to the totals.
 * ``scrape_run``: feed payload pages -> flatten (first seen, take-while on
-  the scraper watermark) -> upsert into the source table -> watermark.
+  the scraper watermark) -> upsert into the files of the source table that
+  may hold the ids (``gazette.sources.keyed``) -> watermark.
 * ``delete_articles`` / ``delete_sync``: hard deletes in the source become
   a delete log by snapshot diff; tombstones are applied when models build.
 * ``build_models`` + ``gazette.plans.publish.write_audit_publish``: marts.
@@ -31,13 +32,14 @@ from gazette import schemas as S
 from gazette.operators.clean import clean
 from gazette.operators.drift import drift_alerts
 from gazette.operators.incremental import incremental_extract, read_watermark
-from gazette.operators.merge import advance_watermark, delete_log_diff, merge_upsert
-from gazette.operators.scd2 import scd2_init, scd2_merge
+from gazette.operators.merge import advance_watermark, delete_log_of, merge_upsert
+from gazette.operators.scd2 import scd2_moves
 from gazette.operators.scorecard import scorecard
 from gazette.plans.models import Models, stamp_load
 from gazette.plans.serving import scrape_report
 from gazette.sources import tables as TB
 from gazette.sources import versioned
+from gazette.sources.keyed import KeyedTable
 from gazette.sources.payload import flatten_feed
 
 RAW_SCHEMA = T.StructType(S.ARTICLES_RAW.fields + [T.StructField("content_length", T.LongType())])
@@ -141,11 +143,17 @@ class RunResult:
     loaded: tuple[dt.datetime, ...] = ()
 
 
-def pending_runs(spark: SparkSession, lake: Lake) -> list[dt.datetime]:
-    """Landed runs that the raw table lacks, oldest first: an anti join on
-    partition values, a handful of rows (normally the run just landed)."""
-    missing = TB.runs_of(spark, lake.landing).join(TB.runs_of(spark, lake.raw), ["dt", "run"], "left_anti")
-    return [dt.datetime.strptime(f"{r['dt']} {r['run']}", "%Y-%m-%d %H%M%S") for r in missing.orderBy("dt", "run").collect()]
+#: Runs that landed longer ago than this are known to be loaded.
+LOAD_HORIZON = dt.timedelta(days=7)
+
+
+def pending_runs(spark: SparkSession, lake: Lake, since: dt.datetime | None = None) -> list[dt.datetime]:
+    """Landed runs that the raw table lacks, oldest first.  With ``since`` only
+    the days from then on are listed, whatever else the zones hold; folder
+    names decide, no file is opened."""
+    day = f"{since:%Y-%m-%d}" if since else ""
+    loaded = set(TB.recent_runs(spark, lake.raw, day))
+    return [dt.datetime.strptime(r, "%Y-%m-%d/%H%M%S") for r in TB.recent_runs(spark, lake.landing, day) if r not in loaded]
 
 
 def load_run(spark: SparkSession, lake: Lake, run_ts: dt.datetime, allow: Sequence[str] = S.VALID_CATEGORIES) -> None:
@@ -165,24 +173,35 @@ def hourly_run(spark: SparkSession, lake: Lake, source: DataFrame, extraction_ts
     """One ingestion run.
 
     An empty window lands nothing and leaves the watermark in place; the
-    watermark moves only after the landing write.  Then every landed run that
-    the raw table lacks is loaded, whatever the watermark says, so a run that
-    died after any write is completed by the next one.  Run times are whole
-    seconds (the lake's partition values hold no more).
+    watermark moves only after the landing write.  A window is written down
+    before it lands, under its end as the run's name.  If the job dies before
+    the watermark moved, the next run lands that window again under the same
+    name, which replaces what the dead one left, and goes on from its end; so no
+    row loads twice.  Then every landed run of the last days that the raw table
+    lacks is loaded, whatever the watermark says, so a run that died after any
+    write is completed by the next one.  Run times are whole seconds (the
+    lake's partition values hold no more).
     """
     extraction_ts = extraction_ts.replace(microsecond=0)
+    planned = _state(spark, lake, f"{pipeline}-planned")
     state = _state(spark, lake, pipeline)
-    rows, new_state, since = incremental_extract(source, state, pipeline, extraction_ts, lookback)
-    rows = TB.conform(rows, S.ARTICLE)
-    landed = not rows.isEmpty()
-    if landed:
-        TB.write_landing(rows, lake.landing, extraction_ts)
+    left = read_watermark(planned, f"{pipeline}-planned")      # the end of the last window that began to land
+    first, landed = None, False
+    for until in ([left] if read_watermark(state, pipeline) < left < extraction_ts else []) + [extraction_ts]:
+        rows, new_state, since = incremental_extract(source, state, pipeline, until, lookback)
+        first = since if first is None else first
+        rows = TB.conform(rows, S.ARTICLE)
+        if rows.isEmpty() and until == extraction_ts:
+            continue
+        _save_state(spark.createDataFrame([(f"{pipeline}-planned", until, until)], S.WATERMARK), lake, f"{pipeline}-planned")
+        TB.write_landing(rows, lake.landing, until)
         _save_state(new_state, lake, pipeline)
-    loaded = pending_runs(spark, lake)
+        state, landed = _state(spark, lake, pipeline), landed or until == extraction_ts
+    loaded = pending_runs(spark, lake, first - LOAD_HORIZON)
     for run_ts in loaded:
         load_run(spark, lake, run_ts, allow)
     alerts = drift_alerts(read_scorecards(spark, lake)) if loaded else None
-    return RunResult(landed=landed, since=since, alerts=alerts, loaded=tuple(loaded))
+    return RunResult(landed=landed, since=first, alerts=alerts, loaded=tuple(loaded))
 
 
 def read_scorecards(spark: SparkSession, lake: Lake) -> DataFrame:
@@ -194,24 +213,61 @@ def read_scorecards(spark: SparkSession, lake: Lake) -> DataFrame:
 def build_models(spark: SparkSession, lake: Lake, respect_time: bool = False) -> Models:
     """Models over the stored raw table, delete log and scorecards."""
     raw = TB.read_lake(spark, lake.raw, RAW_SCHEMA).drop("run_ts", "dt", "run")
-    log = versioned.read_current(spark, lake.delete_log, S.ARTICLE_DELETED)
-    return Models(raw, log, read_scorecards(spark, lake), respect_time=respect_time)
+    return Models(raw, read_delete_log(spark, lake), read_scorecards(spark, lake), respect_time=respect_time)
 
 
 SNAPSHOT_CHECK = ("title", "category")
 SNAPSHOT_COLUMNS = ("article_id", "title", "category", "author_id", "updated_at")
 
 
+HISTORY = T.StructType([
+    T.StructField("article_id", T.LongType()), T.StructField("title", T.StringType()), T.StructField("category", T.StringType()),
+    T.StructField("author_id", T.LongType()), T.StructField("updated_at", S.TS), T.StructField("valid_from", S.TS),
+    T.StructField("valid_to", S.TS), T.StructField("is_current", T.BooleanType())])
+
+
+def history_table(lake: Lake) -> KeyedTable:
+    """The stored Type 2 history: open rows lie in files that are replaced,
+    closed rows in files that are only ever added."""
+    return KeyedTable(lake.snapshots, "article_id", HISTORY)
+
+
 def snapshot_run(spark: SparkSession, lake: Lake, deduped: DataFrame, at: dt.datetime) -> DataFrame:
-    """One Type 2 snapshot of the deduplicated model into the stored history
-    (strategy check on title and category).  A run that repeats finds its own
-    rows unchanged and adds nothing.  Returns the stored history."""
-    snapshot = deduped.select(*SNAPSHOT_COLUMNS)
-    moment = F.lit(at).cast("timestamp_ntz")
-    history = versioned.read_current(spark, lake.snapshots)
-    new = scd2_init(snapshot, moment) if history is None else scd2_merge(history, snapshot, "article_id", SNAPSHOT_CHECK, moment)
-    versioned.publish(new, lake.snapshots)
-    return versioned.read_current(spark, lake.snapshots)
+    """One Type 2 snapshot into the stored history (strategy check on title
+    and category).  Returns the stored history.
+
+    ``deduped`` holds the latest version of each article, or only of those that
+    changed since the last run: keys that a run doesn't bring stay open.  The
+    run reads the open files that may hold its keys, replaces those that hold a
+    changed one and appends the closed rows, in one commit; a NULL key is a key.
+    A run that repeats finds its own rows unchanged and commits nothing."""
+    table, moment = history_table(lake), F.lit(at).cast("timestamp_ntz")
+    snapshot = staged_rows(deduped.select(*SNAPSHOT_COLUMNS), table)
+
+    def change(base):
+        stood = table.read_files(spark, table.holding(snapshot, "open", base), "path")
+        moves = staged_rows(scd2_moves(stood, snapshot, "article_id", SNAPSHOT_CHECK, moment), table)
+        if moves.isEmpty():
+            return None
+        touched = [r["path"] for r in moves.select("was.path").distinct().collect() if r["path"]]
+        left = without(table.read_files(spark, touched), moves.select("opened.article_id"), "article_id")
+        return {"open": left.unionByName(moves.select("opened.*")), "closed": moves.filter("closed IS NOT NULL").select("closed.*")}, touched, {}
+
+    table.update(spark, change)
+    return table.read(spark)
+
+
+def staged_rows(df: DataFrame, table: KeyedTable, path: str | None = None) -> DataFrame:
+    """``df`` written once below the table's folder."""
+    path = path or versioned.new_version(f"{table.root}/staged")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def without(rows: DataFrame, keys: DataFrame, key: str) -> DataFrame:
+    """Rows whose key (NULL too) isn't among ``keys``."""
+    gone = keys.select(F.col(key).alias("__gone"))
+    return rows.join(gone, F.col(key).eqNullSafe(F.col("__gone")), "left_anti")
 
 
 def report_run(spark: SparkSession, lake: Lake, run_ts: dt.datetime) -> DataFrame:
@@ -222,35 +278,24 @@ def report_run(spark: SparkSession, lake: Lake, run_ts: dt.datetime) -> DataFram
 
 # --- source side: scrape + upsert, hard deletes ----------------------------------
 
-SOURCE_BUCKETS = 64
-
-
-def _bucket(col: str = "id") -> Column:
-    return F.pmod(F.xxhash64(col), F.lit(SOURCE_BUCKETS)).cast("int")
+def source_table(lake: Lake) -> KeyedTable:
+    return KeyedTable(lake.source, "id", S.ARTICLE)
 
 
 def _source(spark: SparkSession, lake: Lake) -> DataFrame:
-    """The source table: each hash bucket's current version, in one scan."""
-    paths = _bucket_paths(spark, lake)
-    return spark.read.schema(S.ARTICLE).parquet(*paths.values()) if paths else spark.createDataFrame([], S.ARTICLE)
+    return source_table(lake).read(spark)
 
 
-def _bucket_paths(spark: SparkSession, lake: Lake) -> dict[int, str]:
-    """Current path of each bucket (at most SOURCE_BUCKETS small rows)."""
-    manifest = versioned.read_current(spark, lake.source, "bucket int, path string")
-    return {r["bucket"]: r["path"] for r in manifest.collect()} if manifest is not None else {}
+def save_source(rows: DataFrame, lake: Lake) -> None:
+    """The whole source table anew, laid out for its number of rows."""
+    source_table(lake).replace(rows.sparkSession, TB.conform(rows, S.ARTICLE))
 
 
-def save_source(rows: DataFrame, lake: Lake, buckets: Sequence[int] | None = None) -> None:
-    """Write the given buckets (all by default) as a new version and publish a
-    manifest that names each bucket's files; the other buckets' files stay."""
-    spark = rows.sparkSession
-    path = versioned.new_version(f"{lake.source}/files")
-    named = {b: p for b, p in _bucket_paths(spark, lake).items() if buckets is not None and b not in buckets}
-    (TB.conform(rows, S.ARTICLE).withColumn("bucket", _bucket()).repartition("bucket")
-     .write.partitionBy("bucket").parquet(path))
-    named |= {r["bucket"]: f"{path}/bucket={r['bucket']}" for r in rows.select(_bucket().alias("bucket")).distinct().collect()}
-    versioned.publish(spark.createDataFrame(sorted(named.items()), "bucket int, path string").coalesce(1), lake.source)
+def upsert_change(table: KeyedTable, base, updates: DataFrame, order: Sequence[Column]):
+    """The change that upserts ``updates`` into a version of the source table."""
+    spark = updates.sparkSession
+    touched = table.holding(updates, "rows", base)
+    return {"rows": merge_upsert(table.read_files(spark, touched), updates, "id", UPDATE_COLUMNS, order=order)}, touched, {}
 
 
 def scrape_run(spark: SparkSession, lake: Lake, pages: DataFrame,
@@ -258,25 +303,21 @@ def scrape_run(spark: SparkSession, lake: Lake, pages: DataFrame,
     """Upsert one scrape's feed pages into the source table.
 
     Returns 1 when something was upserted, 0 for an empty feed.  Only the
-    hash buckets that hold scraped ids are read and rewritten.  The parsed
-    rows are written once.  The watermark becomes the newest publish time
-    among them, and stays if none is known.
+    files that may hold scraped ids are read and replaced, new ids get files of
+    their own; another job's commit in between makes this one start again on
+    what it left.  The parsed rows are written once.  The watermark becomes the
+    newest publish time among them, and stays if none is known.
     """
+    table = source_table(lake)
     state = _state(spark, lake, pipeline)
     since = read_watermark(state, pipeline)
-    parsed = flatten_feed(pages, since=F.lit(since).cast("timestamp_ntz"))
-    path = versioned.new_version(f"{lake.source}/scraped")
-    parsed.write.parquet(path)
-    rows = spark.read.schema(parsed.schema).parquet(path)
-    touched = [r["b"] for r in rows.select(_bucket().alias("b")).distinct().collect()]   # at most SOURCE_BUCKETS
-    if not touched:
+    rows = staged_rows(flatten_feed(pages, since=F.lit(since).cast("timestamp_ntz")), table)
+    if rows.isEmpty():
         return 0
     order = [F.col("feed_id").desc(), F.col("page").desc(), F.col("pos").desc()]   # last in feed wins
     updates = rows.select(*S.ARTICLE_COLUMNS, "feed_id", "page", "pos")
-    paths = [p for b, p in _bucket_paths(spark, lake).items() if b in touched]
-    target = spark.read.schema(S.ARTICLE).parquet(*paths) if paths else spark.createDataFrame([], S.ARTICLE)
-    merged = merge_upsert(target, updates, "id", UPDATE_COLUMNS, order=order)
-    save_source(merged, lake, touched)
+
+    table.update(spark, lambda base: upsert_change(table, base, updates, order))
     newest = rows.agg(F.max("published_at")).first()[0]
     if newest is not None:
         upd = spark.createDataFrame([(pipeline, newest, newest)], S.WATERMARK)
@@ -284,22 +325,52 @@ def scrape_run(spark: SparkSession, lake: Lake, pages: DataFrame,
     return 1
 
 
+def delete_table(lake: Lake) -> KeyedTable:
+    return KeyedTable(lake.delete_log, "article_id", S.ARTICLE_DELETED)
+
+
+def read_delete_log(spark: SparkSession, lake: Lake) -> DataFrame | None:
+    table = delete_table(lake)
+    at = table.version(spark)
+    return None if at.manifest is None else table.read(spark, at=at)
+
+
 def delete_articles(spark: SparkSession, lake: Lake, ids: DataFrame, at: dt.datetime) -> None:
     """Hard-delete ids from the source and record them in the delete log
     (first delete wins).  The log is published first: if the job dies between
     the two, the deletes are known and a repeat removes the rows."""
-    source = _source(spark, lake)
-    gone = ids.select("id").distinct().join(source.select("id"), "id", "left_semi")
-    delete_sync(spark, lake, source, source.join(gone, "id", "left_anti"), at)
-    touched = [r["b"] for r in gone.select(_bucket().alias("b")).distinct().collect()]
-    if touched:
-        save_source(source.filter(_bucket().isin(touched)).join(gone, "id", "left_anti"), lake, touched)
+    table = source_table(lake)
+    keys = staged_rows(ids.select(F.col("id").cast("long").alias("id")).distinct(), table)
+    base = table.version(spark)
+    held = table.read_files(spark, table.holding(keys, "rows", base)).select("id")
+    log_deletes(spark, lake, keys.join(held, "id", "left_semi"), at)
+
+    def change(base):
+        touched = table.holding(keys, "rows", base)
+        rows = table.read_files(spark, touched)
+        if rows.join(keys, "id", "left_semi").isEmpty():
+            return None
+        return {"rows": without(rows, keys, "id")}, touched, {}
+
+    table.update(spark, change)
+
+
+def log_deletes(spark: SparkSession, lake: Lake, gone: DataFrame, at: dt.datetime) -> DataFrame:
+    """Append ids to the delete log; an id that it has keeps its first time.
+    Returns the log."""
+    table = delete_table(lake)
+    new = staged_rows(delete_log_of(gone.distinct(), F.lit(at).cast("timestamp_ntz")), table)
+
+    def change(base):
+        known = table.read_files(spark, table.holding(new, "rows", base))
+        rows = without(new, known, "article_id")
+        return None if base.manifest is not None and rows.isEmpty() else ({"rows": rows}, [], {})
+
+    table.update(spark, change)
+    return table.read(spark)
 
 
 def delete_sync(spark: SparkSession, lake: Lake, previous: DataFrame, current: DataFrame,
                 at: dt.datetime) -> DataFrame:
-    existing = versioned.read_current(spark, lake.delete_log, S.ARTICLE_DELETED)
-    log = delete_log_diff(previous.select("id"), current.select("id"),
-                          at=F.lit(at).cast("timestamp_ntz"), existing=existing)
-    versioned.publish(log, lake.delete_log)
-    return versioned.read_current(spark, lake.delete_log, S.ARTICLE_DELETED)
+    """The delete log after a snapshot diff: ids of the previous snapshot that are gone now."""
+    return log_deletes(spark, lake, previous.select("id").distinct().join(current.select("id"), "id", "left_anti"), at)

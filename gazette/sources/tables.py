@@ -146,6 +146,27 @@ def runs_of(spark: SparkSession, root: str) -> DataFrame:
     return df.select("dt", "run").distinct()
 
 
+def _names(spark: SparkSession, path: str, prefix: str) -> list[str]:
+    """Values of the partition folders right below a path."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    names = [f.getPath().getName() for f in fs.listStatus(p)] if fs.exists(p) else []
+    return sorted(n[len(prefix):] for n in names if n.startswith(prefix))
+
+
+def recent_runs(spark: SparkSession, root: str, since_day: str = "") -> list[str]:
+    """``dt/run`` of the runs in a lake zone from ``since_day`` on, oldest first.
+    Lists the zone's days and the folders of those days alone; no file is opened."""
+    return [f"{day}/{run}" for day in _names(spark, root, "dt=") if day >= since_day for run in _names(spark, f"{root}/dt={day}", "run=")]
+
+
+def read_runs(spark: SparkSession, root: str, schema: T.StructType, runs: list[str]) -> DataFrame:
+    """Rows of the named runs, read by path: other runs are not even listed."""
+    paths = [f"{root}/dt={day}/run={run}" for day, _, run in (r.partition("/") for r in runs)]
+    return spark.read.schema(schema).parquet(*paths) if paths else spark.createDataFrame([], schema)
+
+
 def list_runs(spark: SparkSession, root: str, schema: T.StructType) -> DataFrame:
     """One row per landed object: day, run timestamp, file and row count.
 
