@@ -141,31 +141,34 @@ def hashed_words(texts: list[bytes | None], fold: bool = False) -> tuple[np.ndar
 
 
 class WordTokenizer:
-    """Token ids of whole texts, one library call per distinct word.
+    """Token ids of whole texts, as one library call would give them, with one
+    call per distinct word.
 
     The vocabulary drops white space, folds case and never joins characters
     across white space, so a text's ids are those of its words, one after the
     other; a letter or digit and a stop or comma after it never join either.
-    Words are cached up to ``max_words`` (then the cache starts anew), longer
-    ones than ``max_bytes`` are encoded each time.  Words that the normalizer
-    would not change, or the splitter not split, go to copies of the tokenizer
-    without these steps.  Strings that look like special tokens are ordinary
-    text.
+    Words are cached up to ``max_words`` words or ``max_ids`` ids (then the cache
+    starts anew), longer ones than ``max_bytes`` are encoded each time.  Words
+    that the normalizer would not change, or the splitter not split, go to copies
+    of the tokenizer without these steps.  A text that holds one of the
+    vocabulary's added tokens, such as ``<|endoftext|>``, goes to the unchanged
+    tokenizer as a whole, which gives these tokens their own ids.
     """
 
-    def __init__(self, path: str, max_words: int = 250_000, max_bytes: int = 48):
+    def __init__(self, path: str, max_words: int = 250_000, max_bytes: int = 48, max_ids: int = 4_000_000):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
-        self.tok = Tokenizer.from_file(path)
+        self.tok, self.plain = Tokenizer.from_file(path), Tokenizer.from_file(path)
         with open(path, encoding="utf-8") as f:
             bare = json.load(f) | {"normalizer": None}
+        self.added = [t["content"].encode() for t in bare["added_tokens"]]
         steps = [x for x in bare["pre_tokenizer"]["pretokenizers"] if x["type"] != "Split"]
         self.bare = Tokenizer.from_str(json.dumps(bare))
         self.letters = Tokenizer.from_str(json.dumps(bare | {"pre_tokenizer": {"type": "Sequence", "pretokenizers": steps}}))
         for t in (self.tok, self.bare, self.letters):
             t.encode_special_tokens = True
-        self.max_words, self.max_bytes = max_words, max_bytes
+        self.max_words, self.max_bytes, self.max_ids = max_words, max_bytes, max_ids
         self._reset()
 
     def _reset(self) -> None:
@@ -204,7 +207,18 @@ class WordTokenizer:
     def encode(self, texts: list[bytes | None], end_id: int | None = END_ID) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts in one array, and each text's number of ids
         (null counts as empty; ``end_id`` follows every text)."""
-        if self.count > self.max_words:
+        own = {i for i, t in enumerate(texts) if t and any(a in t for a in self.added)}
+        if not own:
+            return self._by_words(texts, end_id)
+        ids, lengths = self._by_words([None if i in own else t for i, t in enumerate(texts)], end_id)
+        parts = np.split(ids, np.cumsum(lengths)[:-1])
+        for i in own:
+            whole = self.plain.encode(texts[i].decode("utf-8", "replace"), add_special_tokens=False).ids
+            parts[i] = np.concatenate([np.array(whole, np.uint32), parts[i]])
+        return np.concatenate(parts), np.fromiter(map(len, parts), np.int64, len(parts))
+
+    def _by_words(self, texts: list[bytes | None], end_id: int | None) -> tuple[np.ndarray, np.ndarray]:
+        if self.count > self.max_words or self.used > self.max_ids:
             self._reset()
         every, per_doc = distinct_words(texts)
         distinct = every.dictionary.to_pylist()

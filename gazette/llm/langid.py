@@ -21,8 +21,8 @@ WINDOW = 256
 WIDTHS = (2, 3, 4)
 FILTERS = 8
 EMBEDDING = 8
-#: Labelled documents for each language, and windows of each, that training reads.
-SAMPLE_DOCS, SAMPLE_WINDOWS = 400, 3
+#: Labelled documents for each language that training reads, with all their windows.
+SAMPLE_DOCS = 400
 UNKNOWN = "und"
 #: A-Z and a-z are one; byte 0 pads.
 FOLD = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
@@ -76,11 +76,11 @@ class ByteNet:
         got = [softmax(self.features(cells[i:i + block]) @ self.p["out"] + self.p["bias"]) for i in range(0, len(cells), block)]
         return np.concatenate(got) if got else np.zeros((0, len(self.classes)), np.float32)
 
-    def gradient(self, cells: np.ndarray, y: np.ndarray) -> dict[str, np.ndarray]:
+    def gradient(self, cells: np.ndarray, y: np.ndarray, weight: np.ndarray | None = None) -> dict[str, np.ndarray]:
         x, at = self.features(cells, where=True)
         p = softmax(x @ self.p["out"] + self.p["bias"])
         p[np.arange(len(y)), y] -= 1
-        p /= len(y)
+        p *= (1.0 if weight is None else weight[:, None]) / len(y)
         g = {k: np.zeros_like(v) for k, v in self.p.items()}
         g["out"], g["bias"] = x.T @ p, p.sum(axis=0)
         dx = (p @ self.p["out"].T) * (x > 0)
@@ -95,7 +95,7 @@ class ByteNet:
                 np.add.at(g["e"], byte, real[:, :, None] * self.p[f"w{w}"][j].T[None])
         return g
 
-    def train(self, cells: np.ndarray, y: np.ndarray, epochs: int = 8, size: int = 64, rate: float = 0.01, seed: int = 11) -> None:
+    def train(self, cells: np.ndarray, y: np.ndarray, weight: np.ndarray | None = None, epochs: int = 4, size: int = 64, rate: float = 0.01, seed: int = 11) -> None:
         rng = np.random.default_rng(seed)
         m, v, t = ({k: np.zeros_like(x) for k, x in self.p.items()} for _ in range(2)), None, 0
         m, v = m
@@ -103,7 +103,7 @@ class ByteNet:
             order = rng.permutation(len(y))
             for i in range(0, len(y), size):
                 pick, t = order[i:i + size], t + 1
-                for k, g in self.gradient(cells[pick], y[pick]).items():
+                for k, g in self.gradient(cells[pick], y[pick], None if weight is None else weight[pick]).items():
                     m[k] = 0.9 * m[k] + 0.1 * g
                     v[k] = 0.99 * v[k] + 0.01 * g * g
                     self.p[k] -= rate * (m[k] / (1 - 0.9**t)) / (np.sqrt(v[k] / (1 - 0.99**t)) + 1e-7)
@@ -120,43 +120,39 @@ def fold_of(id_col: str, n: int) -> Column:
     return F.crc32(F.col(id_col).cast("string")) % n
 
 
-def sample_windows(docs: DataFrame, id_col: str, text_col: str, label_col: str, per_label: int, per_doc: int, size: int = WINDOW) -> tuple[np.ndarray, list[str]]:
-    """Up to ``per_doc`` windows of up to ``per_label`` documents of each
-    label, chosen by a hash of the id.  Ids are ranked without their texts; only
-    the chosen (labels x per_label) rows are joined and only windows collected."""
-    ids = docs.select(F.col(id_col).alias("_id"), F.col(label_col).cast("string").alias("_label"))
+def sample_windows(docs: DataFrame, id_col: str, text_col: str, label_col: str, per_label: int, size: int = WINDOW) -> tuple[np.ndarray, list[str], np.ndarray]:
+    """All windows of up to ``per_label`` documents of each label, chosen by a
+    hash of the id.  Ids are ranked without their texts; only the chosen ids are
+    joined, and of an id's several rows the smallest text is read, so no more
+    than labels x per_label documents reach the driver.  Returns the windows,
+    their labels, and weights by which the windows of a document sum to one."""
+    ids = docs.select(F.col(id_col).alias("_id"), F.col(label_col).cast("string").alias("_label")).distinct()
     order = Window.partitionBy("_label").orderBy(F.xxhash64("_id"), "_id")
-    chosen = ids.withColumn("_n", F.row_number().over(order)).filter(F.col("_n") <= per_label).select("_id", "_label").distinct()
-    texts = id_and_text(docs, id_col, text_col).join(F.broadcast(chosen), "_id").select("_id", "_label", "_text")
-    schema = pa.schema([("label", pa.string()), ("cells", pa.binary())])
+    chosen = ids.withColumn("_n", F.row_number().over(order)).filter(F.col("_n") <= per_label).select("_id", "_label")
+    texts = id_and_text(docs, id_col, text_col).join(F.broadcast(chosen), "_id").groupBy("_id", "_label").agg(F.min("_text").alias("_text"))
+    schema = pa.schema([("label", pa.string()), ("cells", pa.binary()), ("weight", pa.float64())])
 
     def run(batches):
         for b in batches:
-            labels, out = [], []
-            for i, label, text in zip(*(c.to_pylist() for c in (b.column(0), b.column(1), b.column(2).cast(pa.binary())))):
+            for label, text in zip(b.column(1).to_pylist(), b.column(2).cast(pa.binary()).to_pylist()):
                 cells, real = windows(text or b"", size)
-                rng = np.random.default_rng(abs(int(i)) if isinstance(i, int) else len(text or b""))
-                for k in rng.permutation(len(cells))[:per_doc]:
-                    if real[k] > 0:
-                        labels.append(label)
-                        out.append(cells[k].tobytes())
-            yield batch(schema, labels, out)
+                out = [c.tobytes() for c, n in zip(cells, real) if n > 0]
+                yield batch(schema, [label] * len(out), out, [1 / len(out)] * len(out) if out else [])
 
-    rows = sorted((r.label, bytes(r.cells)) for r in texts.mapInArrow(run, "label string, cells binary").collect())
-    cells = np.frombuffer(b"".join(c for _, c in rows), np.uint8).reshape(-1, size)
-    return cells, [x for x, _ in rows]
+    rows = sorted((r.label, bytes(r.cells), r.weight) for r in texts.mapInArrow(run, "label string, cells binary, weight double").collect())
+    cells = np.frombuffer(b"".join(c for _, c, _ in rows), np.uint8).reshape(-1, size)
+    return cells, [x for x, _, _ in rows], np.array([w for _, _, w in rows])
 
 
-def fit(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", per_label: int = SAMPLE_DOCS,
-        per_doc: int = SAMPLE_WINDOWS) -> ByteNet | None:
+def fit(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", per_label: int = SAMPLE_DOCS) -> ByteNet | None:
     """A trained network; None if no row has both a text and a label."""
     bounded_batches(labelled.sparkSession)
     known = labelled.filter(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull())
-    cells, labels = sample_windows(known, id_col, text_col, lang_col, per_label, per_doc)
+    cells, labels, weight = sample_windows(known, id_col, text_col, lang_col, per_label)
     if not labels:
         return None
     net = ByteNet(sorted(set(labels)))
-    net.train(cells, np.array([net.classes.index(x) for x in labels]))
+    net.train(cells, np.array([net.classes.index(x) for x in labels]), weight / weight.mean())
     return net
 
 

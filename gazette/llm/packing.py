@@ -1,8 +1,9 @@
 """Sequence packing as a cutting-stock problem solved by column generation.
 
-Documents are cut into full sequences and one remainder.  The remainders'
-length histogram (at most ``capacity / grid`` bins, whatever the corpus) goes
-to the driver, where a linear program over filling patterns is solved: the
+Documents are cut into full sequences and one remainder.  Remainders are
+planned in steps of ``grid`` tokens, short ones ``grid`` of a kind at a time: as
+many pieces of one length as a step has tokens fill whole steps exactly.  The
+histogram (at most ``capacity / grid`` bins, whatever the corpus) goes to the driver, where a linear program over filling patterns is solved: the
 simplex basis gives prices, an unbounded knapsack over the prices gives the
 pattern with the lowest reduced cost, until none improves.  The patterns'
 counts are rounded down, what is left is filled by a bounded knapsack.  The
@@ -23,8 +24,8 @@ from pyspark.sql.window import Window
 from gazette.llm.common import END_ID, batch, bounded_batches, id_and_text, raw, staged, table, tokenizer_path, word_tokenizer
 
 CAPACITY = 2048
-#: Remainders are planned in steps of so many tokens.
-GRID = 8
+#: Remainders are planned in steps of GRID tokens, those of up to EXACT tokens in groups of GRID equal ones.
+GRID, EXACT = 8, 64
 
 
 def solve_patterns(demand: np.ndarray, cells: int, tolerance: float = 5e-4) -> tuple[np.ndarray, np.ndarray]:
@@ -146,14 +147,39 @@ def plan(demand: np.ndarray, cells: int) -> tuple[list[tuple[int, int, int, int,
     return sorted(rows), sequence
 
 
+def exact_length(capacity: int, grid: int) -> int:
+    """Greatest length that is planned in groups (a group has as many steps as
+    a piece has tokens, and fits a sequence)."""
+    return min(EXACT, capacity // grid) if grid > 1 else 0
+
+
+def units(counts: np.ndarray, cells: int, grid: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """What is planned for pieces counted by bin: (demand by size in steps,
+    first rank of each short length's groups, first rank of what its groups
+    leave).  A size's ranks go to its own bin first, then to groups, then to
+    short pieces left over, in order of length."""
+    short = counts[cells:]
+    groups, left = short // grid, short % grid
+    size = -(-np.arange(1, len(short) + 1) // grid) - 1
+    demand = counts[:cells].copy()
+    group_at = demand[:len(short)].copy()
+    demand[:len(short)] += groups
+    left_at = np.zeros(len(short), np.int64)
+    for k, n in enumerate(left):
+        left_at[k] = demand[size[k]]
+        demand[size[k]] += n
+    return demand, group_at, left_at
+
+
 PIECE = "_id long, start long, length long, ids_crc32 long, doc_tokens long, part int, bin int, place long"
 
 
 def cut(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", tokenizer: str | None = None, end_id: int = END_ID,
         capacity: int = CAPACITY, grid: int = GRID) -> DataFrame:
     """Pieces of every document: full sequences (bin -1) and one remainder
-    (bin = its length in steps of ``grid``, less 1), with its place among the
-    task's pieces of that bin."""
+    (bin = its length in steps of ``grid``, less 1; a short one's is the number
+    of steps plus its length, less 1), with its place among the task's pieces of
+    that bin."""
     bounded_batches(docs.sparkSession)
     tokenizer = tokenizer or tokenizer_path()
     rows = id_and_text(docs, id_col, text_col).select(F.col("_id").cast("long").alias("_id"), "_text")
@@ -164,7 +190,8 @@ def cut(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", tokeniz
         from pyspark import TaskContext
 
         part, tok = TaskContext.get().partitionId(), word_tokenizer(tokenizer)
-        places = np.zeros(capacity // grid + 1, np.int64)
+        cells, exact = capacity // grid, exact_length(capacity, grid)
+        places = np.zeros(cells + exact + 1, np.int64)
         for b in batches:
             if not b.num_rows:
                 continue
@@ -177,7 +204,7 @@ def cut(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", tokeniz
             length = np.minimum(lengths[row] - start, capacity)
             at = (np.cumsum(lengths) - lengths)[row] + start
             crc = [zlib.crc32(ids[a:a + n]) for a, n in zip(at.tolist(), length.tolist())]
-            bins = np.where(length == capacity, -1, -(-length // grid) - 1)
+            bins = np.where(length == capacity, -1, np.where(length <= exact, cells + length, -(-length // grid)) - 1)
             order = np.argsort(bins, kind="stable")
             found, first, n = np.unique(bins[order], return_index=True, return_counts=True)
             place = np.empty(len(bins), np.int64)
@@ -204,14 +231,16 @@ def pack(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", tokeni
         raise ValueError("grid must divide capacity")
     pieces = staged(cut(docs, id_col, text_col, tokenizer, end_id, capacity, grid), "pieces")
     counts = pieces.groupBy("part", "bin").agg(F.count("*").alias("n"))
-    cells = capacity // grid
-    demand = np.zeros(cells, np.int64)
+    cells, exact = capacity // grid, exact_length(capacity, grid)
+    by_bin = np.zeros(cells + exact, np.int64)
     full = 0
-    for r in counts.groupBy("bin").agg(F.sum("n").alias("n")).collect():  # at most cells + 1 rows
+    for r in counts.groupBy("bin").agg(F.sum("n").alias("n")).collect():  # at most cells + EXACT + 1 rows
         if r.bin < 0:
             full = r.n
         else:
-            demand[r.bin] = r.n
+            by_bin[r.bin] = r.n
+    demand, group_at, left_at = units(by_bin, cells, grid)
+    grouped = by_bin[cells:] // grid * grid
     # the last bin (capacity - grid, capacity) fills a sequence alone
     rows, _ = plan(demand, cells)
     bins, first, sequence, per, slot = (np.array(x, np.int64) for x in zip(*rows)) if rows else (np.zeros(0, np.int64),) * 5
@@ -227,10 +256,17 @@ def pack(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", tokeni
 
     def assign(batches):
         for b in batches:
-            bin_, rank = b.column(5).to_numpy(zero_copy_only=False).astype(np.int64), b.column(6).to_numpy(zero_copy_only=False)
+            bin_, rank = b.column(5).to_numpy(zero_copy_only=False).astype(np.int64), b.column(6).to_numpy(zero_copy_only=False).astype(np.int64)
+            inner, short = np.zeros(len(rank), np.int64), np.flatnonzero(bin_ >= cells)
+            if len(short):      # the rank and size of the group that holds a piece, and its place there
+                n, r = bin_[short] - cells, rank[short]
+                in_group = r < grouped[n]
+                inner[short] = np.where(in_group, r % grid, 0)
+                rank[short] = np.where(in_group, group_at[n] + r // grid, left_at[n] + r - grouped[n])
+                bin_[short] = np.where(in_group, n, n // grid)
             i = np.searchsorted(key, bin_ << 44 | rank, side="right") - 1
             k = rank - first[i]
-            yield batch(schema, *(b.column(j) for j in range(5)), full + sequence[i] + k // per[i], slot[i] + k % per[i])
+            yield batch(schema, *(b.column(j) for j in range(5)), full + sequence[i] + k // per[i], (slot[i] + k % per[i]) * grid + inner)
 
     rest = ranked.filter("bin >= 0").mapInArrow(assign, ", ".join(f"{n} long" for n in names))
     inside = Window.partitionBy("sequence_id")

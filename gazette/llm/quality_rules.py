@@ -58,16 +58,25 @@ def duplicate_lines(text: bytes) -> int:
 
 def band_verdict(text: bytes, compress, bands=BANDS, chunk: int = CHUNK, chunk_band=CHUNK_BAND,
                  chunk_share: float = CHUNK_SHARE) -> tuple[float, int, int, bool]:
-    """(ratio, chunks, chunks outside the band, passes) of one text.  Only
-    full chunks count; an empty text has ratio 0 and fails."""
+    """(ratio, chunks, chunks outside the band, passes) of one text.
+
+    Chunks cover every byte: the full ones and, where bytes are left, a last
+    one of the same size that ends at the text's end.  A text shorter than a
+    chunk is one chunk, held against the limits of its own length.  An empty
+    text has ratio 0 and fails."""
     if not text:
         return 0.0, 0, 0, False
     ratio = len(compress(text)) / len(text)
     low, high = next((lo, hi) for limit, lo, hi in bands if limit is None or len(text) < limit)
-    n = len(text) // chunk
+    fits = low <= ratio <= high
+    if len(text) <= chunk:
+        if len(text) == chunk:
+            fits &= chunk_band[0] <= ratio <= chunk_band[1]
+        return ratio, 1, int(not fits), fits
     view = memoryview(text)
-    out = sum(not chunk_band[0] <= len(compress(view[i * chunk:(i + 1) * chunk])) / chunk <= chunk_band[1] for i in range(n))
-    return ratio, n, out, low <= ratio <= high and out <= chunk_share * n
+    starts = [*range(0, len(text) - chunk + 1, chunk), *([len(text) - chunk] if len(text) % chunk else [])]
+    out = sum(not chunk_band[0] <= len(compress(view[i:i + chunk])) / chunk <= chunk_band[1] for i in starts)
+    return ratio, len(starts), out, fits and out <= chunk_share * len(starts)
 
 
 def judge(text: bytes | None, compress, min_words: int, repeat_pct: int, **bands) -> tuple:

@@ -456,10 +456,12 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     windows cover.  A text that loses words becomes its kept words joined by
     one space, with ``chars_col`` its length; a document that loses all its
     words goes; others stay as they are."""
-    spans = repeated_spans(docs, id_col, text_col, window, **limits)
     at = docs.columns.index(text_col)
     chars = docs.columns.index(chars_col) if chars_col in docs.columns else None
+    given, id_col, text_col = docs.columns, f"c{docs.columns.index(id_col)}", f"c{at}"
+    docs = docs.toDF(*[f"c{k}" for k in range(len(given))])     # names of our own can't clash with the input's
     names = docs.columns
+    spans = repeated_spans(docs, id_col, text_col, window, **limits)
     joined = keyed(docs, id_col, text_col).join(spans, "__row", "left").select(*names, "__spans")
 
     def run(batches):
@@ -480,7 +482,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
                 columns[chars] = pa.array(sizes, columns[chars].type)
             yield pa.RecordBatch.from_arrays(columns, names=list(names)).filter(pa.array(keep, pa.bool_()))
 
-    return joined.mapInArrow(run, docs.schema)
+    return joined.mapInArrow(run, docs.schema).toDF(*given)
 
 
 def op2_substring_dedup(spark, sf_dir: str) -> DataFrame:

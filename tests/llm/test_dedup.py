@@ -326,3 +326,16 @@ def test_keep_one_groups_rows_not_ids(spark, limits):
         assert {(7, a), (7, b), (3, d), (20, ""), (21, ""), (22, None)} < found and len(found & {(None, c), (None, c + " end")}) == 1
         stays.add(tuple(sorted(map(str, kept))))
     assert len(stays) == 1
+
+
+def test_stages_keep_columns_with_clashing_names(spark):
+    from gazette.llm import jaccard_join, substring_dedup
+
+    long = " ".join(f"w{i}" for i in range(60))
+    rows = [(1, long, 10, "a", 1, "x", 2), (2, long + " more", 20, "b", 2, None, 3), (3, None, 30, None, None, "z", 4)]
+    names = "doc_id long, text string, __row int, __key string, __spans int, _key string, c0 int"
+    docs = spark.createDataFrame(rows, names)
+    kept = jaccard_join.keep_one(docs)
+    assert kept.columns == docs.columns and sorted(map(tuple, kept.collect())) == [rows[0], rows[2]]
+    cut = substring_dedup.remove_repeats(docs, chars_col=None)
+    assert cut.columns == docs.columns and sorted(map(tuple, cut.collect())) == [(2, "more", *rows[1][2:]), rows[2]]

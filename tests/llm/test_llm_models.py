@@ -271,3 +271,24 @@ def test_html_unclosed_skipped_elements(tag, page):
 ])
 def test_html_head_and_raw_elements(page, want):
     assert H.main_text(page, H.trained())[0] == want
+
+
+@pytest.mark.parametrize("copies", [1, 300])
+def test_samples_are_bounded_by_ids_that_repeat(spark, copies):
+    from gazette.llm import langid, quality_mil
+
+    rows = [(i, f"text number {i} " * 40, "en" if i % 2 else "de") for i in range(8) for _ in range(copies)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    cells, labels, weight = langid.sample_windows(docs, "doc_id", "text", "lang", per_label=3)
+    per_doc = len(langid.windows(rows[0][1].encode())[0])
+    assert sorted(set(labels)) == ["de", "en"] and len(labels) == 6 * per_doc == len(cells)
+    assert abs(weight.sum() - 6) < 1e-9
+    seen = []
+    labels = spark.createDataFrame([(i, i % 2) for i in range(8)], "doc_id long, quality int")
+    real = quality_mil.AttentionMil.train
+    try:
+        quality_mil.AttentionMil.train = lambda self, bags, y, weight, **k: seen.append((len(bags), sum(map(len, bags)))) or real(self, bags, y, weight, **k)
+        assert quality_mil.fit(docs, labels, per_label=3) is not None
+    finally:
+        quality_mil.AttentionMil.train = real
+    assert seen[0][0] == 6 and seen[0][1] == 6 * -(-len(rows[0][1]) // quality_mil.PASSAGE)

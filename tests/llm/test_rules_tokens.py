@@ -61,6 +61,37 @@ def test_bands_reject_repetitive_and_incompressible():
     assert not Q.band_verdict(prose + b"spam " * 400, compress)[3]  # half of the chunks repeat
 
 
+def test_chunks_cover_every_byte():
+    """Brute force over all chunk starts, with the last chunk at the text's end."""
+    import zstandard
+
+    compress = zstandard.ZstdCompressor(level=3).compress
+    rng = random.Random(2)
+    noise = lambda n: bytes(rng.randrange(33, 127) for _ in range(n))
+    words = [w.encode() for w in "the of and to in is it was for on as with his they at be this from have or by one had not".split()]
+    prose = lambda n: (b" ".join(rng.choice(words) + noise(rng.randrange(3)) for _ in range(n)))[:n]
+    for n in (1, 63, 64, 1023, 1024, 1025, 1500, 2047, 2048, 2049, 4100, 9000):
+        for text in (prose(n), noise(n), prose(n // 2) + noise(n - n // 2), (b"again " * n)[:n]):
+            ratio, chunks, out, fits = Q.band_verdict(text, compress)
+            low, high = next((lo, hi) for limit, lo, hi in Q.BANDS if limit is None or len(text) < limit)
+            whole = low <= len(compress(text)) / len(text) <= high
+            cuts = [text] if len(text) < 1024 else [text[i:i + 1024] for i in range(0, len(text) - 1023, 1024)] + ([text[-1024:]] if len(text) % 1024 else [])
+            bad = [not whole] if len(text) < 1024 else [not 0.30 <= len(compress(c)) / 1024 <= 0.80 for c in cuts]
+            assert chunks == len(cuts) and sum(map(len, cuts)) >= len(text)
+            assert fits == (whole and sum(bad) <= 0.20 * len(bad)), (n, text[:20])
+
+
+def test_a_spoiled_tail_counts():
+    import zstandard
+
+    compress = zstandard.ZstdCompressor(level=3).compress
+    rng = random.Random(7)
+    head = " ".join("".join(rng.choice("etaoinshrdlu") for _ in range(rng.randint(2, 8))) for _ in range(900)).encode()[:2048]
+    assert Q.band_verdict(head, compress)[3]
+    tail = bytes(rng.randrange(33, 127) for _ in range(1000))
+    assert Q.band_verdict(head + tail, compress)[2] == 1 and not Q.band_verdict(head + tail, compress)[3]
+
+
 def test_rules_on_given_tables(spark, sf):
     labels = spark.read.parquet(f"{sf}/labels.parquet")
     r = Q.op9_quality_rules(spark, sf).join(labels, "doc_id").select("quality", "kept", "base_failed").collect()
@@ -76,8 +107,8 @@ def test_word_cache_equals_whole_text_encoding():
     texts = [*TEXTS, *more]
     path = tokenizer_path()
     tok = Tokenizer.from_file(path)
-    tok.encode_special_tokens = True
-    for limits in ({}, {"max_words": 5, "max_bytes": 3}):
+    texts += ["end<|endoftext|>two <|startoftext|><|endoftext|>", "<|endoftext|>", "<|EndOfText|> <|endoftext", "ab" * 5000 + " <|endoftext|> " + "É" * 99]
+    for limits in ({}, {"max_words": 5, "max_bytes": 3}, {"max_ids": 10}):
         ours = WordTokenizer(path, **limits)
         for i in range(0, len(texts), 50):
             part = [None if t is None else t.encode() for t in texts[i:i + 50]]
@@ -87,6 +118,15 @@ def test_word_cache_equals_whole_text_encoding():
             assert ids.tolist() == [x for w in want for x in w]
 
 
+def test_long_words_do_not_fill_the_cache():
+    ours = WordTokenizer(tokenizer_path(), max_ids=50_000)
+    rng = random.Random(5)
+    for _ in range(30):
+        word = "".join(rng.choice("abcdefghijklmnopq") for _ in range(10_000)).encode()
+        ids, lengths = ours.encode([word, b"plain words"])
+        assert lengths[0] > 1000 and ours.used < 50_000 + 2 * len(ids)
+
+
 @pytest.mark.parametrize("n", [0, 1, 511, 512, 513, 5000])
 @pytest.mark.parametrize("top", [1, 2, 300, 49408, 2**32])
 def test_blocks_round_trip(n, top):
@@ -101,7 +141,6 @@ def test_blocks_round_trip(n, top):
 
 def brute_tokens(rows):
     tok = Tokenizer.from_file(tokenizer_path())
-    tok.encode_special_tokens = True
     return {i: np.array([*tok.encode(t or "", add_special_tokens=False).ids, 1], "<u4") for i, t in rows}
 
 
@@ -158,6 +197,32 @@ def test_packing(spark, sf, odd_docs, no_docs):
     assert P.pack(no_docs).count() == 0
 
 
+@pytest.mark.parametrize("make, most", [(lambda i: 1, 0.0), (lambda i: i % 61, 0.02), (lambda i: i % 7, 0.02)])
+def test_short_pieces_leave_little_padding(spark, make, most):
+    texts = [(i, " ".join(["a"] * make(i))) for i in range(6001)]
+    docs = spark.createDataFrame(texts, "doc_id long, text string").repartition(3)
+    padding = check_packing(P.pack(docs).collect(), brute_tokens(texts))
+    assert padding <= max(most, 2048 / (sum(make(i) + 1 for i in range(6001))))
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_units_deal_every_short_piece_once(seed):
+    rng = np.random.default_rng(seed)
+    cells, grid = 32, 8
+    counts = rng.integers(0, 40, cells + P.exact_length(cells * grid, grid))
+    demand, group_at, left_at = P.units(counts, cells, grid)
+    taken = [set(range(n)) for n in counts[:cells]]
+    for k, n in enumerate(counts[cells:]):
+        for r in range(n // grid):
+            assert group_at[k] + r not in taken[k]
+            taken[k].add(group_at[k] + r)
+    for k, n in enumerate(counts[cells:]):
+        for r in range(n % grid):
+            assert left_at[k] + r not in taken[-(-(k + 1) // grid) - 1]
+            taken[-(-(k + 1) // grid) - 1].add(left_at[k] + r)
+    assert [sorted(x) for x in taken] == [list(range(n)) for n in demand]
+
+
 @pytest.mark.parametrize("seed", range(6))
 def test_plan_uses_every_piece_once(seed):
     rng = np.random.default_rng(seed)
