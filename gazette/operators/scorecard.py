@@ -73,14 +73,33 @@ def scorecard(raw: DataFrame, allow: Sequence[str] = S.VALID_CATEGORIES,
     tie and valid bit are one DECIMAL(38,0), whose maximum stays a hash
     aggregate (a struct maximum would sort all rows).
     """
+    return scorecard_of(scorecard_state(raw, allow, run_keys, tie, key), run_keys, run_at, table_name, data_source)
+
+
+def scorecard_state(raw: DataFrame, allow: Sequence[str] = S.VALID_CATEGORIES, run_keys: Sequence[str] = (),
+                    tie: Column | None = None, key: str = "id") -> DataFrame:
+    """Counts and survivor per (run, id).  States of parts of the rows merge
+    (``merge_states``), so a run may arrive in any number of pieces."""
     valid = _flag(F.col("category").isin(*allow))
-    per_id = raw.groupBy(*run_keys, key).agg(
+    return raw.groupBy(*run_keys, key).agg(
         F.count(F.lit(1)).alias("n"),
         F.sum(_flag(F.col("author_name").isNull())).alias("null_author"),
         F.sum(_flag(F.col("published_at") <= F.col("updated_at"))).alias("accurate"),
         F.sum(_flag(F.col("updated_at") >= F.col("created_at"))).alias("timely"),
         F.max(survivor_code(F.col("updated_at"), tie, valid)).alias("survivor"),
-    ).withColumn("valid_clean", (F.col("survivor") % 2).cast("int"))
+    )
+
+
+def merge_states(states: DataFrame, run_keys: Sequence[str] = (), key: str = "id") -> DataFrame:
+    """One state per (run, id) from several: sums, and the greatest survivor."""
+    return states.groupBy(*run_keys, key).agg(
+        *[F.sum(c).alias(c) for c in ("n", "null_author", "accurate", "timely")], F.max("survivor").alias("survivor"))
+
+
+def scorecard_of(state: DataFrame, run_keys: Sequence[str] = (), run_at: Column | None = None,
+                 table_name: str = S.TABLE_NAME, data_source: str = S.DATA_SOURCE) -> DataFrame:
+    """Scorecard rows from one state per (run, id)."""
+    per_id = state.withColumn("valid_clean", (F.col("survivor") % 2).cast("int"))
     counts = per_id.groupBy(*run_keys).agg(
         F.coalesce(F.sum("n"), F.lit(0)).alias("total"),
         F.sum("null_author").alias("null_author"),

@@ -17,6 +17,7 @@ from gazette.operators.drift import drift_alerts
 from gazette.plans import incremental_models as IM
 from gazette.plans import jobs as J
 from gazette.plans import models as M
+from gazette.plans import publish as PB
 from gazette.plans import serving as V
 from gazette.plans.catalog import (_ANOMALY_SQL, _CUT1, _CUT2, _CUT_UPSERT, _FEED_CTES, _HIST, _MART, _PAGE, _S1, _SNAP, _WIN_SINCE, _WIN_UNTIL, ORACLE, S1_COLS,
                                    _scratch, register, reversed_page_order)
@@ -24,6 +25,7 @@ from gazette.plans.oracle import with_ctes
 from gazette.sources import fixtures as fx
 from gazette.sources import payload as P
 from gazette.sources import tables as TB
+from gazette.streaming import available_now as AN
 
 # --- paging, history and upsert with NULLs ---------------------------------------
 
@@ -424,3 +426,60 @@ def q_dim_author_incremental(spark, sf):
 @register("category_totals_incremental", with_ctes("SELECT category, count(*) AS n_articles FROM fct GROUP BY category", "fct"))
 def q_category_totals_incremental(spark, sf):
     return IM.category_totals(spark, _incremental_lake(spark, sf))
+
+
+# --- stream scorecards, published lookups and pages -------------------------------------
+
+@register("stream_scorecard_append", with_ctes("SELECT * FROM scorecards", "scorecards"))
+def q_stream_scorecard_append(spark, sf):
+    """Daily scorecards from a stream whose micro-batches hold parts of the
+    runs; the epochs' counts are compacted between two starts of the stream."""
+    wh = M.Warehouse(spark, sf)
+    root = _scratch(spark, "stream-scores")
+    src = wh.batched.select("seq", *S1_COLS, "batch", "content_length")
+    schema = src.schema
+    src.write.parquet(f"{root}/given")
+    given = spark.read.schema(schema).parquet(f"{root}/given")
+    runs = [f for f in schema.fields if f.name == "batch"]
+    state = AN.state_schema(runs, next(f for f in schema.fields if f.name == "id"))
+    for half in (0, 1):     # every run comes in both halves
+        given.filter(F.col("seq") % 2 == half).repartition(3).write.mode("append").partitionBy("batch").parquet(f"{root}/landing")
+        AN.run_available_now(spark, f"{root}/landing", schema, f"{root}/sink", f"{root}/_checkpoint", allow=fx.FIXTURE_CATEGORIES,
+                             keys=["batch", "id"], order=wh.survivor_order, max_files=30, state=f"{root}/state", run_keys=["batch"], tie=F.col("seq"))
+        AN.compact(spark, f"{root}/state", state, AN.state_merge(["batch"]))
+    scored = AN.read_scorecards(spark, f"{root}/state", state, ["batch"], F.col("batch").cast("timestamp_ntz") + F.expr("INTERVAL 1 DAY"))
+    return scored.drop("batch")
+
+
+def _published(spark, sf) -> str:
+    """The fixture's marts, staged and published without the audit."""
+    root = _scratch(spark, "published")
+    path = PB.versioned.new_version(root)
+    PB.stage_lookups(spark, path, PB.stage_models(M.Warehouse(spark, sf), path))
+    PB.versioned.point(spark, root, path)
+    return root
+
+
+@register("author_by_id_stored", with_ctes(
+    "SELECT * FROM dim_author WHERE author_id = (SELECT max(author_id) FROM dim_author)", "dim_author"))
+def q_author_by_id_stored(spark, sf):
+    """Point lookup in the published copy that is ordered by id."""
+    root = _published(spark, sf)
+    last = PB.read_mart(spark, root, "author_lookup").agg(F.max("author_id")).first()[0]
+    return PB.lookup(spark, root, "author_lookup", last)
+
+
+_STORED_AFTER = "SELECT date_day, article_id FROM fct ORDER BY date_day DESC NULLS FIRST, article_id LIMIT 1 OFFSET (SELECT count(*) // 2 FROM fct)"
+
+
+@register("articles_page_keyset_stored", with_ctes(f"""
+    SELECT {_PAGE} FROM fct, k WHERE fct.date_day < k.date_day OR (fct.date_day = k.date_day AND fct.article_id > k.article_id)
+    ORDER BY fct.date_day DESC NULLS FIRST, fct.article_id LIMIT 50""".replace("date_day,", "fct.date_day,", 1).replace("article_id,", "fct.article_id,", 1),
+    "fct", "k", extra={"k": (["fct"], _STORED_AFTER)}))
+def q_articles_page_keyset_stored(spark, sf):
+    """The page after the middle of the published facts, month by month."""
+    root = _published(spark, sf)
+    fct = PB.read_mart(spark, root, "fct_articles")
+    half = fct.count() // 2
+    last = fct.select("date_day", "article_id").orderBy(*V.page_order()).offset(half).limit(1).first()
+    return PB.page_after_stored(spark, root, last["date_day"], last["article_id"], 50)

@@ -17,6 +17,8 @@ from gazette import schemas as S
 from gazette.operators import checks as CK
 from gazette.plans import models as M
 from gazette.plans.models import Models
+from gazette.plans.serving import PAGE_COLUMNS, articles_after, by_key
+from gazette.sources import tables as TB
 from gazette.sources import versioned
 
 MART_MODELS = ("int_articles_deduped", "fct_articles", "dim_author", "dim_date", "mart_dq_scorecard")
@@ -61,6 +63,50 @@ def read_mart(spark: SparkSession, root: str, name: str) -> DataFrame | None:
     return None if path is None else spark.read.parquet(f"{path}/{name}").drop("month") if name == "fct_articles" else spark.read.parquet(f"{path}/{name}")
 
 
+#: Copies for point lookups: (model, its id, what it is copied from).
+LOOKUPS = (("article_lookup", "article_id", "fct_articles"), ("author_lookup", "author_id", "dim_author"))
+NULL_MONTH = "__HIVE_DEFAULT_PARTITION__"
+
+
+def stage_lookups(spark: SparkSession, root: str, staged: dict[str, DataFrame]) -> None:
+    """Copies of the facts and authors in order of their id, so that an id lies
+    in one file and row group by its range, with a Parquet Bloom filter on the
+    id, so that an id that isn't there is not searched for."""
+    for name, key, model in LOOKUPS:
+        rows = staged[model].repartitionByRange(key).sortWithinPartitions(key)
+        (rows.write.mode("errorifexists").option(f"parquet.bloom.filter.enabled#{key}", "true")
+         .option(f"parquet.bloom.filter.adaptive.enabled#{key}", "true").parquet(f"{root}/{name}"))
+
+
+def lookup(spark: SparkSession, root: str, name: str, value) -> DataFrame | None:
+    """The row of one id (none or one) from a published lookup copy."""
+    key = {n: k for n, k, _ in LOOKUPS}[name]
+    path = versioned.current_path(spark, root)
+    return None if path is None else by_key(spark.read.parquet(f"{path}/{name}"), key, value)
+
+
+def page_after_stored(spark: SparkSession, root: str, after_day, after_id: int, limit: int) -> DataFrame:
+    """Keyset page over the published facts: months are read one after the
+    other, newest first (facts without a day before them), from the cursor's
+    own on, until the page is full.  A page holds ``limit`` rows, so these reach
+    the driver; a month is a top-k over its own files."""
+    path = f"{versioned.current_path(spark, root)}/fct_articles"
+    months = TB.partition_values(spark, path, "month=")
+    order = [m for m in (NULL_MONTH,) if m in months and after_day is None]
+    order += [m for m in reversed(months) if m != NULL_MONTH and (after_day is None or m <= f"{after_day:%Y-%m}")]
+    rows, schema = [], spark.read.parquet(path).drop("month").select(*PAGE_COLUMNS).schema
+    for month in order:
+        part = read_month(spark, path, month)
+        rows += articles_after(part, after_day, after_id, limit - len(rows)).collect()
+        if len(rows) == limit:
+            break
+    return spark.createDataFrame(rows, schema)
+
+
+def read_month(spark: SparkSession, path: str, month: str) -> DataFrame:
+    return spark.read.parquet(f"{path}/month={month}")
+
+
 def audit(staged: dict[str, DataFrame], raw: DataFrame, as_of, stg: DataFrame) -> list[CK.Check]:
     """All data tests: staging, facts, dimensions, singular tests, freshness.
     Staging keeps every version of an article, so its unique test warns."""
@@ -103,6 +149,7 @@ def write_audit_publish(wh: Models, root: str, as_of, blocking: set[str] | None
     """
     path = versioned.new_version(root)
     staged = stage_models(wh, path)
+    stage_lookups(wh.spark, path, staged)
     summary = CK.summarize(audit(staged, wh.raw, as_of, wh.stg))
     name = F.col("check_name")
     full = F.concat(name, F.lit(":"), F.col("model"), F.lit("."), F.coalesce("column_name", F.lit("")))

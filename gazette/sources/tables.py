@@ -146,7 +146,7 @@ def runs_of(spark: SparkSession, root: str) -> DataFrame:
     return df.select("dt", "run").distinct()
 
 
-def _names(spark: SparkSession, path: str, prefix: str) -> list[str]:
+def partition_values(spark: SparkSession, path: str, prefix: str) -> list[str]:
     """Values of the partition folders right below a path."""
     jvm = spark.sparkContext._jvm
     p = jvm.org.apache.hadoop.fs.Path(path)
@@ -158,7 +158,8 @@ def _names(spark: SparkSession, path: str, prefix: str) -> list[str]:
 def recent_runs(spark: SparkSession, root: str, since_day: str = "") -> list[str]:
     """``dt/run`` of the runs in a lake zone from ``since_day`` on, oldest first.
     Lists the zone's days and the folders of those days alone; no file is opened."""
-    return [f"{day}/{run}" for day in _names(spark, root, "dt=") if day >= since_day for run in _names(spark, f"{root}/dt={day}", "run=")]
+    days = [d for d in partition_values(spark, root, "dt=") if d >= since_day]
+    return [f"{day}/{run}" for day in days for run in partition_values(spark, f"{root}/dt={day}", "run=")]
 
 
 def read_runs(spark: SparkSession, root: str, schema: T.StructType, runs: list[str]) -> DataFrame:
