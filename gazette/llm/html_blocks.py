@@ -34,9 +34,11 @@ MAIN_TAGS = frozenset(("article", "main"))
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 HINT = re.compile(r"""\b(?:(?:class|id|role|aria-label)\s*=\s*)(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
 BOILER_NAME = re.compile(r"""(?:^|[\s_-])(?:ads?|advert\w*|sponsor\w*|promo\w*|banner|cookies?|consent|gdpr|notice|alert|popup|modal|newsletter|subscri\w*
-|nav\w*|menu\w*|breadcrumbs?|sidebar|side-?bar|widget|related|recommend\w*|share|sharing|social|comments?|commentlist|disqus|replies|reply|respond
+|nav\w*|menu\w*|breadcrumbs?|sidebar|side-?bar|widget|(?:related|recommend\w*|share|sharing|social)(?=$|\s|[_-]+(?:posts?|articles?|stor(?:y|ies)
+|news|links?|buttons?|btns?|bar|box|list|icons?|media|items?|content|block|widget|section|topics?|pages?|tools?|panel|this|us|container|wrapper)\b)|comments?|commentlist|disqus|replies|reply|respond
 |footer|foot|masthead|site-?header|page-?header|header|login|signup|search|toolbar|pagination|pager|contentinfo|navigation|complementary)s?(?=$|[\s_-])""", re.I | re.X)
-PART = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)(?:>|\Z)", re.S)
+#: Comments, declarations and tags; a quote opens a value only after "=", and one without its end runs to the page's end.
+PART = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>=]++|=\s*+(?:\"[^\"]*+(?:\"|\Z)|'[^']*+(?:'|\Z)|[^\s>\"'][^\s>]*+)?+)*+)(?:>|\Z)", re.S)
 NAMES = ("words", "links", "words_before", "links_before", "words_after", "links_after", "boiler", "main", "page_has_main", "heading")
 
 #: Labelled blocks: NAMES (words, link density; the same of the block before and after; inside a menu, advert, form, notice or comment;
@@ -107,13 +109,16 @@ def blocks(page: str) -> list[tuple[str, int, float, int, int, int]]:
     end, or with the page, skipped ones too; a head ends with the first tag or
     text that may not stand in it.  An unclosed element of RAW ends with the
     head or the skipped element around it, else with the page, as in browsers.
-    A tag that the page's end cuts off is markup."""
+    A tag that the page's end cuts off is markup.  Time is linear in the depth
+    of the page."""
     out: list = []
     text: list[str] = []
     linked: list[str] = []
     stack: list[tuple[str, int, int]] = []  # open containers: tag, boiler so far, main so far
     opened: Counter = Counter()  # start tags without an end tag, outside of skipped elements
     absent: set[str] = set()  # names without an end tag in the rest of the page
+    held: Counter = Counter()  # tags in the stack
+    inner: Counter = Counter()  # tags in the stack from hidden on
     hidden: int | None = None  # where the outermost open skipped element stands in the stack
     links = heading = 0
     in_head = False
@@ -137,12 +142,30 @@ def blocks(page: str) -> list[tuple[str, int, float, int, int, int]]:
             if links:
                 linked.append(piece)
 
-    def pop_to(tag: str) -> None:
+    def push(tag: str, boiler: int, main: int) -> None:
+        stack.append((tag, boiler, main))
+        held[tag] += 1
+        if hidden is not None:
+            inner[tag] += 1
+
+    def pop() -> str:
         nonlocal hidden
-        while stack.pop()[0] != tag:
+        tag = stack.pop()[0]
+        held[tag] -= 1
+        if hidden is not None:
+            inner[tag] -= 1
+            if len(stack) <= hidden:
+                hidden = None
+                inner.clear()
+        return tag
+
+    def pop_to(tag: str) -> None:
+        while pop() != tag:
             pass
-        if hidden is not None and len(stack) <= hidden:
-            hidden = None
+
+    def show() -> None:
+        while hidden is not None:
+            pop()
 
     def end_of(tag: str) -> re.Match | None:
         got = None if tag in absent else re.compile(rf"</{tag}\b[^>]*(?:>|\Z)", re.I).search(page, at)
@@ -152,7 +175,7 @@ def blocks(page: str) -> list[tuple[str, int, float, int, int, int]]:
 
     def after_raw(tag: str) -> int:
         """Where the page goes on after an element of RAW that begins at ``at``."""
-        around = next((t for t, _, _ in reversed(stack[hidden:]) if t in SKIPPED), None) if hidden is not None else None
+        around = next(stack[i][0] for i in range(len(stack) - 1, -1, -1) if stack[i][0] in SKIPPED) if hidden is not None else None
         own = end_of(tag)
         if own and tag == "script":  # scripts write tags
             return own.end()
@@ -177,28 +200,25 @@ def blocks(page: str) -> list[tuple[str, int, float, int, int, int]]:
         alone = tag in VOID or attributes.rstrip().endswith("/")
         if in_head:
             if close and tag not in ("head", "body", "html"):
-                if hidden is not None and any(t == tag for t, _, _ in stack[hidden:]):
+                if inner[tag]:
                     pop_to(tag)
                 continue
             if close or tag == "body" or hidden is None and tag not in HEAD_TAGS:
                 in_head = False
-                if hidden is not None:
-                    del stack[hidden:]
-                    hidden = None
+                show()
             elif hidden is None and tag not in RAW and (tag not in SKIPPED or not end_of(tag)):
                 continue
         if hidden is not None:
-            inside = (close or tag in ("button", "select")) and any(t == tag for t, _, _ in stack[hidden:])  # these don't nest
+            inside = (close or tag in ("button", "select")) and inner[tag] > 0  # these don't nest
             if inside:
                 pop_to(tag)
             elif close and opened[tag] or tag == "body" and not close and opened["head"] and not opened["body"]:
-                del stack[hidden:]
-                hidden = None
+                show()
             if hidden is not None and not close and not alone:
                 if tag in RAW:
                     at = after_raw(tag)
                 else:
-                    stack.append((tag, *stack[-1][1:]))
+                    push(tag, *stack[-1][1:])
             if hidden is not None or close and inside:
                 continue
         if not close and tag in RAW and not alone:
@@ -211,7 +231,7 @@ def blocks(page: str) -> list[tuple[str, int, float, int, int, int]]:
         if not close and tag in SKIPPED and not alone:
             add(" ")
             hidden = len(stack)
-            stack.append((tag, *(stack[-1][1:] if stack else (0, 0))))
+            push(tag, *(stack[-1][1:] if stack else (0, 0)))
             continue
         if tag == "head" and not close:
             flush()
@@ -229,8 +249,8 @@ def blocks(page: str) -> list[tuple[str, int, float, int, int, int]]:
         if tag not in BLOCK_TAGS:
             if not close and tag not in VOID and BOILER_NAME.search(_names(attributes)) and not attributes.rstrip().endswith("/") and tag in ("span", "ins", "section"):
                 flush()
-                stack.append((tag, 1, stack[-1][2] if stack else 0))
-            elif close and any(t == tag for t, _, _ in stack):
+                push(tag, 1, stack[-1][2] if stack else 0)
+            elif close and held[tag]:
                 flush()
                 pop_to(tag)
             continue
@@ -243,12 +263,12 @@ def blocks(page: str) -> list[tuple[str, int, float, int, int, int]]:
         if tag in ("p", "hr", "li", "dd", "dt", "tr", "td", "th", "option", "optgroup", "html", "body") or tag[0] == "h" and tag[1:].isdigit():
             named = not close and tag not in ("html", "body", "hr") and bool(attributes) and BOILER_NAME.search(_names(attributes))
             if stack and stack[-1][0] == "." + tag:  # a named paragraph or cell ends with the next one
-                stack.pop()
+                pop()
             if named:
-                stack.append(("." + tag, 1, stack[-1][2] if stack else 0))
+                push("." + tag, 1, stack[-1][2] if stack else 0)
             continue
         if close:
-            if any(t == tag for t, _, _ in stack):
+            if held[tag]:
                 pop_to(tag)
             continue
         boiler, main = (stack[-1][1], stack[-1][2]) if stack else (0, 0)
@@ -256,7 +276,7 @@ def blocks(page: str) -> list[tuple[str, int, float, int, int, int]]:
             main = 1
         elif tag in BOILER_TAGS or tag == "header" and not main or attributes and tag not in MAIN_TAGS and BOILER_NAME.search(_names(attributes)):
             boiler = 1
-        stack.append((tag, boiler, main))
+        push(tag, boiler, main)
     flush()
     return out
 

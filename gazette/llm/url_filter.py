@@ -2,8 +2,10 @@
 
 Concatenated names in hosts and paths are split into words by a unigram
 Viterbi search; a naive Bayes model over the host's and path's words judges
-the URLs that no rule decides.  Words are counted over all pages, and the
-model learns from all URLs that a rule decides.  Both tables are whole and
+the URLs that no rule decides.  Words are counted over the prose of all pages
+(URLs and dotted names in it are names, not prose), a word that is put together
+from far more frequent ones is no word of its own, and the model learns from
+all URLs that a rule decides.  Both tables are whole and
 stay in the shared folder: URLs are judged in blocks, and a block's task holds
 only the words that its names contain and the tokens of its names.
 """
@@ -15,6 +17,7 @@ import re
 from collections import Counter
 from itertools import chain
 
+import ahocorasick
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -28,6 +31,10 @@ BLOCK_ROWS, BLOCK_BYTES = 8192, 1 << 20
 TAG = re.compile(rb"<(?:script|style)\b.*?</(?:script|style)\s*>|<[^<>]*>", re.S | re.I)
 TOKEN = re.compile(r"\d+|[^\W\d_]+")
 WORDS = re.compile(r"[^\W\d_]+").findall
+#: A URL or dotted name in prose (linear: it only begins where a run of such letters begins).
+NAME = re.compile(r"(?<![\w.-])(?:[a-z][a-z0-9+]*+://\S++|[\w-]++(?:\.[\w-]++)++(?:[:/?#]\S*+)?)")
+#: A listed word is a compound if listed words of two letters or more, each this many times as frequent, make it up.
+COMPOUND = 10
 #: Base of the substring keys (odd, so that its powers have inverses modulo 2**64) and what each letter of length adds.
 BASE, LENGTH = 0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F
 
@@ -64,33 +71,60 @@ class Rules:
         return best or (None, None)
 
 
+def automaton(values: dict):
+    """Finds all keys in a text, in time linear in the text and the finds; None without keys."""
+    if not values:
+        return None
+    out = ahocorasick.Automaton()
+    for word, value in values.items():
+        out.add_word(word, (len(word), value))
+    out.make_automaton()
+    return out
+
+
+def compounds(counts: dict[str, int]) -> set[str]:
+    """Listed words made up of listed words that are each COMPOUND times as
+    frequent: concatenated names that prose repeats, which would else hide
+    their own parts.  Whether a word is one depends on its substrings only."""
+    found, out = automaton(counts), set()
+    for word, count in counts.items():
+        rarest = [math.inf] + [0] * len(word)    # of the best parts up to here
+        for end, (size, n) in found.iter(word):
+            if 2 <= size < len(word):
+                rarest[end + 1] = max(rarest[end + 1], min(rarest[end + 1 - size], n))
+        if rarest[-1] >= COMPOUND * count:
+            out.add(word)
+    return out
+
+
 class Segmenter:
-    """Unigram Viterbi: the likeliest split of a name into listed words.
-    An unlisted word costs as much as a rare word for each of its letters.
-    ``total`` is the count of all words where ``counts`` holds only some."""
+    """Unigram Viterbi: the likeliest split of a name into listed words that are
+    no compounds.  A run of letters that is no listed word costs ten times a word
+    seen once, and ten times more for each letter after its first.  ``total`` is the count of all words where ``counts`` holds only some."""
 
     def __init__(self, counts: dict[str, int], memory: int = 100_000, total: int | None = None):
         total = (sum(counts.values()) if total is None else total) + 1
-        self.cost = {w: math.log(total / n) for w, n in counts.items()}
-        self.unknown = math.log(total) + math.log(10)
-        self.longest = max(map(len, counts), default=1)
+        joined = compounds(counts)
+        self.cost = {w: math.log(total / n) for w, n in counts.items() if w not in joined}
+        self.words = automaton(self.cost)
+        self.unknown, self.step = math.log(total) + math.log(10), math.log(10)
         self.seen: dict[str, list[str]] = {}
         self.memory = memory
 
     def split(self, name: str) -> list[str]:
         if name in self.seen:
             return self.seen[name]
-        best, back = [0.0] + [math.inf] * len(name), [0] * (len(name) + 1)
-        for end in range(1, len(name) + 1):
-            for begin in range(max(0, end - self.longest), end):
-                word = name[begin:end]
-                cost = self.cost.get(word)
-                if cost is None:
-                    if end - begin > 1:
-                        continue
-                    cost = self.unknown
-                if best[begin] + cost < best[end]:
-                    best[end], back[end] = best[begin] + cost, begin
+        best, back, at = [0.0] * (len(name) + 1), [0] * (len(name) + 1), 0
+        run, began = math.inf, 0     # cost and start of the best unlisted run that ends here
+        for end, word in chain(self.words.iter(name) if self.words else (), [(len(name) - 1, None)]):
+            while at <= end:     # an unlisted run, unless a word that ends here is likelier
+                run += self.step
+                if best[at] + self.unknown < run:
+                    run, began = best[at] + self.unknown, at
+                at += 1
+                best[at], back[at] = run, began
+            if word and best[at - word[0]] + word[1] < best[at]:
+                best[at], back[at] = best[at - word[0]] + word[1], at - word[0]
         out, end = [], len(name)
         while end:
             out.append(name[back[end]:end])
@@ -161,10 +195,15 @@ def substring_keys(names: list[str], lengths=None):
     return (np.unique(keys(np.flatnonzero(room >= n), np.array([n]))) for n in lengths if n <= size.max(initial=0))
 
 
-def word_counts(pages: DataFrame, url_col: str, html_col: str) -> DataFrame:
-    """(word, n, key) of every word of all pages' visible text and URL paths,
-    counted in each task first, so a word that stands everywhere moves once a task."""
-    rows = pages.select(F.col(url_col).cast("string").alias("u"), F.col(html_col).cast("string").alias("h"))
+def prose(page: bytes) -> str:
+    """Visible text in lower case without URLs and dotted names."""
+    return NAME.sub(" ", TAG.sub(b" ", page).decode("utf-8", "replace").lower())
+
+
+def word_counts(pages: DataFrame, html_col: str) -> DataFrame:
+    """(word, n, key) of every word of all pages' prose, counted in each task
+    first, so a word that stands everywhere moves once a task."""
+    rows = pages.select(F.col(html_col).cast("string").alias("h"))
     schema = pa.schema([("word", pa.string()), ("n", pa.int64())])
 
     def run(batches):
@@ -177,9 +216,9 @@ def word_counts(pages: DataFrame, url_col: str, html_col: str) -> DataFrame:
             return out
 
         for b in batches:
-            for u, h in zip(raw(b.column(0)), raw(b.column(1))):
-                text = TAG.sub(b" ", h or b"").decode("utf-8", "replace").lower()
-                seen.update(chain(WORDS(text), WORDS(split_url((u or b"").decode("utf-8", "replace"))[1].lower())))
+            for h in raw(b.column(0)):
+                text = prose(h or b"")
+                seen.update(WORDS(text))
                 read += len(text)
             if len(seen) > 500_000 or read > 1 << 27:
                 yield flush()
@@ -253,12 +292,14 @@ def filter_urls(pages: DataFrame, url_col: str = "url", html_col: str = "html",
 
     A null URL or one without ``://`` has an empty host and path and gets the
     method's verdict (the likelier class); without any rule-decided URL the
-    method allows.  Repeated rows and null ids are judged row by row; extra
-    columns are ignored; an empty table gives an empty result.
+    method allows; even odds allow.  Repeated rows and null ids are judged row
+    by row; extra columns are ignored; an empty table gives an empty result.
+    Whole pages are counted and whole URLs split, in time linear in their
+    length and the words found in them.
     """
     bounded_batches(pages.sparkSession)
     known = Rules(rules)
-    words = word_counts(pages, url_col, html_col)
+    words = word_counts(pages, html_col)
     by_length = {r.size: r.n for r in words.groupBy(F.length("word").alias("size")).agg(F.sum("n").alias("n")).collect()}
     total, lengths = sum(by_length.values()), sorted(by_length)
     urls = dealt(pages, url_col, id_col)

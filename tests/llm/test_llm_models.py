@@ -1,5 +1,8 @@
 """Language ID, quality classifier, URL filter and HTML extraction."""
 
+import time
+from collections import Counter
+
 import numpy as np
 import pytest
 
@@ -151,17 +154,43 @@ def test_segmenter_finds_the_cheapest_split():
             return 0.0, []
         best = (float("inf"), [])
         for i in range(1, len(name) + 1):
-            cost = s.cost.get(name[:i], s.unknown if i == 1 else None)
-            if cost is not None:
-                rest, words = brute(name[i:])
-                best = min(best, (cost + rest, [name[:i], *words]))
+            rest, words = brute(name[i:])
+            best = min(best, (price(name[:i]) + rest, [name[:i], *words]))
         return best
 
+    def price(word):
+        return s.cost.get(word, s.unknown + s.step * (len(word) - 1))
+
     for name in ("newspapers", "spaper", "perspa", "xnewxs"):
-        total = sum(s.cost.get(w, s.unknown) for w in s.split(name))
+        total = sum(map(price, s.split(name)))
         assert total == pytest.approx(brute(name)[0])
 
 
+def test_segmenter_splits_names_that_prose_repeats():
+    s = U.Segmenter({"machine": 100, "learning": 100, "machinelearning": 1, "into": 90, "in": 600, "to": 700}, total=10**6)
+    assert s.split("machinelearning") == ["machine", "learning"] and s.split("into") == ["into"] and s.split("caso") == ["caso"] and s.split("casointo") == ["caso", "into"]
+    assert U.compounds({"aa": 10, "aaaa": 1, "aaa": 1, "b": 100, "bb": 1}) == {"aaaa"} and U.compounds({}) == set() and U.Segmenter({}).split("ab") == ["ab"]
+    assert U.WORDS(U.prose(b"<p class=x>See https://the.shop/a now, shop.example.org/b?c or 3.5 words. End</p>")) == ["see", "now", "or", "words", "end"]
+
+
+def test_segmenter_splits_the_concatenated_hosts_of_the_pages():
+    import pyarrow.parquet as pq
+
+    pages = pq.read_table("/root/testdata/sf0.1/pages.parquet").to_pylist()
+    counts = Counter(w for p in pages for w in U.WORDS(U.prose((p["html"] or "").encode())))
+    s = U.Segmenter(counts)
+    names = {w for p in pages for _, w in U.name_parts(U.split_url(p["url"])[0], "") if len(w) > 5 and w.isalpha()} - {"example", "casino"}
+    assert len(names) > 10 and sum(len(s.split(w)) > 1 for w in names) * 2 >= len(names)
+
+
+def test_segmenter_time_is_linear_in_the_name():
+    long = "machinelearning" * 1400
+    s = U.Segmenter({"machine": 100, "learning": 100, long: 1, "a": 5, "aa": 3})
+    began = time.time()
+    assert s.split(long) == ["machine", "learning"] * 1400 and len(s.split("ab" * 10_000)) >= 1
+    assert time.time() - began < 1
+
+
 def test_url_filter(spark, sf):
     got = U.op4_url_filter(spark, sf).collect()
     verdicts = {r: v for v, r in U.RULES}
@@ -235,7 +264,7 @@ def test_url_filter_counts_every_word_and_token(spark, monkeypatch, rows, size):
     pages = [(i, f"http://{h}.example.{t}/{p}/{i}", None) for i, (h, t, p) in enumerate([("casinowin", "com", "de"), ("gardennews", "org", "en")] * 20)]
     pages += [(900, f"http://zzshopgarden{long}.net/x", text), (901, f"http://{rare[-1]}zzshop.net/{rare[59_000]}news", None), (902, "http://É.org/Äpfel中文", "äpfel 中文"), (903, None, None)]
     got = {r.page_id: r for r in U.filter_urls(spark.createDataFrame(pages, "page_id long, url string, html string").repartition(3)).collect()}
-    counts = Counter(w for _, u, h in pages for t in (h or "", U.split_url(u)[1]) for w in U.WORDS(t.lower()))
+    counts = Counter(w for _, u, h in pages for w in U.WORDS(U.prose((h or "").encode())))
     whole, rules = U.Segmenter(counts), U.Rules()
     assert whole.split(f"zzshopgarden{long}") == ["zzshop", "garden", long] and len(counts) > 60_000
     tokens = {i: whole.tokens(*U.split_url(u)) for i, u, _ in pages}
@@ -273,6 +302,24 @@ def test_html_head_and_raw_elements(page, want):
     assert H.main_text(page, H.trained())[0] == want
 
 
+@pytest.mark.parametrize("page,want", [
+    ("<article><p data-x=don't>Hello world first paragraph</p><p>It's fine here</p><p>third</p>", "Hello world first paragraph\n\nIt's fine here\n\nthird"),
+    ("<article><p>Kept <a href=\"x>broken", "Kept"), ("<article><p>Kept</p><p title='x>broken <p>text", "Kept"), ("<article><p>Kept <a href = 'a>b' \"c>text</a>", "Kept text"),
+    ("<article><p a=b=\"c>Kept</p>", "Kept"), ("<article><p a=>Kept</p>", "Kept"), ("<article><p a= >Kept</p>", "Kept"),
+    ("<article><div class=related-work><p>Kept text</p></div><div class='share-of-market'>and this</div><div class=related-posts>not this</div><div class=share>nor this</div>", "Kept text\n\nand this"),
+])
+def test_html_attributes_and_names(page, want):
+    assert H.main_text(page, H.trained())[0] == want
+
+
+@pytest.mark.parametrize("piece", ["<div>", "<div></p></ul>", "<noscript><b></i>", "<a href='", "<p a=b'c \"d>", "<span class=ad>", "<ul><li class=ad>x</ol>"])
+def test_html_time_is_linear_in_the_page(piece):
+    page = "<article><p>Kept</p>" + piece * (1_000_000 // len(piece))
+    began = time.time()
+    assert H.main_text(page, H.trained())[0].startswith("Kept")
+    assert time.time() - began < 8
+
+
 @pytest.mark.parametrize("copies", [1, 300])
 def test_samples_are_bounded_by_ids_that_repeat(spark, copies):
     from gazette.llm import langid, quality_mil
