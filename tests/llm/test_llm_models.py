@@ -168,7 +168,7 @@ def test_segmenter_finds_the_cheapest_split():
 
 def test_segmenter_splits_names_that_prose_repeats():
     s = U.Segmenter({"machine": 100, "learning": 100, "machinelearning": 1, "into": 90, "in": 600, "to": 700}, total=10**6)
-    assert s.split("machinelearning") == ["machine", "learning"] and s.split("into") == ["into"] and s.split("caso") == ["caso"] and s.split("casointo") == ["caso", "into"]
+    assert s.split("machinelearning") == ["machine", "learning"] and s.split("into") == ["into"] and s.split("caso") == ["caso"] and s.split("machinecasin") == ["machine", "casin"]
     assert U.compounds({"aa": 10, "aaaa": 1, "aaa": 1, "b": 100, "bb": 1}) == {"aaaa"} and U.compounds({}) == set() and U.Segmenter({}).split("ab") == ["ab"]
     assert U.WORDS(U.prose(b"<p class=x>See https://the.shop/a now, shop.example.org/b?c or 3.5 words. End</p>")) == ["see", "now", "or", "words", "end"]
 
