@@ -3,10 +3,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from gazette import schemas as S
@@ -73,14 +73,54 @@ class Check:
     model: str
     column: str | None
     severity: str            # "error" or "warn"
-    failing: DataFrame       # failing rows (or, for freshness, a status row)
+    failing: DataFrame | None    # failing rows (or, for freshness, a status row)
     source: DataFrame | None = None   # not_null: the model, so checks on one model share a scan
+    failures: int | None = None       # known without a query: counted while the model was written
 
 
 def not_null(model: str, df: DataFrame, col: str, severity: str = "error") -> Check:
     return Check("not_null", model, col, severity, check_not_null(df, col), source=df)
 
 
+@dataclass(frozen=True)
+class RowTest:
+    """A check that looks at single rows, so a write can count its failures."""
+    name: str
+    column: str
+    fails: Column
+    severity: str = "error"
+
+
+def not_null_test(col: str) -> RowTest:
+    return RowTest("not_null", col, F.col(col).isNull())
+
+
+def no_future_test(as_of: Column, col: str = "published_at") -> RowTest:
+    return RowTest("no_future_published", col, F.col(col) > as_of)
+
+
+def write_counted(df: DataFrame, tests: Sequence[RowTest], write: Callable[[DataFrame], None], model: str) -> list[Check]:
+    """Write df and count each test's failures in the same pass (``observe``).
+
+    The counts are taken above df's last exchange, in the tasks that write, and
+    Spark takes a task's counts once, whichever attempt ends first.  A table
+    that the optimizer knows to be empty has no counts and no failures.
+    """
+    if not tests:
+        write(df)
+        return []
+    seen = Observation()
+    write(df.observe(seen, *[F.count_if(t.fails).alias(f"t{i}") for i, t in enumerate(tests)]))
+    got = seen.get
+    return [Check(t.name, model, t.column, t.severity, None, failures=int(got.get(f"t{i}") or 0)) for i, t in enumerate(tests)]
+
+
+def _known(checks: Sequence[Check]) -> DataFrame:
+    """One row per check whose failures are known."""
+    rows = [(c.name, c.model, c.column, c.severity, c.failures, "pass" if not c.failures else "fail" if c.severity == "error" else "warn") for c in checks]
+    return SparkSession.active().createDataFrame(rows, "check_name string, model string, column_name string, severity string, failures long, status string")
+
+
 def _status(failures: Column, severity: str) -> Column:
     return (F.when(failures == 0, F.lit("pass"))
             .otherwise(F.lit("fail" if severity == "error" else "warn")))
@@ -106,6 +146,10 @@ def summarize(checks: Sequence[Check]) -> DataFrame:
     result is tiny whatever the model sizes.
     """
     parts = []
+    known = [c for c in checks if c.failures is not None]
+    if known:
+        parts.append(_known(known))
+        checks = [c for c in checks if c.failures is None]
     grouped: dict[int, list[Check]] = {}
     for c in checks:
         if c.name == "not_null" and c.source is not None:

@@ -19,8 +19,8 @@ from gazette.plans import jobs as J
 from gazette.plans import models as M
 from gazette.plans import publish as PB
 from gazette.plans import serving as V
-from gazette.plans.catalog import (_ANOMALY_SQL, _CUT1, _CUT2, _CUT_UPSERT, _FEED_CTES, _HIST, _MART, _PAGE, _S1, _SNAP, _WIN_SINCE, _WIN_UNTIL, ORACLE, S1_COLS,
-                                   _scratch, register, reversed_page_order)
+from gazette.plans.catalog import (_ALL_MODELS, _ANOMALY_SQL, _AS_OF_FUTURE, _CUT1, _CUT2, _CUT_UPSERT, _FEED_CTES, _HIST, _MART, _PAGE, _S1, _SNAP, _WIN_SINCE, _WIN_UNTIL, ORACLE, S1_COLS,
+                                   _scratch, _summary_sql, register, reversed_page_order)
 from gazette.plans.oracle import with_ctes
 from gazette.sources import fixtures as fx
 from gazette.sources import payload as P
@@ -483,3 +483,60 @@ def q_articles_page_keyset_stored(spark, sf):
     half = fct.count() // 2
     last = fct.select("date_day", "article_id").orderBy(*V.page_order()).offset(half).limit(1).first()
     return PB.page_after_stored(spark, root, last["date_day"], last["article_id"], 50)
+
+
+# --- checks counted by the publishing write, tables in buckets ----------------------------
+
+#: The summary at a day before the newest load.
+_PUBLISH_SQL = (_summary_sql().replace(_AS_OF_FUTURE, "(SELECT max(_loaded_at) - INTERVAL 1 DAY FROM raw)")
+                .replace("max(_loaded_at) + INTERVAL 3 HOUR", "max(_loaded_at) - INTERVAL 24 HOUR"))
+
+
+@register("publish_audit_counted", with_ctes(_PUBLISH_SQL, *_ALL_MODELS, "deduped", "scorecards", "raw"))
+def q_publish_audit_counted(spark, sf):
+    """Write-audit-publish: the summary of a publish whose row tests were
+    counted by the writes (a day before the newest load)."""
+    wh = M.Warehouse(spark, sf)
+    newest = wh.raw.agg(F.max("_loaded_at") - F.expr("INTERVAL 1 DAY")).first()[0]
+    return PB.write_audit_publish(wh, _scratch(spark, "audited"), F.lit(str(newest)).cast("timestamp_ntz")).summary
+
+
+def _bucketed_lake(spark, sf) -> J.Lake:
+    """Three syncs: all ids; without every fiftieth; without every 25th, and
+    two ids that went before are back."""
+    lake = J.Lake(_scratch(spark, "bucketed"))
+    art = fx.articles(spark, sf).select("id")
+    at = fx.snapshot_time(spark, sf)
+    day = spark.range(1).select(at.cast("timestamp_ntz").alias("t")).first()["t"]
+    J.delete_sync_bucketed(spark, lake, art, day - dt.timedelta(days=2))
+    J.delete_sync_bucketed(spark, lake, art.filter(F.col("id") % 50 != 0), day - dt.timedelta(days=1))
+    J.delete_sync_bucketed(spark, lake, art.filter((F.col("id") % 25 != 0) | F.col("id").isin(50, 100)), day)
+    return lake
+
+
+_BUCKETED_LOG = {"bucketed_log": (["articles"], """
+    SELECT DISTINCT id AS article_id, (SELECT max(ts) FROM events) + CASE WHEN id % 50 = 0 THEN INTERVAL 0 DAY ELSE INTERVAL 1 DAY END AS deleted_at
+    FROM articles WHERE id % 25 = 0""")}
+
+
+@register("delete_sync_bucketed", with_ctes("SELECT * FROM bucketed_log", "bucketed_log", extra=_BUCKETED_LOG))
+def q_delete_sync_bucketed(spark, sf):
+    """The delete log after three snapshot diffs over bucketed ids: the first
+    delete of an id wins, an id that comes back keeps it."""
+    lake = _bucketed_lake(spark, sf)
+    return J.BK.read_bucketed(spark, J._bucketed(lake, "delete_log"), S.ARTICLE_DELETED, "article_id")
+
+
+_LATEST = "id, title, category, author_id, updated_at"
+
+
+@register("tombstones_bucketed", with_ctes(f"""
+    SELECT {_LATEST}, CASE WHEN l.article_id IS NOT NULL THEN l.deleted_at ELSE r.deleted_at END AS deleted_at,
+           CASE WHEN l.article_id IS NOT NULL THEN true ELSE r.is_hard_deleted END AS is_hard_deleted
+    FROM (SELECT *, row_number() OVER (PARTITION BY id ORDER BY updated_at DESC NULLS LAST, seq DESC) AS rn FROM raw) r
+    LEFT JOIN bucketed_log l ON r.id = l.article_id WHERE rn = 1""", "raw", "bucketed_log", extra=_BUCKETED_LOG))
+def q_tombstones_bucketed(spark, sf):
+    """The newest version of every article with the bucketed log's tombstones."""
+    raw = M.Warehouse(spark, sf).raw
+    latest = latest_per_key(raw, ["id"], [F.col("updated_at").desc_nulls_last(), F.col("seq").desc()])
+    return J.tombstones_bucketed(spark, _bucketed_lake(spark, sf), latest.select(*_LATEST.split(", "), "deleted_at", "is_hard_deleted"))

@@ -10,6 +10,8 @@
   may hold the ids (``gazette.sources.keyed``) -> watermark.
 * ``delete_articles`` / ``delete_sync``: hard deletes in the source become
   a delete log by snapshot diff; tombstones are applied when models build.
+  ``delete_sync_bucketed`` / ``tombstones_bucketed``: the same over tables in
+  buckets of the id, which join without an exchange.
 * ``build_models`` + ``gazette.plans.publish.write_audit_publish``: marts.
 
 Every write replaces exactly what the run produces (per-run partitions with
@@ -32,17 +34,19 @@ from gazette import schemas as S
 from gazette.operators.clean import clean
 from gazette.operators.drift import drift_alerts
 from gazette.operators.incremental import incremental_extract, read_watermark
-from gazette.operators.merge import advance_watermark, delete_log_of, merge_upsert
+from gazette.operators.merge import advance_watermark, apply_tombstones, delete_log_of, merge_upsert
 from gazette.operators.scd2 import scd2_moves
 from gazette.operators.scorecard import scorecard
 from gazette.plans.models import Models, stamp_load
 from gazette.plans.serving import scrape_report
+from gazette.sources import bucketed as BK
 from gazette.sources import tables as TB
 from gazette.sources import versioned
 from gazette.sources.keyed import KeyedTable
 from gazette.sources.payload import flatten_feed
 
 RAW_SCHEMA = T.StructType(S.ARTICLES_RAW.fields + [T.StructField("content_length", T.LongType())])
+IDS = T.StructType([T.StructField("id", T.LongType())])
 UPDATE_COLUMNS = ["title", "content", "author_id", "author_name", "category", "updated_at", "deleted_at"]
 
 
@@ -374,3 +378,46 @@ def delete_sync(spark: SparkSession, lake: Lake, previous: DataFrame, current: D
                 at: dt.datetime) -> DataFrame:
     """The delete log after a snapshot diff: ids of the previous snapshot that are gone now."""
     return log_deletes(spark, lake, previous.select("id").distinct().join(current.select("id"), "id", "left_anti"), at)
+
+
+def _bucketed(lake: Lake, name: str) -> str:
+    return lake._p("bucketed", name)
+
+
+def delete_sync_bucketed(spark: SparkSession, lake: Lake, current: DataFrame, at: dt.datetime) -> DataFrame:
+    """The delete log after a diff with the stored ids of the run before.
+
+    Only the current ids are exchanged, once, when they are stored in buckets.
+    The diff, the search in the log and the new log join bucket by bucket.  The
+    log is published before the ids: a run that dies between the two is
+    repeated with the same result.  An id keeps the time of its first delete;
+    one that comes back and goes again keeps it too; a null id is never gone.
+    """
+    ids_root, log_root = _bucketed(lake, "ids"), _bucketed(lake, "delete_log")
+    former, logged = versioned.current_path(spark, ids_root), versioned.current_path(spark, log_root)
+    ids = current.select(F.col("id").cast("long").alias("id")).filter("id is not null").distinct()
+    n = BK.buckets_for(ids.count(), BK.buckets_of(former) if former else None)
+    path = BK.write_bucketed(ids, ids_root, "id", n)
+    now = BK.open_bucketed(spark, path, IDS, "id")
+    log = None if logged is None else BK.open_bucketed(spark, logged, S.ARTICLE_DELETED, "article_id")
+    if former is not None:
+        before = BK.open_bucketed(spark, former, IDS, "id")
+        gone = before.join(now, "id", "left_anti")
+        same = n == BK.buckets_of(former) and (logged is None or n == BK.buckets_of(logged))
+        logged = BK.write_bucketed(delete_log_of(gone, F.lit(at).cast("timestamp_ntz"), log), log_root, "article_id", n, dealt=same)
+        versioned.point(spark, log_root, logged)
+        log = BK.open_bucketed(spark, logged, S.ARTICLE_DELETED, "article_id")
+    versioned.point(spark, ids_root, path)
+    return spark.createDataFrame([], S.ARTICLE_DELETED) if log is None else log
+
+
+def tombstones_bucketed(spark: SparkSession, lake: Lake, latest: DataFrame) -> DataFrame:
+    """The tombstone columns of a table with one row an id, from the bucketed
+    log.  The table is stored in the log's buckets first; the join exchanges
+    nothing."""
+    log = versioned.current_path(spark, _bucketed(lake, "delete_log"))
+    if log is None:
+        return latest
+    path = BK.write_bucketed(latest, _bucketed(lake, "latest"), "id", BK.buckets_of(log))
+    rows = BK.open_bucketed(spark, path, latest.schema, "id")
+    return apply_tombstones(rows, BK.open_bucketed(spark, log, S.ARTICLE_DELETED, "article_id"))

@@ -5,7 +5,9 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
+from gazette.operators import checks as CK
 from gazette.plans import publish as PB
+from gazette.plans.models import Warehouse
 from gazette.plans.serving import articles_after, page_order
 from gazette.sources import versioned
 
@@ -55,3 +57,30 @@ def test_a_stored_page_reads_only_the_months_it_needs(spark, root, monkeypatch,
     if len(got) == limit and limit < 200:
         assert len(months) <= 2
     assert months == sorted(months, key=lambda m: (m == PB.NULL_MONTH, m), reverse=True)
+
+
+def test_row_tests_are_counted_by_the_write(spark, tmp_path):
+    df = spark.range(1000, numPartitions=7).select(F.when(F.col("id") % 10 != 0, F.col("id")).alias("k"), F.expr("timestamp_ntz'2024-01-01' + make_dt_interval(cast(id as int))").alias("t"))
+    tests = [CK.not_null_test("k"), CK.not_null_test("t"), CK.no_future_test(F.lit("2025-01-01").cast("timestamp_ntz"), "t")]
+    got = CK.write_counted(df.repartitionByRange("k"), tests, lambda rows: rows.write.parquet(str(tmp_path / "a")), "m")
+    assert [(c.name, c.column, c.failures) for c in got] == [("not_null", "k", 100), ("not_null", "t", 0), ("no_future_published", "t", 1000 - 367)]
+    assert spark.read.parquet(str(tmp_path / "a")).count() == 1000
+    rows = {(r.column_name, r.check_name): (r.failures, r.status) for r in CK.summarize([*got, CK.not_null("m", df, "t")]).collect()}
+    assert rows[("k", "not_null")] == (100, "fail") and rows[("t", "no_future_published")] == (633, "fail")
+    empty = CK.write_counted(df.filter("false"), tests, lambda rows: rows.write.parquet(str(tmp_path / "b")), "m")
+    assert [c.failures for c in empty] == [0, 0, 0]
+
+
+def test_a_counted_audit_scans_less_and_says_the_same(spark, sf, tmp_path):
+    wh = Warehouse(spark, sf)
+    as_of = PB.moment(spark, wh.raw.select(F.max("_loaded_at") - F.expr("INTERVAL 1 DAY")).scalar())
+    counted = []
+    staged = PB.stage_models(wh, str(tmp_path / "m"), as_of, counted)
+    stg = staged["int_articles_deduped"]      # stored stand-ins for staging and raw: the plans hold the models' scans only
+    raw = stg.withColumn("_loaded_at", F.col("published_at"))
+    with_scans, without = PB.audit(staged, raw, as_of, stg), PB.audit(staged, raw, as_of, stg, counted)
+    a, b = CK.summarize(with_scans), CK.summarize(without)
+    assert sorted(map(repr, a.collect())) == sorted(map(repr, b.collect())) and a.count() == 18
+    scans = [d._jdf.queryExecution().optimizedPlan().toString().count("Relation [") for d in (a, b)]
+    assert scans[1] <= scans[0] - 4, scans
+    assert any(c.failures for c in counted)
