@@ -7,12 +7,14 @@ occurrences of a window are in one shard and shards never need each other:
 1. A window's key is the least hash of its ``gram``-word pieces (its
    minimizer).  Keys of one occurrence in the whole corpus are dropped: their
    windows can't be repeated.  Consecutive windows with one key are a segment.
-2. Segments of repeated keys are fetched as texts; equal ones become one.
+2. Segments of repeated keys are fetched as texts, equal ones once, with a
+   mark that they stand in more than one place.
 3. Each shard builds an FM-index (suffix array, Burrows-Wheeler transform,
-   wavelet matrix with rank directories) over its distinct segments.  The
-   segments stream through it: backward search gives how far a match that
-   occurs twice reaches, hence the windows above the threshold.
-4. The repeated intervals go back to the documents.
+   wavelet matrix with rank directories, marks in suffix order) over its
+   distinct segments.  All of them stream through it: backward search counts
+   the places of a match, a marked suffix twice, which gives how far a match
+   that occurs twice reaches, hence the windows above the threshold.
+4. The intervals of each distinct segment go back to all its places.
 
 A key with very many segments (the rim of a passage that stands everywhere)
 is dealt once more, by the content of each single window.
@@ -105,26 +107,37 @@ def power_of(n: int) -> np.uint64:
 
 # --- index ------------------------------------------------------------------
 
+class Bits:
+    """Bits packed in 64-bit words, with the ones before each word."""
+
+    def __init__(self, bits: np.ndarray):
+        packed = np.packbits(bits, bitorder="little")
+        words = np.zeros(len(bits) // 64 + 1, "<u8")
+        words.view(np.uint8)[:len(packed)] = packed
+        self.words = words.astype(np.uint64)
+        self.before = np.cumsum(np.bitwise_count(words), dtype=np.int64) - np.bitwise_count(words)
+
+    def rank(self, i: np.ndarray) -> np.ndarray:
+        """Ones before each place i."""
+        word = i >> 6
+        return self.before[word] + np.bitwise_count(self.words[word] & ((np.uint64(1) << (i & 63).astype(np.uint64)) - np.uint64(1)))
+
+
 class WaveletMatrix:
-    """Bit planes of a sequence, packed in 64-bit words with running counts."""
+    """Bit planes of a sequence."""
 
     def __init__(self, sequence: np.ndarray, symbols: int):
         self.levels = max(1, int(symbols - 1).bit_length())
         self.planes = []
         for level in range(self.levels - 1, -1, -1):
             bits = (sequence >> level) & 1 > 0
-            packed = np.packbits(bits, bitorder="little")
-            words = np.zeros(len(sequence) // 64 + 1, "<u8")
-            words.view(np.uint8)[:len(packed)] = packed
-            count = np.cumsum(np.bitwise_count(words), dtype=np.int64) - np.bitwise_count(words)
-            self.planes.append((level, words.astype(np.uint64), count, len(sequence) - int(bits.sum())))
+            self.planes.append((level, Bits(bits), len(sequence) - int(bits.sum())))
             sequence = np.concatenate([sequence[~bits], sequence[bits]])
 
     def descend(self, symbol: np.ndarray, i: np.ndarray) -> np.ndarray:
         """Place that position i of the top plane has for each symbol below the last plane."""
-        for level, words, count, zeros in self.planes:
-            word = i >> 6
-            ones = count[word] + np.bitwise_count(words[word] & ((np.uint64(1) << (i & 63).astype(np.uint64)) - np.uint64(1)))
+        for level, bits, zeros in self.planes:
+            ones = bits.rank(i)
             i = np.where((symbol >> level) & 1 > 0, zeros + ones, i - ones)
         return i
 
@@ -150,18 +163,21 @@ def suffix_array(text: np.ndarray) -> np.ndarray:
 
 
 class FmIndex:
-    """Compressed index of some word sequences (numbers from 1 on)."""
+    """Compressed index of some unlike word sequences (numbers from 1 on);
+    ``again`` marks those that stand in more than one place.  The sequences
+    themselves are kept as the queries that stream through it."""
 
-    def __init__(self, sequences: list[np.ndarray]):
+    def __init__(self, sequences: list[np.ndarray], again: np.ndarray):
         sizes = np.array([len(s) + 1 for s in sequences])
         self.first = np.cumsum(sizes) - sizes
-        self.text = np.zeros(int(sizes.sum()), np.int64)
+        self.text = np.zeros(int(sizes.sum()), np.int32)
         for at, s in zip(self.first, sequences):
             self.text[at:at + len(s)] = s
         symbols = int(self.text.max()) + 1
         order = suffix_array(self.text)
         self.below = np.append(0, np.cumsum(np.bincount(self.text, minlength=symbols)))
         self.wavelet = WaveletMatrix(self.text[order - 1], symbols)  # -1: the last separator
+        self.marks = Bits(np.repeat(again, sizes)[order])
         self.base = self.below[:-1] - self.wavelet.descend(np.arange(symbols), np.zeros(symbols, np.int64))
 
     def reach(self, end: np.ndarray, stop: np.ndarray) -> np.ndarray:
@@ -175,7 +191,7 @@ class FmIndex:
             both = self.wavelet.descend(np.concatenate([c, c]), np.concatenate([lo, hi]))
             base = self.base[c]
             lo, hi = both[:len(c)] + base, both[len(c):] + base
-            once = hi - lo < 2
+            once = hi - lo + self.marks.rank(hi) - self.marks.rank(lo) < 2
             out[lane[once]] = at[once]
             live = ~once & (at > stop[lane])
             lane, at, lo, hi = lane[live], at[live] - 1, lo[live], hi[live]
@@ -225,15 +241,11 @@ def merge(spans) -> list[tuple[int, int]]:
 
 def shard_spans(segments: list[tuple[bytes, bool]], window: int) -> list[list[tuple[int, int]]]:
     """Repeated intervals of each distinct segment (its text, whether it occurs
-    more than once as a whole), from an index over all of them."""
+    more than once as a whole), by an index over all of them."""
     numbers: dict[bytes, int] = {}
     coded = [np.array([numbers.setdefault(w, len(numbers) + 1) for w in text.split(b" ")]) for text, _ in segments]
-    out = [[(0, len(c))] if again else [] for c, (_, again) in zip(coded, segments)]
-    single = np.array([i for i, (_, again) in enumerate(segments) if not again], np.int64)
-    if len(single):
-        for i, spans in zip(single, FmIndex(coded).repeated(single, window)):
-            out[i] = merge(spans)
-    return out
+    index = FmIndex(coded, np.array([again for _, again in segments], bool))
+    return [merge(spans) for spans in index.repeated(np.arange(len(segments)), window)]
 
 
 # --- Spark ------------------------------------------------------------------
@@ -253,18 +265,22 @@ def together(key: np.ndarray, content: np.ndarray) -> tuple[np.ndarray, np.ndarr
 
 
 BLOBS = (("key", np.int64), ("content", np.int64), ("row", np.int64), ("a", np.int32), ("b", np.int32), ("flag", np.uint8),
-         ("srow", np.int64), ("sa", np.int32), ("sb", np.int32))
+         ("skey", np.int64), ("scontent", np.int64), ("srow", np.int64), ("sa", np.int32), ("sb", np.int32))
+SEGMENT = "__row long, a int, b int, key long, content long, hot boolean, again boolean, need boolean, place boolean"
 AGAIN, TWICE = 1, 2
 
 
 def sort_out(rows: DataFrame, window: int, gram: int, n_parts: int, hot_key: int) -> DataFrame:
-    """Segments (row, a, b, key, hot, again, need) that repeat or may hold
-    repeated windows: ``again`` occur elsewhere as a whole, ``need`` must be
-    searched or searched in.  A segment leaves its task in blocks by bucket,
-    equal ones once, so a passage that stands everywhere is a row for each task."""
+    """Segments (row, a, b, key, content, hot, again, need, place) that repeat
+    or may hold repeated windows; key and content name equal ones.  ``need``:
+    the one of them that goes to the index, ``again`` if it stands elsewhere
+    too; ``place``: a row for each place.  A segment leaves its task in blocks
+    by bucket, equal ones once, so a passage that stands everywhere is
+    compared as a row for each task."""
     buckets = 8 * n_parts
     block = pa.schema([("bucket", pa.int32()), *((n, pa.binary()) for n, _ in BLOBS)])
-    result = pa.schema([("__row", pa.int64()), ("a", pa.int32()), ("b", pa.int32()), ("key", pa.int64()), ("hot", pa.bool_()), ("again", pa.bool_()), ("need", pa.bool_())])
+    result = pa.schema([("__row", pa.int64()), ("a", pa.int32()), ("b", pa.int32()), ("key", pa.int64()), ("content", pa.int64()),
+                        *((n, pa.bool_()) for n in ("hot", "again", "need", "place"))])
 
     def emit(batches):
         held: list[tuple] = []
@@ -280,7 +296,7 @@ def sort_out(rows: DataFrame, window: int, gram: int, n_parts: int, hot_key: int
             flag = (many * AGAIN + twice[first] * TWICE).astype(np.uint8)
             sent = [x[first] for x in (key, content, row, a.astype(np.int32), b.astype(np.int32))] + [flag]
             again = order[many[of]]
-            done = [x[again] for x in (row, a.astype(np.int32), b.astype(np.int32))]
+            done = [x[again] for x in (key, content, row, a.astype(np.int32), b.astype(np.int32))]
             out = []
             for columns, place in ((sent, (key[first].view(np.uint64) >> np.uint64(20)).astype(np.int64) % buckets), (done, row[again] % buckets)):
                 turn = np.argsort(place, kind="stable")
@@ -311,7 +327,7 @@ def sort_out(rows: DataFrame, window: int, gram: int, n_parts: int, hot_key: int
             _, blobs = parts.popitem()
             key, content, row, a, b, flag, *done = (np.frombuffer(b"".join(y), t) for y, (_, t) in zip(zip(*blobs), BLOBS))
             order, new_key, new = together(key, content)
-            key, row, a, b, flag = key[order], row[order], a[order], b[order], flag[order]
+            key, content, row, a, b, flag = key[order], content[order], row[order], a[order], b[order], flag[order]
             segment, name = np.cumsum(new) - 1, np.cumsum(new_key) - 1
             local = flag & AGAIN > 0
             start = np.flatnonzero(new)
@@ -322,25 +338,24 @@ def sort_out(rows: DataFrame, window: int, gram: int, n_parts: int, hot_key: int
             single = ~many
             kinds = np.bincount(own_key, minlength=1)
             # a single segment is searched if its key has another, or occurs in it twice
-            asks = single & ((kinds[own_key] > 1) | (flag[start] & TWICE > 0))
-            asked = np.bincount(own_key, asks, len(kinds)) > 0
-            need = asks | many & asked[own_key]
+            need = many | single & ((kinds[own_key] > 1) | (flag[start] & TWICE > 0))
             hot = np.bincount(own_key, need, len(kinds)) >= hot_key
             pick = start[need]
             whole = np.flatnonzero(many[segment] & ~local)
             n, w, d = len(pick), len(whole), len(done[0])
-            yield batch(result, np.concatenate([row[pick], row[whole], done[0]]), np.concatenate([a[pick], a[whole], done[1]]), np.concatenate([b[pick], b[whole], done[2]]),
-                        np.concatenate([key[pick], key[whole], np.zeros(d, np.int64)]), np.concatenate([hot[own_key[need]], np.zeros(w + d, bool)]),
-                        np.concatenate([many[need], np.ones(w + d, bool)]), np.concatenate([np.ones(n, bool), np.zeros(w + d, bool)]))
+            yield batch(result, *(np.concatenate([x[pick], x[whole], y]) for x, y in zip((row, a, b, key, content), (*done[2:], *done[:2]))),
+                        np.concatenate([hot[own_key[need]], np.zeros(w + d, bool)]), np.concatenate([many[need], np.ones(w + d, bool)]),
+                        np.concatenate([np.ones(n, bool), np.zeros(w + d, bool)]), np.concatenate([single[need], np.ones(w + d, bool)]))
 
     sent = rows.select("__row", "__text").mapInArrow(emit, "bucket int, " + ", ".join(f"{n} binary" for n, _ in BLOBS))
-    return sent.repartition(n_parts, "bucket").mapInArrow(gather, "__row long, a int, b int, key long, hot boolean, again boolean, need boolean")
+    return sent.repartition(n_parts, "bucket").mapInArrow(gather, SEGMENT)
 
 
 def search_shards(texts: DataFrame, window: int, n_parts: int, index_words: int) -> DataFrame:
-    """(__row, f, t): repeated intervals of segments (shard, __row, a, again,
-    text), by an index over a shard's distinct segments."""
-    schema = pa.schema([("__row", pa.int64()), ("f", pa.int64()), ("t", pa.int64())])
+    """(key, content, f, t): repeated intervals of segments (shard, key,
+    content, a, again, text; the text's first word is the segment's a-th), by
+    an index over a shard's distinct texts."""
+    schema = pa.schema([("key", pa.int64()), ("content", pa.int64()), ("f", pa.int64()), ("t", pa.int64())])
 
     def search(batches):
         held: list[tuple] = []
@@ -350,14 +365,14 @@ def search_shards(texts: DataFrame, window: int, n_parts: int, index_words: int)
             # equal windows of a hot key may come from several segments
             place: dict[bytes, int] = {}
             texts: list[list] = []
-            for _, _, _, again, text in held:
+            for *_, again, text in held:
                 i = place.setdefault(text, len(texts))
                 if i == len(texts):
                     texts.append([text, again])
                 else:
                     texts[i][1] = True
             spans = shard_spans([tuple(x) for x in texts], window)
-            out = [(row, a + f, a + t) for _, row, a, _, text in held for f, t in spans[place[text]]]
+            out = [(key, content, a + f, a + t) for _, key, content, a, _, text in held for f, t in spans[place[text]]]
             held.clear()
             return batch(schema, *zip(*out)) if out else None
 
@@ -368,12 +383,12 @@ def search_shards(texts: DataFrame, window: int, n_parts: int, index_words: int)
                         yield out
                     words = 0
                 held.append(r)
-                words += r[4].count(b" ") + 1
+                words += r[-1].count(b" ") + 1
         if held and (out := close()) is not None:
             yield out
 
     dealt = texts.repartition(n_parts, "shard").sortWithinPartitions("shard")
-    return dealt.select("shard", "__row", "a", "again", "text").mapInArrow(search, "__row long, f long, t long")
+    return dealt.select("shard", "key", "content", "a", "again", "text").mapInArrow(search, "key long, content long, f long, t long")
 
 
 def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW, gram: int = GRAM,
@@ -385,24 +400,27 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     n_parts = partitions(spark)
     rows = keyed(docs, id_col, text_col).select("__row", F.col(text_col).cast("string").alias("__text"))
     found = staged(sort_out(rows, window, gram, n_parts, hot_key), "segments")
-    # a text is asked for each segment once; equal rows all give it, which does no harm
-    asked = found.filter("need").groupBy("__row").agg(F.collect_set(F.struct("a", "b", "key", "hot", "again")).alias("__runs"))
-    schema = pa.schema([("shard", pa.int64()), ("__row", pa.int64()), ("a", pa.int64()), ("again", pa.bool_()), ("text", pa.binary())])
+    asked = found.filter("need").groupBy("__row").agg(F.collect_set(F.struct("a", "b", "key", "content", "hot", "again")).alias("__runs"))
+    schema = pa.schema([("shard", pa.int64()), ("key", pa.int64()), ("content", pa.int64()), ("a", pa.int64()), ("again", pa.bool_()), ("text", pa.binary())])
 
     def fetch(batches):
         import xxhash
 
+        last = None
         for x in batches:
             out = []
             for row, text, parts in zip(x.column(0).to_pylist(), raw(x.column(1)), x.column(2).to_pylist()):
-                words = text.split()
+                if row == last:  # an equal row; its segments are marked
+                    continue
+                last, words = row, text.split()
                 for p in parts:
+                    name = p["key"], p["content"]
                     if p["hot"]:
                         for i in range(p["a"], p["b"] + 1):
                             part = b" ".join(words[i:i + window])
-                            out.append((xxhash.xxh3_64_intdigest(part) - 2**63, row, i, p["again"], part))
+                            out.append((xxhash.xxh3_64_intdigest(part) - 2**63, *name, i - p["a"], p["again"], part))
                     else:
-                        out.append((p["key"], row, p["a"], p["again"], b" ".join(words[p["a"]:p["b"] + window])))
+                        out.append((p["key"], *name, 0, p["again"], b" ".join(words[p["a"]:p["b"] + window])))
                 if len(out) >= 20_000:
                     yield batch(schema, *zip(*out))
                     out = []
@@ -410,10 +428,11 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
                 yield batch(schema, *zip(*out))
 
     one = rows.join(asked, "__row").select("__row", "__text", "__runs")
-    texts = one.mapInArrow(fetch, "shard long, __row long, a long, again boolean, text binary")
-    searched = search_shards(texts, window, n_parts, index_words)
-    whole = found.filter("again").select("__row", F.col("a").cast("long").alias("f"), (F.col("b") + window).cast("long").alias("t"))
-    return searched.unionByName(whole).groupBy("__row").agg(F.collect_list(F.struct("f", "t")).alias("__spans"))
+    texts = one.mapInArrow(fetch, "shard long, key long, content long, a long, again boolean, text binary")
+    searched = search_shards(texts, window, n_parts, index_words).groupBy("key", "content").agg(F.collect_set(F.struct("f", "t")).alias("spans"))
+    placed = found.filter("place").select("__row", "a", "key", "content").join(searched, ["key", "content"])
+    moved = placed.select("__row", F.explode(F.transform("spans", lambda s: F.struct((s["f"] + F.col("a")).alias("f"), (s["t"] + F.col("a")).alias("t")))).alias("s"))
+    return moved.groupBy("__row").agg(F.collect_list("s").alias("__spans"))
 
 
 def cut_words(text: bytes | None, spans) -> tuple[list[bytes], int, int]:

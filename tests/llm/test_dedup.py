@@ -234,8 +234,10 @@ def test_segments_cover_windows_and_agree():
 def test_fm_index_counts():
     rng = np.random.default_rng(0)
     sequences = [rng.integers(1, 5, rng.integers(1, 60)) for _ in range(25)]
-    index = S.FmIndex(sequences)
+    again = rng.random(25) < 0.3
+    index = S.FmIndex(sequences, again)
     text = [int(x) for x in index.text]
+    places = np.repeat(1 + again, [len(s) + 1 for s in sequences]).tolist()
     for which, s in enumerate(sequences):
         begin = int(index.first[which])
         for end in range(begin, begin + len(s)):
@@ -243,12 +245,32 @@ def test_fm_index_counts():
             want = begin - 1
             for j in range(end, begin - 1, -1):
                 p = text[j:end + 1]
-                if sum(text[i:i + len(p)] == p for i in range(len(text))) < 2:
+                if sum(places[i] for i in range(len(text)) if text[i:i + len(p)] == p) < 2:
                     want = j
                     break
             assert got == want
 
 
+def test_every_removed_word_comes_from_an_index(spark, odd_docs, monkeypatch):
+    """Copies and passages go to the index like all other segments: marked
+    ones are found by it, and without its answers nothing is removed."""
+    a, b = " ".join(f"a{i}" for i in range(50)), " ".join(f"b{i}" for i in range(40))
+    assert S.shard_spans([(a.encode(), True), (b.encode(), False), (("b0 b1 b2 " + a.split(" ", 1)[1]).encode(), False)], 35) == [[(0, 50)], [], [(3, 52)]]
+    assert sum(r.n_removed for r in S.dedup_report(odd_docs).collect()) > 0
+    nothing = spark.createDataFrame([], "key long, content long, f long, t long")
+    monkeypatch.setattr(S, "search_shards", lambda *_: nothing)
+    assert {r.n_removed for r in S.dedup_report(odd_docs).collect()} == {0}
+
+
+def test_many_equal_rows(spark):
+    """Copies under one id and under many: each place loses the same words."""
+    passage = " ".join(f"p{i}" for i in range(45))
+    docs = [(1, f"{passage} own words")] * 300 + [(k, f"{passage} own words") for k in range(2, 200)] + [(900, f"x y {passage} z")]
+    got = S.dedup_report(spark.createDataFrame(docs, "doc_id long, text string").repartition(7), hot_key=50).collect()
+    assert {(r.n_words, r.n_removed) for r in got if r.doc_id < 900} == {(47, 47)} and len(got) == 499
+    assert [(r.n_words, r.n_removed) for r in got if r.doc_id == 900] == [(48, 45)]
+
+
 def test_pipeline_matches_brute_force(spark, tmp_path):
     """Every stage's decisions, one after the other, on a small fixture."""
     import json
