@@ -56,10 +56,11 @@ def bounded_batches(spark: SparkSession, rows: int = 1000, size: str = "8m") ->
     now = int(spark.conf.get(key, "10000"))
     if now <= 0 or now > rows:
         spark.conf.set(key, str(rows))
-    try:
-        spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", size)
-    except Exception:  # noqa: BLE001 - a static or unknown setting in this version
-        return
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    now = spark.conf.get(key, None)
+    in_bytes = spark.sparkContext._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes
+    if now is not None and not 0 < in_bytes(now) <= in_bytes(size):
+        spark.conf.set(key, size)
 
 
 def partitions(spark: SparkSession, factor: int = 1) -> int:

@@ -16,14 +16,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gazette.llm.common import batch, bounded_batches, id_and_text, table
+from gazette.llm.common import batch, bounded_batches, id_and_text, staged, table
 
 WINDOW = 10
-#: Bytes of benchmark text that one pass searches for; a larger benchmark takes several passes.
-PASS_BYTES = 32 << 20
+#: Bytes of benchmark text that one pass searches for (under 1 million windows); a larger benchmark takes several passes.
+PASS_BYTES = 4 << 20
 #: A-Z in lower case, a-z, 0-9 and everything beyond ASCII stay, the rest separates words.
 FOLD = bytes(c + 32 if 65 <= c <= 90 else c if 48 <= c <= 57 or 97 <= c <= 122 or c >= 128 else 32 for c in range(256))
-TABLE_BITS = 18
+#: Places of a shift table for each window, so that few blocks of other texts meet a place that is taken.
+PLACES = 8
 LANE = 256
 
 
@@ -79,11 +80,12 @@ class WuManber:
         self.length, self.block = length, min(2, length)
         self.windows = windows
         patterns = np.array([np.frombuffer(w, np.int64) for w in windows])
-        self.shift = np.full(1 << TABLE_BITS, length - self.block + 1, np.int64)
-        self.prefix = np.zeros(1 << TABLE_BITS, bool)
+        self.bits = max(12, (PLACES * len(windows)).bit_length())
+        self.shift = np.full(1 << self.bits, length - self.block + 1, np.uint8 if length < 256 else np.int64)
+        self.prefix = np.zeros(1 << self.bits, bool)
         self.bucket: dict[int, list[bytes]] = {}
         for end in range(self.block - 1, length):
-            np.minimum.at(self.shift, self.hash(patterns, end), length - 1 - end)
+            np.minimum.at(self.shift, self.hash(patterns, end), self.shift.dtype.type(length - 1 - end))
         self.prefix[self.hash(patterns, self.block - 1)] = True
         for h, w in zip(self.hash(patterns, length - 1).tolist(), windows):
             self.bucket.setdefault(h, []).append(w)
@@ -95,7 +97,7 @@ class WuManber:
             last = words[..., end - 1].astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + last * np.uint64(0xC2B2AE3D27D4EB4F)
         else:
             last = last * np.uint64(0x9E3779B97F4A7C15)
-        return (last >> np.uint64(64 - TABLE_BITS)).astype(np.int64)
+        return (last >> np.uint64(64 - self.bits)).astype(np.int64)
 
     def candidates(self, flat: np.ndarray) -> np.ndarray:
         """Window ends whose block has shift 0.  The row is searched in lanes
@@ -140,7 +142,7 @@ def digest(items) -> str:
 
 
 def passes(benchmark: DataFrame, item_col: str, text_col: str, pass_bytes: int) -> list[DataFrame]:
-    """The benchmark, in parts of about ``pass_bytes``, so what a task holds stays bounded."""
+    """The benchmark, in parts of about ``pass_bytes``, so what the driver and a task hold stays bounded."""
     items = benchmark.select(F.col(item_col).cast("string").alias("item"), F.col(text_col).cast("string").alias("text"))
     size = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     n = max(1, -(-size // pass_bytes))
@@ -177,12 +179,15 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
 
     A null text has no words, a null or wordless item no window; equal items
     and item ids count once by id; equal documents are judged each for itself;
-    other columns are ignored; empty tables give no rows or no hits.  The
-    benchmark, not the documents, is what tasks hold, ``pass_bytes`` at a time;
-    several passes are joined by document, where equal rows have equal results.
+    other columns are ignored; empty tables give no rows or no hits.  A
+    text is held whole, however long.  The benchmark, not the documents, is
+    what driver and tasks hold, ``pass_bytes`` at a time: of several passes each
+    is written before the next is read; they are joined by document, where equal
+    rows have equal results.
     """
     parts = passes(benchmark, item_col, item_text_col, pass_bytes)
-    found = [find_items(docs, p, id_col, text_col, window) for p in parts]
+    found = [find_items(docs, p, id_col, text_col, window) if len(parts) == 1 else
+             staged(find_items(docs, p, id_col, text_col, window), "benchmark-pass") for p in parts]
     got = found[0].drop("_row")
     if len(found) > 1:
         again = found[1]
@@ -212,19 +217,32 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
 
 def keep_clean(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text",
                window: int = WINDOW, pass_bytes: int = PASS_BYTES) -> DataFrame:
-    """The documents (all their columns) without a hit: one filter per pass, no shuffle."""
+    """The documents (all their columns) without a hit.  One pass is a filter
+    without a shuffle; of several, each writes the hashes of the texts it hits
+    before the next is read, and an anti-join drops these texts."""
     bounded_batches(docs.sparkSession)
     at = docs.columns.index(text_col)
-    for part in passes(benchmark, item_col, item_text_col, pass_bytes):
-        patterns = _patterns(part, window)
-
-        def run(batches, patterns=patterns):
-            for b in batches:
-                words = [words_of(t) for t in b.column(at).cast(pa.string()).cast(pa.binary()).to_pylist()]
-                yield b.filter(pa.array([not spans for spans, _ in patterns.find(words)], pa.bool_()))
+    parts = passes(benchmark, item_col, item_text_col, pass_bytes)
 
-        docs = docs.mapInArrow(run, docs.schema)
-    return docs
+    def clean(batches, at, patterns, want):
+        for b in batches:
+            words = [words_of(t) for t in b.column(at).cast(pa.string()).cast(pa.binary()).to_pylist()]
+            yield b.filter(pa.array([bool(spans) != want for spans, _ in patterns.find(words)], pa.bool_()))
+
+    if len(parts) == 1:
+        patterns = _patterns(parts[0], window)
+        return docs.mapInArrow(lambda batches: clean(batches, at, patterns, True), docs.schema)
+    named = docs.toDF(*[f"c{k}" for k in range(len(docs.columns))])
+    texts = named.select(F.col(f"c{at}").cast("string").alias("text"))
+    hit = []
+    for part in parts:
+        patterns = _patterns(part, window)
+        found = texts.mapInArrow(lambda batches, patterns=patterns: clean(batches, 0, patterns, False), "text string")
+        hit.append(staged(found.select(F.sha2("text", 256).alias("hit")).distinct(), "benchmark-pass"))
+    every = hit[0]
+    for h in hit[1:]:
+        every = every.unionByName(h)
+    return named.join(every, F.sha2(F.col(f"c{at}").cast("string"), 256) == F.col("hit"), "left_anti").toDF(*docs.columns)
 
 
 def op10_decontamination(spark, sf_dir: str) -> DataFrame:
