@@ -287,3 +287,22 @@ def test_decontamination_matches_brute_force(spark, pass_bytes):
     assert clean.columns == frame.columns and {r.doc_id for r in clean.collect()} == {d for d, x in want.items() if not x[1]}
     none = bench.filter("item_id < -1")
     assert {r.n_hit for r in D.decontaminate(frame, none).collect()} == {0} and D.decontaminate(frame.limit(0), bench).count() == 0
+
+
+def test_a_smaller_batch_bound_of_the_user_stays(spark):
+    from gazette.llm.common import bounded_batches
+
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(key)
+    try:
+        for given, want in (("1m", "1m"), ("64m", "8m"), ("8m", "8m")):
+            spark.conf.set(key, given)
+            bounded_batches(spark)
+            assert spark.conf.get(key) == want
+    finally:
+        spark.conf.set(key, before)
+
+
+def test_shift_table_grows_with_the_patterns():
+    small, large = (D.Patterns([(0, " ".join(f"w{i}" for i in range(n)))]).searches[0] for n in (50, 50_000))
+    assert len(small.shift) == 1 << 12 and (large.shift == 0).mean() < 0.15
