@@ -14,46 +14,36 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gazette import schemas as S
+from gazette.operators.dedupe import latest_per_key
 from gazette.sources.tables import load, row_count
 
 # Categories the fixture accepts in its clean step (event types; "error" is
 # outside the list and becomes NULL).
 FIXTURE_CATEGORIES = ["click", "purchase", "signup", "view"]
 PAGE_SIZE = 20          # edges per feed page
+ROWS_PER_TASK = 25_000  # rows that a task joins to their texts
 PAGES_PER_FEED = 50     # pages per scrape run, so a feed holds <= 1000 rows
 
 
-def articles(spark: SparkSession, sf_dir: str, with_length: bool = False) -> DataFrame:
-    """Article versions: seq, the article columns and ``is_hard_deleted``.
+#: The article columns that come from the document.
+TEXT_COLUMNS = ["title", "content", "content_length"]
+
 
-    ``with_length`` adds ``content_length``, computed on the document side
-    before the join, so a plan that needs only the length (the marts) joins
-    and shuffles the number instead of the text."""
+def versions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Article versions without their text: seq, id, the narrow article columns
+    and ``is_hard_deleted``.  An id without a document is no article: it leaves
+    where the text is joined."""
     events = load(spark, sf_dir, "events").select("event_id", "ts", "user_id", "event_type")
-    documents = load(spark, sf_dir, "documents")
     customer = load(spark, sf_dir, "customer").select("c_custkey", "c_name")
 
     # Document count: one number (a footer-only count), taken as a literal so
     # plans that read the articles more than once stay identical and Spark
     # can reuse their exchanges.
     n_docs = F.lit(row_count(spark, sf_dir, "documents")).cast("long")
-    # Derive title/content on the document side so a query that never reads
-    # the text does not carry it through the join.
-    docs = documents.select(
-        F.col("doc_id"),
-        F.substring_index("text", "\n", 1).alias("title"),
-        F.col("text").alias("content"),
-        F.length("text").cast("long").alias("content_length"),
-    )
-    e = events.withColumn("doc_key", F.pmod(F.call_function("div", F.col("event_id"), F.lit(2)), n_docs))
     eid = F.col("event_id")
-    joined = (e.join(docs, e.doc_key == docs.doc_id, "inner")
-              .join(customer, F.col("user_id") == F.col("c_custkey"), "left"))
-    return joined.select(
+    return events.join(customer, F.col("user_id") == F.col("c_custkey"), "left").select(
         eid.alias("seq"),
-        F.col("doc_id").alias("id"),
-        F.col("title"),
-        F.col("content"),
+        F.pmod(F.call_function("div", eid, F.lit(2)), n_docs).alias("id"),
         F.when(eid % 17 == 0, F.lit(None)).otherwise(F.col("user_id")).cast("long").alias("author_id"),
         F.when(eid % 20 == 0, F.lit(None)).otherwise(F.col("c_name")).alias("author_name"),
         F.col("event_type").alias("category"),
@@ -61,11 +51,51 @@ def articles(spark: SparkSession, sf_dir: str, with_length: bool = False) -> Dat
         F.when(eid % 29 == 0, F.col("ts") + F.expr("INTERVAL 1 HOUR")).otherwise(F.col("ts")).alias("created_at"),
         F.timestamp_add("MINUTE", eid % 13 - 1, F.col("ts")).alias("updated_at"),
         F.when(eid % 50 == 0, F.col("ts") + F.expr("INTERVAL 1 DAY")).alias("deleted_at"),
-        (F.col("doc_id") % 25 == 0).alias("is_hard_deleted"),
-        *([F.col("content_length")] if with_length else []),
+    ).withColumn("is_hard_deleted", F.col("id") % 25 == 0)
+
+
+def texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """id, title, content and content_length of every document.  Title and
+    length are derived here, so a query that never reads the text does not
+    carry it through a join."""
+    return load(spark, sf_dir, "documents").select(
+        F.col("doc_id").alias("id"),
+        F.substring_index("text", "\n", 1).alias("title"),
+        F.col("text").alias("content"),
+        F.length("text").cast("long").alias("content_length"),
     )
 
 
+def text_parts(spark: SparkSession, sf_dir: str, per_task: int = ROWS_PER_TASK) -> int:
+    """Tasks of a text join.  Its output is as large as the versions' texts,
+    which no exchange before it shows to AQE, so the number follows the rows."""
+    rows = max(row_count(spark, sf_dir, "events"), row_count(spark, sf_dir, "documents"))
+    return max(3, -(-rows // per_task))
+
+
+def join_text(spark: SparkSession, sf_dir: str, rows: DataFrame, one_each: bool = True) -> DataFrame:
+    """``rows`` (by id) with title, content and content_length.  Narrow rows and
+    documents are exchanged once; each task holds the texts of its ids, not of
+    its rows, and sorts neither.
+
+    ``one_each`` takes one of the documents with the same id: their versions
+    tie, and a dedupe keeps one row of a tie."""
+    n = text_parts(spark, sf_dir)
+    docs = texts(spark, sf_dir).withColumn("__text", F.xxhash64("content")).repartition(n, "id")
+    if one_each:
+        docs = latest_per_key(docs, ["id"], [F.col("__text").desc()])
+    return rows.repartition(n, "id").join(docs.drop("__text").hint("shuffle_hash"), "id")
+
+
+def articles(spark: SparkSession, sf_dir: str, with_length: bool = False) -> DataFrame:
+    """Article versions: seq, the article columns and ``is_hard_deleted``.
+
+    The text is joined last, so only documents and narrow rows are exchanged,
+    not the text of every version.  ``with_length`` adds ``content_length``."""
+    return join_text(spark, sf_dir, versions(spark, sf_dir), one_each=False).select(
+        "seq", *S.ARTICLE_COLUMNS, "is_hard_deleted", *(["content_length"] if with_length else []))
+
+
 def batch_of(col: str = "updated_at") -> Column:
     """One pipeline run per day of ``updated_at``."""
     return F.to_date(F.col(col))
