@@ -711,16 +711,20 @@ _FEED_CTES = {
 }
 
 
+def _pages(spark, sf) -> DataFrame:
+    return P.fixture_pages(fx.versions(spark, sf), fx.texts(spark, sf), fx.text_parts(spark, sf))
+
+
 @register("payload_flatten", with_ctes(f"SELECT {_FEED_COLS} FROM payload", "payload", extra=_FEED_CTES))
 def q_payload_flatten(spark, sf):
     """Feed pages built with to_json from the article versions, parsed back
     with from_json + posexplode and mapped to the flat article schema."""
-    return P.flatten_pages(P.fixture_pages(fx.articles(spark, sf)))
+    return P.flatten_pages(_pages(spark, sf))
 
 
 @register("feed_first_seen", with_ctes(f"SELECT {_FEED_COLS} FROM first_seen", "first_seen", extra=_FEED_CTES))
 def q_feed_first_seen(spark, sf):
-    return P.first_seen(P.flatten_pages(P.fixture_pages(fx.articles(spark, sf))))
+    return P.first_seen(P.flatten_pages(_pages(spark, sf)))
 
 
 @register("feed_take_while", with_ctes(f"""
@@ -732,7 +736,7 @@ def q_feed_first_seen(spark, sf):
 def q_feed_take_while(spark, sf):
     """Each scrape run stops at its first story published before the run's
     watermark (here: a day after the run's oldest story)."""
-    rows = P.first_seen(P.flatten_pages(P.fixture_pages(fx.articles(spark, sf))))
+    rows = P.first_seen(P.flatten_pages(_pages(spark, sf)))
     since = F.min("published_at").over(Window.partitionBy("feed_id")) + F.expr("INTERVAL 1 DAY")
     return P.take_while_recent(rows.withColumn("__since", since), F.col("__since")).drop("__since")
 

@@ -20,7 +20,7 @@ from gazette.plans import models as M
 from gazette.plans import publish as PB
 from gazette.plans import serving as V
 from gazette.plans.catalog import (_ALL_MODELS, _ANOMALY_SQL, _AS_OF_FUTURE, _CUT1, _CUT2, _CUT_UPSERT, _FEED_CTES, _HIST, _MART, _PAGE, _S1, _SNAP, _WIN_SINCE, _WIN_UNTIL, ORACLE, S1_COLS,
-                                   _scratch, _summary_sql, register, reversed_page_order)
+                                   _pages, _scratch, _summary_sql, register, reversed_page_order)
 from gazette.plans.oracle import with_ctes
 from gazette.sources import fixtures as fx
 from gazette.sources import payload as P
@@ -151,7 +151,7 @@ def q_payload_rejects(spark, sf):
 
 
 def spoiled_pages(spark, sf) -> DataFrame:
-    pages = P.fixture_pages(fx.articles(spark, sf))
+    pages = _pages(spark, sf)
     kind = F.col("feed_id") % 3
     bad = (F.when(kind == 0, F.substring("payload", 1, 40)).when(kind == 1, F.lit('{"error": "unavailable"}'))
            .otherwise(F.lit('{"data": {"FindAllActiveHeadlines": {"edges": []}}}')))
@@ -265,7 +265,7 @@ def q_scrape_upsert_job(spark, sf):
     the first scrape stored them."""
     root = _scratch(spark, "scrape")
     lake = J.Lake(f"{root}/lake")
-    P.fixture_pages(fx.articles(spark, sf)).write.parquet(f"{root}/pages")
+    _pages(spark, sf).write.parquet(f"{root}/pages")
     pages = spark.read.parquet(f"{root}/pages")
     for parity, pipeline in enumerate(("even", "odd")):
         J.scrape_run(spark, lake, pages.filter(F.col("feed_id") % 2 == parity), pipeline=pipeline)

@@ -106,38 +106,47 @@ def _iso(c: Column, zulu: Column) -> Column:
     return F.when(zulu, F.concat(s, F.lit("Z"))).otherwise(s)
 
 
-def fixture_pages(art: DataFrame) -> DataFrame:
+def fixture_pages(art: DataFrame, texts: DataFrame | None = None, tasks: int | None = None) -> DataFrame:
     """Feed pages of the fixture: newest first, ``PAGE_SIZE`` edges a page,
     ``PAGES_PER_FEED`` pages a scrape run.  Every 37th edge has no story.
-    Page groups are bounded by the page size, so collecting one page's
-    edges is a fixed-size aggregate."""
-    seq = F.col("seq")
-    rank = art.select(F.max("seq")).scalar() - seq            # 0 = newest
-    story = F.struct(
-        F.col("id").cast("string").alias("id"),
-        F.col("title").alias("title"),
-        F.col("content").alias("leadText"),
-        F.col("title").alias("metaDescription"),
-        F.struct(F.col("author_id").cast("string").alias("id"),
-                 F.col("author_name").alias("name")).alias("author"),
-        F.struct((seq % 12).cast("string").alias("id"),
-                 F.when(F.col("category") != "error", F.col("category")).alias("slug")).alias("channel"),
-        _iso(F.col("published_at"), seq % 3 == 0).alias("publishedAt"),
-        F.when(seq % 11 != 0, _iso(F.col("created_at"), seq % 3 == 1)).alias("createdAt"),
-        _iso(F.col("updated_at"), F.lit(False)).alias("updatedAt"),
-        _iso(F.col("deleted_at"), F.lit(False)).alias("deletedAt"),
-    )
-    edges = art.select(
-        F.call_function("div", rank, F.lit(fx.PAGE_SIZE)).alias("page_no"),
-        (rank % fx.PAGE_SIZE).alias("slot"),
-        F.when(seq % 37 != 0, story).alias("story"),
-    )
-    pages = (edges.groupBy("page_no")
-             .agg(F.array_sort(F.collect_list(F.struct("slot", "story"))).alias("edges")))
+
+    ``art`` holds whole articles, or their narrow columns with title and content
+    by id in ``texts``: then a text goes to a page once, whatever the number of
+    its versions there.  A feed's pages lie in one partition, so the exchange
+    that brings the text to them (to ``tasks`` of them) serves the feed's
+    windows too.  Page groups are bounded by the page size, so collecting one
+    page's edges is a fixed-size aggregate."""
+    known = art if texts is None else art.join(texts.select("id"), "id", "left_semi")
+    rank = known.select(F.max("seq")).scalar() - F.col("seq")            # 0 = newest
+    page_no = F.call_function("div", rank, F.lit(fx.PAGE_SIZE))
+    place = [F.call_function("div", page_no, F.lit(fx.PAGES_PER_FEED)).alias("feed_id"), (page_no % fx.PAGES_PER_FEED).alias("page")]
+    v = F.struct((rank % fx.PAGE_SIZE).alias("slot"), *[c for c in art.columns if c not in ("id", *fx.TEXT_COLUMNS)])
+    if texts is None:
+        parts = art.select(*place, "id", "title", "content", F.array(v).alias("vs"))
+    else:
+        vs = art.select(*place, "id", v.alias("v")).groupBy("feed_id", "page", "id").agg(F.collect_list("v").alias("vs"))
+        parts = vs.join(texts.select("id", "title", "content"), "id")
+    parts = parts.repartition(tasks, "feed_id") if tasks else parts.repartition("feed_id")
+    pages = parts.groupBy("feed_id", "page").agg(F.collect_list(F.struct("id", "title", "content", "vs")).alias("parts"))
+
+    def edge(v: Column, part: Column) -> Column:
+        story = F.struct(
+            part["id"].cast("string").alias("id"),
+            part["title"].alias("title"),
+            part["content"].alias("leadText"),
+            part["title"].alias("metaDescription"),
+            F.struct(v["author_id"].cast("string").alias("id"), v["author_name"].alias("name")).alias("author"),
+            F.struct((v["seq"] % 12).cast("string").alias("id"),
+                     F.when(v["category"] != "error", v["category"]).alias("slug")).alias("channel"),
+            _iso(v["published_at"], v["seq"] % 3 == 0).alias("publishedAt"),
+            F.when(v["seq"] % 11 != 0, _iso(v["created_at"], v["seq"] % 3 == 1)).alias("createdAt"),
+            _iso(v["updated_at"], F.lit(False)).alias("updatedAt"),
+            _iso(v["deleted_at"], F.lit(False)).alias("deletedAt"),
+        )
+        return F.struct(v["slot"].alias("slot"), F.when(v["seq"] % 37 != 0, story).alias("story"))
+
+    edges = F.array_sort(F.flatten(F.transform("parts", lambda p: F.transform(p["vs"], lambda v: edge(v, p)))))
     payload = F.to_json(F.struct(F.struct(F.struct(
-        F.transform("edges", lambda e: F.struct(e["story"].alias("story"))).alias("edges")
+        F.transform(edges, lambda e: F.struct(e["story"].alias("story"))).alias("edges")
     ).alias("FindAllActiveHeadlines")).alias("data")))
-    return pages.select(
-        F.call_function("div", F.col("page_no"), F.lit(fx.PAGES_PER_FEED)).alias("feed_id"),
-        (F.col("page_no") % fx.PAGES_PER_FEED).alias("page"),
-        payload.alias("payload"))
+    return pages.select("feed_id", "page", payload.alias("payload"))
