@@ -2,7 +2,8 @@
 
 ``refresh_latest`` merges the raw runs that it hasn't seen into the stored latest
 version of each article and writes what that changed as *moves*: each article's
-stored row before and after.  The other models follow the moves:
+stored row before and after, and the places (file, row) where their title and text
+stand.  The other models follow the moves:
 
 * ``refresh_author_days``: articles per (author, name, publish day) as counts that a
   move lowers for the row it takes away and raises for the one it brings; the
@@ -27,8 +28,9 @@ from pyspark.sql import types as T
 from gazette import schemas as S
 from gazette.functions.dates import published_date
 from gazette.operators.dedupe import latest_per_key
-from gazette.plans.jobs import RAW_SCHEMA, Lake, delete_table, staged_rows, without
+from gazette.plans.jobs import RAW_SCHEMA, Lake, delete_table, staged_rows
 from gazette.plans.models import stg_articles
+from gazette.sources import positions as PS
 from gazette.sources import tables as TB
 from gazette.sources import versioned
 from gazette.sources.keyed import KeyedTable, Version
@@ -43,6 +45,10 @@ LATEST = T.StructType([
     T.StructField("_loaded_at", S.TS), T.StructField("removed", T.BooleanType())])
 AUTHOR_DAYS = T.StructType([T.StructField("author_id", T.LongType()), T.StructField("author_name", T.StringType()),
                             T.StructField("published_date", T.DateType()), T.StructField("n", T.LongType())])
+#: The stored row without its title and text.
+NARROW = T.StructType([f for f in LATEST.fields if f.name not in ("title", "content")])
+MOVE = T.StructType([T.StructField("before", NARROW), T.StructField("after", NARROW), T.StructField("path", T.StringType()), T.StructField("pos", T.LongType()),
+                     T.StructField("from_path", T.StringType()), T.StructField("from_pos", T.LongType())])
 CATEGORIES = T.StructType([T.StructField("category", T.StringType()), T.StructField("n", T.LongType())])
 #: Runs that land later than this behind the newest one are left to a full rebuild.
 HORIZON = dt.timedelta(days=40)
@@ -95,6 +101,12 @@ def pending(spark: SparkSession, lake: Lake, base: Version, horizon: dt.timedelt
     return [r for r in TB.recent_runs(spark, lake.raw, since) if r not in seen]
 
 
+def _staged(raw: DataFrame) -> DataFrame:
+    """Raw rows (placed; with or without their text) as rows of the latest table."""
+    stg = stg_articles(raw, keep=PS.PLACE)
+    return stg.withColumns({"published_date": published_date("published_at"), "removed": F.lit(False)})
+
+
 def refresh_latest(spark: SparkSession, lake: Lake, respect_time: bool = False, horizon: dt.timedelta = HORIZON) -> list[str]:
     """Merge the runs that the model lacks, late ones too; returns them.
 
@@ -102,7 +114,11 @@ def refresh_latest(spark: SparkSession, lake: Lake, respect_time: bool = False,
     that may hold these keys are read and those that hold a changed one
     replaced.  A run that was merged before is known by its name; merging its
     rows again would change nothing.  Tombstones are a flag of the stored row, so
-    ids that are new in the delete log are touched, the others are not."""
+    ids that are new in the delete log are touched, the others are not.
+
+    Versions compete as narrow rows that know their place in the files.  Title
+    and text are read where the winner stands and written with it; at most one
+    exchange, to the table's buckets, carries them."""
     table, log, done = latest_table(lake), delete_table(lake), []
 
     def change(base: Version):
@@ -110,17 +126,18 @@ def refresh_latest(spark: SparkSession, lake: Lake, respect_time: bool = False,
         deletes, noted = _new_deletes(spark, lake, base)
         if not done and not noted:
             return None
-        raw = TB.read_runs(spark, lake.raw, RAW_SCHEMA, done)
-        stg = stg_articles(raw).withColumns({"published_date": published_date("published_at"), "removed": F.lit(False)})
+        raw = PS.placed(TB.read_runs(spark, lake.raw, RAW_SCHEMA, done), bool(done))
+        narrow, names = _staged(raw.drop("title", "content")), NARROW.fieldNames()
         order = [F.col("updated_at").desc_nulls_first(), F.col("_loaded_at").desc_nulls_last()]
-        new = staged_rows(latest_per_key(stg, ["article_id"], order).select(LATEST.fieldNames()), table)
+        new = staged_rows(latest_per_key(narrow, ["article_id"], order).select(*names, *PS.PLACE), table)
         keys = new.select("article_id").union(deletes).distinct()
-        stood = table.read_files(spark, table.holding(keys, "rows", base), "path")
+        held = table.holding(keys, "rows", base)
+        stood = PS.placed(table.read_files(spark, held), bool(held))
         flags = log.version(spark)
         hits = log.read_files(spark, log.holding(keys, "rows", flags)).select(F.col("article_id").alias("gone"), F.col("deleted_at").alias("gone_at"))
 
-        n = new.select(F.col("article_id").alias("nk"), F.struct(*new.columns).alias("n"))
-        o = stood.select(F.col("article_id").alias("ok"), F.struct(*LATEST.fieldNames()).alias("o"), "path")
+        n = new.select(F.col("article_id").alias("nk"), F.struct(*names).alias("n"), F.col("path").alias("n_path"), F.col("pos").alias("n_pos"))
+        o = stood.select(F.col("article_id").alias("ok"), F.struct(*names).alias("o"), *PS.PLACE)
         o = o.join(keys.select(F.col("article_id").alias("ak")), F.col("ok").eqNullSafe(F.col("ak")), "left_semi")
         both = n.withColumn("hn", F.lit(True)).join(o.withColumn("ho", F.lit(True)), F.col("nk").eqNullSafe(F.col("ok")), "full_outer")
         wins = F.col("hn").isNotNull() & (F.col("ho").isNull() | _later("n", "o"))
@@ -128,17 +145,25 @@ def refresh_latest(spark: SparkSession, lake: Lake, respect_time: bool = False,
         dead = F.col("gone").isNotNull()
         if respect_time:
             dead = dead & F.coalesce(F.col("win.updated_at") <= F.col("gone_at"), F.lit(False))
-        after = F.struct(*[dead.alias(c) if c == "removed" else F.col(f"win.{c}").alias(c) for c in LATEST.fieldNames()])
+        after = F.struct(*[dead.alias(c) if c == "removed" else F.col(f"win.{c}").alias(c) for c in names])
         moves = (both.filter(wins | (dead != F.col("o.removed")))
-                 .select(F.when(F.col("ho").isNotNull(), F.col("o")).alias("before"), after.alias("after"), "path"))
+                 .select(F.when(F.col("ho").isNotNull(), F.col("o")).alias("before"), after.alias("after"), *PS.PLACE,
+                         F.when(wins, F.col("n_path")).otherwise(F.col("path")).alias("from_path"), F.when(wins, F.col("n_pos")).otherwise(F.col("pos")).alias("from_pos")))
         written = versioned.new_version(f"{table.root}/moves")
         moves = staged_rows(moves, table, written)
         touched = [r["path"] for r in moves.select("path").distinct().collect() if r["path"]]
-        left = without(table.read_files(spark, touched), moves.select("after.article_id"), "article_id")
+        files = PS.placed(table.read_files(spark, touched), bool(touched))
+        left = PS.unpicked(files, PS.marks(moves.select(*PS.PLACE), versioned.new_version(f"{table.root}/staged")))
+        source = moves.select(F.col("from_path").alias("path"), F.col("from_pos").alias("pos"), F.col("after.removed").alias("now_removed"))
+        chosen = PS.marks(source, versioned.new_version(f"{table.root}/staged"), ["now_removed"])
+        rows = left.select(LATEST.fieldNames())
+        for found in (_staged(raw), files):
+            rows = rows.unionByName(PS.picked(found, chosen).withColumn("removed", F.col("now_removed")).select(LATEST.fieldNames()))
         runs = sorted({*base.notes.get("runs", []), *done})
         since = _days_before(runs[-1], horizon) if runs else ""
         runs = [r for r in runs if r >= since]
-        return {"rows": left.unionByName(moves.select("after.*"))}, touched, {"runs": runs, "moves": written, **noted}
+        tasks = raw.select("id").rdd.getNumPartitions() + files.select("article_id").rdd.getNumPartitions()     # two scans, nothing runs
+        return {"rows": table.laid(rows, moves.count(), tasks, base)}, touched, {"runs": runs, "moves": written, **noted}
 
     table.update(spark, change)
     return list(done)
@@ -154,8 +179,7 @@ def moves_after(spark: SparkSession, lake: Lake, number: int) -> tuple[DataFrame
     table = latest_table(lake)
     newest = table.version(spark).number
     paths = [table.at(spark, k).notes["moves"] for k in range(number + 1, newest + 1)]
-    row = T.StructType([T.StructField("before", LATEST), T.StructField("after", LATEST), T.StructField("path", T.StringType())])
-    return (spark.read.schema(row).parquet(*paths) if paths else spark.createDataFrame([], row)), newest
+    return (spark.read.schema(MOVE).parquet(*paths) if paths else spark.createDataFrame([], MOVE)), newest
 
 
 def _signed(moves: DataFrame, columns: Sequence[str]) -> DataFrame:
