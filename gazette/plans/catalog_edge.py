@@ -288,7 +288,7 @@ def q_source_upsert_concurrent(spark, sf):
     order = [F.col("updated_at").desc_nulls_first(), F.col("seq").desc()]
     table = J.source_table(lake)
     J.save_source(latest_per_key(art.filter(F.col("updated_at") < F.lit(cut)), ["id"], order).select(*S1_COLS), lake)
-    updates = J.staged_rows(art.filter(F.col("updated_at") >= F.lit(cut)).select(*S1_COLS, "seq"), table)
+    updates = J.staged_rows(art.filter(F.col("updated_at") >= F.lit(cut)).select(*S1_COLS, "seq").sortWithinPartitions("id"), table)
     tries = []
 
     def change(base):

@@ -40,6 +40,7 @@ from gazette.operators.scorecard import scorecard
 from gazette.plans.models import Models, stamp_load
 from gazette.plans.serving import scrape_report
 from gazette.sources import bucketed as BK
+from gazette.sources import positions as PS
 from gazette.sources import tables as TB
 from gazette.sources import versioned
 from gazette.sources.keyed import KeyedTable
@@ -264,7 +265,7 @@ def snapshot_run(spark: SparkSession, lake: Lake, deduped: DataFrame, at: dt.dat
 def staged_rows(df: DataFrame, table: KeyedTable, path: str | None = None) -> DataFrame:
     """``df`` written once below the table's folder."""
     path = path or versioned.new_version(f"{table.root}/staged")
-    df.write.parquet(path)
+    df.write.option("compression", TB.CODEC).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
@@ -296,10 +297,19 @@ def save_source(rows: DataFrame, lake: Lake) -> None:
 
 
 def upsert_change(table: KeyedTable, base, updates: DataFrame, order: Sequence[Column]):
-    """The change that upserts ``updates`` into a version of the source table."""
+    """The change that upserts ``updates`` into a version of the source table.
+
+    Of a stored row that an update meets only what the update leaves is read;
+    the files' other rows go to their buckets as they stand, without the join."""
     spark = updates.sparkSession
     touched = table.holding(updates, "rows", base)
-    return {"rows": merge_upsert(table.read_files(spark, touched), updates, "id", UPDATE_COLUMNS, order=order)}, touched, {}
+    stored = PS.placed(table.read_files(spark, touched), bool(touched))
+    met = stored.join(updates.select("id"), "id", "left_semi")
+    replaced = [c for c in UPDATE_COLUMNS if c in updates.columns]
+    kept = met.select(*[F.lit(None).cast(f.dataType).alias(f.name) if f.name in replaced else F.col(f.name) for f in table.schema.fields])
+    merged = merge_upsert(kept, updates, "id", UPDATE_COLUMNS, order=order)
+    rest = PS.unpicked(stored, PS.marks(met.select(*PS.PLACE), versioned.new_version(f"{table.root}/staged")))
+    return {"rows": merged.unionByName(rest)}, touched, {}
 
 
 def scrape_run(spark: SparkSession, lake: Lake, pages: DataFrame,
@@ -351,10 +361,12 @@ def delete_articles(spark: SparkSession, lake: Lake, ids: DataFrame, at: dt.date
 
     def change(base):
         touched = table.holding(keys, "rows", base)
-        rows = table.read_files(spark, touched)
+        rows = PS.placed(table.read_files(spark, touched), bool(touched))
         if rows.join(keys, "id", "left_semi").isEmpty():
             return None
-        return {"rows": without(rows, keys, "id")}, touched, {}
+        gone = keys.select(F.col("id").alias("__gone"))
+        found = rows.join(gone, F.col("id").eqNullSafe(F.col("__gone")), "left_semi")
+        return {"rows": PS.unpicked(rows, PS.marks(found.select(*PS.PLACE), versioned.new_version(f"{table.root}/staged")))}, touched, {}
 
     table.update(spark, change)
 
