@@ -828,7 +828,7 @@ def q_landing_partition_scan(spark, sf):
     wh = M.Warehouse(spark, sf)
     root = _scratch(spark, "landing")
     run_ts = F.col("batch").cast("timestamp_ntz") + F.expr("INTERVAL 1 DAY")
-    TB.write_landing(wh.batched.select(*S1_COLS, "batch"), root, run_ts)
+    TB.write_landing(wh.batched.select(*S1_COLS, "batch"), root, run_ts, within=["id"])
     runs = TB.list_runs(spark, root, S.ARTICLE)
     return runs.groupBy("dt", "run_ts").agg(F.sum("rows").alias("rows"))
 
