@@ -73,10 +73,10 @@ def text_parts(spark: SparkSession, sf_dir: str, per_task: int = ROWS_PER_TASK)
     return max(3, -(-rows // per_task))
 
 
-def join_text(spark: SparkSession, sf_dir: str, rows: DataFrame, one_each: bool = True) -> DataFrame:
+def join_text(spark: SparkSession, sf_dir: str, rows: DataFrame, one_each: bool = True, dealt: bool = False) -> DataFrame:
     """``rows`` (by id) with title, content and content_length.  Narrow rows and
     documents are exchanged once; each task holds the texts of its ids, not of
-    its rows, and sorts neither.
+    its rows, and sorts neither.  ``dealt``: the rows lie in ``text_parts`` tasks by id.
 
     ``one_each`` takes one of the documents with the same id: their versions
     tie, and a dedupe keeps one row of a tie."""
@@ -84,7 +84,7 @@ def join_text(spark: SparkSession, sf_dir: str, rows: DataFrame, one_each: bool
     docs = texts(spark, sf_dir).withColumn("__text", F.xxhash64("content")).repartition(n, "id")
     if one_each:
         docs = latest_per_key(docs, ["id"], [F.col("__text").desc()])
-    return rows.repartition(n, "id").join(docs.drop("__text").hint("shuffle_hash"), "id")
+    return (rows if dealt else rows.repartition(n, "id")).join(docs.drop("__text").hint("shuffle_hash"), "id")
 
 
 def articles(spark: SparkSession, sf_dir: str, with_length: bool = False) -> DataFrame:
