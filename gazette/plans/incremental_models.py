@@ -117,8 +117,8 @@ def refresh_latest(spark: SparkSession, lake: Lake, respect_time: bool = False,
     ids that are new in the delete log are touched, the others are not.
 
     Versions compete as narrow rows that know their place in the files.  Title
-    and text are read where the winner stands and written with it; at most one
-    exchange, to the table's buckets, carries them."""
+    and text are read where the winner stands and written with it; the one
+    exchange that carries them is the one to the table's buckets."""
     table, log, done = latest_table(lake), delete_table(lake), []
 
     def change(base: Version):
@@ -162,8 +162,7 @@ def refresh_latest(spark: SparkSession, lake: Lake, respect_time: bool = False,
         runs = sorted({*base.notes.get("runs", []), *done})
         since = _days_before(runs[-1], horizon) if runs else ""
         runs = [r for r in runs if r >= since]
-        tasks = raw.select("id").rdd.getNumPartitions() + files.select("article_id").rdd.getNumPartitions()     # two scans, nothing runs
-        return {"rows": table.laid(rows, moves.count(), tasks, base)}, touched, {"runs": runs, "moves": written, **noted}
+        return {"rows": rows}, touched, {"runs": runs, "moves": written, **noted}
 
     table.update(spark, change)
     return list(done)

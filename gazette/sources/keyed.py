@@ -36,16 +36,6 @@ LEAST_BUCKETS, MOST_BUCKETS = 8, 200_000
 BLOCK_BITS, PROBES, BLOCK_KEYS = 32768, 3, 4096
 
 
-#: Rows that a task must have for each bucket on average to write files of its own for them.
-ROWS_PER_FILE = 2_000
-
-
-@dataclass(frozen=True)
-class InPlace:
-    """Rows to add that tasks write where they have them, one file a bucket."""
-    rows: DataFrame
-
-
 class Moved(RuntimeError):
     """Another job committed since this one read the table."""
 
@@ -165,22 +155,14 @@ class KeyedTable:
     def _bucket(self, text: Column, at: Version) -> Column:
         return F.pmod(_hash(text, -1), F.lit(at.notes.get("buckets", LEAST_BUCKETS))).cast("int")
 
-    def laid(self, rows: DataFrame, count: int, tasks: int, at: Version) -> DataFrame | InPlace:
-        """``rows`` to add, as they are where each of the ``tasks`` has enough of
-        them for a file a bucket; fewer rows are exchanged by bucket."""
-        return InPlace(rows) if count >= ROWS_PER_FILE * tasks * at.notes.get("buckets", LEAST_BUCKETS) else rows
-
-    def _write(self, rows: DataFrame | InPlace, part: str, at: Version) -> DataFrame:
+    def _write(self, rows: DataFrame, part: str, at: Version) -> DataFrame:
         """Write rows as new files and describe them (``FILES``)."""
-        stay = isinstance(rows, InPlace)
-        rows = rows.rows if stay else rows
         spark = rows.sparkSession
         path = f"{self.root}/files/{part}-{uuid.uuid4().hex}"
         text = _key_text(self.key)
         cut = rows.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in self.schema.fields], self._bucket(text, at).alias("_bucket"))
         # whole buckets to a task where they are small; Spark splits large ones
-        cut = cut if stay else cut.hint("rebalance", F.col("_bucket"))
-        cut.write.option("compression", CODEC).partitionBy("_bucket").parquet(path)
+        cut.hint("rebalance", F.col("_bucket")).write.option("compression", CODEC).partitionBy("_bucket").parquet(path)
         back = (spark.read.schema(T.StructType([*self.schema.fields, T.StructField("_bucket", T.IntegerType())])).parquet(path)
                 .select(F.col("_metadata.file_path").alias("path"), F.col("_bucket").alias("bucket"), text.alias("text")))
         sized = back.groupBy("path", "bucket").agg(F.count(F.lit(1)).alias("rows"), F.min("text").alias("low"), F.max("text").alias("high"))
@@ -192,7 +174,7 @@ class KeyedTable:
          .write.parquet(index))
         return sized.select("path", F.lit(part).alias("part"), "bucket", "rows", "low", "high", "blocks", F.lit(index).alias("index"))
 
-    def commit(self, spark: SparkSession, base: Version, add: dict[str, DataFrame | InPlace], remove: Sequence[str] = (), notes: dict | None = None) -> Version:
+    def commit(self, spark: SparkSession, base: Version, add: dict[str, DataFrame], remove: Sequence[str] = (), notes: dict | None = None) -> Version:
         """Publish ``base`` without ``remove`` and with new files for ``add``.
         Raises ``Moved`` if another record was committed after ``base``; where it
         is there already, before any file is written."""
@@ -211,7 +193,7 @@ class KeyedTable:
             raise Moved(f"{self.root} has moved past version {base.number}")
         return Version(base.number + 1, manifest, said)
 
-    def update(self, spark: SparkSession, change: Callable[[Version], tuple[dict[str, DataFrame | InPlace], Sequence[str], dict] | None],
+    def update(self, spark: SparkSession, change: Callable[[Version], tuple[dict[str, DataFrame], Sequence[str], dict] | None],
                tries: int = 10) -> Version:
         """Apply ``change`` (rows to add by part, paths to remove, notes) to the
         newest version, again from its start if another job commits meanwhile."""
