@@ -22,6 +22,7 @@ from gazette.plans import serving as V
 from gazette.plans.catalog import (_ALL_MODELS, _ANOMALY_SQL, _AS_OF_FUTURE, _CUT1, _CUT2, _CUT_UPSERT, _FEED_CTES, _HIST, _MART, _PAGE, _S1, _SNAP, _WIN_SINCE, _WIN_UNTIL, ORACLE, S1_COLS,
                                    _pages, _scratch, _summary_sql, register, reversed_page_order)
 from gazette.plans.oracle import with_ctes
+from gazette.session import freed_shuffles
 from gazette.sources import fixtures as fx
 from gazette.sources import payload as P
 from gazette.sources import tables as TB
@@ -163,9 +164,11 @@ def spoiled_pages(spark, sf) -> DataFrame:
 def q_null_typed_files(spark, sf):
     """A landing folder where half the files declare the all-NULL column as an integer."""
     art = fx.articles(spark, sf).select("seq", *S1_COLS)
+    art = art.coalesce(fx.text_parts(spark, sf, 8 * fx.ROWS_PER_TASK)).sortWithinPartitions("id")    # copies of a text stand together
     root = _scratch(spark, "loose")
-    art.filter("seq % 2 = 0").drop("seq").write.parquet(root)
-    art.filter("seq % 2 <> 0").drop("seq").withColumn("deleted_at", F.lit(None).cast("int")).write.mode("append").parquet(root)
+    with freed_shuffles(spark):
+        TB.write_parquet(art.filter("seq % 2 = 0").drop("seq"), root)
+        TB.write_parquet(art.filter("seq % 2 <> 0").drop("seq").withColumn("deleted_at", F.lit(None).cast("int")), root, "append")
     return TB.read_loose(spark, root, S.ARTICLE).select(*S1_COLS)
 
 
