@@ -268,10 +268,11 @@ def q_scrape_upsert_job(spark, sf):
     the first scrape stored them."""
     root = _scratch(spark, "scrape")
     lake = J.Lake(f"{root}/lake")
-    _pages(spark, sf).write.parquet(f"{root}/pages")
-    pages = spark.read.parquet(f"{root}/pages")
-    for parity, pipeline in enumerate(("even", "odd")):
-        J.scrape_run(spark, lake, pages.filter(F.col("feed_id") % 2 == parity), pipeline=pipeline)
+    with freed_shuffles(spark):
+        TB.write_parquet(_pages(spark, sf), f"{root}/pages")
+        pages = spark.read.parquet(f"{root}/pages")
+        for parity, pipeline in enumerate(("even", "odd")):
+            J.scrape_run(spark, lake, pages.filter(F.col("feed_id") % 2 == parity), pipeline=pipeline)
     return J._source(spark, lake).select(*S1_COLS)
 
 

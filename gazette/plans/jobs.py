@@ -32,6 +32,7 @@ from pyspark.sql import types as T
 
 from gazette import schemas as S
 from gazette.operators.clean import clean
+from gazette.operators.dedupe import latest_per_key
 from gazette.operators.drift import drift_alerts
 from gazette.operators.incremental import incremental_extract, read_watermark
 from gazette.operators.merge import advance_watermark, apply_tombstones, delete_log_of, merge_upsert
@@ -40,11 +41,11 @@ from gazette.operators.scorecard import scorecard
 from gazette.plans.models import Models, stamp_load
 from gazette.plans.serving import scrape_report
 from gazette.sources import bucketed as BK
+from gazette.sources import payload as P
 from gazette.sources import positions as PS
 from gazette.sources import tables as TB
 from gazette.sources import versioned
 from gazette.sources.keyed import KeyedTable
-from gazette.sources.payload import flatten_feed
 
 RAW_SCHEMA = T.StructType(S.ARTICLES_RAW.fields + [T.StructField("content_length", T.LongType())])
 IDS = T.StructType([T.StructField("id", T.LongType())])
@@ -296,8 +297,9 @@ def save_source(rows: DataFrame, lake: Lake) -> None:
     source_table(lake).replace(rows.sparkSession, TB.conform(rows, S.ARTICLE))
 
 
-def upsert_change(table: KeyedTable, base, updates: DataFrame, order: Sequence[Column]):
-    """The change that upserts ``updates`` into a version of the source table.
+def upsert_change(table: KeyedTable, base, updates: DataFrame, order: Sequence[Column] | None = None):
+    """The change that upserts ``updates`` (one an id, where ``order`` names no
+    first) into a version of the source table.
 
     Of a stored row that an update meets only what the update leaves is read;
     the files' other rows go to their buckets as they stand, without the join."""
@@ -319,19 +321,24 @@ def scrape_run(spark: SparkSession, lake: Lake, pages: DataFrame,
     Returns 1 when something was upserted, 0 for an empty feed.  Only the
     files that may hold scraped ids are read and replaced, new ids get files of
     their own; another job's commit in between makes this one start again on
-    what it left.  The parsed rows are written once.  The watermark becomes the
-    newest publish time among them, and stays if none is known.
+    what it left.  The parsed rows are written once; those of ``P.flatten_feed``
+    are chosen among them by narrow rows, and of each id the last in feed is read
+    where it stands.  The watermark becomes the newest publish time among the
+    chosen, and stays if none is known.
     """
     table = source_table(lake)
     state = _state(spark, lake, pipeline)
     since = read_watermark(state, pipeline)
-    rows = staged_rows(flatten_feed(pages, since=F.lit(since).cast("timestamp_ntz")), table)
+    parsed = PS.placed(staged_rows(P.flatten_pages(pages).withColumnRenamed("pos", "slot"), table))
+    narrow = P.before_end(parsed.drop("title", "content"), P.payload_rejects(pages))
+    rows = P.take_while_recent(P.first_seen(narrow, order=("page", "slot")), F.lit(since).cast("timestamp_ntz"), order=("page", "slot"))
+    rows = staged_rows(rows.select("id", "feed_id", "page", "slot", "published_at", *PS.PLACE), table)
     if rows.isEmpty():
         return 0
-    order = [F.col("feed_id").desc(), F.col("page").desc(), F.col("pos").desc()]   # last in feed wins
-    updates = rows.select(*S.ARTICLE_COLUMNS, "feed_id", "page", "pos")
+    last = latest_per_key(rows, ["id"], [F.col("feed_id").desc(), F.col("page").desc(), F.col("slot").desc()])   # last in feed wins
+    updates = PS.picked(parsed, PS.marks(last.select(*PS.PLACE), versioned.new_version(f"{table.root}/staged"))).select(*S.ARTICLE_COLUMNS)
 
-    table.update(spark, lambda base: upsert_change(table, base, updates, order))
+    table.update(spark, lambda base: upsert_change(table, base, updates))
     newest = rows.agg(F.max("published_at")).first()[0]
     if newest is not None:
         upd = spark.createDataFrame([(pipeline, newest, newest)], S.WATERMARK)

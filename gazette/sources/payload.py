@@ -67,8 +67,13 @@ def payload_rejects(pages: DataFrame, payload: str = "payload", feed: str = "fee
 def readable_pages(pages: DataFrame, payload: str = "payload", feed: str = "feed_id", order: str = "page") -> DataFrame:
     """Pages before their feed's first page without edges (a truncated page,
     an error page, an empty one): a scrape ends there."""
-    ends = payload_rejects(pages, payload, feed, order).filter("end_page is not null").select(F.col(feed).alias("__f"), "end_page")
-    return (pages.join(ends, pages[feed] == F.col("__f"), "left")
+    return before_end(pages, payload_rejects(pages, payload, feed, order), feed, order)
+
+
+def before_end(rows: DataFrame, rejects: DataFrame, feed: str = "feed_id", order: str = "page") -> DataFrame:
+    """Rows (pages, or what they hold) before their feed's ``end_page``."""
+    ends = rejects.filter("end_page is not null").select(F.col(feed).alias("__f"), "end_page")
+    return (rows.join(ends, rows[feed] == F.col("__f"), "left")
             .filter(F.col("end_page").isNull() | (F.col(order) < F.col("end_page"))).drop("__f", "end_page"))
 
 
